@@ -1,0 +1,406 @@
+"""Versioned tables on plain Parquet: snapshots, time travel, rollback, maintenance.
+
+Layout: ``<path>/data/snapshot_id=N/<partitions>/*.parquet`` and ``<path>/log``, one
+small row per commit. A commit writes its data first and its log row last, so a
+crash between the two leaves an orphan folder and never half a commit. One writer
+at a time is assumed; readers need no lock.
+
+A log row holds everything a reader needs: the live data folders, each with the
+physical columns it was written with and the date ranges later commits replaced in
+it. Reading is therefore one log lookup plus a scan of the live folders only.
+"""
+
+from __future__ import annotations
+
+import json
+from collections import defaultdict
+from datetime import date, datetime, timedelta
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickwell.schemas import TABLE_PARTITIONS
+from tickwell.session import file_system, setting
+
+When = str | datetime | None
+
+_LOG = T.StructType([
+    T.StructField("entry_id", T.LongType()),
+    T.StructField("operation", T.StringType()),
+    T.StructField("snapshot_id", T.LongType()),
+    T.StructField("parent_id", T.LongType()),
+    T.StructField("committed_at", T.TimestampType()),
+    T.StructField("added_rows", T.LongType()),
+    T.StructField("ancestry", T.ArrayType(T.LongType())),
+    T.StructField("live", T.StringType()),
+    T.StructField("columns", T.StringType()),
+    T.StructField("expired", T.ArrayType(T.LongType())),
+])
+
+_SNAPSHOT_OPS = ("append", "overwrite", "replace")
+_HISTORY_OPS = (*_SNAPSHOT_OPS, "rollback")
+_STATE_OPS = (*_HISTORY_OPS, "create", "schema")
+
+# Widenings that keep every value.
+_WIDER = {
+    "int": {"bigint", "double"},
+    "float": {"double"},
+    "date": {"timestamp", "timestamp_ntz"},
+}
+
+
+def _moment(when: When) -> Column:
+    return F.current_timestamp() if when is None else F.lit(str(when)).cast("timestamp")
+
+
+def _merge_ranges(ranges: list[list[str]]) -> list[list[str]]:
+    """Inclusive ISO date ranges, overlapping and adjacent ones merged."""
+    merged: list[list[str]] = []
+    for low, high in sorted(ranges):
+        if merged and date.fromisoformat(low) <= date.fromisoformat(merged[-1][1]) + timedelta(days=1):
+            merged[-1][1] = max(merged[-1][1], high)
+        else:
+            merged.append([low, high])
+    return merged
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str, partitions: tuple[str, ...] = TABLE_PARTITIONS):
+        self.spark = spark
+        self.path = path
+        self.partitions = partitions
+        self._data = f"{path}/data"
+        self._log_path = f"{path}/log"
+
+    # Log -------------------------------------------------------------------
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(_LOG).parquet(self._log_path)
+
+    def _state(self, condition: Column | None = None, what: str = "") -> Row:
+        """The newest log row that describes a table state, among those wanted."""
+        rows = self._log().filter(F.col("operation").isin(*_STATE_OPS))
+        if condition is not None:
+            rows = rows.filter(condition)
+        row = rows.orderBy(F.col("entry_id").desc()).first()
+        if row is None:
+            raise ValueError(f"{self.path}: no snapshot {what}")
+        return row
+
+    def _snapshot(self, snapshot_id: int) -> Row:
+        if snapshot_id in self._expired_ids():
+            raise ValueError(f"{self.path}: snapshot {snapshot_id} has expired")
+        return self._state((F.col("snapshot_id") == snapshot_id)
+                           & F.col("operation").isin(*_SNAPSHOT_OPS), str(snapshot_id))
+
+    def _expired_ids(self) -> set[int]:
+        rows = (self._log().filter(F.col("operation") == "expire")
+                .select(F.explode("expired").alias("id")).collect())
+        return {r["id"] for r in rows}
+
+    def _add_entry(self, operation: str, when: When, *, snapshot_id: int, parent_id: int | None,
+                   added_rows: int, ancestry: list[int], live: list[dict], columns: list[dict],
+                   expired: list[int] | None = None, first: bool = False) -> None:
+        entry_id = 0 if first else self._log().agg(F.max("entry_id")).first()[0] + 1
+
+        def longs(values):
+            return F.array(*[F.lit(v).cast("bigint") for v in values]).cast("array<bigint>")
+
+        values = {
+            "entry_id": F.lit(entry_id), "operation": F.lit(operation),
+            "snapshot_id": F.lit(snapshot_id), "parent_id": F.lit(parent_id),
+            "committed_at": _moment(when), "added_rows": F.lit(added_rows),
+            "ancestry": longs(ancestry), "live": F.lit(json.dumps(live)),
+            "columns": F.lit(json.dumps(columns)), "expired": longs(expired or []),
+        }
+        row = self.spark.range(0, 1, 1, 1).select(
+            *[values[f.name].cast(f.dataType).alias(f.name) for f in _LOG.fields])
+        row.write.mode("append").parquet(self._log_path)
+
+    # Creation and schema ---------------------------------------------------
+
+    def create(self, schema: T.StructType, when: When = None) -> "VersionedTable":
+        """Creates the table if it is absent."""
+        try:
+            self._log()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            columns = [{"name": f.name, "physical": f.name, "type": f.dataType.simpleString()}
+                       for f in schema.fields]
+            self._add_entry("create", when, snapshot_id=0, parent_id=None, added_rows=0,
+                            ancestry=[], live=[], columns=columns, first=True)
+        return self
+
+    def _change_schema(self, columns: list[dict], state: Row, when: When) -> None:
+        self._add_entry("schema", when, snapshot_id=state["snapshot_id"], parent_id=state["parent_id"],
+                        added_rows=0, ancestry=state["ancestry"], live=json.loads(state["live"]),
+                        columns=columns)
+
+    def add_column(self, name: str, data_type: str, when: When = None) -> None:
+        """Old rows read the new column as NULL."""
+        state = self._state()
+        columns = json.loads(state["columns"])
+        if any(c["name"] == name for c in columns):
+            raise ValueError(f"column {name} exists")
+        used = {c["physical"] for c in columns}
+        physical = name if name not in used else f"{name}_{len(columns)}"
+        self._change_schema([*columns, {"name": name, "physical": physical, "type": data_type}], state, when)
+
+    def rename_column(self, old: str, new: str, when: When = None) -> None:
+        """Only the visible name changes; stored files keep theirs."""
+        state = self._state()
+        columns = json.loads(state["columns"])
+        if old not in [c["name"] for c in columns] or new in [c["name"] for c in columns]:
+            raise ValueError(f"cannot rename {old} to {new}")
+        self._change_schema([{**c, "name": new} if c["name"] == old else c for c in columns], state, when)
+
+    def widen_column(self, name: str, data_type: str, when: When = None) -> None:
+        state = self._state()
+        columns = json.loads(state["columns"])
+        column = next(c for c in columns if c["name"] == name)
+        if data_type not in _WIDER.get(column["type"], set()):
+            raise ValueError(f"{column['type']} does not widen to {data_type}")
+        self._change_schema([{**c, "type": data_type} if c["name"] == name else c for c in columns],
+                            state, when)
+
+    # Writing ---------------------------------------------------------------
+
+    def _partition_columns(self, columns: list[dict]) -> list[str]:
+        return [c["physical"] for c in columns if c["physical"] in self.partitions]
+
+    def _write(self, df: DataFrame, snapshot_id: int, columns: list[dict]) -> int:
+        """Writes the data folder of a snapshot and returns its row count."""
+        stored = df.select(*[F.col(c["name"]).cast(c["type"]).alias(c["physical"]) for c in columns])
+        partitions = self._partition_columns(columns)
+        if partitions:
+            # Few even files per partition folder; AQE splits an oversized one.
+            stored = stored.hint("rebalance", *partitions)
+        written = Observation()
+        # Overwriting clears what a crashed attempt at the same id may have left.
+        writer = (stored.observe(written, F.count(F.lit(1)).alias("rows"))
+                  .write.mode("overwrite").option("partitionOverwriteMode", "static"))
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        writer.parquet(f"{self._data}/snapshot_id={snapshot_id}")
+        return written.get["rows"]
+
+    def _commit(self, operation: str, df: DataFrame, when: When, keep) -> int:
+        """Data first, log row last. ``keep`` maps the live folders of the parent
+        to those that stay live beside the new one."""
+        state = self._state()
+        columns = json.loads(state["columns"])
+        snapshot_id = self._log().agg(F.max("snapshot_id")).first()[0] + 1
+        rows = self._write(df, snapshot_id, columns)
+        folder = {"id": snapshot_id, "masks": [],
+                  "stored": [[c["physical"], c["type"]] for c in columns]}
+        expired = self._expired_ids()
+        ancestry = [i for i in state["ancestry"] if i not in expired]
+        self._add_entry(operation, when, snapshot_id=snapshot_id, parent_id=state["snapshot_id"],
+                        added_rows=rows, ancestry=[*ancestry, snapshot_id],
+                        live=[*keep(json.loads(state["live"])), folder], columns=columns)
+        return snapshot_id
+
+    def append(self, df: DataFrame, when: When = None) -> int:
+        return self._commit("append", df, when, lambda live: live)
+
+    def overwrite(self, df: DataFrame, when: When = None) -> int:
+        """Replaces the whole content. Old snapshots stay readable."""
+        return self._commit("overwrite", df, when, lambda live: [])
+
+    def replace_dates(self, df: DataFrame, start: str | date, end: str | date, when: When = None,
+                      operation: str = "overwrite") -> int:
+        """Replaces the rows of a date range; running it again changes nothing more.
+
+        Older folders are not rewritten: their rows of the range are masked, which
+        on a table partitioned by date skips whole partition folders.
+        """
+        return self._replace_ranges(df, [[str(start), str(end)]], when, operation)
+
+    def _replace_ranges(self, df: DataFrame, ranges: list[list[str]], when: When, operation: str) -> int:
+        def mask(live: list[dict]) -> list[dict]:
+            return [{**f, "masks": _merge_ranges([*f["masks"], *ranges])} for f in live]
+
+        return self._commit(operation, df.filter(_in_ranges(F.col("date"), ranges)), when, mask)
+
+    def rollback(self, snapshot_id: int, when: When = None) -> None:
+        """Makes an old snapshot current again. Nothing is deleted."""
+        target = self._snapshot(snapshot_id)
+        self._add_entry("rollback", when, snapshot_id=snapshot_id, parent_id=target["parent_id"],
+                        added_rows=0, ancestry=target["ancestry"], live=json.loads(target["live"]),
+                        columns=json.loads(target["columns"]))
+
+    # Reading ---------------------------------------------------------------
+
+    def _scan(self, state: Row, *extra: Column) -> DataFrame:
+        """The live rows of a state, with the state's column names and types."""
+        columns = json.loads(state["columns"])
+        groups: dict[str, list[int]] = defaultdict(list)
+        for folder in json.loads(state["live"]):
+            groups[json.dumps([folder["stored"], folder["masks"]])].append(folder["id"])
+        out = None
+        for group, ids in groups.items():
+            stored, masks = json.loads(group)
+            have = dict(stored)
+            rows = (self.spark.read.option("basePath", self._data)
+                    .schema(", ".join(f"`{name}` {kind}" for name, kind in stored))
+                    .parquet(*[f"{self._data}/snapshot_id={i}" for i in ids]))
+            if masks:
+                rows = rows.filter(~F.coalesce(_in_ranges(F.col("date"), masks), F.lit(False)))
+            part = rows.select(*[
+                (F.col(c["physical"]) if c["physical"] in have else F.lit(None))
+                .cast(c["type"]).alias(c["name"]) for c in columns], *extra)
+            out = part if out is None else out.unionAll(part)
+        if out is None:
+            schema = ", ".join(f"`{c['name']}` {c['type']}" for c in columns)
+            return self.spark.createDataFrame([], schema)
+        return out
+
+    def read(self, snapshot_id: int | None = None, as_of: When = None) -> DataFrame:
+        """The current rows, or those of a snapshot, or those current at a time."""
+        if snapshot_id is not None:
+            return self._scan(self._snapshot(snapshot_id))
+        if as_of is not None:
+            return self._scan(self._state(F.col("committed_at") <= _moment(as_of), f"at {as_of}"))
+        return self._scan(self._state())
+
+    def snapshots(self) -> DataFrame:
+        """All readable snapshots, newest first."""
+        current = self._state()["snapshot_id"]
+        expired = self._expired_ids()
+        return (self._log().filter(F.col("operation").isin(*_SNAPSHOT_OPS)
+                                   & ~F.col("snapshot_id").isin(*expired))
+                .select("committed_at", "snapshot_id", "parent_id", "operation", "added_rows",
+                        (F.col("snapshot_id") == current).alias("is_current"))
+                .orderBy(F.col("committed_at").desc(), F.col("snapshot_id").desc()))
+
+    def history(self) -> DataFrame:
+        """Which snapshot became current when, newest first, rollbacks included."""
+        ancestry = self._state()["ancestry"]
+        return (self._log().filter(F.col("operation").isin(*_HISTORY_OPS))
+                .select(F.col("committed_at").alias("made_current_at"), "snapshot_id", "parent_id",
+                        "operation", F.col("snapshot_id").isin(*ancestry).alias("is_current_ancestor"),
+                        "entry_id")
+                .orderBy(F.col("entry_id").desc()).drop("entry_id"))
+
+    # Maintenance -----------------------------------------------------------
+
+    def fragmented_dates(self, target_bytes: int, min_input_files: int) -> list[str]:
+        """Dates in which some partition has many files well below the target size."""
+        state = self._state()
+        if not json.loads(state["live"]):
+            return []
+        files = self._scan(state, F.col("_metadata.file_path").alias("_file"),
+                           F.col("_metadata.file_size").alias("_bytes"))
+        small = (files.groupBy(*self.partitions, "_file").agg(F.max("_bytes").alias("bytes"))
+                 .filter(F.col("bytes") < 0.75 * target_bytes)
+                 .groupBy(*self.partitions).agg(F.count("*").alias("n"))
+                 .filter(F.col("n") >= min_input_files))
+        return [str(r["date"]) for r in small.select("date").distinct().collect()]
+
+    def compact(self, target_bytes: int = 128 * 1024 * 1024, min_input_files: int = 5,
+                rewrite_all: bool = False, when: When = None) -> int | None:
+        """Rewrites fragmented dates into files near the target size; rows stay the same.
+
+        Returns the new snapshot, or None if nothing is fragmented.
+        """
+        with setting(self.spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes)):
+            if rewrite_all:
+                return self._commit("replace", self.read(), when, lambda live: [])
+            dates = self.fragmented_dates(target_bytes, min_input_files)
+            if not dates:
+                return None
+            ranges = _merge_ranges([[d, d] for d in dates])
+            return self._replace_ranges(self.read(), ranges, when, "replace")
+
+    def expire_snapshots(self, older_than: str | datetime, when: When = None) -> list[int]:
+        """Forgets snapshots committed before ``older_than``, never the current one,
+        and deletes data that no remaining snapshot needs."""
+        state = self._state()
+        already = self._expired_ids()
+        rows = (self._log().filter(F.col("operation").isin(*_SNAPSHOT_OPS)
+                                   & (F.col("committed_at") < _moment(older_than))
+                                   & (F.col("snapshot_id") != state["snapshot_id"]))
+                .select("snapshot_id").collect())
+        gone = sorted({r["snapshot_id"] for r in rows} - already)
+        if gone:
+            before = self._needed_ids()
+            self._add_entry("expire", when, snapshot_id=state["snapshot_id"],
+                            parent_id=state["parent_id"], added_rows=0, ancestry=[], live=[],
+                            columns=[], expired=gone)
+            for folder in sorted((before | set(gone)) - self._needed_ids()):
+                self._delete(folder)
+        return gone
+
+    def _needed_ids(self) -> set[int]:
+        """Data folders that the current state or a readable snapshot refers to."""
+        expired = self._expired_ids()
+        rows = (self._log().filter(F.col("operation").isin(*_SNAPSHOT_OPS))
+                .select("snapshot_id", "live").collect())
+        lives = [r["live"] for r in rows if r["snapshot_id"] not in expired]
+        lives.append(self._state()["live"])
+        return {folder["id"] for live in lives for folder in json.loads(live)}
+
+    def _delete(self, folder: int) -> None:
+        fs, path = file_system(self.spark, f"{self._data}/snapshot_id={folder}")
+        fs.delete(path, True)
+
+    def orphans(self, older_than: datetime) -> list[int]:
+        """Stored folders that no snapshot refers to and that are old enough not to
+        belong to a commit still running."""
+        fs, path = file_system(self.spark, self._data)
+        if not fs.exists(path):
+            return []
+        needed = self._needed_ids()
+        cutoff = older_than.timestamp() * 1000
+        found = []
+        for status in fs.listStatus(path):
+            name = status.getPath().getName()
+            if name.startswith("snapshot_id=") and status.getModificationTime() < cutoff:
+                found.append(int(name.removeprefix("snapshot_id=")))
+        return sorted(set(found) - needed)
+
+    def remove_orphans(self, older_than: datetime | None = None, hours: int = 24) -> list[int]:
+        cutoff = older_than or datetime.now() - timedelta(hours=hours)
+        gone = self.orphans(cutoff)
+        for folder in gone:
+            self._delete(folder)
+        return gone
+
+
+def _in_ranges(day: Column, ranges: list[list[str]]) -> Column:
+    out = F.lit(False)
+    for low, high in ranges:
+        out = out | day.between(F.lit(low).cast("date"), F.lit(high).cast("date"))
+    return out
+
+
+def optimize_all(tables: dict[str, VersionedTable], *, target_bytes: int = 128 * 1024 * 1024,
+                 min_input_files: int = 5,
+                 retention_days: int = 7, orphan_hours: int = 24, compaction: bool = True,
+                 expiration: bool = True, now: datetime | None = None) -> DataFrame:
+    """Compacts, expires and cleans every table; a failing table does not stop the rest.
+
+    One row per table and step: status, and how many folders or snapshots it touched.
+    """
+    now = now or datetime.now()
+    rows = []
+    for name, table in tables.items():
+        steps = []
+        if compaction:
+            steps.append(("compact", lambda t: int(t.compact(target_bytes, min_input_files, when=now) is not None)))
+        if expiration:
+            steps.append(("expire_snapshots",
+                          lambda t: len(t.expire_snapshots(now - timedelta(days=retention_days), now))))
+            steps.append(("remove_orphans", lambda t: len(t.remove_orphans(hours=orphan_hours))))
+        for step, run in steps:
+            try:
+                rows.append((name, step, "ok", run(table), None))
+            except Exception as error:  # reported per table and step
+                rows.append((name, step, "failed", None, str(error).splitlines()[0]))
+                break
+    spark = next(iter(tables.values())).spark
+    return spark.createDataFrame(rows, "table_name string, step string, status string, "
+                                       "affected int, error string")
