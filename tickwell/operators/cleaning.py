@@ -35,12 +35,11 @@ def clean_ticks(parsed: DataFrame) -> DataFrame:
 def quarantine(parsed: DataFrame) -> DataFrame:
     """Every row that ``clean_ticks`` leaves out, with the reason.
 
-    Superseded copies are found by message identity, which is unique, so the
-    anti-join has no hot key.
+    Superseded copies are found by message identity, which is unique, so the join
+    has no hot key.
     """
-    judged = parsed.withColumn("reason", reject_reason())
-    bad = judged.filter(F.col("reason").isNotNull())
-    kept = clean_ticks(parsed).select(*IDENTITY)
-    copies = (judged.filter(F.col("reason").isNull()).join(kept, list(IDENTITY), "left_anti")
-              .withColumn("reason", F.lit("duplicate")).select(*judged.columns))
-    return bad.unionAll(copies)
+    kept = clean_ticks(parsed).select(*IDENTITY, F.lit(True).alias("_kept"))
+    return (parsed.withColumn("reason", reject_reason()).join(kept, list(IDENTITY), "left")
+            .filter(F.col("_kept").isNull())
+            .withColumn("reason", F.coalesce("reason", F.lit("duplicate")))
+            .select(*parsed.columns, "reason"))

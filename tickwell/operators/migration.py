@@ -6,11 +6,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from tickwell.functions.ticks import with_date_parts
 from tickwell.operators.daily import daily_prices, daily_volumes
 from tickwell.operators.versioned import VersionedTable, When
-from tickwell.schemas import DAILY_TABLE, PRICES_TABLE, RAW_PRICES, RAW_VOLUMES, VOLUMES_TABLE
-from tickwell.functions.ticks import with_date_parts
+from tickwell.schemas import DAILY_TABLE, DAY_PARTITIONS, PRICES_TABLE, RAW_PRICES, RAW_VOLUMES, VOLUMES_TABLE
 from tickwell.sources.days import as_day, overwrite_days, read_days
 
 Day = str | date | None
@@ -39,11 +40,10 @@ _KINDS = {
 }
 
 
-def _with_parts(schema):
-    parts = [c for c in ("year", "month", "day") if c not in schema.fieldNames()]
-    for part in parts:
-        schema = schema.add(part, "int")
-    return schema
+def with_day_parts(schema: StructType) -> StructType:
+    """The schema of files partitioned by day: date parts added where missing."""
+    parts = [StructField(c, IntegerType()) for c in DAY_PARTITIONS if c not in schema.fieldNames()]
+    return StructType(schema.fields + parts)
 
 
 def migrate(spark: SparkSession, kind: str, root: str, table: VersionedTable, start: Day = None,
@@ -55,7 +55,7 @@ def migrate(spark: SparkSession, kind: str, root: str, table: VersionedTable, st
     first = as_day(start)
     last = as_day(end) if end is not None else first
     schema, project = _KINDS[kind]
-    stored = read_days(spark, root, _with_parts(_copy(schema)), first, last)
+    stored = read_days(spark, root, with_day_parts(schema), first, last)
     return table.replace_dates(project(stored), first, last, when)
 
 
@@ -64,18 +64,12 @@ def migrate_all(spark: SparkSession, roots: dict[str, str], tables: dict[str, Ve
     return {kind: migrate(spark, kind, roots[kind], tables[kind], start, end, when) for kind in _KINDS}
 
 
-def _copy(schema):
-    return type(schema)(list(schema.fields))
-
-
 def backfill(spark: SparkSession, kind: str, raw_root: str, daily_root: str, start: Day = None,
-             end: Day = None) -> DataFrame:
-    """Recomputes the daily aggregate of a date range in one job and replaces those
-    days. Returns the aggregate that was written."""
+             end: Day = None) -> None:
+    """Recomputes the daily aggregate of a date range in one job and replaces those days."""
     first = as_day(start)
     last = as_day(end) if end is not None else first
     schema = RAW_PRICES if kind == "prices" else RAW_VOLUMES
     aggregate = daily_prices if kind == "prices" else daily_volumes
-    daily = with_date_parts(aggregate(read_days(spark, raw_root, schema, first, last)), "date").drop("hour")
-    overwrite_days(daily, daily_root)
-    return daily
+    daily = aggregate(read_days(spark, raw_root, schema, first, last))
+    overwrite_days(with_date_parts(daily, "date").drop("hour"), daily_root)

@@ -27,14 +27,15 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
     # One row per key and slice: at most (number of keys + number of slices).
     totals = sliced.groupBy(*keys, "_slice").agg(F.sum(value).alias("_total"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_slice",
+    offsets = totals.select(*[F.col(c).alias(f"_at_{c}") for c in (*keys, "_slice")],
                             F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
 
     within = (Window.partitionBy(*keys, "_slice").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in (*keys, "_slice")]  # NULL is a key too
     return (sliced.withColumn("_local", F.sum(value).over(within))
-            .join(offsets, [*keys, "_slice"])
-            .withColumn(name, F.col("_local") + F.col("_offset"))
+            .join(offsets, same)
+            .withColumn(name, F.coalesce("_local", F.lit(0)) + F.col("_offset"))
             .select(*df.columns, name))
 
 

@@ -16,13 +16,12 @@ import json
 from collections import defaultdict
 from datetime import date, datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwell.schemas import TABLE_PARTITIONS
-from tickwell.session import file_system, setting
+from tickwell.session import file_system, path_exists, setting
 
 When = str | datetime | None
 
@@ -123,11 +122,7 @@ class VersionedTable:
 
     def create(self, schema: T.StructType, when: When = None) -> "VersionedTable":
         """Creates the table if it is absent."""
-        try:
-            self._log()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, self._log_path):
             columns = [{"name": f.name, "physical": f.name, "type": f.dataType.simpleString()}
                        for f in schema.fields]
             self._add_entry("create", when, snapshot_id=0, parent_id=None, added_rows=0,

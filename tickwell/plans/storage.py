@@ -148,8 +148,7 @@ def path_inventory(spark, sf_dir):
 # Daily files --------------------------------------------------------------
 
 def _stored_daily(spark, root):
-    schema = M._with_parts(M._copy(DAILY_TABLE))
-    return spark.read.schema(schema).parquet(root).select(*DAILY_TABLE.fieldNames())
+    return spark.read.schema(M.with_day_parts(DAILY_TABLE)).parquet(root).select(*DAILY_TABLE.fieldNames())
 
 
 @query(with_ctes(DAILY, select=DAILY_OUT))

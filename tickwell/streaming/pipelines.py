@@ -64,6 +64,19 @@ def windowed_volumes(raw: DataFrame, settings: StreamSettings = StreamSettings()
     return _windowed(window_volumes, raw, settings)
 
 
+def spread_folders(raw: DataFrame, partitions: tuple[str, ...], tasks: int | None = None,
+                   share: int = 2) -> DataFrame:
+    """For catch-up batches that reach over many folders: rows of a folder go to at
+    most ``share`` tasks, so folders are written in parallel and in few files.
+
+    A live stream does not need it: a batch then covers few folders, and keyed
+    messages of a symbol already sit in one task. The number of tasks is explicit,
+    else AQE would merge them by size, while the cost is in the number of files.
+    """
+    width = tasks or raw.sparkSession.sparkContext.defaultParallelism
+    return raw.repartition(width, *partitions, F.pmod(F.col("kafka_offset"), F.lit(share)))
+
+
 def start_parquet(df: DataFrame, path: str, checkpoint: str, settings: StreamSettings,
                   partitions: tuple[str, ...], name: str | None = None) -> StreamingQuery:
     """Append to partitioned Parquet. The sink's log makes every batch count once;
