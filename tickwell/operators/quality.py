@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,8 +152,9 @@ def day_report(spark: SparkSession, root: str, schema: StructType, data_type: st
     check = price_report if data_type == "prices" else volume_report
     try:
         return _run_now(check(read_days(spark, root, schema, wanted), wanted))
-    except PySparkException as error:
-        row = (data_type, wanted, "readable", None, None, False, None, str(error).splitlines()[0])
+    except (PySparkException, Py4JJavaError) as error:
+        text = error.java_exception.getMessage() if isinstance(error, Py4JJavaError) else str(error)
+        row = (data_type, wanted, "readable", None, None, False, None, text.splitlines()[0])
         return spark.createDataFrame([row], REPORT)
 
 
