@@ -40,11 +40,15 @@ def _share(counter: Column) -> Column:
     return F.try_divide(counter, F.col("n")) * 100
 
 
+def _percent_text(pattern: str, counter: Column, pct: Column) -> Column:
+    return F.format_string(pattern, counter, F.bround(pct, 2))  # ties to even, as in the messages to match
+
+
 def _null_check(column: str) -> Column:
     counter = F.col(f"null_{column}")
     pct = _share(counter)
     return _check(f"{column}_nulls", counter, pct < NULL_LIMIT_PCT,
-                  F.format_string("%d null values (%.2f%%)", counter, pct),
+                  _percent_text("%d null values (%.2f%%)", counter, pct),
                   f"Too many nulls in {column}", pct)
 
 
@@ -92,7 +96,7 @@ def price_report(df: DataFrame, day: str | date | None = None) -> DataFrame:
         _count_check("positive_prices", F.col("bad_prices"), "non-positive prices",
                      "Found non-positive prices"),
         _check("duplicates", duplicates, duplicate_pct < DUPLICATE_LIMIT_PCT,
-               F.format_string("%d duplicate records (%.2f%%)", duplicates, duplicate_pct),
+               _percent_text("%d duplicate records (%.2f%%)", duplicates, duplicate_pct),
                "Too many duplicate records", duplicate_pct),
     ]
     return _report(df, "prices", day, counters, checks)
