@@ -30,12 +30,12 @@ def trailing(df: DataFrame, days: int, as_of: Day = None) -> DataFrame:
 # Raw prices ---------------------------------------------------------------
 
 def latest_prices(prices: DataFrame, as_of: Day = None, n: int = 100, symbol: str | None = None,
-                  tie: str = "tick_id") -> DataFrame:
+                  order: tuple[str, ...] = ("timestamp",)) -> DataFrame:
     """The day's newest ticks, optionally of one symbol, newest first."""
     rows = on_day(prices, as_of)
     if symbol is not None:
         rows = rows.filter(F.col("symbol") == symbol)
-    return rows.orderBy(F.col("event_timestamp").desc(), F.col(tie).desc()).limit(n)
+    return rows.orderBy(*[F.col(c).desc() for c in order]).limit(n)
 
 
 def intraday_summary(prices: DataFrame, as_of: Day = None) -> DataFrame:

@@ -11,15 +11,18 @@ from tickwell.session import cut
 BROADCAST_ROWS = 200_000
 
 
-def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Joins ``fact`` with an aggregate of it (or any frame of unique keys).
+def settled(lookup: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Computes a lookup table once, counts it, and marks it for broadcast if it is
+    within the bound. Beyond it the table joins by shuffle, where AQE splits hot keys.
 
-    The planner can only guess the size of an aggregate and would shuffle ``fact``
-    to be safe. The lookup is computed once, counted, and broadcast if it is within
-    the bound. Beyond it this is a shuffle join, in which AQE splits hot keys.
+    The planner can only guess the size of an aggregate, and would shuffle the large
+    side to be safe.
     """
-    settled = cut(lookup)
-    if settled.count() <= broadcast_rows:
-        settled = F.broadcast(settled)
-    return fact.join(settled, on, how)
+    fixed = cut(lookup)
+    return F.broadcast(fixed) if fixed.count() <= broadcast_rows else fixed
+
+
+def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Joins ``fact`` with an aggregate of it, or any frame of unique keys."""
+    return fact.join(settled(lookup, broadcast_rows), on, how)

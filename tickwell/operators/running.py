@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.session import cut
+from tickwell.operators.lookup import settled
+from tickwell.session import staged
 
 
 def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
@@ -17,14 +18,15 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
     each slice sums its own rows and adds the total of the key's earlier slices.
     ``order`` must be unique within the key.
 
-    The checkpoint fixes which slice a row belongs to, since the slice totals and
-    the rows are read separately. It writes the given columns once: select only
-    what is needed before calling.
+    Staging fixes which slice a row belongs to, since the slice totals and the rows
+    are read separately. It writes the given columns once: select only what is
+    needed before calling.
     """
     by = [*keys, *order]
-    sliced = cut(df.repartitionByRange(*by).withColumn("_slice", F.spark_partition_id()))
+    sliced = staged(df.repartitionByRange(*by).withColumn("_slice", F.spark_partition_id()), "slices")
 
-    # One row per key and slice: at most (number of keys + number of slices).
+    # One row per key and slice: at most (number of keys + number of slices), and
+    # without keys no more than there are slices.
     totals = sliced.groupBy(*keys, "_slice").agg(F.sum(value).alias("_total"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*[F.col(c).alias(f"_at_{c}") for c in (*keys, "_slice")],
@@ -32,9 +34,10 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
 
     within = (Window.partitionBy(*keys, "_slice").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
-    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in (*keys, "_slice")]  # NULL is a key too
+    same = [F.col("_slice") == F.col("_at__slice")]
+    same += [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in keys]  # NULL is a key too
     return (sliced.withColumn("_local", F.sum(value).over(within))
-            .join(offsets, same)
+            .join(settled(offsets) if keys else F.broadcast(offsets), same)
             .withColumn(name, F.coalesce("_local", F.lit(0)) + F.col("_offset"))
             .select(*df.columns, name))
 

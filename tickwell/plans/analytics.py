@@ -12,10 +12,11 @@ from tickwell.operators.running import cumulative_volume as running_volume
 from tickwell.plans import frames as X
 from tickwell.plans.frames import DAILY, DAILY_CORE, LAST_DAY, QUOTES, TICKS, TRADES, plain, with_ctes
 from tickwell.plans.registry import query
-from tickwell.sources.tables import row_count
+from tickwell.sources.tables import register_views, row_count
 
 SYMBOL = "purchase"
 OTHER = "view"
+NEWEST = ("event_timestamp", "tick_id")
 
 DAILY_OUT = """SELECT symbol, date, round(avg_price, 8) AS avg_price, max_price, min_price, max_high, min_low,
   total_volume, record_count, round(avg_price_change, 8) AS avg_price_change,
@@ -131,7 +132,7 @@ def window_volumes_sliding(spark, sf_dir):
   ORDER BY event_timestamp DESC, tick_id DESC LIMIT 100"""))
 def latest_prices(spark, sf_dir):
     prices = X.priced_ticks(spark, sf_dir).withColumn("date", F.to_date("event_timestamp"))
-    newest = A.latest_prices(prices, X.last_day(spark, sf_dir), 100)
+    newest = A.latest_prices(prices, X.last_day(spark, sf_dir), 100, order=NEWEST)
     return plain(newest.select("symbol", "price", "event_timestamp", "price_change", "price_change_pct"),
                  "price_change", "price_change_pct")
 
@@ -144,7 +145,7 @@ def _dated_quotes(spark, sf_dir):
   WHERE symbol = '{SYMBOL}' AND event_timestamp::DATE = {LAST_DAY}
   ORDER BY event_timestamp DESC, tick_id DESC LIMIT 10"""))
 def latest_prices_symbol(spark, sf_dir):
-    newest = A.latest_prices(_dated_quotes(spark, sf_dir), X.last_day(spark, sf_dir), 10, SYMBOL)
+    newest = A.latest_prices(_dated_quotes(spark, sf_dir), X.last_day(spark, sf_dir), 10, SYMBOL, order=NEWEST)
     return newest.select("symbol", "price", "event_timestamp")
 
 
@@ -287,6 +288,23 @@ def rollup_90d(spark, sf_dir):
     return plain(A.long_rollup(X.daily_trades(spark, sf_dir), X.last_trade_day(spark, sf_dir)), "overall_avg_price")
 
 
+NAMED_SQL = """SELECT d.symbol, count(*) AS days, round(avg(d.avg_price), 8) AS avg_daily_price,
+  max(p.newest) AS newest, min(p.ticks) AS ticks
+  FROM daily_aggregates d JOIN (
+    SELECT symbol, max(timestamp) AS newest, count(*) AS ticks FROM stock_prices GROUP BY symbol) p
+    ON p.symbol = d.symbol GROUP BY d.symbol"""
+
+
+@query(with_ctes(DAILY_CORE, "daily_aggregates AS (FROM daily)",
+                 "stock_prices AS (SELECT *, event_timestamp AS timestamp FROM quotes)", select=NAMED_SQL))
+def named_table_sql(spark, sf_dir):
+    """SQL text over tables by name."""
+    register_views(spark, {
+        "stock_prices": X.quotes(spark, sf_dir).withColumnRenamed("event_timestamp", "timestamp"),
+        "daily_aggregates": X.daily_core(spark, sf_dir)})
+    return spark.sql(NAMED_SQL)
+
+
 @query(with_ctes(DAILY, select=f"""SELECT count(*) AS symbols, count(*) FILTER (avg_price_change > 0) AS gainers,
   count(*) FILTER (avg_price_change < 0) AS losers, sum(total_volume)::BIGINT AS total_volume,
   round(avg(avg_price_change_pct), 8) AS avg_change_pct FROM daily WHERE date = {LAST_DAY}"""))

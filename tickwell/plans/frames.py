@@ -16,7 +16,6 @@ from tickwell.functions.ticks import iso_text, to_envelope, with_price_change
 from tickwell.operators.daily import CORE_MEASURES, daily_prices
 from tickwell.operators.lookup import lookup_join
 from tickwell.schemas import PRICE_MESSAGE, VOLUME_MESSAGE
-from tickwell.session import cut
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,22 +68,20 @@ ticks AS (
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full price ticks with hourly bars and the previous day's close.
 
-    One pass computes hourly bars; daily closes come from those. Both have one row
-    per symbol and hour at most, and join back without a window over raw ticks.
+    One pass computes bars, at most one row per symbol and hour; the previous close is
+    the newest price of any earlier day. Bars join back, so no window runs over ticks.
     """
     base = quotes(spark, sf_dir).withColumn("hour_start", F.date_trunc("hour", "event_timestamp"))
-    hourly = cut(base.groupBy("symbol", "hour_start").agg(
+    hourly = base.groupBy("symbol", "hour_start").agg(
         F.min_by("price", "event_timestamp").alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
         F.max_by("price", "event_timestamp").alias("last_price"),
         F.max("event_timestamp").alias("last_at"))
-        .withColumn("date", F.to_date("hour_start")))
-    days = Window.partitionBy("symbol").orderBy("date")
-    previous = (hourly.groupBy("symbol", "date").agg(F.max_by("last_price", "last_at").alias("close"))
-                .select("symbol", "date", F.lag("close").over(days).alias("previous_close")))
-    bars = (hourly.join(previous, ["symbol", "date"])
-            .select("symbol", "hour_start", "open", "high", "low", "previous_close"))
+    day = F.unix_date(F.to_date("hour_start"))
+    earlier_days = Window.partitionBy("symbol").orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
+    bars = hourly.select("symbol", "hour_start", "open", "high", "low",
+                         F.max_by("last_price", "last_at").over(earlier_days).alias("previous_close"))
     return lookup_join(base, bars, ["symbol", "hour_start"]).select(
         "tick_id", "symbol", "event_timestamp", "price", "open", "high", "low", "volume",
         "previous_close", F.lit(None).cast("double").alias("market_cap"), F.lit("USD").alias("currency"))

@@ -39,6 +39,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Writes a large intermediate result to the shared folder once and reads it back:
+    as durable as a checkpoint, and readers take only the columns they need."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """A session setting for the length of one job; the old value comes back after it."""

@@ -13,9 +13,10 @@ from tickwell.schemas import ENVELOPE
 
 
 def _kafka_options(source: str, bootstrap_servers: str, starting_offsets: str,
-                   fail_on_data_loss: bool) -> dict[str, str]:
+                   fail_on_data_loss: bool, min_partitions: int | None) -> dict[str, str]:
     # No group id: queries that share one disturb each other's partition assignment.
-    return {
+    # With minPartitions, Spark splits a topic partition that a hot key has filled.
+    return ({"minPartitions": str(min_partitions)} if min_partitions else {}) | {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": source,
         "startingOffsets": starting_offsets,
@@ -25,7 +26,8 @@ def _kafka_options(source: str, bootstrap_servers: str, starting_offsets: str,
 
 def stream_messages(spark: SparkSession, source: str, backing: str = "files", *,
                     bootstrap_servers: str = "localhost:9092", starting_offsets: str = "latest",
-                    fail_on_data_loss: bool = False, files_per_trigger: int | None = None,
+                    fail_on_data_loss: bool = False, min_partitions: int | None = None,
+                    files_per_trigger: int | None = None,
                     offsets_per_trigger: int | None = None) -> DataFrame:
     """Unbounded read. ``source`` is a topic name (kafka) or a folder (files).
 
@@ -34,7 +36,7 @@ def stream_messages(spark: SparkSession, source: str, backing: str = "files", *,
     """
     if backing == "kafka":
         reader = spark.readStream.format("kafka").options(
-            **_kafka_options(source, bootstrap_servers, starting_offsets, fail_on_data_loss))
+            **_kafka_options(source, bootstrap_servers, starting_offsets, fail_on_data_loss, min_partitions))
         if offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", offsets_per_trigger)
         return reader.load().select(*ENVELOPE.fieldNames())
@@ -45,11 +47,11 @@ def stream_messages(spark: SparkSession, source: str, backing: str = "files", *,
 
 
 def drain_messages(spark: SparkSession, source: str, backing: str = "files", *,
-                   bootstrap_servers: str = "localhost:9092",
-                   fail_on_data_loss: bool = False) -> DataFrame:
+                   bootstrap_servers: str = "localhost:9092", fail_on_data_loss: bool = False,
+                   min_partitions: int | None = None) -> DataFrame:
     """Bounded read from the earliest message to the end as of now."""
     if backing == "kafka":
-        options = _kafka_options(source, bootstrap_servers, "earliest", fail_on_data_loss)
+        options = _kafka_options(source, bootstrap_servers, "earliest", fail_on_data_loss, min_partitions)
         return (spark.read.format("kafka").options(**options)
                 .option("endingOffsets", "latest").load().select(*ENVELOPE.fieldNames()))
     return spark.read.schema(ENVELOPE).parquet(source)

@@ -37,5 +37,11 @@ def append_to_table(df: DataFrame, name: str, partitions=TABLE_PARTITIONS) -> No
     df.select(*target).hint("rebalance", *partitions).write.insertInto(name)
 
 
+def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
+    """Makes frames, such as the current state of versioned tables, known to SQL by name."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.groupBy().count().withColumnRenamed("count", "row_count")
