@@ -48,7 +48,7 @@ def episodes(series: DataFrame, breached: Column, seconds: int, for_seconds: int
     is taken slice-wise and needs no single-task pass over the time line.
     """
     marked = series.select("bucket", "value", (~breached).cast("bigint").alias("calm"))
-    numbered = running_total(marked, [], ["bucket"], "calm", "run")
+    numbered = running_total(marked, [], ["bucket"], "calm", "run", large=False)
     runs = (numbered.filter(F.col("calm") == 0).groupBy("run").agg(
         F.min("bucket").alias("bucket"), F.count("*").alias("windows"),
         F.min("value").alias("min_value"), F.max("value").alias("max_value")))
@@ -86,7 +86,8 @@ def consumer_lag(produced: DataFrame, consumed: DataFrame, window_seconds: int =
               .groupBy("bucket").agg(F.sum("d").alias("d")))
     dense = _every_bucket(deltas).join(deltas, "bucket", "left").select(
         "bucket", F.coalesce("d", F.lit(0)).alias("d"))
-    return running_total(dense, [], ["bucket"], "d", "lag").select("bucket", F.col("lag").alias("value"))
+    return running_total(dense, [], ["bucket"], "d", "lag", large=False).select(
+        "bucket", F.col("lag").alias("value"))
 
 
 def high_lag(produced: DataFrame, consumed: DataFrame, threshold: int = 10_000,

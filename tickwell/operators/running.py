@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.operators.lookup import settled
-from tickwell.session import staged
+from tickwell.session import cut, staged
 
 
-def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
-                  name: str) -> DataFrame:
+def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,
+                  large: bool = True) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over this and all earlier rows of the key.
 
     A window by key would sort all rows of a hot key in one task. Here rows are
@@ -20,10 +20,11 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
 
     Staging fixes which slice a row belongs to, since the slice totals and the rows
     are read separately. It writes the given columns once: select only what is
-    needed before calling.
+    needed before calling. ``large=False`` suits aggregates: a checkpoint instead.
     """
     by = [*keys, *order]
-    sliced = staged(df.repartitionByRange(*by).withColumn("_slice", F.spark_partition_id()), "slices")
+    sliced = df.repartitionByRange(*by).withColumn("_slice", F.spark_partition_id())
+    sliced = staged(sliced, "slices") if large else cut(sliced)
 
     # One row per key and slice: at most (number of keys + number of slices), and
     # without keys no more than there are slices.

@@ -91,6 +91,12 @@ def priced_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_price_change(ticks(spark, sf_dir))
 
 
+# What the raw pipelines store: ticks that pass the validity filter.
+VALID = "symbol IS NOT NULL AND price IS NOT NULL AND price > 0"
+STORED_PRICES = f"stored AS (SELECT * FROM ticks WHERE {VALID})"
+STORED_VOLUMES = f"stored AS (SELECT * FROM quotes WHERE {VALID})"
+
+
 def last_day(spark: SparkSession, sf_dir: str) -> date:
     """The fixture's stand-in for the current date: the day of the newest event."""
     return table(spark, sf_dir, "events").agg(F.to_date(F.max("ts"))).first()[0]
@@ -109,15 +115,19 @@ daily AS (
          (max(price) - min(price)) / avg(price) * 100 AS price_range_pct
   FROM quotes GROUP BY ALL)"""
 
-DAILY = TICKS + """,
-daily AS (
+def _daily_sql(source: str) -> str:
+    return f"""daily AS (
   SELECT symbol, event_timestamp::DATE AS date, avg(price) AS avg_price, max(price) AS max_price,
          min(price) AS min_price, max(high) AS max_high, min(low) AS min_low,
          sum(volume)::BIGINT AS total_volume, count(*) AS record_count,
          avg(price_change) AS avg_price_change, avg(price_change_pct) AS avg_price_change_pct,
          max(price) - min(price) AS price_range,
          (max(price) - min(price)) / avg(price) * 100 AS price_range_pct
-  FROM ticks GROUP BY ALL)"""
+  FROM {source} GROUP BY ALL)"""
+
+
+DAILY = f"{TICKS},\n{_daily_sql('ticks')}"
+STORED_DAILY = f"{TICKS},\n{STORED_PRICES},\n{_daily_sql('stored')}"
 
 
 def daily_core(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ from tickwell.operators import migration as M
 from tickwell.operators.versioned import VersionedTable
 from tickwell.plans import frames as X
 from tickwell.plans.analytics import DAILY_OUT, DAILY_ROUNDED, SYMBOL
-from tickwell.plans.frames import DAILY, DAILY_CORE, ISO, LAST_DAY, QUOTES, TICKS, plain, with_ctes
+from tickwell.plans.frames import (DAILY, DAILY_CORE, ISO, LAST_DAY, QUOTES, STORED_DAILY, STORED_PRICES,
+                                   STORED_VOLUMES, TICKS, plain, with_ctes)
 from tickwell.plans.registry import query
 from tickwell.schemas import (DAILY_TABLE, PRICE_MESSAGE, PRICES_TABLE, RAW_PRICES, RAW_VOLUMES,
                               VOLUME_MESSAGE, VOLUMES_TABLE)
@@ -104,9 +105,9 @@ def monitor_symbol(spark, sf_dir):
 RAW_DAY = "2024-01-15"
 
 
-@query(with_ctes(TICKS, select=f"""SELECT tick_id AS kafka_offset, symbol, event_timestamp, price, high, low, volume,
+@query(with_ctes(TICKS, STORED_PRICES, select=f"""SELECT tick_id AS kafka_offset, symbol, event_timestamp, price, high, low, volume,
   previous_close, round(price_change_pct, 8) AS price_change_pct, 2024 AS year, 1 AS month, 15 AS day,
-  hour(event_timestamp)::INT AS hour FROM ticks WHERE event_timestamp::DATE = DATE '{RAW_DAY}'"""))
+  hour(event_timestamp)::INT AS hour FROM stored WHERE event_timestamp::DATE = DATE '{RAW_DAY}'"""))
 def scan_raw_prices_day(spark, sf_dir):
     rows = S.read_days(spark, stored_raw(spark, sf_dir, "prices"), RAW_PRICES, RAW_DAY)
     return plain(rows.select("kafka_offset", "symbol", "event_timestamp", "price", "high", "low", "volume",
@@ -114,30 +115,30 @@ def scan_raw_prices_day(spark, sf_dir):
                  "price_change_pct")
 
 
-@query(with_ctes(QUOTES, select=f"""SELECT tick_id AS kafka_offset, symbol, event_timestamp, volume, price
-  FROM quotes WHERE event_timestamp::DATE = DATE '{RAW_DAY}'"""))
+@query(with_ctes(QUOTES, STORED_VOLUMES, select=f"""SELECT tick_id AS kafka_offset, symbol, event_timestamp, volume, price
+  FROM stored WHERE event_timestamp::DATE = DATE '{RAW_DAY}'"""))
 def scan_raw_volumes_day(spark, sf_dir):
     rows = S.read_days(spark, stored_raw(spark, sf_dir, "volumes"), RAW_VOLUMES, RAW_DAY)
     return plain(rows.select("kafka_offset", "symbol", "event_timestamp", "volume", "price"))
 
 
-@query(with_ctes(QUOTES, select="""SELECT tick_id AS kafka_offset, symbol FROM quotes
-  WHERE event_timestamp::DATE = (SELECT max(event_timestamp)::DATE + 1 FROM quotes)"""))
+@query(with_ctes(QUOTES, STORED_VOLUMES, select="""SELECT tick_id AS kafka_offset, symbol FROM stored
+  WHERE event_timestamp::DATE = (SELECT max(event_timestamp)::DATE + 1 FROM stored)"""))
 def scan_missing_day_empty(spark, sf_dir):
     after = X.last_day(spark, sf_dir) + timedelta(days=1)
     rows = S.read_days(spark, stored_raw(spark, sf_dir, "volumes"), RAW_VOLUMES, after)
     return rows.select("kafka_offset", "symbol")
 
 
-@query(with_ctes(QUOTES, select="""SELECT year(event_timestamp)::INT AS year, month(event_timestamp)::INT AS month,
-  day(event_timestamp)::INT AS day, count(*) AS rows, TRUE AS has_files FROM quotes GROUP BY ALL"""))
+@query(with_ctes(QUOTES, STORED_VOLUMES, select="""SELECT year(event_timestamp)::INT AS year, month(event_timestamp)::INT AS month,
+  day(event_timestamp)::INT AS day, count(*) AS rows, TRUE AS has_files FROM stored GROUP BY ALL"""))
 def partition_inventory(spark, sf_dir):
     found = S.partition_inventory(spark, stored_raw(spark, sf_dir, "volumes"), RAW_VOLUMES)
     return found.select("year", "month", "day", "rows",
                         ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("has_files"))
 
 
-@query(with_ctes(QUOTES, select="""SELECT name, exists, exists AND (SELECT count(*) FROM quotes) > 0 AS has_files
+@query(with_ctes(QUOTES, STORED_VOLUMES, select="""SELECT name, exists, exists AND (SELECT count(*) FROM stored) > 0 AS has_files
   FROM (VALUES ('raw_volumes', TRUE), ('lakehouse_volumes', FALSE)) t(name, exists)"""))
 def path_inventory(spark, sf_dir):
     found = S.path_inventory(spark, {"raw_volumes": stored_raw(spark, sf_dir, "volumes"),
@@ -161,7 +162,7 @@ def daily_overwrite_idempotent(spark, sf_dir):
     return plain(_stored_daily(spark, root), *DAILY_ROUNDED)
 
 
-@query(with_ctes(DAILY, select=DAILY_OUT))
+@query(with_ctes(STORED_DAILY, select=DAILY_OUT))
 def backfill_daily(spark, sf_dir):
     first, last = span(spark, sf_dir)
     root = fresh_dir(spark, "daily")
@@ -218,17 +219,17 @@ def _migrated(spark, sf_dir, kind, root, schema):
 
 PRICES_OUT = """SELECT symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date, price, open, high, low,
   volume, previous_close, price_change, round(price_change_pct, 8) AS price_change_pct, market_cap, currency
-  FROM ticks"""
+  FROM stored"""
 
 
-@query(with_ctes(TICKS, select=PRICES_OUT))
+@query(with_ctes(TICKS, STORED_PRICES, select=PRICES_OUT))
 def migrate_prices(spark, sf_dir):
     rows = _migrated(spark, sf_dir, "prices", stored_raw(spark, sf_dir, "prices"), PRICES_TABLE)
     return plain(rows, "price_change_pct")
 
 
-@query(with_ctes(QUOTES, select="""SELECT symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date,
-  volume, price FROM quotes"""))
+@query(with_ctes(QUOTES, STORED_VOLUMES, select="""SELECT symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date,
+  volume, price FROM stored"""))
 def migrate_volumes(spark, sf_dir):
     return _migrated(spark, sf_dir, "volumes", stored_raw(spark, sf_dir, "volumes"), VOLUMES_TABLE)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwell.plans import frames as X
 from tickwell.plans.analytics import (PER_WINDOW, WINDOW_PRICES_OUT, WINDOW_VOLUMES_OUT, windows_sql)
-from tickwell.plans.frames import ISO, QUOTES, TICKS, plain, with_ctes
+from tickwell.plans.frames import ISO, QUOTES, STORED_PRICES, STORED_VOLUMES, TICKS, plain, with_ctes
 from tickwell.plans.registry import query
 from tickwell.plans.storage import price_topic, volume_topic
 from tickwell.schemas import RAW_PARTITIONS, RAW_PRICES, RAW_VOLUMES, VOLUME_MESSAGE
@@ -27,12 +27,12 @@ def _dirs(spark, label):
 
 # Raw streams --------------------------------------------------------------
 
-@query(with_ctes(TICKS, select=f"""SELECT symbol AS kafka_key, CAST(tick_id % 2 AS INT) AS kafka_partition,
+@query(with_ctes(TICKS, STORED_PRICES, select=f"""SELECT symbol AS kafka_key, CAST(tick_id % 2 AS INT) AS kafka_partition,
   tick_id AS kafka_offset, event_timestamp AS kafka_timestamp, symbol, {ISO} AS timestamp, price, open, high, low,
   volume, previous_close, market_cap, currency, event_timestamp, price_change,
   round(price_change_pct, 8) AS price_change_pct, year(event_timestamp)::INT AS year,
   month(event_timestamp)::INT AS month, day(event_timestamp)::INT AS day, hour(event_timestamp)::INT AS hour
-  FROM ticks"""))
+  FROM stored"""))
 def stream_raw_prices(spark, sf_dir):
     """The full partition layout: year, month, day, hour and symbol."""
     out, checkpoint = _dirs(spark, "stream-prices")
@@ -42,18 +42,18 @@ def stream_raw_prices(spark, sf_dir):
     return plain(stored, "price_change_pct")
 
 
-@query(with_ctes(QUOTES, select=f"""SELECT symbol AS kafka_key, CAST(tick_id % 2 AS INT) AS kafka_partition,
+@query(with_ctes(QUOTES, STORED_VOLUMES, select=f"""SELECT symbol AS kafka_key, CAST(tick_id % 2 AS INT) AS kafka_partition,
   tick_id AS kafka_offset, event_timestamp AS kafka_timestamp, symbol, {ISO} AS timestamp, volume, price,
   event_timestamp, year(event_timestamp)::INT AS year, month(event_timestamp)::INT AS month,
-  day(event_timestamp)::INT AS day, hour(event_timestamp)::INT AS hour FROM quotes"""))
+  day(event_timestamp)::INT AS day, hour(event_timestamp)::INT AS hour FROM stored"""))
 def stream_raw_volumes(spark, sf_dir):
     out, checkpoint = _dirs(spark, "stream-volumes")
     P.run_to_end(P.raw_volumes(stream_messages(spark, volume_topic(spark, sf_dir))), out, checkpoint, BY_DAY)
     return plain(spark.read.schema(RAW_VOLUMES).parquet(out).drop("processing_timestamp"))
 
 
-@query(with_ctes(QUOTES, select="""SELECT target, symbol, count(*) AS rows, sum(volume)::BIGINT AS volume
-  FROM quotes CROSS JOIN (VALUES ('first'), ('second')) t(target) GROUP BY ALL"""))
+@query(with_ctes(QUOTES, STORED_VOLUMES, select="""SELECT target, symbol, count(*) AS rows, sum(volume)::BIGINT AS volume
+  FROM stored CROSS JOIN (VALUES ('first'), ('second')) t(target) GROUP BY ALL"""))
 def stream_fanout(spark, sf_dir):
     out, checkpoint = _dirs(spark, "stream-fanout")
     paths = {"first": f"{out}/first", "second": f"{out}/second"}
@@ -68,10 +68,10 @@ def stream_fanout(spark, sf_dir):
 # Windowed streams ---------------------------------------------------------
 # Append mode has written every window that ended by the final watermark.
 
-CLOSED = " WHERE window_end <= (SELECT max(event_timestamp) FROM quotes) - INTERVAL 1 MINUTE"
+CLOSED = " WHERE window_end <= (SELECT max(event_timestamp) FROM stored) - INTERVAL 1 MINUTE"
 
 
-@query(with_ctes(TICKS, windows_sql(60, 30), select=WINDOW_PRICES_OUT + CLOSED + PER_WINDOW))
+@query(with_ctes(TICKS, STORED_PRICES, windows_sql(60, 30, "stored"), select=WINDOW_PRICES_OUT + CLOSED + PER_WINDOW))
 def stream_window_prices(spark, sf_dir):
     own = stream_session(spark)
     out, checkpoint = _dirs(spark, "stream-window-prices")
@@ -80,7 +80,7 @@ def stream_window_prices(spark, sf_dir):
     return plain(spark.read.parquet(out).drop("date"), "avg_price")
 
 
-@query(with_ctes(QUOTES, windows_sql(60, 30, "quotes"), select=WINDOW_VOLUMES_OUT + CLOSED + PER_WINDOW))
+@query(with_ctes(QUOTES, STORED_VOLUMES, windows_sql(60, 30, "stored"), select=WINDOW_VOLUMES_OUT + CLOSED + PER_WINDOW))
 def stream_window_volumes(spark, sf_dir):
     own = stream_session(spark)
     out, checkpoint = _dirs(spark, "stream-window-volumes")
@@ -96,7 +96,7 @@ def stream_window_volumes(spark, sf_dir):
 ARRIVALS = """arrivals AS (
   SELECT *, CASE WHEN event_timestamp + to_hours(volume) < TIMESTAMP '2024-01-11' THEN 1
                  WHEN event_timestamp + to_hours(volume) < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS portion
-  FROM quotes)"""
+  FROM stored)"""
 
 
 def _portions(spark, sf_dir) -> list[DataFrame]:
@@ -107,7 +107,7 @@ def _portions(spark, sf_dir) -> list[DataFrame]:
                        VOLUME_MESSAGE, F.col("tick_id")) for low, high in zip(cuts, cuts[1:])]
 
 
-@query(with_ctes(QUOTES, ARRIVALS, """marks AS (
+@query(with_ctes(QUOTES, STORED_VOLUMES, ARRIVALS, """marks AS (
   SELECT portion, max(max(event_timestamp)) OVER (ORDER BY portion ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
     - INTERVAL 24 HOUR AS watermark FROM arrivals GROUP BY portion),
 on_time AS (
@@ -118,7 +118,7 @@ on_time AS (
     select="""SELECT symbol, window_start, window_end, sum(volume)::BIGINT AS total_volume,
   round(avg(volume), 8) AS avg_volume, max(volume) AS max_volume, round(avg(price), 8) AS avg_price,
   count(*) AS record_count FROM on_time
-  WHERE window_end <= (SELECT max(event_timestamp) FROM quotes) - INTERVAL 24 HOUR
+  WHERE window_end <= (SELECT max(event_timestamp) FROM stored) - INTERVAL 24 HOUR
   GROUP BY symbol, window_start, window_end"""))
 def stream_late_data(spark, sf_dir):
     """Hourly windows, a day of grace. Each portion is worked off by its own run of
@@ -134,7 +134,7 @@ def stream_late_data(spark, sf_dir):
     return plain(spark.read.parquet(out).drop("date"), "avg_volume", "avg_price")
 
 
-@query(with_ctes(QUOTES, select="SELECT tick_id AS kafka_offset, symbol, volume, 1::BIGINT AS deliveries FROM quotes"))
+@query(with_ctes(QUOTES, STORED_VOLUMES, select="SELECT tick_id AS kafka_offset, symbol, volume, 1::BIGINT AS deliveries FROM stored"))
 def stream_restart_exactly_once(spark, sf_dir):
     """Stopped and started again between portions, each message is stored once."""
     topic = fresh_dir(spark, "restart-topic")
@@ -146,8 +146,8 @@ def stream_restart_exactly_once(spark, sf_dir):
     return stored.groupBy("kafka_offset", "symbol", "volume").agg(F.count("*").alias("deliveries"))
 
 
-@query(with_ctes(QUOTES, select="""SELECT run, symbol, count(*) AS rows, sum(volume)::BIGINT AS volume
-  FROM quotes CROSS JOIN (VALUES (1), (2)) t(run) GROUP BY ALL"""))
+@query(with_ctes(QUOTES, STORED_VOLUMES, select="""SELECT run, symbol, count(*) AS rows, sum(volume)::BIGINT AS volume
+  FROM stored CROSS JOIN (VALUES (1), (2)) t(run) GROUP BY ALL"""))
 def stream_replay(spark, sf_dir):
     """A new checkpoint reads the topic again from its first message."""
     topic = volume_topic(spark, sf_dir)
@@ -162,9 +162,9 @@ def stream_replay(spark, sf_dir):
 
 # Run modes and progress ----------------------------------------------------
 
-@query(with_ctes(TICKS, windows_sql(60, 30), select=f"""
-  SELECT 'prices/raw' AS output, count(*) AS rows FROM quotes
-  UNION ALL SELECT 'volumes/raw', count(*) FROM quotes
+@query(with_ctes(TICKS, STORED_PRICES, windows_sql(60, 30, "stored"), select=f"""
+  SELECT 'prices/raw' AS output, count(*) AS rows FROM stored
+  UNION ALL SELECT 'volumes/raw', count(*) FROM stored
   UNION ALL SELECT output, (SELECT count(*) FROM (SELECT DISTINCT symbol, window_start FROM windowed {CLOSED}))
     FROM (VALUES ('prices/aggregated'), ('volumes/aggregated')) t(output)"""))
 def run_all_streams(spark, sf_dir):
