@@ -1,3 +1,4 @@
+import json
 import os
 from datetime import date, datetime, timedelta
 
@@ -163,6 +164,28 @@ def test_replaced_dates_are_not_scanned(spark, table):
     assert any("PartitionFilters: [" in f and "date" in f.split("PartitionFilters")[1] for f in files)
 
 
+def test_daily_replacement_needs_no_masks(spark, table):
+    """Folders of other dates are left alone, a folder replaced as a whole goes."""
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    for _ in range(2):
+        for d in days:
+            table.replace_dates(rows(spark, ("A", d, 1.0)), d, d)
+    live = json.loads(table._state()["live"])
+    assert [(f["id"], f["masks"]) for f in live] == [(4, []), (5, []), (6, [])]
+    assert bag(table.read()) == [("A", d, 1.0) for d in days]
+    part = table.read(start="2024-01-02", end="2024-01-03")
+    assert bag(part) == [("A", d, 1.0) for d in days[1:]]
+    assert all("snapshot_id=4" not in f for f in part.inputFiles())
+    assert bag(table.read(snapshot_id=3)) == [("A", d, 1.0) for d in days]
+
+
+def test_rows_without_a_date_are_never_replaced(spark, table):
+    undated = rows(spark, A1).withColumn("date", F.lit(None).cast("date"))
+    table.append(undated.unionAll(rows(spark, A1)))
+    table.replace_dates(rows(spark, ("A", "2024-01-01", 7.0)), "2024-01-01", "2024-01-01")
+    assert bag(table.read()) == [("A", "2024-01-01", 7.0), ("A", "None", 1.0)]
+
+
 def test_compaction_touches_fragmented_dates_only(spark, table):
     for i in range(3):
         table.append(rows(spark, ("A", "2024-01-01", float(i))))

@@ -6,8 +6,9 @@ crash between the two leaves an orphan folder and never half a commit. One write
 at a time is assumed; readers need no lock.
 
 A log row holds everything a reader needs: the live data folders, each with the
-physical columns it was written with and the date ranges later commits replaced in
-it. Reading is therefore one log lookup plus a scan of the live folders only.
+physical columns it was written with, the dates it spans and the date ranges later
+commits replaced in it. Reading is therefore one log lookup plus a scan of the live
+folders only, and a read of some dates does not even list folders of other dates.
 """
 
 from __future__ import annotations
@@ -65,6 +66,15 @@ def _merge_ranges(ranges: list[list[str]]) -> list[list[str]]:
     return merged
 
 
+def _overlap(dates: list[str] | None, wanted: list[str]) -> bool:
+    """Whether a folder may hold rows of a range; one without known dates may."""
+    return dates is None or (dates[0] <= wanted[1] and wanted[0] <= dates[1])
+
+
+def _covered(dates: list[str] | None, masks: list[list[str]]) -> bool:
+    return dates is not None and any(low <= dates[0] and dates[1] <= high for low, high in masks)
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, partitions: tuple[str, ...] = TABLE_PARTITIONS):
         self.spark = spark
@@ -166,8 +176,8 @@ class VersionedTable:
     def _partition_columns(self, columns: list[dict]) -> list[str]:
         return [c["physical"] for c in columns if c["physical"] in self.partitions]
 
-    def _write(self, df: DataFrame, snapshot_id: int, columns: list[dict]) -> int:
-        """Writes the data folder of a snapshot and returns its row count."""
+    def _write(self, df: DataFrame, snapshot_id: int, columns: list[dict]) -> tuple[int, dict]:
+        """Writes the data folder of a snapshot; returns its row count and log entry."""
         stored = df.select(*[F.col(c["name"]).cast(c["type"]).alias(c["physical"]) for c in columns])
         partitions = self._partition_columns(columns)
         if partitions:
@@ -175,12 +185,19 @@ class VersionedTable:
             stored = stored.hint("rebalance", *partitions)
         written = Observation()
         # Overwriting clears what a crashed attempt at the same id may have left.
-        writer = (stored.observe(written, F.count(F.lit(1)).alias("rows"))
+        day = F.col("date") if "date" in stored.columns else F.lit(None).cast("date")
+        writer = (stored.observe(written, F.count(F.lit(1)).alias("rows"), F.count(day).alias("dated"),
+                                 F.min(day).cast("string").alias("first"),
+                                 F.max(day).cast("string").alias("last"))
                   .write.mode("overwrite").option("partitionOverwriteMode", "static"))
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.parquet(f"{self._data}/snapshot_id={snapshot_id}")
-        return written.get["rows"]
+        seen = written.get
+        # Without a date in every row the folder is never skipped by date.
+        dates = [seen["first"], seen["last"]] if 0 < seen["rows"] == seen["dated"] else None
+        return seen["rows"], {"id": snapshot_id, "masks": [], "dates": dates,
+                              "stored": [[c["physical"], c["type"]] for c in columns]}
 
     def _commit(self, operation: str, df: DataFrame, when: When, keep) -> int:
         """Data first, log row last. ``keep`` maps the live folders of the parent
@@ -188,14 +205,13 @@ class VersionedTable:
         state = self._state()
         columns = json.loads(state["columns"])
         snapshot_id = self._log().agg(F.max("snapshot_id")).first()[0] + 1
-        rows = self._write(df, snapshot_id, columns)
-        folder = {"id": snapshot_id, "masks": [],
-                  "stored": [[c["physical"], c["type"]] for c in columns]}
+        rows, folder = self._write(df, snapshot_id, columns)
         expired = self._expired_ids()
         ancestry = [i for i in state["ancestry"] if i not in expired]
         self._add_entry(operation, when, snapshot_id=snapshot_id, parent_id=state["snapshot_id"],
                         added_rows=rows, ancestry=[*ancestry, snapshot_id],
-                        live=[*keep(json.loads(state["live"])), folder], columns=columns)
+                        live=[*keep(json.loads(state["live"])), *([folder] if rows else [])],
+                        columns=columns)
         return snapshot_id
 
     def append(self, df: DataFrame, when: When = None) -> int:
@@ -216,7 +232,13 @@ class VersionedTable:
 
     def _replace_ranges(self, df: DataFrame, ranges: list[list[str]], when: When, operation: str) -> int:
         def mask(live: list[dict]) -> list[dict]:
-            return [{**f, "masks": _merge_ranges([*f["masks"], *ranges])} for f in live]
+            kept = []
+            for folder in live:
+                hit = [r for r in ranges if _overlap(folder["dates"], r)]
+                masks = _merge_ranges([*folder["masks"], *hit])
+                if not _covered(folder["dates"], masks):
+                    kept.append({**folder, "masks": masks})
+            return kept
 
         return self._commit(operation, df.filter(_in_ranges(F.col("date"), ranges)), when, mask)
 
@@ -229,11 +251,13 @@ class VersionedTable:
 
     # Reading ---------------------------------------------------------------
 
-    def _scan(self, state: Row, *extra: Column) -> DataFrame:
+    def _scan(self, state: Row, *extra: Column, wanted: list[str] | None = None) -> DataFrame:
         """The live rows of a state, with the state's column names and types."""
         columns = json.loads(state["columns"])
         groups: dict[str, list[int]] = defaultdict(list)
         for folder in json.loads(state["live"]):
+            if wanted and not _overlap(folder["dates"], wanted):
+                continue
             groups[json.dumps([folder["stored"], folder["masks"]])].append(folder["id"])
         out = None
         for group, ids in groups.items():
@@ -253,13 +277,23 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         return out
 
-    def read(self, snapshot_id: int | None = None, as_of: When = None) -> DataFrame:
-        """The current rows, or those of a snapshot, or those current at a time."""
+    def read(self, snapshot_id: int | None = None, as_of: When = None,
+             start: str | date | None = None, end: str | date | None = None) -> DataFrame:
+        """The current rows, or those of a snapshot, or those current at a time.
+
+        With ``start`` and ``end`` (inclusive) only those dates, and only the folders
+        that hold some of them are opened.
+        """
         if snapshot_id is not None:
-            return self._scan(self._snapshot(snapshot_id))
-        if as_of is not None:
-            return self._scan(self._state(F.col("committed_at") <= _moment(as_of), f"at {as_of}"))
-        return self._scan(self._state())
+            state = self._snapshot(snapshot_id)
+        elif as_of is not None:
+            state = self._state(F.col("committed_at") <= _moment(as_of), f"at {as_of}")
+        else:
+            state = self._state()
+        if start is None and end is None:
+            return self._scan(state)
+        wanted = [str(start or date.min), str(end or date.max)]
+        return self._scan(state, wanted=wanted).filter(_in_ranges(F.col("date"), [wanted]))
 
     def snapshots(self) -> DataFrame:
         """All readable snapshots, newest first."""
@@ -308,7 +342,8 @@ class VersionedTable:
             if not dates:
                 return None
             ranges = _merge_ranges([[d, d] for d in dates])
-            return self._replace_ranges(self.read(), ranges, when, "replace")
+            rows = self.read(start=ranges[0][0], end=ranges[-1][1])
+            return self._replace_ranges(rows, ranges, when, "replace")
 
     def expire_snapshots(self, older_than: str | datetime, when: When = None) -> list[int]:
         """Forgets snapshots committed before ``older_than``, never the current one,

@@ -37,7 +37,7 @@ def stream_raw_prices(spark, sf_dir):
     """The full partition layout: year, month, day, hour and symbol."""
     out, checkpoint = _dirs(spark, "stream-prices")
     raw = P.raw_prices(stream_messages(spark, price_topic(spark, sf_dir)))
-    P.run_to_end(P.spread_folders(raw, RAW_PARTITIONS), out, checkpoint, RAW_PARTITIONS)
+    P.run_to_end(P.spread_folders(raw, RAW_PARTITIONS, share=2), out, checkpoint, RAW_PARTITIONS)
     stored = spark.read.schema(RAW_PRICES).parquet(out).drop("processing_timestamp")
     return plain(stored, "price_change_pct")
 

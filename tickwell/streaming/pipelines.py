@@ -65,7 +65,7 @@ def windowed_volumes(raw: DataFrame, settings: StreamSettings = StreamSettings()
 
 
 def spread_folders(raw: DataFrame, partitions: tuple[str, ...], tasks: int | None = None,
-                   share: int = 2) -> DataFrame:
+                   share: int = 8) -> DataFrame:
     """For catch-up batches that reach over many folders: rows of a folder go to at
     most ``share`` tasks, so folders are written in parallel and in few files.
 
