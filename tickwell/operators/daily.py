@@ -22,35 +22,36 @@ def _day_column(df: DataFrame, day: str | date | None) -> Column:
     return F.lit(day).cast("date")
 
 
-def _price_measures() -> dict[str, Column]:
-    return {
-        "avg_price": F.avg("price"),
-        "max_price": F.max("price"),
-        "min_price": F.min("price"),
-        "max_high": F.max("high"),
-        "min_low": F.min("low"),
-        "total_volume": F.sum("volume"),
-        "record_count": F.count("*"),
-        "avg_price_change": F.avg("price_change"),
-        "avg_price_change_pct": F.avg("price_change_pct"),
-    }
-
-
-# Measures that need no more than price and volume of a tick.
+def _measures(names: tuple[str, ...]) -> list[Column]:
+    """Measures by name: ``avg_price`` is the average of ``price``, and so on."""
+    functions = {"avg": F.avg, "max": F.max, "min": F.min, "total": F.sum}
+    out = []
+    for name in names:
+        function, _, column = name.partition("_")
+        measure = F.count("*") if name == "record_count" else functions[function](column)
+        out.append(measure.alias(name))
+    return out
+
+
+# Output columns of the aggregates, in order.
+PRICE_MEASURES = ("avg_price", "max_price", "min_price", "max_high", "min_low", "total_volume", "record_count")
+VOLUME_MEASURES = ("total_volume", "avg_volume", "max_volume", "avg_price", "record_count")
+DAILY_PRICE_MEASURES = (*PRICE_MEASURES, "avg_price_change", "avg_price_change_pct")
+DAILY_VOLUME_MEASURES = ("total_volume", "avg_volume", "max_volume", "min_volume", "avg_price", "record_count")
+
+# Daily price measures that need no more than price and volume of a tick.
 CORE_MEASURES = ("avg_price", "max_price", "min_price", "total_volume", "record_count")
 
 
 def daily_prices(df: DataFrame, day: str | date | None = None,
-                 measures: tuple[str, ...] | None = None) -> DataFrame:
+                 measures: tuple[str, ...] = DAILY_PRICE_MEASURES) -> DataFrame:
     """Daily price aggregate by symbol and date, with the day's price range.
 
     ``measures`` narrows the output (the range needs avg, max and min price); with
     it, columns such as ``high`` or ``price_change`` need not exist in ``df``.
     """
-    chosen = {n: m for n, m in _price_measures().items() if measures is None or n in measures}
     spread = F.col("max_price") - F.col("min_price")
-    return (df.groupBy("symbol", _day_column(df, day).alias("date"))
-            .agg(*[m.alias(n) for n, m in chosen.items()])
+    return (df.groupBy("symbol", _day_column(df, day).alias("date")).agg(*_measures(measures))
             .withColumns({
                 "price_range": spread,
                 "price_range_pct": F.try_divide(spread, F.col("avg_price")) * 100,
@@ -58,48 +59,25 @@ def daily_prices(df: DataFrame, day: str | date | None = None,
 
 
 def daily_volumes(df: DataFrame, day: str | date | None = None) -> DataFrame:
-    return df.groupBy("symbol", _day_column(df, day).alias("date")).agg(
-        F.sum("volume").alias("total_volume"),
-        F.avg("volume").alias("avg_volume"),
-        F.max("volume").alias("max_volume"),
-        F.min("volume").alias("min_volume"),
-        F.avg("price").alias("avg_price"),
-        F.count("*").alias("record_count"),
-    )
+    return (df.groupBy("symbol", _day_column(df, day).alias("date"))
+            .agg(*_measures(DAILY_VOLUME_MEASURES)))
 
 
-def _by_window(df: DataFrame, duration: str, slide: str | None, *measures: Column) -> DataFrame:
-    grouped = df.groupBy("symbol", F.window("event_timestamp", duration, slide)).agg(*measures)
-    rest = [c for c in grouped.columns if c not in ("symbol", "window")]
-    return grouped.select("symbol", F.col("window.start").alias("window_start"),
-                          F.col("window.end").alias("window_end"), *rest)
+def _by_window(df: DataFrame, duration: str, slide: str | None, measures: tuple[str, ...]) -> DataFrame:
+    window = F.window("event_timestamp", duration, slide)
+    return df.groupBy("symbol", window).agg(*_measures(measures)).select(
+        "symbol", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *measures)
 
 
 def window_prices(df: DataFrame, duration: str = "1 minute",
                   slide: str | None = "30 seconds") -> DataFrame:
     """Prices per symbol and event-time window; ``slide=None`` gives tumbling windows."""
-    return _by_window(
-        df, duration, slide,
-        F.avg("price").alias("avg_price"),
-        F.max("price").alias("max_price"),
-        F.min("price").alias("min_price"),
-        F.max("high").alias("max_high"),
-        F.min("low").alias("min_low"),
-        F.sum("volume").alias("total_volume"),
-        F.count("*").alias("record_count"),
-    )
+    return _by_window(df, duration, slide, PRICE_MEASURES)
 
 
 def window_volumes(df: DataFrame, duration: str = "1 minute",
                    slide: str | None = "30 seconds") -> DataFrame:
-    return _by_window(
-        df, duration, slide,
-        F.sum("volume").alias("total_volume"),
-        F.avg("volume").alias("avg_volume"),
-        F.max("volume").alias("max_volume"),
-        F.avg("price").alias("avg_price"),
-        F.count("*").alias("record_count"),
-    )
+    return _by_window(df, duration, slide, VOLUME_MEASURES)
 
 
 def latest_per_symbol(df: DataFrame, order: tuple[str, ...] = ("event_timestamp", "tick_id")) -> DataFrame:

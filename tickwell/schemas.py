@@ -2,93 +2,44 @@
 
 from pyspark.sql import types as T
 
-ENVELOPE = T.StructType([
-    T.StructField("key", T.BinaryType()),
-    T.StructField("value", T.BinaryType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-])
-
-# Volume is a long: the daily volume of a liquid symbol does not fit an int,
-# and JSON parsing turns an overflowing int into NULL.
-PRICE_MESSAGE = T.StructType([
-    T.StructField("symbol", T.StringType(), False),
-    T.StructField("timestamp", T.StringType(), False),
-    T.StructField("price", T.DoubleType(), False),
-    T.StructField("open", T.DoubleType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()),
-    T.StructField("volume", T.LongType()),
-    T.StructField("previous_close", T.DoubleType()),
-    T.StructField("market_cap", T.DoubleType()),
-    T.StructField("currency", T.StringType()),
-])
-
-VOLUME_MESSAGE = T.StructType([
-    T.StructField("symbol", T.StringType(), False),
-    T.StructField("timestamp", T.StringType(), False),
-    T.StructField("volume", T.LongType(), False),
-    T.StructField("price", T.DoubleType()),
-])
-
-PRICES_TABLE = T.StructType([
-    T.StructField("symbol", T.StringType(), False),
-    T.StructField("timestamp", T.TimestampType(), False),
-    T.StructField("date", T.DateType(), False),
-    T.StructField("price", T.DoubleType(), False),
-    T.StructField("open", T.DoubleType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()),
-    T.StructField("volume", T.LongType()),
-    T.StructField("previous_close", T.DoubleType()),
-    T.StructField("price_change", T.DoubleType()),
-    T.StructField("price_change_pct", T.DoubleType()),
-    T.StructField("market_cap", T.DoubleType()),
-    T.StructField("currency", T.StringType()),
-])
-
-VOLUMES_TABLE = T.StructType([
-    T.StructField("symbol", T.StringType(), False),
-    T.StructField("timestamp", T.TimestampType(), False),
-    T.StructField("date", T.DateType(), False),
-    T.StructField("volume", T.LongType(), False),
-    T.StructField("price", T.DoubleType()),
-])
-
-DAILY_TABLE = T.StructType([
-    T.StructField("symbol", T.StringType(), False),
-    T.StructField("date", T.DateType(), False),
-    T.StructField("avg_price", T.DoubleType()),
-    T.StructField("max_price", T.DoubleType()),
-    T.StructField("min_price", T.DoubleType()),
-    T.StructField("max_high", T.DoubleType()),
-    T.StructField("min_low", T.DoubleType()),
-    T.StructField("total_volume", T.LongType()),
-    T.StructField("record_count", T.LongType()),
-    T.StructField("avg_price_change", T.DoubleType()),
-    T.StructField("avg_price_change_pct", T.DoubleType()),
-    T.StructField("price_range", T.DoubleType()),
-    T.StructField("price_range_pct", T.DoubleType()),
-])
-
-_LINEAGE = [
-    T.StructField("kafka_key", T.StringType()),
-    T.StructField("kafka_partition", T.IntegerType()),
-    T.StructField("kafka_offset", T.LongType()),
-    T.StructField("kafka_timestamp", T.TimestampType()),
-]
-_TIMES = [
-    T.StructField("processing_timestamp", T.TimestampType()),
-    T.StructField("event_timestamp", T.TimestampType()),
-]
-_DATE_PARTS = [T.StructField(c, T.IntegerType()) for c in ("year", "month", "day", "hour")]
-
-# What the raw streams write: lineage, message fields, times, (changes,) date parts.
-RAW_PRICES = T.StructType(
-    _LINEAGE + PRICE_MESSAGE.fields + _TIMES
-    + [T.StructField("price_change", T.DoubleType()), T.StructField("price_change_pct", T.DoubleType())]
-    + _DATE_PARTS)
+_TYPES = {
+    "binary": T.BinaryType(), "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "double": T.DoubleType(), "timestamp": T.TimestampType(), "date": T.DateType(),
+}
+
+
+def _schema(text: str) -> T.StructType:
+    """``name type`` pairs; an exclamation mark after the type means required."""
+    fields = []
+    for column in text.split(","):
+        name, kind = column.split()
+        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
+    return T.StructType(fields)
+
+
+# The columns of messages and tables. Volume is a long: the daily volume of
+# a liquid symbol does not fit an int, and JSON parsing turns an overflowing int into NULL.
+ENVELOPE = _schema("key binary, value binary, partition int, offset bigint, timestamp timestamp")
+PRICE_MESSAGE = _schema("""symbol string!, timestamp string!, price double!, open double, high double, low double,
+    volume bigint, previous_close double, market_cap double, currency string""")
+VOLUME_MESSAGE = _schema("symbol string!, timestamp string!, volume bigint!, price double")
+PRICES_TABLE = _schema("""symbol string!, timestamp timestamp!, date date!, price double!, open double, high double,
+    low double, volume bigint, previous_close double, price_change double, price_change_pct double,
+    market_cap double, currency string""")
+VOLUMES_TABLE = _schema("symbol string!, timestamp timestamp!, date date!, volume bigint!, price double")
+DAILY_TABLE = _schema("""symbol string!, date date!, avg_price double, max_price double, min_price double,
+    max_high double, min_low double, total_volume bigint, record_count bigint, avg_price_change double,
+    avg_price_change_pct double, price_range double, price_range_pct double""")
+DAILY_VOLUMES = _schema("""symbol string!, date date!, total_volume bigint, avg_volume double, max_volume bigint,
+    min_volume bigint, avg_price double, record_count bigint""")
+
+_LINEAGE = _schema("kafka_key string, kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp").fields
+_TIMES = _schema("processing_timestamp timestamp, event_timestamp timestamp").fields
+_CHANGES = _schema("price_change double, price_change_pct double").fields
+_DATE_PARTS = _schema("year int, month int, day int, hour int").fields
+
+# What the raw streams write.
+RAW_PRICES = T.StructType(_LINEAGE + PRICE_MESSAGE.fields + _TIMES + _CHANGES + _DATE_PARTS)
 RAW_VOLUMES = T.StructType(_LINEAGE + VOLUME_MESSAGE.fields + _TIMES + _DATE_PARTS)
 
 RAW_PARTITIONS = ("year", "month", "day", "hour", "symbol")
