@@ -3,7 +3,10 @@
 from pyspark.sql import functions as F
 
 from tickwell import jobs
+from tickwell.operators.migration import with_day_parts
 from tickwell.plans import frames as X
+from tickwell.schemas import DAILY_VOLUMES
+from tickwell.sources.days import read_days
 from tickwell.sources.messages import publish_messages
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -25,6 +28,8 @@ def test_from_topic_to_table(spark, folder, capsys):
     assert run("quality", "--date", "2030-01-01") == 1
     assert "No records found" in capsys.readouterr().out
     assert run("daily", "--date", day) == 0
+    volumes = read_days(spark, f"{root}/volumes/daily", with_day_parts(DAILY_VOLUMES), day)
+    assert volumes.agg(F.sum("record_count")).first()[0] == n
     assert run("create-tables") == 0
     for _ in range(2):
         assert run("migrate", "--type", "all", "--start-date", day) == 0

@@ -86,6 +86,19 @@ def test_fan_out_repeats_a_batch_without_duplicates(spark, folder):
     assert [spark.read.parquet(p).count() for p in paths] == [2, 2]
 
 
+def test_second_output_keeps_the_day_layout(spark, folder):
+    topic = f"{folder}/topic"
+    own = stream_session(spark, 2)
+    for times in (("00:10", "01:10"), ("30:00",)):
+        publish(spark, topic, *times)
+        queries = P.start_streams(own, "volumes", topic, topic, f"{folder}/a", f"{folder}/checkpoints", TO_END,
+                                  second_output=f"{folder}/b")
+        P.wait(own, queries, TO_END)
+    for root in ("a", "b"):
+        day = read_days(spark, f"{folder}/{root}/volumes/raw", RAW_VOLUMES, "2024-01-01")
+        assert day.count() == 3 and day.schema.fieldNames() == RAW_VOLUMES.fieldNames()
+
+
 def test_bad_messages_do_not_stop_the_stream(spark, folder):
     topic = f"{folder}/topic"
     publish(spark, topic, "00:10")

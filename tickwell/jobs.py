@@ -107,6 +107,7 @@ def arguments() -> argparse.ArgumentParser:
     stream = job("stream", "run streaming queries")
     stream.add_argument("--mode", choices=MODES, default="all")
     stream.add_argument("--checkpoints", required=True)
+    stream.add_argument("--second-root", help="write raw ticks there as well")
     stream.add_argument("--prices", default="stock-prices", help="topic or folder")
     stream.add_argument("--volumes", default="stock-volumes", help="topic or folder")
     stream.add_argument("--backing", choices=("kafka", "files"), default="kafka")
@@ -162,7 +163,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             options |= {"bootstrap_servers": args.bootstrap_servers, "starting_offsets": args.starting_offsets}
         own = stream_session(spark, args.state_partitions)
         wait(own, start_streams(own, args.mode, args.prices, args.volumes, args.root, args.checkpoints,
-                                settings, **options), settings)
+                                settings, args.second_root, **options), settings)
     elif args.job == "daily":
         run_daily(spark, args.root, args.start, args.end)
     elif args.job == "quality":

@@ -49,8 +49,8 @@ def read_days(spark: SparkSession, root: str, schema: StructType,
         if span <= _MAX_NAMED_DAYS and not path_exists(spark, f"{root}/_spark_metadata"):
             days = (first + timedelta(days=i) for i in range(span))
             names = ",".join(f"year={d.year}/month={d.month}/day={d.day}" for d in days)
-            return reader.parquet(f"{root}/{{{names}}}")
-        df = reader.parquet(root)
+            return reader.parquet(f"{root}/{{{names}}}").select(*schema.fieldNames())
+        df = reader.parquet(root).select(*schema.fieldNames())
     except AnalysisException as error:
         if _is_missing_path(error):
             return spark.createDataFrame([], schema)

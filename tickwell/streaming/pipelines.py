@@ -89,30 +89,33 @@ def start_parquet(df: DataFrame, path: str, checkpoint: str, settings: StreamSet
 
 
 def start_fan_out(df: DataFrame, paths: list[str], checkpoint: str, settings: StreamSettings,
-                  partitions: tuple[str, ...] = ()) -> StreamingQuery:
+                  partitions: tuple[str, ...] = (), name: str | None = None) -> StreamingQuery:
     """One read of the stream, several targets.
 
-    Each batch goes to its own ``batch_id`` folder, overwritten as a whole, so a
-    batch repeated after a failure replaces what it wrote before.
+    Below the given partitions each batch has its own ``batch_id`` folders. A batch
+    repeated after a failure has the same rows and so replaces what it wrote before.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        batch = batch.withColumn("batch_id", F.lit(batch_id)).persist()
         try:
             for path in paths:
-                (batch.write.mode("overwrite").partitionBy(*partitions)
-                 .parquet(f"{path}/batch_id={batch_id}"))
+                (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(*partitions, "batch_id").parquet(path))
         finally:
             batch.unpersist()
 
-    return (df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-            .trigger(**settings.trigger_options()).start())
+    writer = (df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+              .trigger(**settings.trigger_options()))
+    return (writer.queryName(name) if name else writer).start()
 
 
 def start_streams(spark: SparkSession, mode: str, prices_source: str, volumes_source: str, output: str,
                   checkpoints: str, settings: StreamSettings = StreamSettings(),
-                  **source_options) -> dict[str, StreamingQuery]:
-    """Starts the queries of a run mode. Names are unique per output so that several
-    runs can share a session."""
+                  second_output: str | None = None, **source_options) -> dict[str, StreamingQuery]:
+    """Starts the queries of a run mode, by the path of their output.
+
+    With ``second_output``, raw ticks are read once and written to both places.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
 
@@ -127,8 +130,15 @@ def start_streams(spark: SparkSession, mode: str, prices_source: str, volumes_so
     if mode in ("all", "aggregated"):
         plans["prices/aggregated"] = (windowed_prices(raw_prices(read(prices_source)), settings), ("date",))
         plans["volumes/aggregated"] = (windowed_volumes(raw_volumes(read(volumes_source)), settings), ("date",))
-    return {name: start_parquet(df, f"{output}/{name}", f"{checkpoints}/{name}", settings, partitions)
-            for name, (df, partitions) in plans.items()}
+    started = {}
+    for name, (df, partitions) in plans.items():
+        checkpoint = f"{checkpoints}/{name}"
+        if second_output and name.endswith("/raw"):
+            started[name] = start_fan_out(df, [f"{output}/{name}", f"{second_output}/{name}"], checkpoint,
+                                          settings, partitions)
+        else:
+            started[name] = start_parquet(df, f"{output}/{name}", checkpoint, settings, partitions)
+    return started
 
 
 def wait(spark: SparkSession, queries: dict[str, StreamingQuery], settings: StreamSettings) -> None:
