@@ -187,3 +187,9 @@ def test_latest_row_breaks_ties_by_id(spark):
     t = datetime(2024, 1, 1)
     df = ticks(spark, ("A", t, 1.0, 1), ("A", t, 2.0, 1), ("B", t, 3.0, 1), ("A", t - timedelta(days=1), 9.0, 1))
     assert {r.symbol: r.price for r in D.latest_per_symbol(df).collect()} == {"A": 2.0, "B": 3.0}
+
+
+def test_latest_row_with_missing_symbol_or_time(spark):
+    df = ticks(spark, (None, datetime(2024, 1, 1), 1.0, 1), (None, datetime(2024, 1, 2), 2.0, 1), ("A", None, 3.0, 1),
+               ("A", None, 4.0, 1))
+    assert {r.symbol: r.price for r in D.latest_per_symbol(df).collect()} == {None: 2.0, "A": 4.0}

@@ -12,6 +12,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwell.operators.lookup import settled
+
 
 def _day_column(df: DataFrame, day: str | date | None) -> Column:
     """Event time if present, else the message time, else the given day."""
@@ -81,10 +83,15 @@ def window_volumes(df: DataFrame, duration: str = "1 minute",
 
 
 def latest_per_symbol(df: DataFrame, order: tuple[str, ...] = ("event_timestamp", "tick_id")) -> DataFrame:
-    """The newest row of each symbol, all columns.
+    """The newest row of each symbol, all columns. ``df`` is read twice.
 
-    ``max_by`` keeps one candidate row per symbol and task before the shuffle.
+    The newest time per symbol is a hash aggregate over two columns; only rows of that
+    time then compete as whole rows. Comparing whole rows from the start would sort
+    all ticks by symbol. Copies of the newest row are combined on the map side.
     """
-    rest = [c for c in df.columns if c != "symbol"]
-    newest = F.max_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy("symbol").agg(newest.alias("row")).select("symbol", "row.*")
+    time, rest = order[0], [c for c in df.columns if c != "symbol"]
+    newest = settled(df.groupBy(F.col("symbol").alias("_symbol")).agg(F.max(time).alias("_newest")))
+    rivals = df.join(newest, F.col("symbol").eqNullSafe(F.col("_symbol"))
+                     & F.col(time).eqNullSafe(F.col("_newest")))
+    first = F.max_by(F.struct(*rest), F.struct(*order))
+    return rivals.groupBy("symbol").agg(first.alias("row")).select("symbol", "row.*")
