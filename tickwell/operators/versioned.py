@@ -98,6 +98,16 @@ class VersionedTable:
             raise ValueError(f"{self.path}: no snapshot {what}")
         return row
 
+    def _head(self) -> Row:
+        """Everything a commit needs to know, in one pass over the log."""
+        state = F.struct("snapshot_id", "parent_id", "ancestry", "live", "columns")
+        is_state = F.when(F.col("operation").isin(*_STATE_OPS), F.col("entry_id"))
+        return self._log().agg(
+            F.max_by(state, is_state).alias("state"),
+            F.max("entry_id").alias("last_entry"),
+            F.max("snapshot_id").alias("last_snapshot"),
+            F.array_distinct(F.flatten(F.collect_list("expired"))).alias("expired")).first()
+
     def _snapshot(self, snapshot_id: int) -> Row:
         if snapshot_id in self._expired_ids():
             raise ValueError(f"{self.path}: snapshot {snapshot_id} has expired")
@@ -111,8 +121,9 @@ class VersionedTable:
 
     def _add_entry(self, operation: str, when: When, *, snapshot_id: int, parent_id: int | None,
                    added_rows: int, ancestry: list[int], live: list[dict], columns: list[dict],
-                   expired: list[int] | None = None, first: bool = False) -> None:
-        entry_id = 0 if first else self._log().agg(F.max("entry_id")).first()[0] + 1
+                   expired: list[int] | None = None, entry_id: int | None = None) -> None:
+        if entry_id is None:
+            entry_id = self._log().agg(F.max("entry_id")).first()[0] + 1
 
         def longs(values):
             return F.array(*[F.lit(v).cast("bigint") for v in values]).cast("array<bigint>")
@@ -136,7 +147,7 @@ class VersionedTable:
             columns = [{"name": f.name, "physical": f.name, "type": f.dataType.simpleString()}
                        for f in schema.fields]
             self._add_entry("create", when, snapshot_id=0, parent_id=None, added_rows=0,
-                            ancestry=[], live=[], columns=columns, first=True)
+                            ancestry=[], live=[], columns=columns, entry_id=0)
         return self
 
     def _change_schema(self, columns: list[dict], state: Row, when: When) -> None:
@@ -202,16 +213,16 @@ class VersionedTable:
     def _commit(self, operation: str, df: DataFrame, when: When, keep) -> int:
         """Data first, log row last. ``keep`` maps the live folders of the parent
         to those that stay live beside the new one."""
-        state = self._state()
+        head = self._head()
+        state = head["state"]
         columns = json.loads(state["columns"])
-        snapshot_id = self._log().agg(F.max("snapshot_id")).first()[0] + 1
+        snapshot_id = head["last_snapshot"] + 1
         rows, folder = self._write(df, snapshot_id, columns)
-        expired = self._expired_ids()
-        ancestry = [i for i in state["ancestry"] if i not in expired]
+        ancestry = [i for i in state["ancestry"] if i not in head["expired"]]
         self._add_entry(operation, when, snapshot_id=snapshot_id, parent_id=state["snapshot_id"],
                         added_rows=rows, ancestry=[*ancestry, snapshot_id],
                         live=[*keep(json.loads(state["live"])), *([folder] if rows else [])],
-                        columns=columns)
+                        columns=columns, entry_id=head["last_entry"] + 1)
         return snapshot_id
 
     def append(self, df: DataFrame, when: When = None) -> int:
