@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwell.schemas import TABLE_PARTITIONS
-from tickwell.session import file_system, path_exists, setting
+from tickwell.session import file_system, folders_in_parallel, path_exists, setting
 
 When = str | datetime | None
 
@@ -203,7 +203,8 @@ class VersionedTable:
                   .write.mode("overwrite").option("partitionOverwriteMode", "static"))
         if partitions:
             writer = writer.partitionBy(*partitions)
-        writer.parquet(f"{self._data}/snapshot_id={snapshot_id}")
+        with folders_in_parallel(self.spark):
+            writer.parquet(f"{self._data}/snapshot_id={snapshot_id}")
         seen = written.get
         # Without a date in every row the folder is never skipped by date.
         dates = [seen["first"], seen["last"]] if 0 < seen["rows"] == seen["dated"] else None

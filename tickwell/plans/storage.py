@@ -178,7 +178,7 @@ def pruned_symbol_7d(spark, sf_dir):
     """Reads a table partitioned by symbol and date; both conditions prune folders."""
     path = fresh_dir(spark, "daily-table")
     rows = X.daily_core(spark, sf_dir)
-    rows.hint("rebalance", "symbol", "date").write.partitionBy("symbol", "date").parquet(path)
+    S.write_days(rows, path, ("symbol", "date"))
     stored = spark.read.schema(rows.schema).parquet(path)
     return plain(A.symbol_days(stored, SYMBOL, X.last_day(spark, sf_dir)), "avg_price")
 

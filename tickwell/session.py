@@ -61,6 +61,13 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
+def folders_in_parallel(spark: SparkSession):
+    """For writes into partition folders after a ``rebalance``: small folders, too, are
+    spread over tasks. A file costs far more than its few bytes, and since the rows of
+    a folder are in one shuffle partition, merging those would not save files."""
+    return setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+
+
 def file_system(spark: SparkSession, path: str):
     """Hadoop file system and path object of a URI, for existence checks and deletion."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

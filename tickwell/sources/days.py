@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickwell.schemas import DAY_PARTITIONS
-from tickwell.session import path_exists
+from tickwell.session import folders_in_parallel, path_exists
 
 # Above this many days the folder names are not spelled out one by one.
 _MAX_NAMED_DAYS = 400
@@ -65,14 +65,16 @@ def write_days(df: DataFrame, root: str, partitions=DAY_PARTITIONS, mode: str =
     Rebalancing gathers the rows of a folder into few files of even size and lets
     AQE split a folder that holds far more rows than the others over many tasks.
     """
-    (df.hint("rebalance", *partitions).write.mode(mode)
-     .partitionBy(*partitions).parquet(root))
+    with folders_in_parallel(df.sparkSession):
+        (df.hint("rebalance", *partitions).write.mode(mode)
+         .partitionBy(*partitions).parquet(root))
 
 
 def overwrite_days(df: DataFrame, root: str, partitions=DAY_PARTITIONS) -> None:
     """Replace exactly the partitions present in ``df``; a re-run changes nothing."""
-    (df.hint("rebalance", *partitions).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(root))
+    with folders_in_parallel(df.sparkSession):
+        (df.hint("rebalance", *partitions).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(root))
 
 
 def partition_inventory(spark: SparkSession, root: str, schema: StructType,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tickwell.schemas import DAILY_TABLE, PRICES_TABLE, TABLE_PARTITIONS, VOLUMES_TABLE
+from tickwell.session import folders_in_parallel
 
 TABLES = {
     "stock_prices": PRICES_TABLE,
@@ -34,7 +35,8 @@ def create_all_tables(spark: SparkSession, database: str, warehouse: str) -> lis
 def append_to_table(df: DataFrame, name: str, partitions=TABLE_PARTITIONS) -> None:
     """Append by column name; partition columns may stand anywhere in ``df``."""
     target = df.sparkSession.table(name).columns
-    df.select(*target).hint("rebalance", *partitions).write.insertInto(name)
+    with folders_in_parallel(df.sparkSession):
+        df.select(*target).hint("rebalance", *partitions).write.insertInto(name)
 
 
 def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
