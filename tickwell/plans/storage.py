@@ -17,8 +17,7 @@ from tickwell.plans.analytics import DAILY_OUT, DAILY_ROUNDED, SYMBOL
 from tickwell.plans.frames import (DAILY, DAILY_CORE, ISO, LAST_DAY, QUOTES, STORED_DAILY, STORED_PRICES,
                                    STORED_VOLUMES, TICKS, plain, with_ctes)
 from tickwell.plans.registry import query
-from tickwell.schemas import (DAILY_TABLE, PRICE_MESSAGE, PRICES_TABLE, RAW_PRICES, RAW_VOLUMES,
-                              VOLUME_MESSAGE, VOLUMES_TABLE)
+from tickwell.schemas import DAILY_TABLE, PRICE_MESSAGE, PRICES_TABLE, RAW_PRICES, RAW_VOLUMES, VOLUMES_TABLE
 from tickwell.session import fresh_dir
 from tickwell.sources import days as S
 from tickwell.sources import tables as C
