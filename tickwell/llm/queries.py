@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import exact_dedup, packing, token_counts
+from tickwell.llm import exact_dedup, packing, token_counts, toxicity
 from tickwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), VOCABULARY)
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.held_out())
+    scored = docs.select("doc_id", toxicity.held_out().alias("held_out"), toxicity.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
