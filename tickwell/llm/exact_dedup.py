@@ -135,10 +135,11 @@ def _screened(batch: DataFrame, snap: Snapshot) -> DataFrame:
 
 
 def _texts(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """One text for each digest of ``groups``: that of the row that stays."""
+    """One text for each digest of ``groups``: that of the row that stays. The join shuffles
+    at every size: how many texts have copies grows with the input, so a broadcast would not hold."""
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").alias("row_id"), text.alias("text"))
-    wanted = groups.select("digest", "keep_id")
+    wanted = groups.select("digest", "keep_id").hint("merge")
     return rows.join(wanted, F.col("row_id").eqNullSafe(F.col("keep_id"))).where(
         F.sha2("text", 256) == F.col("digest")).dropDuplicates(["digest"]).select("digest", "text")
 
@@ -152,7 +153,7 @@ def matched(batch_docs: DataFrame, batch: DataFrame, snap: Snapshot) -> DataFram
     found = staged(found.join(batch.select("digest", "keep_id"), "digest"), "exact-positives")
     new = _texts(batch_docs, found)
     old = _texts(snap.docs, found.select("digest", F.col("old_id").alias("keep_id"))).withColumnRenamed("text", "old_text")
-    same = new.join(old, "digest").where(F.col("text") == F.col("old_text")).select("digest")
+    same = new.join(old.hint("merge"), "digest").where(F.col("text") == F.col("old_text")).select("digest")
     return found.select("digest", "old_id", "old_size").join(same, "digest", "left_semi")
 
 
