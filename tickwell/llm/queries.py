@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import exact_dedup, packing, token_counts, toxicity
+from tickwell.llm import exact_dedup, minhash, packing, token_counts, toxicity
 from tickwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.held_out())
     scored = docs.select("doc_id", toxicity.held_out().alias("held_out"), toxicity.score(docs, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query()
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("set_key")
