@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import exact_dedup, minhash, packing, token_counts, toxicity
+from tickwell.llm import exact_dedup, minhash, packing, quantised, token_counts, toxicity
 from tickwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("set_key")
+
+
+@query()
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.near_duplicates(table(spark, sf_dir, "embeddings"))
