@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickwell.session import staged
 
-__all__ = ["groups_for", "table", "staged", "text_or_empty", "width"]
+__all__ = ["groups_for", "rows_of", "table", "staged", "text_or_empty", "width"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,3 +28,13 @@ def text_or_empty(name: str = "text") -> Column:
 def groups_for(items: int, per_group: int) -> int:
     """How many hash groups keep each near ``per_group`` items, however many items there are."""
     return max(1, math.ceil(items / per_group))
+
+
+def rows_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all columns, that ``wanted`` names by doc_id and text_key
+    (xxhash64 of the text); of rows that repeat both, one. The join shuffles at every size:
+    how many rows are wanted grows with the input."""
+    names = wanted.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__wanted")).distinct().hint("merge")
+    keyed = docs.withColumn("__key", F.xxhash64(text_or_empty()))
+    found = keyed.join(names, (F.col("__key") == F.col("__wanted")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return found.dropDuplicates(["__key", "doc_id"]).drop("__key")

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.llm.common import groups_for, staged, text_or_empty
+from tickwell.llm.common import groups_for, rows_of, staged, text_or_empty
 
 #: Distinct digests of a bucket, about; a filter then has some 80 kB.
 PER_BUCKET = 65_536
@@ -158,7 +158,7 @@ def matched(batch_docs: DataFrame, batch: DataFrame, snap: Snapshot) -> DataFram
 
 
 def exact_dedup(docs: DataFrame, batch_of=None) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for each row.
+    """doc_id, keep_id, group_size, kept, text_sha256, text_key for each row.
 
     ``batch_of``: a boolean column over ``docs``, true for rows of the new batch; by default
     the upper half of the ids. The rest is the snapshot that the batch is held against.
@@ -167,6 +167,7 @@ def exact_dedup(docs: DataFrame, batch_of=None) -> DataFrame:
         middle = docs.select(F.percentile_approx("doc_id", 0.5)).first()[0]
         batch_of = F.coalesce(F.col("doc_id") > F.lit(middle), F.lit(True))
     rows = staged(docs.select("doc_id", F.sha2(text_or_empty(), 256).alias("digest"),
+                              F.xxhash64(text_or_empty()).alias("text_key"),
                               F.octet_length(text_or_empty()).cast("long").alias("n_bytes"), batch_of.alias("new")),
                   "exact-digests")
     snap = snapshot(docs.where(~batch_of), rows.where(~F.col("new")))
@@ -189,4 +190,9 @@ def exact_dedup(docs: DataFrame, batch_of=None) -> DataFrame:
     return numbered.join(outcome, ["digest", "new"]).select(
         "doc_id", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-        F.col("digest").alias("text_sha256"))
+        F.col("digest").alias("text_sha256"), "text_key")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns, one row for each text: that with the largest id."""
+    return rows_of(docs, exact_dedup(docs).where("kept"))

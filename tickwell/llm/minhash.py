@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.llm.bpe import Cache
-from tickwell.llm.common import staged, text_or_empty
+from tickwell.llm.common import rows_of, staged, text_or_empty
 from tickwell.llm.graph import components
 
 SHINGLE, SIMILAR, COORDINATES = 5, 75, 64
@@ -178,7 +178,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR,
                     coordinates: int = COORDINATES) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, and ``set_key`` (equal for equal sets)."""
+    """doc_id, n_shingles, component_id, kept, and text_key and group (equal in a component)."""
     matches = least_matches(coordinates, similar)
     rows = staged(_sketched(docs, size, coordinates), "near-sketches")
     classes = rows.where("n_shingles > 0").groupBy("set_key").agg(
@@ -208,9 +208,18 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR
 
     of_class = classes.select("set_key", "cid").join(found.withColumnRenamed("node", "cid"), "cid", "left").select(
         "set_key", F.coalesce("component", "cid").alias("component"))
-    placed_rows = rows.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
+    placed_rows = rows.select("doc_id", "text_key", "n_shingles", "set_key").join(of_class, "set_key", "left")
     smallest = placed_rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     named = placed_rows.join(smallest, "component", "left").withColumn(
         "component_id", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("smallest")))
     return named.select("doc_id", "n_shingles", "component_id",
-                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "set_key")
+                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key",
+                        F.col("component").alias("group"))
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
+    """``docs`` with all columns, one row for each component: that with the smallest id, and of
+    texts that share it one. Rows without words stay; of rows equal in id and text, one."""
+    found = near_duplicates(docs, size, similar).where("kept")
+    chosen = found.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
+    return rows_of(docs, chosen.select("one.*").unionByName(found.where("group is null").select("doc_id", "text_key")))

@@ -32,7 +32,7 @@ def query(sql: str | None = None):
     FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """)
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 @query()
@@ -57,7 +57,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("set_key")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "group")
 
 
 @query()
