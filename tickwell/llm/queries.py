@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import exact_dedup, minhash, packing, pages, quantised, repeats, token_counts, toxicity
+from tickwell.llm import exact_dedup, minhash, packing, pages, quality, quantised, repeats, token_counts, toxicity
 from tickwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"))
