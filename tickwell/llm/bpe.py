@@ -28,14 +28,14 @@ class Cache(dict):
     """Results by piece. When full, it becomes the old generation; what is asked for again
     comes back from there, the rest goes with the next change of generations."""
 
-    def __init__(self, make):
-        self.make, self.old = make, {}
+    def __init__(self, make, size: int = CACHED_PIECES):
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, piece):
         found = self.old.get(piece)
         if found is None:
             found = self.make(piece)
-        if len(self) >= CACHED_PIECES:
+        if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[piece] = found

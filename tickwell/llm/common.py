@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.session import staged
+from tickwell.session import setting
+from tickwell.session import staged as written
 
 __all__ = ["groups_for", "rows_of", "table", "staged", "text_or_empty", "width"]
 
@@ -16,6 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Written to the shared folder once and read back. Python workers get small Arrow batches
+    meanwhile, which bounds what a batch of long texts takes in each of them."""
+    with setting(df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), setting(
+            df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", "16m"):
+        return written(df, label)
+
+
 def width(spark: SparkSession) -> int:
     """The shuffle width the cluster is set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

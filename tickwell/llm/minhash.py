@@ -48,7 +48,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 @lru_cache(1)
 def _word_hashes() -> Cache:
-    return Cache(xxhash.xxh3_64_intdigest)
+    return Cache(xxhash.xxh3_64_intdigest, 100_000)
 
 
 def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -134,13 +134,8 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
     a = classes.select(F.col("cid").alias("a"), F.col("signature").alias("sa"))
     b = classes.select(F.col("cid").alias("b"), F.col("signature").alias("sb"))
 
-    @F.pandas_udf("int")
-    def agreeing(left: pd.Series, right: pd.Series) -> pd.Series:
-        if left.empty:
-            return pd.Series([], dtype="int32")
-        return pd.Series((np.stack(left.to_numpy()) == np.stack(right.to_numpy())).sum(1), dtype="int32")
-
-    return pairs.join(b, "b").join(a, "a").where(agreeing("sa", "sb") >= matches).select("a", "b")
+    agreeing = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
+    return pairs.join(b, "b").join(a, "a").where(agreeing >= matches).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, similar: int) -> DataFrame:
