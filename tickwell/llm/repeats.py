@@ -187,10 +187,15 @@ def spans(docs: DataFrame, length: int = LENGTH, minimizer: int = MINIMIZER) ->
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for text, key, first, at, size, low in zip(*(batch[c] for c in ("text", "text_key", "first_id", "at", "size", "hash"))):
-                raw = text.encode()
-                yield pd.DataFrame({"hash": low, "text_key": key, "first_id": first, "at": at, "size": size,
-                                    "piece": [raw[a:a + n] for a, n in zip(at.tolist(), size.tolist())]})
+            if batch.empty:
+                continue
+            each = batch["at"].map(len).to_numpy()
+            at, size, low = (np.concatenate(batch[c].to_list()) for c in ("at", "size", "hash"))
+            raws = [t.encode() for t in batch["text"]]
+            found = [raws[k][a:a + n] for k, a, n in zip(np.repeat(np.arange(len(raws)), each).tolist(), at.tolist(), size.tolist())]
+            yield pd.DataFrame({"hash": low, "text_key": np.repeat(batch["text_key"].to_numpy(), each),
+                                "first_id": np.repeat(batch["first_id"].to_numpy(), each), "at": at, "size": size,
+                                "piece": pd.Series(found, dtype=object)})
 
     schema = "hash long, text_key long, first_id long, at int, size int, piece binary"
     joined = lists.hint("merge").join(texts.select(F.col("text_key").alias("key"), "id", "text"),
