@@ -24,17 +24,6 @@ def _day_column(df: DataFrame, day: str | date | None) -> Column:
     return F.lit(day).cast("date")
 
 
-def _measures(names: tuple[str, ...]) -> list[Column]:
-    """Measures by name: ``avg_price`` is the average of ``price``, and so on."""
-    functions = {"avg": F.avg, "max": F.max, "min": F.min, "total": F.sum}
-    out = []
-    for name in names:
-        function, _, column = name.partition("_")
-        measure = F.count("*") if name == "record_count" else functions[function](column)
-        out.append(measure.alias(name))
-    return out
-
-
 # Output columns of the aggregates, in order.
 PRICE_MEASURES = ("avg_price", "max_price", "min_price", "max_high", "min_low", "total_volume", "record_count")
 VOLUME_MEASURES = ("total_volume", "avg_volume", "max_volume", "avg_price", "record_count")
@@ -45,6 +34,24 @@ DAILY_VOLUME_MEASURES = ("total_volume", "avg_volume", "max_volume", "min_volume
 CORE_MEASURES = ("avg_price", "max_price", "min_price", "total_volume", "record_count")
 
 
+def _measures(names: tuple[str, ...]) -> list[Column]:
+    measures = {
+        "avg_price": F.avg("price").alias("avg_price"),
+        "max_price": F.max("price").alias("max_price"),
+        "min_price": F.min("price").alias("min_price"),
+        "max_high": F.max("high").alias("max_high"),
+        "min_low": F.min("low").alias("min_low"),
+        "total_volume": F.sum("volume").alias("total_volume"),
+        "avg_volume": F.avg("volume").alias("avg_volume"),
+        "max_volume": F.max("volume").alias("max_volume"),
+        "min_volume": F.min("volume").alias("min_volume"),
+        "avg_price_change": F.avg("price_change").alias("avg_price_change"),
+        "avg_price_change_pct": F.avg("price_change_pct").alias("avg_price_change_pct"),
+        "record_count": F.count("*").alias("record_count"),
+    }
+    return [measures[name] for name in names]
+
+
 def daily_prices(df: DataFrame, day: str | date | None = None,
                  measures: tuple[str, ...] = DAILY_PRICE_MEASURES) -> DataFrame:
     """Daily price aggregate by symbol and date, with the day's price range.

@@ -1,46 +1,116 @@
 """Fixed schemas of messages, raw ticks and tables."""
 
-from pyspark.sql import types as T
+from pyspark.sql.types import (BinaryType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
-_TYPES = {
-    "binary": T.BinaryType(), "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
-    "double": T.DoubleType(), "timestamp": T.TimestampType(), "date": T.DateType(),
-}
+# The columns of messages and tables. Volume is a long: the daily volume of
+# a liquid symbol does not fit an int, and JSON parsing turns an overflowing int into NULL.
+ENVELOPE = StructType([
+    StructField("key", BinaryType()),
+    StructField("value", BinaryType()),
+    StructField("partition", IntegerType()),
+    StructField("offset", LongType()),
+    StructField("timestamp", TimestampType()),
+])
 
+PRICE_MESSAGE = StructType([
+    StructField("symbol", StringType(), False),
+    StructField("timestamp", StringType(), False),
+    StructField("price", DoubleType(), False),
+    StructField("open", DoubleType()),
+    StructField("high", DoubleType()),
+    StructField("low", DoubleType()),
+    StructField("volume", LongType()),
+    StructField("previous_close", DoubleType()),
+    StructField("market_cap", DoubleType()),
+    StructField("currency", StringType()),
+])
 
-def _schema(text: str) -> T.StructType:
-    """``name type`` pairs; an exclamation mark after the type means required."""
-    fields = []
-    for column in text.split(","):
-        name, kind = column.split()
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
+VOLUME_MESSAGE = StructType([
+    StructField("symbol", StringType(), False),
+    StructField("timestamp", StringType(), False),
+    StructField("volume", LongType(), False),
+    StructField("price", DoubleType()),
+])
 
+PRICES_TABLE = StructType([
+    StructField("symbol", StringType(), False),
+    StructField("timestamp", TimestampType(), False),
+    StructField("date", DateType(), False),
+    StructField("price", DoubleType(), False),
+    StructField("open", DoubleType()),
+    StructField("high", DoubleType()),
+    StructField("low", DoubleType()),
+    StructField("volume", LongType()),
+    StructField("previous_close", DoubleType()),
+    StructField("price_change", DoubleType()),
+    StructField("price_change_pct", DoubleType()),
+    StructField("market_cap", DoubleType()),
+    StructField("currency", StringType()),
+])
 
-# The columns of messages and tables. Volume is a long: the daily volume of
-# a liquid symbol does not fit an int, and JSON parsing turns an overflowing int into NULL.
-ENVELOPE = _schema("key binary, value binary, partition int, offset bigint, timestamp timestamp")
-PRICE_MESSAGE = _schema("""symbol string!, timestamp string!, price double!, open double, high double, low double,
-    volume bigint, previous_close double, market_cap double, currency string""")
-VOLUME_MESSAGE = _schema("symbol string!, timestamp string!, volume bigint!, price double")
-PRICES_TABLE = _schema("""symbol string!, timestamp timestamp!, date date!, price double!, open double, high double,
-    low double, volume bigint, previous_close double, price_change double, price_change_pct double,
-    market_cap double, currency string""")
-VOLUMES_TABLE = _schema("symbol string!, timestamp timestamp!, date date!, volume bigint!, price double")
-DAILY_TABLE = _schema("""symbol string!, date date!, avg_price double, max_price double, min_price double,
-    max_high double, min_low double, total_volume bigint, record_count bigint, avg_price_change double,
-    avg_price_change_pct double, price_range double, price_range_pct double""")
-DAILY_VOLUMES = _schema("""symbol string!, date date!, total_volume bigint, avg_volume double, max_volume bigint,
-    min_volume bigint, avg_price double, record_count bigint""")
-
-_LINEAGE = _schema("kafka_key string, kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp").fields
-_TIMES = _schema("processing_timestamp timestamp, event_timestamp timestamp").fields
-_CHANGES = _schema("price_change double, price_change_pct double").fields
-_DATE_PARTS = _schema("year int, month int, day int, hour int").fields
+VOLUMES_TABLE = StructType([
+    StructField("symbol", StringType(), False),
+    StructField("timestamp", TimestampType(), False),
+    StructField("date", DateType(), False),
+    StructField("volume", LongType(), False),
+    StructField("price", DoubleType()),
+])
+
+DAILY_TABLE = StructType([
+    StructField("symbol", StringType(), False),
+    StructField("date", DateType(), False),
+    StructField("avg_price", DoubleType()),
+    StructField("max_price", DoubleType()),
+    StructField("min_price", DoubleType()),
+    StructField("max_high", DoubleType()),
+    StructField("min_low", DoubleType()),
+    StructField("total_volume", LongType()),
+    StructField("record_count", LongType()),
+    StructField("avg_price_change", DoubleType()),
+    StructField("avg_price_change_pct", DoubleType()),
+    StructField("price_range", DoubleType()),
+    StructField("price_range_pct", DoubleType()),
+])
+
+DAILY_VOLUMES = StructType([
+    StructField("symbol", StringType(), False),
+    StructField("date", DateType(), False),
+    StructField("total_volume", LongType()),
+    StructField("avg_volume", DoubleType()),
+    StructField("max_volume", LongType()),
+    StructField("min_volume", LongType()),
+    StructField("avg_price", DoubleType()),
+    StructField("record_count", LongType()),
+])
+
+_LINEAGE = [
+    StructField("kafka_key", StringType()),
+    StructField("kafka_partition", IntegerType()),
+    StructField("kafka_offset", LongType()),
+    StructField("kafka_timestamp", TimestampType()),
+]
+_TIMES = [
+    StructField("processing_timestamp", TimestampType()),
+    StructField("event_timestamp", TimestampType()),
+]
+_CHANGES = [
+    StructField("price_change", DoubleType()),
+    StructField("price_change_pct", DoubleType()),
+]
+_DATE_PARTS = [
+    StructField("year", IntegerType()),
+    StructField("month", IntegerType()),
+    StructField("day", IntegerType()),
+    StructField("hour", IntegerType()),
+]
 
 # What the raw streams write.
-RAW_PRICES = T.StructType(_LINEAGE + PRICE_MESSAGE.fields + _TIMES + _CHANGES + _DATE_PARTS)
-RAW_VOLUMES = T.StructType(_LINEAGE + VOLUME_MESSAGE.fields + _TIMES + _DATE_PARTS)
+RAW_PRICES = StructType(_LINEAGE + PRICE_MESSAGE.fields + _TIMES + _CHANGES + _DATE_PARTS)
+RAW_VOLUMES = StructType(_LINEAGE + VOLUME_MESSAGE.fields + _TIMES + _DATE_PARTS)
+# Messages that cannot become ticks, by the day they were processed.
+REJECTS = StructType(_LINEAGE + VOLUME_MESSAGE.fields + _TIMES + [
+    StructField("reason", StringType())] + _DATE_PARTS[:3])
 
 RAW_PARTITIONS = ("year", "month", "day", "hour", "symbol")
 DAY_PARTITIONS = ("year", "month", "day")
