@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tickwell import jobs
+from tickwell.operators import migration
 from tickwell.operators.migration import with_day_parts
 from tickwell.plans import frames as X
 from tickwell.schemas import DAILY_VOLUMES
@@ -32,20 +33,25 @@ def test_from_topic_to_table(spark, folder, capsys):
     assert volumes.agg(F.sum("record_count")).first()[0] == n
     assert run("create-tables") == 0
     for _ in range(2):
-        assert run("migrate", "--type", "all", "--start-date", day) == 0
-    tables = jobs.open_tables(spark, root)
-    assert tables["stock_prices"].read().count() == n
-    assert tables["stock_volumes"].read().count() == n
-    assert tables["daily_aggregates"].read().agg(F.sum("record_count")).first()[0] == n
-    assert run("time-travel", "--table", "stock_prices", "--operation", "compare", "--snapshot-id", "1",
-               "--snapshot-id-2", "2") == 0
-    assert run("time-travel", "--table", "stock_prices", "--operation", "list-snapshots") == 0
-    assert run("time-travel", "--table", "stock_prices", "--operation", "rollback", "--snapshot-id", "1") == 0
-    assert tables["stock_prices"].history().first().operation == "rollback"
+        assert run("migrate", "--type", "all", "--start-date", day, "--record") == 0
+    tables = {kind: migration.read_table(spark, kind, jobs.table_path(root, kind)) for kind in jobs.KINDS}
+    assert tables["prices"].count() == n
+    assert tables["volumes"].count() == n
+    assert tables["daily"].agg(F.sum("record_count")).first()[0] == n
+    travel = ("time-travel", "--table", "stock_prices", "--operation")
+    assert run(*travel, "commits", "--output", f"{folder}/commits") == 0
+    times = sorted(r.committed_at for r in spark.read.parquet(f"{folder}/commits").collect())
+    assert len(times) == 2
+    assert run(*travel, "compare", "--timestamp", str(times[0]), "--timestamp-2", str(times[1])) == 0
+    assert run(*travel, "as-of", "--timestamp", str(times[0]), "--output", f"{folder}/as-of") == 0
+    assert spark.read.parquet(f"{folder}/as-of").count() == n
+    assert run(*travel, "symbol", "--symbol", "view", "--rows", "5") == 0
     assert run("sql", "--query", "SELECT symbol, sum(total_volume) AS v FROM daily_aggregates "
                f"WHERE date >= DATE '{day}' - INTERVAL '7' DAY GROUP BY symbol ORDER BY v DESC LIMIT 5") == 0
-    assert run("optimize") == 0
-    assert "failed" not in capsys.readouterr().out
+    assert run("optimize", "--date", day, "--retention-days", "0") == 0
+    assert migration.read_table(spark, "prices", jobs.table_path(root, "prices")).count() == n
+    assert run(*travel, "commits", "--output", f"{folder}/commits") == 0
+    assert spark.read.parquet(f"{folder}/commits").count() == 1
     assert run("inventory") == 0
     assert "prices_daily" in capsys.readouterr().out
     assert run("consume", "--source", f"{folder}/prices", "--backing", "files", "--symbol", "view") == 0

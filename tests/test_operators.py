@@ -9,6 +9,7 @@ from tickwell.operators import analytics as A
 from tickwell.operators import daily as D
 from tickwell.operators import monitoring as M
 from tickwell.operators.lookup import lookup_join
+from tickwell.session import setting
 from tickwell.operators.running import running_total
 
 TICK = "tick_id bigint, symbol string, event_timestamp timestamp_ntz, price double, high double, low double, volume bigint"
@@ -116,18 +117,15 @@ def test_hot_key_spreads_over_slices(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_lookup_join_broadcasts_only_within_bound(spark, capsys):
+def test_lookup_join_broadcasts_by_bytes(spark, capsys):
     fact = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
     lookup = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for bound, strategy in ((10, "BroadcastHashJoin"), (9, "SortMergeJoin")):
-            joined = lookup_join(fact, lookup, ["k"], broadcast_rows=bound)
+    for bound, strategy in (("10m", "BroadcastHashJoin"), ("100", "SortMergeJoin")):
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", bound):
+            joined = lookup_join(fact, lookup, ["k"])
             joined.explain()
             assert strategy in capsys.readouterr().out
             assert joined.filter("w = 2 * k").count() == 1000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 # Alert rules ----------------------------------------------------------------
@@ -179,10 +177,28 @@ def test_lag_carries_over_quiet_windows(spark):
     assert M.high_lag(frame(0, 1, 2, 1500), frame(1600, 1601, 299), threshold=1).first().windows == 5
 
 
-def test_no_events_no_alerts(spark):
+def test_no_events_no_alerts_without_a_range(spark):
     assert M.low_ingestion(ticks(spark).limit(0)).count() == 0
 
 
+def test_outage_until_now_and_from_the_start(spark):
+    def at(minute):
+        return datetime(2024, 1, 1) + timedelta(minutes=minute)
+
+    rows = [("A", at(m) + timedelta(seconds=s), 1.0, 1) for m in range(50) for s in range(0, 60, 5)]
+    assert M.low_ingestion(ticks(spark, *rows)).count() == 0
+    got = M.low_ingestion(ticks(spark, *rows), start="2023-12-31 23:00:00", until="2024-01-01 02:02:00").orderBy("breached_from")
+    assert [(r.breached_from, r.resolved_at) for r in got.collect()] == [(at(-60), at(0)), (at(50), at(120))]
+    nothing = M.low_ingestion(ticks(spark).limit(0), start="2024-01-01 00:00:00", until="2024-01-01 01:00:00")
+    assert [(r.breached_from, r.windows) for r in nothing.collect()] == [(at(0), 12)]
+
+
+def test_a_wrong_clock_costs_one_stretch(spark):
+    far = ticks(spark, ("A", datetime(1970, 1, 1), 1.0, 1), ("A", datetime(2024, 1, 1), 1.0, 1))
+    got = M.low_ingestion(far, threshold=0.001).collect()
+    assert len(got) == 1 and got[0].windows > 5_000_000
+
+
 def test_latest_row_breaks_ties_by_id(spark):
     t = datetime(2024, 1, 1)
     df = ticks(spark, ("A", t, 1.0, 1), ("A", t, 2.0, 1), ("B", t, 3.0, 1), ("A", t - timedelta(days=1), 9.0, 1))

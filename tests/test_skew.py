@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwell.operators import cleaning, daily
 from tickwell.operators.lookup import lookup_join
+from tickwell.streaming import pipelines
 from tickwell.session import setting
 from tickwell.sources.days import write_days
 
@@ -40,7 +41,7 @@ def test_shuffle_join_splits_the_hot_key(spark, hot, capsys):
     with (setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"),
           setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m"),
           setting(spark, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "2m")):
-        joined = lookup_join(hot, lookup, ["symbol"], broadcast_rows=0)
+        joined = lookup_join(hot, lookup, ["symbol"])
         checked = joined.agg(F.count("*"), F.count_if(F.col("price") <= F.col("high"))).first()
         assert tuple(checked) == (N, N)
         rows = joined.select("id", "payload", "high")
@@ -65,3 +66,14 @@ def test_tick_delivered_very_often(spark):
         F.lit("x").alias("timestamp"), t.alias("event_timestamp"), F.lit(1.0).alias("price"))
     assert cleaning.clean_ticks(copies).first().kafka_offset == 99_999
     assert cleaning.quarantine(copies).groupBy("reason").count().collect() == [("duplicate", 99_999)]
+
+
+def test_stream_writer_splits_a_hot_folder(spark, hot, folder):
+    """Files of a folder are split by their size, not by a fixed number of tasks."""
+    source = f"{folder}/source"
+    hot.withColumn("day", F.lit(1)).write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m"):
+        pipelines.run_to_end(pipelines.gathered(stream, ("day",)), f"{folder}/out", f"{folder}/checkpoint", ("day",))
+    files = [f for f in os.listdir(f"{folder}/out/day=1") if f.endswith(".parquet")]
+    assert len(files) > 4 and spark.read.parquet(f"{folder}/out").count() == N

@@ -1,14 +1,15 @@
-import json
 import os
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwell import session
-from tickwell.operators import timetravel
-from tickwell.operators.versioned import VersionedTable, _merge_ranges
+from tickwell.functions.ticks import with_date_parts
+from tickwell.operators import history as H
+from tickwell.operators import migration as M
+from tickwell.schemas import RAW_VOLUMES
 from tickwell.sources import days as S
 from tickwell.sources import tables as C
 
@@ -90,7 +91,7 @@ def test_setting_is_restored(spark):
     assert spark.conf.get(key) == before
 
 
-# Versioned tables -------------------------------------------------------------
+# Row versions in plain Parquet --------------------------------------------------
 
 SCHEMA = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("date", T.DateType()),
                        T.StructField("timestamp", T.TimestampType()), T.StructField("price", T.DoubleType())])
@@ -104,151 +105,86 @@ def bag(df):
     return sorted((r.symbol, str(r.date), r.price) for r in df.collect())
 
 
-@pytest.fixture
-def table(spark, folder):
-    return VersionedTable(spark, f"{folder}/t").create(SCHEMA, "2024-01-01 00:00:00")
-
-
 A1, A2, B1 = ("A", "2024-01-01", 1.0), ("A", "2024-01-02", 2.0), ("B", "2024-01-01", 3.0)
+A1_NEW = ("A", "2024-01-01", 1.5)
 
 
-def test_empty_table(spark, table):
-    assert table.read().count() == 0 and table.snapshots().count() == 0
-    table.create(SCHEMA)
-    table.append(rows(spark), "2024-01-02 00:00:00")
-    assert table.read().count() == 0 and table.snapshots().first().added_rows == 0
-
-
-def test_time_travel(spark, table):
-    assert table.append(rows(spark, A1), "2024-01-10 00:00:00") == 1
-    assert table.append(rows(spark, A2, B1), "2024-01-20 00:00:00") == 2
-    assert table.overwrite(rows(spark, B1), "2024-01-30 00:00:00") == 3
-    assert bag(table.read()) == [B1]
-    assert bag(table.read(snapshot_id=1)) == [A1] and bag(table.read(snapshot_id=2)) == sorted([A1, A2, B1])
-    assert bag(table.read(as_of="2024-01-20 00:00:00")) == sorted([A1, A2, B1])
-    assert bag(table.read(as_of="2024-01-19 23:59:59")) == [A1]
-    assert table.read(as_of="2024-01-05 00:00:00").count() == 0
-    with pytest.raises(ValueError):
-        table.read(snapshot_id=9)
-    with pytest.raises(ValueError):
-        table.read(as_of="2023-01-01 00:00:00")
-    assert [(r.snapshot_id, r.operation, r.added_rows, r.is_current) for r in table.snapshots().collect()] == [
-        (3, "overwrite", 1, True), (2, "append", 2, False), (1, "append", 1, False)]
-
-
-def test_rollback_then_append(spark, table):
-    table.append(rows(spark, A1), "2024-01-10 00:00:00")
-    table.append(rows(spark, A2), "2024-01-11 00:00:00")
-    table.rollback(1, "2024-01-12 00:00:00")
-    assert bag(table.read()) == [A1]
-    assert table.append(rows(spark, B1), "2024-01-13 00:00:00") == 3
-    assert bag(table.read()) == sorted([A1, B1])
-    assert bag(table.read(as_of="2024-01-11 12:00:00")) == sorted([A1, A2])
-    history = [(r.snapshot_id, r.operation, r.is_current_ancestor) for r in table.history().collect()]
-    assert history == [(3, "append", True), (1, "rollback", True), (2, "append", False), (1, "append", True)]
-
-
-def test_replacing_dates_is_idempotent(spark, table):
-    table.append(rows(spark, A1, A2, B1))
-    new = rows(spark, ("A", "2024-01-01", 9.0), ("C", "2024-01-05", 5.0))
-    for _ in range(2):
-        table.replace_dates(new, "2024-01-01", "2024-01-01")  # the row outside the range is not taken
-    assert bag(table.read()) == sorted([A2, ("A", "2024-01-01", 9.0)])
-    assert bag(table.read(snapshot_id=1)) == sorted([A1, A2, B1])
-
-
-def test_replaced_dates_are_not_scanned(spark, table):
-    table.append(rows(spark, A1, A2, B1))
-    table.replace_dates(rows(spark, A1), "2024-01-01", "2024-01-01")
-    files = [f for f in table.read()._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in f]
-    assert any("PartitionFilters: [" in f and "date" in f.split("PartitionFilters")[1] for f in files)
-
-
-def test_daily_replacement_needs_no_masks(spark, table):
-    """Folders of other dates are left alone, a folder replaced as a whole goes."""
-    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
-    for _ in range(2):
-        for d in days:
-            table.replace_dates(rows(spark, ("A", d, 1.0)), d, d)
-    live = json.loads(table._state()["live"])
-    assert [(f["id"], f["masks"]) for f in live] == [(4, []), (5, []), (6, [])]
-    assert bag(table.read()) == [("A", d, 1.0) for d in days]
-    part = table.read(start="2024-01-02", end="2024-01-03")
-    assert bag(part) == [("A", d, 1.0) for d in days[1:]]
-    assert all("snapshot_id=4" not in f for f in part.inputFiles())
-    assert bag(table.read(snapshot_id=3)) == [("A", d, 1.0) for d in days]
-
-
-def test_rows_without_a_date_are_never_replaced(spark, table):
-    undated = rows(spark, A1).withColumn("date", F.lit(None).cast("date"))
-    table.append(undated.unionAll(rows(spark, A1)))
-    table.replace_dates(rows(spark, ("A", "2024-01-01", 7.0)), "2024-01-01", "2024-01-01")
-    assert bag(table.read()) == [("A", "2024-01-01", 7.0), ("A", "None", 1.0)]
-
-
-def test_compaction_touches_fragmented_dates_only(spark, table):
-    for i in range(3):
-        table.append(rows(spark, ("A", "2024-01-01", float(i))))
-    table.append(rows(spark, A2))
-    before = bag(table.read())
-    assert table.compact(min_input_files=4) is None
-    assert table.fragmented_dates(1 << 27, 3) == ["2024-01-01"]
-    assert table.compact(min_input_files=3) == 5
-    assert bag(table.read()) == before and table.snapshots().first().added_rows == 3
-    assert table.compact(min_input_files=2) is None
-    assert table.compact(rewrite_all=True) == 6 and bag(table.read()) == before
-
-
-def test_expiry_keeps_what_is_needed(spark, table):
-    table.append(rows(spark, A1), "2024-01-10 00:00:00")
-    table.append(rows(spark, A2), "2024-01-11 00:00:00")
-    table.overwrite(rows(spark, B1), "2024-01-12 00:00:00")
-    table.rollback(2, "2024-01-13 00:00:00")
-    assert table.expire_snapshots("2024-01-12 12:00:00", "2024-01-14 00:00:00") == [1, 3]
-    assert bag(table.read()) == sorted([A1, A2])  # snapshot 2 still needs the folder of snapshot 1
-    data = {n for n in os.listdir(f"{table.path}/data") if n.startswith("snapshot_id")}
-    assert data == {"snapshot_id=1", "snapshot_id=2"}
-    with pytest.raises(ValueError):
-        table.read(snapshot_id=3)
-    assert [r.snapshot_id for r in table.snapshots().collect()] == [2]
-    assert table.append(rows(spark, B1), "2024-01-15 00:00:00") == 4
-
-
-def test_crashed_commit_leaves_an_orphan_only(spark, table):
-    table.append(rows(spark, A1))
-    rows(spark, A2).write.partitionBy("symbol", "date").parquet(f"{table.path}/data/snapshot_id=2")
-    assert bag(table.read()) == [A1]
-    assert table.orphans(datetime.now() - timedelta(hours=24)) == []
-    assert table.orphans(datetime.now() + timedelta(minutes=1)) == [2]
-    assert table.append(rows(spark, B1)) == 2  # the retry takes the id over and clears the folder
-    assert bag(table.read()) == sorted([A1, B1])
-    rows(spark, A2).write.parquet(f"{table.path}/data/snapshot_id=7")
-    assert table.remove_orphans(datetime.now() + timedelta(minutes=1)) == [7]
-    assert not os.path.exists(f"{table.path}/data/snapshot_id=7")
-
-
-def test_schema_changes(spark, table):
-    table.append(rows(spark, A1), "2024-01-10 00:00:00")
-    table.rename_column("price", "last", "2024-01-11 00:00:00")
-    table.add_column("price", "string", "2024-01-12 00:00:00")
-    table.append(rows(spark, A2).withColumnRenamed("price", "last").withColumn("price", F.lit("x")))
-    got = {str(r.date): (r["last"], r.price) for r in table.read().collect()}
-    assert got == {"2024-01-01": (1.0, None), "2024-01-02": (2.0, "x")}
-    assert table.read(snapshot_id=1).columns == SCHEMA.fieldNames()
-    for bad in (lambda: table.add_column("last", "int"), lambda: table.rename_column("none", "x"),
-                lambda: table.widen_column("last", "int")):
-        with pytest.raises(ValueError):
-            bad()
-
-
-def test_copies_do_not_multiply(spark, table):
-    table.append(rows(spark, *[A1] * 50, A2))
-    table.overwrite(rows(spark, *[("A", "2024-01-01", 1.5)] * 40, A2))
-    got = {str(r.timestamp.date()): (r.price_change, r.copies_v1, r.copies_v2)
-           for r in timetravel.compare_snapshots(table, 1, 2).collect()}
-    assert got == {"2024-01-01": (0.5, 50, 40), "2024-01-02": (0.0, 1, 1)}
-
-
-def test_ranges_merge():
-    assert _merge_ranges([["2024-01-05", "2024-01-06"], ["2024-01-01", "2024-01-02"], ["2024-01-03", "2024-01-03"],
-                          ["2024-01-05", "2024-01-05"]]) == [["2024-01-01", "2024-01-03"], ["2024-01-05", "2024-01-06"]]
+@pytest.fixture
+def versions(spark, folder):
+    path = f"{folder}/history"
+    H.record(rows(spark, A1, B1), path, "2024-01-10 00:00:00")
+    H.record(rows(spark, A2), path, "2024-01-20 00:00:00")
+    H.record(rows(spark, A1_NEW), path, "2024-01-30 00:00:00")
+    H.record(rows(spark, B1), path, "2024-02-01 00:00:00", deleted=True)
+    return H.versions(spark, path, SCHEMA)
+
+
+def test_state_as_of_a_time(spark, versions):
+    assert bag(H.as_of(versions)) == sorted([A1_NEW, A2])
+    assert bag(H.as_of(versions, "2024-01-30 00:00:00")) == sorted([A1_NEW, A2, B1])
+    assert bag(H.as_of(versions, "2024-01-29 23:59:59")) == sorted([A1, A2, B1])
+    assert bag(H.as_of(versions, "2024-01-01 00:00:00")) == []
+    assert set(H.as_of(versions).columns) == set(SCHEMA.fieldNames())
+    assert bag(H.symbol_as_of(versions, "A", "2024-01-25 00:00:00", n=1)) == [A2]
+    assert [r.rows for r in H.commits(versions).orderBy("committed_at").collect()] == [2, 1, 1, 1]
+
+
+def test_comparison_pairs_nothing(spark, folder):
+    path = f"{folder}/copies"
+    H.record(rows(spark, *[A1] * 50, A2, B1), path, "2024-01-10 00:00:00")
+    H.record(rows(spark, *[A1_NEW] * 40), path, "2024-01-20 00:00:00")
+    got = H.compare(H.versions(spark, path, SCHEMA), "2024-01-10 00:00:00", "2024-01-20 00:00:00")
+    assert {(r.symbol, str(r.timestamp.date())): (r.price_change, r.copies_v1, r.copies_v2) for r in got.collect()} == {
+        ("A", "2024-01-01"): (0.5, 50, 40), ("A", "2024-01-02"): (0.0, 1, 1), ("B", "2024-01-01"): (0.0, 1, 1)}
+
+
+def test_superseded_versions_go(spark, versions, folder):
+    kept = H.without_superseded(versions, "2024-01-30 00:00:00")
+    assert kept.count() == 4
+    assert bag(H.as_of(kept, "2024-01-30 00:00:00")) == sorted([A1_NEW, A2, B1])
+    H.rewrite(kept, f"{folder}/history")
+    again = H.versions(spark, f"{folder}/history", SCHEMA)
+    assert again.count() == 4 and bag(H.as_of(again)) == sorted([A1_NEW, A2])
+
+
+def test_replacing_days_clears_those_without_rows(spark, folder):
+    first, last = date(2024, 1, 1), date(2024, 1, 3)
+    S.replace_days(rows(spark, A1, A2), folder, first, last, ("date",))
+    S.replace_days(rows(spark, ("C", "2024-01-03", 4.0)), folder, date(2024, 1, 2), last, ("date",))
+    assert bag(spark.read.schema(SCHEMA).parquet(folder)) == [A1, ("C", "2024-01-03", 4.0)]
+    S.replace_days(rows(spark), folder, date(2024, 1, 3), last, ("date",))
+    assert bag(spark.read.schema(SCHEMA).parquet(folder)) == [A1]
+
+
+def test_migration_loses_no_row_across_zones(spark, folder):
+    """Stored by a session in UTC, moved by one in New York: the folder says the day."""
+    times = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600)
+    raw = spark.range(24).select("id", F.lit("A").alias("symbol"), times.alias("event_timestamp"), F.lit(1.0).alias("price"),
+                                 F.lit(1).cast("bigint").alias("volume"))
+    stored = with_date_parts(raw)
+    full = stored.select(*[F.col(f.name) if f.name in stored.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in RAW_VOLUMES.fields])
+    S.write_days(full, f"{folder}/raw")
+    with session.setting(spark, "spark.sql.session.timeZone", "America/New_York"):
+        M.migrate(spark, "volumes", f"{folder}/raw", f"{folder}/table", "2024-01-01")
+        moved = M.read_table(spark, "volumes", f"{folder}/table")
+        assert moved.count() == 24 and {str(r.date) for r in moved.select("date").distinct().collect()} == {"2024-01-01"}
+        M.backfill(spark, "volumes", f"{folder}/raw", f"{folder}/daily", "2024-01-01")
+    daily = spark.read.parquet(f"{folder}/daily").collect()
+    assert [(str(r.date), r.record_count) for r in daily] == [("2024-01-01", 24)]
+
+
+def test_rows_outside_the_range_fail_the_job(spark):
+    with pytest.raises(Exception, match="row outside of"):
+        M._within(rows(spark, A1, A2), date(2024, 1, 1), date(2024, 1, 1)).collect()
+
+
+def test_intermediate_folders_go(spark):
+    session.release(spark)
+    root = f"{session.shared_dir(spark)}/tickwell"
+    from __spark_entry__ import queries
+    assert queries()["cumulative_volume"](spark, "/root/testdata/sf0.001").count() > 0
+    assert queries()["migrate_volumes"](spark, "/root/testdata/sf0.001").count() > 0
+    assert os.listdir(root)
+    assert session.release(spark) > 0
+    assert not os.listdir(root)

@@ -52,6 +52,12 @@ def valid_ticks(df: DataFrame) -> DataFrame:
     return df.filter(is_valid_tick())
 
 
+def dated_ticks(df: DataFrame) -> DataFrame:
+    """Ticks whose time could be read. The others would be stored under no day, where no day
+    read finds them; they go to the rejects."""
+    return df.filter(F.col("event_timestamp").isNotNull())
+
+
 def with_price_change(df: DataFrame) -> DataFrame:
     """Absolute and percent change; NULL where the previous close is missing or zero."""
     change = F.col("price") - F.col("previous_close")
@@ -99,6 +105,7 @@ def price_pipeline(messages: DataFrame, schema: StructType) -> DataFrame:
             .transform(with_processing_time)
             .transform(with_event_time)
             .transform(valid_ticks)
+            .transform(dated_ticks)
             .transform(with_price_change)
             .transform(with_date_parts))
 
@@ -109,4 +116,5 @@ def volume_pipeline(messages: DataFrame, schema: StructType) -> DataFrame:
             .transform(with_processing_time)
             .transform(with_event_time)
             .transform(valid_ticks)
+            .transform(dated_ticks)
             .transform(with_date_parts))

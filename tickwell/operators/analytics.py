@@ -31,11 +31,13 @@ def trailing(df: DataFrame, days: int, as_of: Day = None) -> DataFrame:
 
 def latest_prices(prices: DataFrame, as_of: Day = None, n: int = 100, symbol: str | None = None,
                   order: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """The day's newest ticks, optionally of one symbol, newest first."""
+    """The day's newest ticks, optionally of one symbol, newest first. Of equal times, the other
+    columns decide, in order, so the rows at the limit are determined."""
     rows = on_day(prices, as_of)
     if symbol is not None:
         rows = rows.filter(F.col("symbol") == symbol)
-    return rows.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+    rest = [c for c in rows.columns if c not in order]
+    return rows.orderBy(*[F.col(c).desc() for c in order], *rest).limit(n)
 
 
 def intraday_summary(prices: DataFrame, as_of: Day = None) -> DataFrame:

@@ -3,26 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tickwell.session import cut
+from tickwell.session import staged
 
-# Rows of a few numbers and a short key: some 20 MB when broadcast.
-BROADCAST_ROWS = 200_000
 
+def settled(lookup: DataFrame) -> DataFrame:
+    """Computes a lookup table once, as Parquet in the shared folder.
 
-def settled(lookup: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Computes a lookup table once, counts it, and marks it for broadcast if it is
-    within the bound. Beyond it the table joins by shuffle, where AQE splits hot keys.
-
-    The planner can only guess the size of an aggregate, and would shuffle the large
-    side to be safe.
+    The planner can only guess the size of an aggregate. Of written files it knows the
+    bytes, and broadcasts the table if they are within spark.sql.autoBroadcastJoinThreshold;
+    beyond it the table joins by shuffle, where AQE splits hot keys.
     """
-    fixed = cut(lookup)
-    return F.broadcast(fixed) if fixed.count() <= broadcast_rows else fixed
+    return staged(lookup, "lookup")
 
 
-def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Joins ``fact`` with an aggregate of it, or any frame of unique keys."""
-    return fact.join(settled(lookup, broadcast_rows), on, how)
+    return fact.join(settled(lookup), on, how)

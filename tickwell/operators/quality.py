@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickwell.schemas import REJECTS
 from tickwell.sources.days import as_day, read_days
 
 # Shares in percent that are already too high.
@@ -149,13 +150,30 @@ def schema_report(df: DataFrame, expected: StructType) -> DataFrame:
     return df.agg(F.count("*").alias("_n"), *counters).select(F.explode(F.array(*rows)).alias("c")).select("c.*")
 
 
+def reject_report(stored: DataFrame, rejects: DataFrame, data_type: str, day: date) -> DataFrame:
+    """How many messages of a day became no tick, as a share of all its messages."""
+    counts = stored.agg(F.count("*").alias("stored")).withColumn("k", F.lit(1)).join(
+        rejects.agg(F.count("*").alias("rejects")).withColumn("k", F.lit(1)), "k")
+    counter = F.col("rejects")
+    share = F.coalesce(F.try_divide(counter, F.col("stored") + counter) * 100, F.lit(0.0))
+    row = _check("rejected_messages", counter, share < NULL_LIMIT_PCT,
+                 _percent_text("%d rejected messages (%.2f%%)", counter, share), "Too many rejected messages", share)
+    return counts.select(row.alias("check")).select(
+        F.lit(data_type).alias("data_type"), F.lit(day).alias("date"), "check.*")
+
+
 def day_report(spark: SparkSession, root: str, schema: StructType, data_type: str,
-               day: str | date | None = None) -> DataFrame:
-    """Checks one stored day. Data that cannot be read is a failed report."""
-    wanted = as_day(day)
+               day: str | date | None = None, rejects: str | None = None) -> DataFrame:
+    """Checks one stored day, and with the ``rejects`` dataset what did not get stored. Data
+    that cannot be read is a failed report."""
+    wanted = as_day(day, spark)
     check = price_report if data_type == "prices" else volume_report
     try:
-        return _run_now(check(read_days(spark, root, schema, wanted), wanted))
+        stored = read_days(spark, root, schema, wanted)
+        report = check(stored, wanted)
+        if rejects is not None:
+            report = report.unionByName(reject_report(stored, read_days(spark, rejects, REJECTS, wanted), data_type, wanted))
+        return _run_now(report)
     except (PySparkException, Py4JJavaError) as error:
         text = error.java_exception.getMessage() if isinstance(error, Py4JJavaError) else str(error)
         row = (data_type, wanted, "readable", None, None, False, None, text.splitlines()[0])

@@ -7,33 +7,18 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.operators.versioned import VersionedTable, When
+from tickwell.operators.history import Moment, as_of
 
 
-def compare_snapshots(table: VersionedTable, first: int, second: int,
-                      keys: tuple[str, ...] = ("symbol", "timestamp"),
-                      value: str = "price") -> DataFrame:
-    """Values of two snapshots side by side, matched on ``keys``.
+def current_vs_historical(rows: DataFrame, moment: Moment, day: str | date,
+                          keys: tuple[str, ...] = ("symbol", "date")) -> DataFrame:
+    """A day's average prices now and as the table stood at ``moment``. ``rows`` carry their
+    commit times; the day is a filter on files."""
+    of_day = rows.filter(F.col("date") == F.lit(day).cast("date"))
 
-    Exact copies within a snapshot are counted, not multiplied: a tick stored a
-    thousand times on both sides gives one row, not a million.
-    """
-    def side(snapshot: int, suffix: str) -> DataFrame:
-        return (table.read(snapshot_id=snapshot)
-                .groupBy(*keys, F.col(value).alias(f"{value}_{suffix}"))
-                .agg(F.count("*").alias(f"copies_{suffix}")))
+    def at(when: Moment, name: str) -> DataFrame:
+        return as_of(of_day, when, keys).select("symbol", "date", F.col("avg_price").alias(name))
 
-    return (side(first, "v1").join(side(second, "v2"), list(keys))
-            .withColumn(f"{value}_change", F.col(f"{value}_v2") - F.col(f"{value}_v1")))
-
-
-def current_vs_historical(table: VersionedTable, as_of: When, day: str | date) -> DataFrame:
-    """A day's average prices now and as the table stood at ``as_of``."""
-    def at(df: DataFrame, name: str) -> DataFrame:
-        return (df.filter(F.col("date") == F.lit(day).cast("date"))
-                .select("symbol", "date", F.col("avg_price").alias(name)))
-
-    return (at(table.read(), "current_price")
-            .join(at(table.read(as_of=as_of), "historical_price"), ["symbol", "date"])
+    return (at(None, "current_price").join(at(moment, "historical_price"), ["symbol", "date"])
             .select("symbol", "current_price", "historical_price",
                     (F.col("current_price") - F.col("historical_price")).alias("price_change")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tickwell.functions import ticks as T
@@ -131,8 +133,9 @@ def window_volumes_sliding(spark, sf_dir):
   round(price_change_pct, 8) AS price_change_pct FROM ticks WHERE event_timestamp::DATE = {LAST_DAY}
   ORDER BY event_timestamp DESC, tick_id DESC LIMIT 100"""))
 def latest_prices(spark, sf_dir):
-    prices = X.priced_ticks(spark, sf_dir).withColumn("date", F.to_date("event_timestamp"))
-    newest = A.latest_prices(prices, X.last_day(spark, sf_dir), 100, order=NEWEST)
+    today = X.last_day(spark, sf_dir)
+    prices = X.priced_ticks(spark, sf_dir, today, today).withColumn("date", F.to_date("event_timestamp"))
+    newest = A.latest_prices(prices, today, 100, order=NEWEST)
     return plain(newest.select("symbol", "price", "event_timestamp", "price_change", "price_change_pct"),
                  "price_change", "price_change_pct")
 
@@ -180,7 +183,8 @@ def daily_for_symbol(spark, sf_dir):
 
 @query(with_ctes(DAILY, select=f"{DAILY_OUT} WHERE date = {LAST_DAY}"))
 def daily_today(spark, sf_dir):
-    return plain(A.daily_today(X.daily(spark, sf_dir), X.last_day(spark, sf_dir)), *DAILY_ROUNDED)
+    today = X.last_day(spark, sf_dir)
+    return plain(A.daily_today(X.daily(spark, sf_dir, today, today), today), *DAILY_ROUNDED)
 
 
 @query(with_ctes(DAILY_CORE, select=f"""SELECT symbol, date, round(avg_price, 8) AS avg_price, max_price, min_price,
@@ -240,7 +244,8 @@ def moving_avg_7d_symbol(spark, sf_dir):
   round(min(avg_price_change_pct), 8) AS min_daily_change_pct
   FROM daily WHERE date >= {LAST_DAY} - 30 GROUP BY symbol"""))
 def volatility_30d(spark, sf_dir):
-    return plain(A.volatility(X.daily(spark, sf_dir), X.last_day(spark, sf_dir)),
+    today = X.last_day(spark, sf_dir)
+    return plain(A.volatility(X.daily(spark, sf_dir, today - timedelta(days=30), today), today),
                  "avg_daily_change_pct", "volatility", "max_daily_change_pct", "min_daily_change_pct")
 
 
@@ -309,4 +314,5 @@ def named_table_sql(spark, sf_dir):
   count(*) FILTER (avg_price_change < 0) AS losers, sum(total_volume)::BIGINT AS total_volume,
   round(avg(avg_price_change_pct), 8) AS avg_change_pct FROM daily WHERE date = {LAST_DAY}"""))
 def market_summary(spark, sf_dir):
-    return plain(A.market_summary(X.daily(spark, sf_dir), X.last_day(spark, sf_dir)), "avg_change_pct")
+    today = X.last_day(spark, sf_dir)
+    return plain(A.market_summary(X.daily(spark, sf_dir, today, today), today), "avg_change_pct")

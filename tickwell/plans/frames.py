@@ -7,15 +7,16 @@ high, low and the previous day's close, which a feed would deliver, are computed
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwell.functions.ticks import iso_text, to_envelope, with_price_change
 from tickwell.operators.daily import CORE_MEASURES, daily_prices
-from tickwell.operators.lookup import lookup_join
+from tickwell.operators.lookup import lookup_join, settled
 from tickwell.schemas import PRICE_MESSAGE, VOLUME_MESSAGE
+from tickwell.session import cut
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,13 +66,43 @@ ticks AS (
   JOIN previous p ON p.symbol = q.symbol AND p.date = q.event_timestamp::DATE)"""
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full price ticks with hourly bars and the previous day's close.
+def _moment(day: date, plus: int = 0) -> Column:
+    return F.lit(datetime.combine(day, time()) + timedelta(days=plus)).cast("timestamp_ntz")
+
+
+def _between(df: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """Rows of the days ``first`` to ``last``, as plain bounds on time that reach the files."""
+    if first is not None:
+        df = df.filter(F.col("event_timestamp") >= _moment(first))
+    if last is not None:
+        df = df.filter(F.col("event_timestamp") < _moment(last, 1))
+    return df
+
+
+def _closes_before(rows: DataFrame, first: date, symbols: DataFrame) -> DataFrame:
+    """symbol, close: the newest price of each symbol before a day. The day before is read;
+    only for symbols without a row in it, all earlier ones."""
+    def newest(df: DataFrame) -> DataFrame:
+        return df.groupBy("symbol").agg(F.max_by("price", "event_timestamp").alias("close"))
+
+    found = cut(newest(_between(rows, first - timedelta(days=1), first - timedelta(days=1))))
+    absent = cut(symbols.join(found.select(F.col("symbol").alias("known")), F.col("symbol").eqNullSafe(F.col("known")), "left_anti"))
+    if absent.isEmpty():
+        return found
+    older = _between(rows, None, first - timedelta(days=2)).join(
+        absent.select(F.col("symbol").alias("absent")), F.col("symbol").eqNullSafe(F.col("absent")), "left_semi")
+    return found.unionByName(newest(older))
+
+
+def ticks(spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Full price ticks with hourly bars and the previous day's close, of all days or of
+    the days ``start`` to ``end``: then only those, and the day before, are read.
 
     One pass computes bars, at most one row per symbol and hour; the previous close is
     the newest price of any earlier day. Bars join back, so no window runs over ticks.
     """
-    base = quotes(spark, sf_dir).withColumn("hour_start", F.date_trunc("hour", "event_timestamp"))
+    rows = quotes(spark, sf_dir)
+    base = _between(rows, start, end).withColumn("hour_start", F.date_trunc("hour", "event_timestamp"))
     hourly = base.groupBy("symbol", "hour_start").agg(
         F.min_by("price", "event_timestamp").alias("open"),
         F.max("price").alias("high"),
@@ -82,13 +113,18 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     earlier_days = Window.partitionBy("symbol").orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
     bars = hourly.select("symbol", "hour_start", "open", "high", "low",
                          F.max_by("last_price", "last_at").over(earlier_days).alias("previous_close"))
+    if start is not None:
+        bars = settled(bars)
+        before = _closes_before(rows, start, bars.select("symbol").distinct()).withColumnRenamed("symbol", "of")
+        bars = bars.join(before, F.col("symbol").eqNullSafe(F.col("of")), "left").withColumn(
+            "previous_close", F.coalesce("previous_close", "close")).drop("of", "close")
     return lookup_join(base, bars, ["symbol", "hour_start"]).select(
         "tick_id", "symbol", "event_timestamp", "price", "open", "high", "low", "volume",
         "previous_close", F.lit(None).cast("double").alias("market_cap"), F.lit("USD").alias("currency"))
 
 
-def priced_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_price_change(ticks(spark, sf_dir))
+def priced_ticks(spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    return with_price_change(ticks(spark, sf_dir, start, end))
 
 
 # What the raw pipelines store: ticks that pass the validity filter.
@@ -135,8 +171,8 @@ def daily_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_prices(quotes(spark, sf_dir), measures=CORE_MEASURES)
 
 
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_prices(priced_ticks(spark, sf_dir))
+def daily(spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    return daily_prices(priced_ticks(spark, sf_dir, start, end))
 
 
 # Trades -------------------------------------------------------------------

@@ -56,6 +56,27 @@ def alert_error_rate_hourly(spark, sf_dir):
                                    window_seconds=3600, for_seconds=7200))
 
 
+@query(episodes_sql(rate_sql(3600, "symbol = 'error'"), "value > 0.0001", 3600, 3600, "HighErrorRate", "critical"))
+def alert_error_rate_fires(spark, sf_dir):
+    """A threshold that the given data does exceed at every scale."""
+    return plain(M.high_error_rate(X.quotes(spark, sf_dir), F.col("symbol") == "error", threshold=0.0001,
+                                   window_seconds=3600, for_seconds=3600))
+
+
+OUTAGE = """found AS (SELECT floor(epoch(event_timestamp) / 300)::BIGINT AS bucket, count(*) AS n FROM quotes GROUP BY 1),
+series AS (SELECT b.bucket, coalesce(n, 0) / 300 AS value FROM (
+    SELECT unnest(range((epoch(TIMESTAMP '2023-12-31 22:00:00') / 300)::BIGINT,
+                        (epoch(TIMESTAMP '2024-02-01 03:00:00') / 300)::BIGINT)) AS bucket) b
+    LEFT JOIN found USING (bucket))"""
+
+
+@query(episodes_sql(OUTAGE, "value < 0.002", 300, 600, "LowDataIngestionRate", "warning"))
+def alert_outage_until_now(spark, sf_dir):
+    """Looked at some time after the last message and from before the first: both silences count."""
+    return plain(M.low_ingestion(X.quotes(spark, sf_dir), threshold=0.002, start="2023-12-31 22:00:00",
+                                 until="2024-02-01 03:00:00"))
+
+
 # A message with k in its payload counts as consumed k minutes after it was produced.
 LAG = """produced AS (SELECT floor(epoch(event_timestamp) / 300)::BIGINT AS bucket FROM quotes),
 consumed AS (SELECT floor((epoch(event_timestamp) + volume * 60) / 300)::BIGINT AS bucket FROM quotes),

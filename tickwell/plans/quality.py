@@ -11,7 +11,10 @@ from tickwell.operators import quality as Q
 from tickwell.plans import frames as X
 from tickwell.plans.frames import DIRTY, ISO, plain, with_ctes
 from tickwell.plans.registry import query
-from tickwell.schemas import VOLUME_MESSAGE, VOLUMES_TABLE
+from tickwell.schemas import RAW_VOLUMES, VOLUME_MESSAGE, VOLUMES_TABLE
+from tickwell.session import fresh_dir
+from tickwell.sources.days import write_days
+from tickwell.streaming.pipelines import raw_volumes, rejected
 
 
 def _dirty(spark, sf_dir):
@@ -155,3 +158,25 @@ def clean_ticks(spark, sf_dir):
   FROM ranked WHERE reason IS NOT NULL"""))
 def quarantine_ticks(spark, sf_dir):
     return C.quarantine(_parsed(spark, sf_dir)).select("kafka_partition", "kafka_offset", "reason")
+
+
+# A stored day ----------------------------------------------------------------
+
+STORED_DAY = f"""arrived AS (SELECT *, {REASON} AS bad FROM parsed),
+rows AS (SELECT *, event_timestamp::DATE AS date FROM arrived
+  WHERE bad IS NULL AND event_timestamp::DATE = DATE '2024-01-15'),
+lost AS (SELECT count(*) AS r, (SELECT count(*) FROM rows) AS n FROM arrived
+  WHERE bad IS NOT NULL AND kafka_timestamp::DATE = DATE '2024-01-15')"""
+REJECTED = """SELECT 'volumes', DATE '2024-01-15', 'rejected_messages', r, round(r / (n + r) * 100, 8),
+  r / (n + r) * 100 < 5, printf('%d rejected messages (%.2f%%)', r, round_even(r / (n + r) * 100, 2)),
+  CASE WHEN r / (n + r) * 100 >= 5 THEN 'Too many rejected messages' END FROM lost"""
+
+
+@query(with_ctes(DIRTY, PARSED, STORED_DAY, select=f"{VOLUME_CHECKS} UNION ALL {REJECTED}"))
+def dq_stored_day(spark, sf_dir):
+    """The report of a stored day as the job makes it, with the messages that were not stored."""
+    messages = X.dirty_messages(spark, sf_dir)
+    root, lost = fresh_dir(spark, "dirty-raw"), fresh_dir(spark, "dirty-rejects")
+    write_days(raw_volumes(messages), root)
+    write_days(rejected(messages), lost)
+    return plain(Q.day_report(spark, root, RAW_VOLUMES, "volumes", "2024-01-15", lost), "percentage")

@@ -11,13 +11,12 @@ from tickwell.functions import ticks as T
 from tickwell.operators import analytics as A
 from tickwell.operators import daily as D
 from tickwell.operators import migration as M
-from tickwell.operators.versioned import VersionedTable
 from tickwell.plans import frames as X
 from tickwell.plans.analytics import DAILY_OUT, DAILY_ROUNDED, SYMBOL
 from tickwell.plans.frames import (DAILY, DAILY_CORE, ISO, LAST_DAY, QUOTES, STORED_DAILY, STORED_PRICES,
                                    STORED_VOLUMES, TICKS, plain, with_ctes)
 from tickwell.plans.registry import query
-from tickwell.schemas import DAILY_TABLE, PRICE_MESSAGE, PRICES_TABLE, RAW_PRICES, RAW_VOLUMES, VOLUMES_TABLE
+from tickwell.schemas import DAILY_TABLE, DAILY_VOLUMES, PRICE_MESSAGE, RAW_PRICES, RAW_VOLUMES
 from tickwell.session import fresh_dir
 from tickwell.sources import days as S
 from tickwell.sources import tables as C
@@ -169,6 +168,20 @@ def backfill_daily(spark, sf_dir):
     return plain(_stored_daily(spark, root), *DAILY_ROUNDED)
 
 
+VOLUME_DAYS = """SELECT symbol, event_timestamp::DATE AS date, sum(volume)::BIGINT AS total_volume,
+  round(avg(volume), 8) AS avg_volume, max(volume) AS max_volume, min(volume) AS min_volume,
+  round(avg(price), 8) AS avg_price, count(*) AS record_count FROM stored GROUP BY ALL"""
+
+
+@query(with_ctes(QUOTES, STORED_VOLUMES, select=VOLUME_DAYS))
+def backfill_daily_volumes(spark, sf_dir):
+    first, last = span(spark, sf_dir)
+    root = fresh_dir(spark, "daily-volumes")
+    M.backfill(spark, "volumes", stored_raw(spark, sf_dir, "volumes"), root, first, last)
+    stored = spark.read.schema(M.with_day_parts(DAILY_VOLUMES)).parquet(root).select(*DAILY_VOLUMES.fieldNames())
+    return plain(stored, "avg_volume", "avg_price")
+
+
 # Tables -------------------------------------------------------------------
 
 @query(with_ctes(DAILY_CORE, select=f"""SELECT symbol, date, round(avg_price, 8) AS avg_price, total_volume
@@ -208,12 +221,12 @@ def create_tables(spark, sf_dir):
 
 # Migration: every migration runs twice and must not add rows the second time.
 
-def _migrated(spark, sf_dir, kind, root, schema):
+def _migrated(spark, sf_dir, kind, root):
     first, last = span(spark, sf_dir)
-    target = VersionedTable(spark, fresh_dir(spark, f"table-{kind}")).create(schema)
+    target = fresh_dir(spark, f"table-{kind}")
     for _ in range(2):
         M.migrate(spark, kind, root, target, first, last)
-    return plain(target.read())
+    return plain(M.read_table(spark, kind, target))
 
 
 PRICES_OUT = """SELECT symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date, price, open, high, low,
@@ -223,18 +236,18 @@ PRICES_OUT = """SELECT symbol, event_timestamp AS timestamp, event_timestamp::DA
 
 @query(with_ctes(TICKS, STORED_PRICES, select=PRICES_OUT))
 def migrate_prices(spark, sf_dir):
-    rows = _migrated(spark, sf_dir, "prices", stored_raw(spark, sf_dir, "prices"), PRICES_TABLE)
+    rows = _migrated(spark, sf_dir, "prices", stored_raw(spark, sf_dir, "prices"))
     return plain(rows, "price_change_pct")
 
 
 @query(with_ctes(QUOTES, STORED_VOLUMES, select="""SELECT symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date,
   volume, price FROM stored"""))
 def migrate_volumes(spark, sf_dir):
-    return _migrated(spark, sf_dir, "volumes", stored_raw(spark, sf_dir, "volumes"), VOLUMES_TABLE)
+    return _migrated(spark, sf_dir, "volumes", stored_raw(spark, sf_dir, "volumes"))
 
 
 @query(with_ctes(DAILY, select=DAILY_OUT))
 def migrate_daily_aggregates(spark, sf_dir):
     root = fresh_dir(spark, "daily")
     S.overwrite_days(T.with_date_parts(X.daily(spark, sf_dir), "date").drop("hour"), root)
-    return plain(_migrated(spark, sf_dir, "daily", root, DAILY_TABLE), *DAILY_ROUNDED)
+    return plain(_migrated(spark, sf_dir, "daily", root), *DAILY_ROUNDED)

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tickwell.plans import frames as X
 from tickwell.plans.analytics import (PER_WINDOW, WINDOW_PRICES_OUT, WINDOW_VOLUMES_OUT, windows_sql)
-from tickwell.plans.frames import ISO, QUOTES, STORED_PRICES, STORED_VOLUMES, TICKS, plain, with_ctes
+from tickwell.plans.frames import DIRTY, ISO, QUOTES, STORED_PRICES, STORED_VOLUMES, TICKS, plain, with_ctes
+from tickwell.plans.quality import JUDGED, PARSED
 from tickwell.plans.registry import query
 from tickwell.plans.storage import price_topic, volume_topic
-from tickwell.schemas import RAW_PARTITIONS, RAW_PRICES, RAW_VOLUMES, VOLUME_MESSAGE
+from tickwell.schemas import RAW_PARTITIONS, RAW_PRICES, RAW_VOLUMES, REJECTS, VOLUME_MESSAGE
 from tickwell.session import fresh_dir, stream_session
 from tickwell.sources.messages import publish_messages, stream_messages
 from tickwell.streaming import pipelines as P
@@ -37,7 +38,7 @@ def stream_raw_prices(spark, sf_dir):
     """The full partition layout: year, month, day, hour and symbol."""
     out, checkpoint = _dirs(spark, "stream-prices")
     raw = P.raw_prices(stream_messages(spark, price_topic(spark, sf_dir)))
-    P.run_to_end(P.spread_folders(raw, RAW_PARTITIONS, share=2), out, checkpoint, RAW_PARTITIONS)
+    P.run_to_end(P.gathered(raw, RAW_PARTITIONS), out, checkpoint, RAW_PARTITIONS)
     stored = spark.read.schema(RAW_PRICES).parquet(out).drop("processing_timestamp")
     return plain(stored, "price_change_pct")
 
@@ -65,6 +66,19 @@ def stream_fanout(spark, sf_dir):
         F.count("*").alias("rows"), F.sum("volume").alias("volume"))
 
 
+@query(with_ctes(DIRTY, PARSED, JUDGED, select="""SELECT kafka_partition, kafka_offset, bad AS reason,
+  year(kafka_timestamp)::INT AS year, month(kafka_timestamp)::INT AS month, day(kafka_timestamp)::INT AS day
+  FROM judged WHERE bad IS NOT NULL"""))
+def stream_rejects(spark, sf_dir):
+    """Messages that become no tick: stored with the reason, by the day they came in."""
+    topic = fresh_dir(spark, "dirty-topic")
+    publish_messages(X.dirty_messages(spark, sf_dir), topic)
+    out, checkpoint = _dirs(spark, "stream-rejects")
+    P.run_to_end(P.rejected(stream_messages(spark, topic)), out, checkpoint, BY_DAY)
+    stored = spark.read.schema(REJECTS).parquet(out)
+    return stored.select("kafka_partition", "kafka_offset", "reason", "year", "month", "day")
+
+
 # Windowed streams ---------------------------------------------------------
 # Append mode has written every window that ended by the final watermark.
 
@@ -102,9 +116,10 @@ ARRIVALS = """arrivals AS (
 def _portions(spark, sf_dir) -> list[DataFrame]:
     rows = X.quotes(spark, sf_dir).withColumn(
         "arrived", F.col("event_timestamp") + F.make_dt_interval(hours=F.col("volume").cast("int")))
-    cuts = [F.lit(c).cast("timestamp_ntz") for c in ("0001-01-01", "2024-01-11", "2024-01-21", "9999-12-31")]
-    return [X._publish(rows.filter((F.col("arrived") >= low) & (F.col("arrived") < high)),
-                       VOLUME_MESSAGE, F.col("tick_id")) for low, high in zip(cuts, cuts[1:])]
+    first, second = (F.coalesce(F.col("arrived") < F.lit(c).cast("timestamp_ntz"), F.lit(False))
+                     for c in ("2024-01-11", "2024-01-21"))
+    # without a volume there is no arrival: such a message is in the last portion
+    return [X._publish(rows.filter(part), VOLUME_MESSAGE, F.col("tick_id")) for part in (first, ~first & second, ~second)]
 
 
 @query(with_ctes(QUOTES, STORED_VOLUMES, ARRIVALS, """marks AS (
@@ -175,7 +190,7 @@ def run_all_streams(spark, sf_dir):
                               f"{root}/out", f"{root}/checkpoints", settings)
     P.wait(own, running, settings)
     out = None
-    for name in running:
+    for name in (n for n in running if not n.endswith("/rejects")):
         rows = spark.read.parquet(f"{root}/out/{name}").agg(F.lit(name).alias("output"), F.count("*").alias("rows"))
         out = rows if out is None else out.unionAll(rows)
     return out

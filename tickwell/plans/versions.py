@@ -1,105 +1,108 @@
-"""Versioned tables: time travel, comparison, rollback, maintenance, schema changes.
+"""Time travel over rows with commit times, comparison, maintenance, schema changes.
 
-The history is fixed: three appends by date, a correction of one symbol's price by
-one percent, a compaction, and a rollback to the third append.
+The history is fixed: three appends by date, then a correction of one symbol's price by
+one percent.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwell.operators import history as H
 from tickwell.operators import timetravel
-from tickwell.operators.versioned import VersionedTable, optimize_all as optimize_tables
 from tickwell.plans import frames as X
 from tickwell.plans.analytics import SYMBOL
 from tickwell.plans.frames import DAILY_CORE, QUOTES, plain, with_ctes
 from tickwell.plans.registry import query
 from tickwell.schemas import VOLUMES_TABLE
-from tickwell.session import fresh_dir
+from tickwell.session import fresh_dir, staged
+from tickwell.sources.days import write_days
 
 # (rows up to this day, committed at)
 APPENDS = (("2024-01-11", "2024-01-11 00:00:00"), ("2024-01-21", "2024-01-21 00:00:00"),
            ("9999-12-31", "2024-01-31 00:00:00"))
-CORRECTED, COMPACTED, ROLLED_BACK = "2024-02-01 00:00:00", "2024-02-02 00:00:00", "2024-02-03 00:00:00"
+CORRECTED = "2024-02-01 00:00:00"
+TICK = T.StructType([T.StructField("tick_id", T.LongType()), *VOLUMES_TABLE.fields])
+KEYS = ("symbol", "timestamp", "tick_id")
 
 
 def _rows(spark, sf_dir) -> DataFrame:
     return X.quotes(spark, sf_dir).select(
-        "symbol", F.col("event_timestamp").cast("timestamp").alias("timestamp"),
+        "tick_id", "symbol", F.col("event_timestamp").cast("timestamp").alias("timestamp"),
         F.to_date("event_timestamp").alias("date"), "volume", "price")
 
 
-def _corrected(rows: DataFrame, value: str = "price") -> DataFrame:
-    return rows.withColumn(value, F.when(F.col("symbol") == SYMBOL, F.col(value) * 1.01).otherwise(F.col(value)))
-
-
-def history_of(spark, sf_dir, steps: int) -> VersionedTable:
-    """The table after the first ``steps`` commits of the fixed history."""
-    table = VersionedTable(spark, fresh_dir(spark, "versions")).create(VOLUMES_TABLE, "2024-01-01 00:00:00")
+def history_of(spark, sf_dir, steps: int) -> DataFrame:
+    """All row versions after the first ``steps`` commits of the fixed history."""
+    path = fresh_dir(spark, "versions")
     rows = _rows(spark, sf_dir)
     low = "0001-01-01"
     for high, when in APPENDS[:steps]:
-        table.append(rows.filter((F.col("date") >= F.lit(low).cast("date"))
-                                 & (F.col("date") < F.lit(high).cast("date"))), when)
+        H.record(rows.filter((F.col("date") >= F.lit(low).cast("date"))
+                             & (F.col("date") < F.lit(high).cast("date"))), path, when)
         low = high
     if steps >= 4:
-        table.overwrite(_corrected(table.read()), CORRECTED)
-    if steps >= 5:
-        table.compact(rewrite_all=True, when=COMPACTED)
-    if steps >= 6:
-        table.rollback(3, ROLLED_BACK)
-    return table
+        H.record(rows.filter(F.col("symbol") == SYMBOL).withColumn("price", F.col("price") * 1.01), path, CORRECTED)
+    return H.versions(spark, path, TICK)
+
+
+def _out(rows: DataFrame) -> DataFrame:
+    return plain(rows.select("symbol", "timestamp", "date", "volume", "price"))
 
 
 VERSIONED = """versioned AS (
-  SELECT symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date, volume, price,
+  SELECT tick_id, symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date, volume, price,
          CASE WHEN symbol = '%s' THEN price * 1.01 ELSE price END AS corrected FROM quotes)""" % SYMBOL
 COLUMNS = "symbol, timestamp, date, volume, price"
 
 
 @query(with_ctes(QUOTES, VERSIONED, select=f"SELECT {COLUMNS} FROM versioned WHERE date < DATE '2024-01-21'"))
 def tt_read_at_snapshot(spark, sf_dir):
-    return plain(history_of(spark, sf_dir, 3).read(snapshot_id=2))
+    """The state that the second commit left."""
+    return _out(H.as_of(history_of(spark, sf_dir, 3), APPENDS[1][1], KEYS))
 
 
 @query(with_ctes(QUOTES, VERSIONED, select=f"SELECT {COLUMNS} FROM versioned WHERE date < DATE '2024-01-11'"))
 def tt_read_at_timestamp(spark, sf_dir):
-    return plain(history_of(spark, sf_dir, 3).read(as_of="2024-01-20 12:00:00"))
+    return _out(H.as_of(history_of(spark, sf_dir, 3), "2024-01-20 12:00:00", KEYS))
+
 
+@query(with_ctes(QUOTES, VERSIONED, select=f"""SELECT {COLUMNS} FROM versioned
+  WHERE symbol = '{SYMBOL}' AND date < DATE '2024-01-21' ORDER BY timestamp DESC, tick_id DESC LIMIT 100"""))
+def tt_symbol_as_of(spark, sf_dir):
+    """The newest hundred ticks of one symbol before its correction."""
+    rows = history_of(spark, sf_dir, 4)
+    return _out(H.symbol_as_of(rows, SYMBOL, "2024-01-21 00:00:00", 100, KEYS, ("timestamp", "tick_id")))
 
-SNAPSHOTS = """commits AS (
-  SELECT * FROM (VALUES (1, NULL, 'append', TIMESTAMP '2024-01-11'), (2, 1, 'append', TIMESTAMP '2024-01-21'),
-    (3, 2, 'append', TIMESTAMP '2024-01-31'), (4, 3, 'overwrite', TIMESTAMP '2024-02-01'),
-    (5, 4, 'replace', TIMESTAMP '2024-02-02')) t(snapshot_id, parent_id, operation, committed_at))"""
 
+COMMITS = """commits AS (
+  SELECT TIMESTAMP '2024-01-11' AS committed_at, date FROM versioned WHERE date < DATE '2024-01-11'
+  UNION ALL SELECT TIMESTAMP '2024-01-21', date FROM versioned WHERE date >= DATE '2024-01-11' AND date < DATE '2024-01-21'
+  UNION ALL SELECT TIMESTAMP '2024-01-31', date FROM versioned WHERE date >= DATE '2024-01-21'
+  UNION ALL SELECT TIMESTAMP '2024-02-01', date FROM versioned WHERE symbol = '%s')""" % SYMBOL
 
-@query(with_ctes(QUOTES, VERSIONED, SNAPSHOTS, select="""SELECT committed_at, snapshot_id::BIGINT AS snapshot_id,
-  coalesce(parent_id, 0)::BIGINT AS parent_id, operation, CASE snapshot_id
-    WHEN 1 THEN (SELECT count(*) FROM versioned WHERE date < DATE '2024-01-11')
-    WHEN 2 THEN (SELECT count(*) FROM versioned WHERE date >= DATE '2024-01-11' AND date < DATE '2024-01-21')
-    WHEN 3 THEN (SELECT count(*) FROM versioned WHERE date >= DATE '2024-01-21')
-    ELSE (SELECT count(*) FROM versioned) END AS added_rows, snapshot_id = 3 AS is_current FROM commits"""))
+
+@query(with_ctes(QUOTES, VERSIONED, COMMITS, select="""SELECT committed_at, count(*) AS rows, min(date) AS first_date,
+  max(date) AS last_date FROM commits GROUP BY ALL"""))
 def tt_list_snapshots(spark, sf_dir):
-    return plain(history_of(spark, sf_dir, 6).snapshots())
+    return plain(H.commits(history_of(spark, sf_dir, 4)))
 
 
-@query(with_ctes(QUOTES, VERSIONED, SNAPSHOTS, select="""SELECT committed_at AS made_current_at,
-  snapshot_id::BIGINT AS snapshot_id, coalesce(parent_id, 0)::BIGINT AS parent_id, operation,
-  snapshot_id <= 3 AS is_current_ancestor FROM commits
-  UNION ALL SELECT TIMESTAMP '2024-02-03', 3, 2, 'rollback', TRUE"""))
+@query(with_ctes(QUOTES, VERSIONED, COMMITS, select="""SELECT *, (sum(rows) OVER (PARTITION BY date ORDER BY committed_at))::BIGINT AS rows_so_far
+  FROM (SELECT committed_at, date, count(*) AS rows FROM commits GROUP BY ALL)"""))
 def tt_history(spark, sf_dir):
-    return plain(history_of(spark, sf_dir, 6).history())
+    """By day, what each commit added."""
+    rows = history_of(spark, sf_dir, 4).groupBy("committed_at", "date").agg(F.count("*").alias("rows"))
+    so_far = X.Window.partitionBy("date").orderBy("committed_at")
+    return plain(rows.withColumn("rows_so_far", F.sum("rows").over(so_far)))
 
 
 @query(with_ctes(QUOTES, VERSIONED, select="""SELECT symbol, timestamp, price AS price_v1, corrected AS price_v2,
   round(corrected - price, 8) AS price_change, 1 AS copies_v1, 1 AS copies_v2 FROM versioned"""))
 def tt_compare_snapshots(spark, sf_dir):
-    compared = timetravel.compare_snapshots(history_of(spark, sf_dir, 4), 3, 4)
-    return plain(compared, "price_change")
+    return plain(H.compare(history_of(spark, sf_dir, 4), APPENDS[2][1], CORRECTED), "price_change")
 
 
 @query(with_ctes(DAILY_CORE, select=f"""SELECT symbol,
@@ -109,70 +112,64 @@ def tt_compare_snapshots(spark, sf_dir):
   FROM daily WHERE date = (SELECT max(date) FROM daily)"""))
 def tt_current_vs_historical(spark, sf_dir):
     """Daily rows whose averages were corrected after the time looked back to."""
-    daily = X.daily_core(spark, sf_dir).select("symbol", "date", "avg_price")
-    table = VersionedTable(spark, fresh_dir(spark, "daily-versions")).create(daily.schema, "2024-01-01 00:00:00")
-    table.append(daily, "2024-01-31 00:00:00")
-    table.overwrite(_corrected(table.read(), "avg_price"), CORRECTED)
-    compared = timetravel.current_vs_historical(table, "2024-01-31 12:00:00", X.last_day(spark, sf_dir))
+    daily = staged(X.daily_core(spark, sf_dir).select("symbol", "date", "avg_price"), "daily-core")
+    path = fresh_dir(spark, "daily-versions")
+    H.record(daily, path, "2024-01-31 00:00:00")
+    H.record(daily.filter(F.col("symbol") == SYMBOL).withColumn("avg_price", F.col("avg_price") * 1.01), path, CORRECTED)
+    rows = H.versions(spark, path, daily.schema)
+    compared = timetravel.current_vs_historical(rows, "2024-01-31 12:00:00", X.last_day(spark, sf_dir))
     return plain(compared, "current_price", "historical_price", "price_change")
 
 
 @query(with_ctes(QUOTES, VERSIONED, select=f"SELECT {COLUMNS} FROM versioned"))
 def tt_rollback(spark, sf_dir):
-    return plain(history_of(spark, sf_dir, 6).read())
+    """Back to the state before the correction: that state is recorded as a new commit."""
+    path = fresh_dir(spark, "versions")
+    rows = history_of(spark, sf_dir, 4)
+    before = H.as_of(rows, APPENDS[2][1], KEYS)
+    write_days(rows, path, ("date",))
+    H.record(before, path, "2024-02-03 00:00:00")
+    return _out(H.as_of(H.versions(spark, path, TICK), None, KEYS))
 
 
 @query(with_ctes(QUOTES, VERSIONED, select="SELECT symbol, timestamp, date, volume, corrected AS price FROM versioned"))
 def compact_preserves_rows(spark, sf_dir):
-    return plain(history_of(spark, sf_dir, 5).read(snapshot_id=5))
+    """All days written anew, then read as of now."""
+    path = fresh_dir(spark, "compacted")
+    write_days(history_of(spark, sf_dir, 4), path, ("date",))
+    H.rewrite(H.versions(spark, path, TICK), path)
+    return _out(H.as_of(H.versions(spark, path, TICK), None, KEYS))
 
 
-@query(with_ctes(QUOTES, VERSIONED, select="""SELECT 'kept' AS part, 5::BIGINT AS snapshot_id, count(*) AS rows FROM versioned
-  UNION ALL SELECT 'expired', x, 0 FROM (VALUES (1::BIGINT), (2::BIGINT), (3::BIGINT), (4::BIGINT)) t(x)"""))
+@query(with_ctes(QUOTES, VERSIONED, COMMITS, select=f"""SELECT 'kept' AS part, (SELECT count(*) FROM versioned) AS rows
+  UNION ALL SELECT 'superseded', (SELECT count(*) FROM versioned WHERE symbol = '{SYMBOL}')"""))
 def expire_snapshots(spark, sf_dir):
-    """All snapshots before the compaction expire; the compacted rows stay readable."""
-    table = history_of(spark, sf_dir, 5)
-    gone = table.expire_snapshots(COMPACTED, "2024-02-10 00:00:00")
-    kept = table.read().agg(F.lit("kept").alias("part"), F.lit(5).cast("bigint").alias("snapshot_id"),
-                            F.count("*").alias("rows"))
-    expired = spark.createDataFrame([("expired", i, 0) for i in gone],
-                                    "part string, snapshot_id bigint, rows bigint")
-    return kept.unionAll(expired)
-
-
-@query(with_ctes(QUOTES, VERSIONED, select="SELECT count(*) AS rows, '[9]' AS removed FROM versioned"))
-def remove_orphans(spark, sf_dir):
-    """A folder that a crashed writer left behind goes; committed data stays."""
-    table = history_of(spark, sf_dir, 3)
-    _rows(spark, sf_dir).write.parquet(f"{table.path}/data/snapshot_id=9")
-    removed = table.remove_orphans(datetime.now() + timedelta(minutes=1))
-    return table.read().agg(F.count("*").alias("rows"), F.lit(str(removed)).alias("removed"))
-
-
-@query()
-def optimize_all(spark, sf_dir):
-    """A table in which every partition has two files, beside one that does not exist."""
-    table = history_of(spark, sf_dir, 3)
-    table.append(_rows(spark, sf_dir), "2024-02-01 00:00:00")
-    tables = {"prices": table, "missing": VersionedTable(spark, fresh_dir(spark, "absent"))}
-    report = optimize_tables(tables, min_input_files=2, now=datetime(2024, 3, 1))
-    rows = table.read().agg(F.count("*").alias("rows"))
-    return report.select("table_name", "step", "status", "affected").join(rows)
+    """Row versions that the correction replaced go; what counts now stays."""
+    rows = staged(history_of(spark, sf_dir, 4), "versions")
+    path = fresh_dir(spark, "expired")
+    write_days(rows, path, ("date",))
+    H.rewrite(H.without_superseded(H.versions(spark, path, TICK), CORRECTED, KEYS), path)
+    kept = H.versions(spark, path, TICK).agg(F.count("*").alias("kept"))
+    every = rows.agg(F.count("*").alias("every"))
+    parts = F.array(F.struct(F.lit("kept").alias("part"), F.col("kept").alias("rows")),
+                    F.struct(F.lit("superseded").alias("part"), (F.col("every") - F.col("kept")).alias("rows")))
+    return kept.withColumn("k", F.lit(1)).join(every.withColumn("k", F.lit(1)), "k").select(
+        F.explode(parts).alias("p")).select("p.*")
 
 
 @query(with_ctes(QUOTES, select="""SELECT symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date, volume,
   price AS last_price, CASE WHEN event_timestamp >= TIMESTAMP '2024-01-16' THEN 'X' END AS venue FROM quotes"""))
 def schema_evolution_read(spark, sf_dir):
-    """First half written with a narrow volume; then a column is added, one renamed,
-    one widened, and the second half written in the new schema."""
-    narrow = T.StructType([f if f.name != "volume" else T.StructField("volume", T.IntegerType())
-                           for f in VOLUMES_TABLE.fields])
-    table = VersionedTable(spark, fresh_dir(spark, "evolving")).create(narrow)
-    rows = _rows(spark, sf_dir)
+    """First half written with a narrow volume; then a column is added, one renamed, one
+    widened, and the second half written in the new schema. The read names the new schema:
+    Parquet widens, fills in NULL, and the old name of a renamed column is read beside the new."""
+    path = fresh_dir(spark, "evolving")
+    rows = _rows(spark, sf_dir).drop("tick_id")
     half = F.col("date") < F.lit("2024-01-16").cast("date")
-    table.append(rows.filter(half))
-    table.add_column("venue", "string")
-    table.rename_column("price", "last_price")
-    table.widen_column("volume", "bigint")
-    table.append(rows.filter(~half).withColumnRenamed("price", "last_price").withColumn("venue", F.lit("X")))
-    return plain(table.read())
+    write_days(rows.filter(half).withColumn("volume", F.col("volume").cast("int")), path, ("date",))
+    write_days(rows.filter(~half).withColumnRenamed("price", "last_price").withColumn("venue", F.lit("X")), path, ("date",))
+    new = T.StructType([*VOLUMES_TABLE.fields, T.StructField("last_price", T.DoubleType()),
+                        T.StructField("venue", T.StringType())])
+    stored = spark.read.schema(new).parquet(path)
+    return plain(stored.select("symbol", "timestamp", "date", "volume",
+                               F.coalesce("last_price", "price").alias("last_price"), "venue"))

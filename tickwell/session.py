@@ -12,25 +12,49 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, visible to every executor.
 
-    Only a local session may go without the setting; it gets a fresh temporary
-    folder. On a cluster a machine-local folder would lose data with its node.
+    Only a local session may go without the setting; it gets a fresh temporary folder. A
+    cluster session must name it. A ``file:`` folder named there is taken as mounted on all
+    nodes; a folder without scheme, or one set on the context by someone else, is not.
     """
     sc = spark.sparkContext
+    local = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not local and "://" not in configured and not configured.startswith("file:/"):
+            raise RuntimeError("spark.checkpoint.dir must name its file system on a cluster")
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not local:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickwell-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
+#: Intermediate folders of this process, by the id of their application.
+_MADE: dict[str, list[str]] = {}
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/tickwell/{label}-{uuid4().hex}"
+    """A new folder name under the shared folder; nothing is created yet. ``release`` removes it."""
+    path = f"{shared_dir(spark)}/tickwell/{label}-{uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Removes the intermediate folders made so far, and returns how many there were.
+
+    To be called when the results that were built on them have been used; jobs do so at
+    their end. Checkpoints go with their frames if spark.cleaner.referenceTracking.cleanCheckpoints
+    is set, which a cluster should do.
+    """
+    paths = _MADE.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        fs, hadoop_path = file_system(spark, path)
+        fs.delete(hadoop_path, True)
+    return len(paths)
 
 
 def cut(df: DataFrame) -> DataFrame:

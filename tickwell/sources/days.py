@@ -10,16 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickwell.schemas import DAY_PARTITIONS
-from tickwell.session import folders_in_parallel, path_exists
+from tickwell.session import file_system, folders_in_parallel, path_exists
 
-# Above this many days the folder names are not spelled out one by one.
-_MAX_NAMED_DAYS = 400
 
-
-def as_day(value: str | date | None) -> date:
-    """A calendar day; ``None`` means yesterday, as the daily jobs default to."""
+def as_day(value: str | date | None, spark: SparkSession) -> date:
+    """A calendar day; ``None`` means yesterday, as the daily jobs default to. Today is the
+    session's, in its time zone, like the dates of folders."""
     if value is None:
-        return date.today() - timedelta(days=1)
+        return spark.range(1).select(F.date_sub(F.current_date(), 1)).first()[0]
     return value if isinstance(value, date) else date.fromisoformat(value)
 
 
@@ -39,14 +37,14 @@ def read_days(spark: SparkSession, root: str, schema: StructType,
     Output of a stream is read through the log of its sink, which lists committed
     files only: naming folders would bypass it and see files of failed batches.
     """
-    first = as_day(start)
-    last = as_day(end) if end is not None else first
+    first = as_day(start, spark)
+    last = as_day(end, spark) if end is not None else first
     span = (last - first).days + 1
     if span <= 0:
         raise ValueError(f"empty date range {first} to {last}")
     reader = spark.read.schema(schema).option("basePath", root)
     try:
-        if span <= _MAX_NAMED_DAYS and not path_exists(spark, f"{root}/_spark_metadata"):
+        if not path_exists(spark, f"{root}/_spark_metadata"):
             days = (first + timedelta(days=i) for i in range(span))
             names = ",".join(f"year={d.year}/month={d.month}/day={d.day}" for d in days)
             return reader.parquet(f"{root}/{{{names}}}").select(*schema.fieldNames())
@@ -77,6 +75,30 @@ def overwrite_days(df: DataFrame, root: str, partitions=DAY_PARTITIONS) -> None:
          .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(root))
 
 
+def _folder(day: date, partitions: tuple[str, ...]) -> str:
+    if "date" in partitions:
+        return f"date={day.isoformat()}"
+    return f"year={day.year}/month={day.month}/day={day.day}"
+
+
+def replace_days(df: DataFrame, root: str, first: date, last: date, partitions=DAY_PARTITIONS) -> None:
+    """Replace every day of a range: those in ``df`` by its rows, the others by nothing.
+
+    Which days ``df`` has is asked first, with no other columns; there are no more of them
+    than days in the range.
+    """
+    spark = df.sparkSession
+    day = F.col("date") if "date" in partitions else F.make_date("year", "month", "day")
+    written = {r[0] for r in df.select(day).distinct().collect()}
+    overwrite_days(df, root, partitions)
+    for k in range((last - first).days + 1):
+        gone = first + timedelta(days=k)
+        if gone not in written:
+            fs, path = file_system(spark, f"{root}/{_folder(gone, partitions)}")
+            if fs.exists(path):
+                fs.delete(path, True)
+
+
 def partition_inventory(spark: SparkSession, root: str, schema: StructType,
                         partitions=DAY_PARTITIONS) -> DataFrame:
     """Files, rows and bytes per partition, from file metadata and footers only."""

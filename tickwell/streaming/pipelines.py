@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickwell.functions.ticks import price_pipeline, volume_pipeline
+from tickwell.functions.ticks import (parse_messages, price_pipeline, volume_pipeline, with_date_parts, with_event_time,
+                                      with_processing_time)
+from tickwell.operators.cleaning import reject_reason
 from tickwell.operators.daily import window_prices, window_volumes
-from tickwell.schemas import PRICE_MESSAGE, RAW_PARTITIONS, VOLUME_MESSAGE
+from tickwell.schemas import DAY_PARTITIONS, PRICE_MESSAGE, RAW_PARTITIONS, REJECTS, VOLUME_MESSAGE
+from tickwell.session import folders_in_parallel
 from tickwell.sources.messages import stream_messages
 
 MODES = ("all", "prices", "volumes", "aggregated")
@@ -53,7 +56,8 @@ def raw_volumes(messages: DataFrame) -> DataFrame:
 def _windowed(aggregate: Callable[..., DataFrame], raw: DataFrame, settings: StreamSettings) -> DataFrame:
     on_time = raw.withWatermark("event_timestamp", settings.watermark_delay)
     return (aggregate(on_time, settings.window, settings.slide)
-            .withColumn("date", F.to_date("window_start")))
+            .withColumn("date", F.to_date("window_start"))
+            .repartition("date"))  # few files for each date; a batch closes few windows of a date
 
 
 def windowed_prices(raw: DataFrame, settings: StreamSettings = StreamSettings()) -> DataFrame:
@@ -64,17 +68,18 @@ def windowed_volumes(raw: DataFrame, settings: StreamSettings = StreamSettings()
     return _windowed(window_volumes, raw, settings)
 
 
-def spread_folders(raw: DataFrame, partitions: tuple[str, ...], tasks: int | None = None,
-                   share: int = 8) -> DataFrame:
-    """For catch-up batches that reach over many folders: rows of a folder go to at
-    most ``share`` tasks, so folders are written in parallel and in few files.
+def rejected(messages: DataFrame) -> DataFrame:
+    """What the raw pipelines leave out, with the reason, by the day the message came in. The
+    fields of both kinds of message that matter here are those of the volume message."""
+    parsed = with_event_time(with_processing_time(parse_messages(messages, VOLUME_MESSAGE)))
+    return (with_date_parts(parsed.withColumn("reason", reject_reason()), "kafka_timestamp")
+            .filter(F.col("reason").isNotNull()).select(*REJECTS.fieldNames()))
 
-    A live stream does not need it: a batch then covers few folders, and keyed
-    messages of a symbol already sit in one task. The number of tasks is explicit,
-    else AQE would merge them by size, while the cost is in the number of files.
-    """
-    width = tasks or raw.sparkSession.sparkContext.defaultParallelism
-    return raw.repartition(width, *partitions, F.pmod(F.col("kafka_offset"), F.lit(share)))
+
+def gathered(raw: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    """For stateless streams: the rows of a folder in few files. The sizes of a batch are known
+    before it is written, so AQE splits a folder with far more rows than the others."""
+    return raw.hint("rebalance", *partitions)
 
 
 def start_parquet(df: DataFrame, path: str, checkpoint: str, settings: StreamSettings,
@@ -85,7 +90,8 @@ def start_parquet(df: DataFrame, path: str, checkpoint: str, settings: StreamSet
               .partitionBy(*partitions)
               .option("path", path).option("checkpointLocation", checkpoint)
               .trigger(**settings.trigger_options()))
-    return (writer.queryName(name) if name else writer).start()
+    with folders_in_parallel(df.sparkSession):  # a query keeps the settings it was started with
+        return (writer.queryName(name) if name else writer).start()
 
 
 def start_fan_out(df: DataFrame, paths: list[str], checkpoint: str, settings: StreamSettings,
@@ -96,7 +102,12 @@ def start_fan_out(df: DataFrame, paths: list[str], checkpoint: str, settings: St
     repeated after a failure has the same rows and so replaces what it wrote before.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch_id", F.lit(batch_id)).persist()
+        # AQE gathers the rows of a folder into few files, and splits a folder with far more rows
+        batch = batch.withColumn("batch_id", F.lit(batch_id))
+        if partitions:
+            batch = gathered(batch, partitions)
+        if len(paths) > 1:
+            batch = batch.persist()
         try:
             for path in paths:
                 (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -125,8 +136,10 @@ def start_streams(spark: SparkSession, mode: str, prices_source: str, volumes_so
     plans = {}
     if mode in ("all", "prices"):
         plans["prices/raw"] = (raw_prices(read(prices_source)), settings.partitions)
+        plans["prices/rejects"] = (rejected(read(prices_source)), DAY_PARTITIONS)
     if mode in ("all", "volumes"):
         plans["volumes/raw"] = (raw_volumes(read(volumes_source)), settings.partitions)
+        plans["volumes/rejects"] = (rejected(read(volumes_source)), DAY_PARTITIONS)
     if mode in ("all", "aggregated"):
         plans["prices/aggregated"] = (windowed_prices(raw_prices(read(prices_source)), settings), ("date",))
         plans["volumes/aggregated"] = (windowed_volumes(raw_volumes(read(volumes_source)), settings), ("date",))
@@ -137,7 +150,7 @@ def start_streams(spark: SparkSession, mode: str, prices_source: str, volumes_so
             started[name] = start_fan_out(df, [f"{output}/{name}", f"{second_output}/{name}"], checkpoint,
                                           settings, partitions)
         else:
-            started[name] = start_parquet(df, f"{output}/{name}", checkpoint, settings, partitions)
+            started[name] = start_parquet(df if name.endswith("/aggregated") else gathered(df, partitions), f"{output}/{name}", checkpoint, settings, partitions)
     return started
 
 
