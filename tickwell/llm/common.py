@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.session import setting
+from tickwell.session import file_system, setting
 from tickwell.session import staged as written
 
-__all__ = ["groups_for", "rows_of", "table", "staged", "text_or_empty", "width"]
+__all__ = ["collected", "discard", "groups_for", "rows_of", "table", "staged", "text_or_empty", "width"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
         return written(df, label)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Removes staged frames that nothing will read again."""
+    for df in frames:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            fs, folder = file_system(df.sparkSession, path)
+            fs.delete(folder, True)
+
+
+def collected(spark: SparkSession) -> None:
+    """Has the drivers' garbage collected, so that the shuffle files of finished steps, whose
+    frames are gone, are removed now and not some time later."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def width(spark: SparkSession) -> int:
     """The shuffle width the cluster is set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -29,7 +29,6 @@ task; which those are changes no result.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -39,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.llm.common import groups_for, staged, text_or_empty
+from tickwell.llm.common import collected, discard, groups_for, staged, text_or_empty
 
 LENGTH, MINIMIZER = 50, 20
 #: Different pieces of a bucket, about; pieces of a minimizer from which it is dealt by strings.
@@ -47,6 +46,8 @@ PER_BUCKET, HOT_PIECES = 20_000, 5_000
 #: Documents of the sample that names frequent minimizers; documents of it that one must be in.
 SAMPLE, FREQUENT = 4_000, 8
 _SLICE = 1 << 20
+#: Bytes of a piece at most; a longer run of one minimizer is several pieces.
+_LONGEST = 16_384
 _LAST = 2 ** 63 - 1
 
 
@@ -90,13 +91,23 @@ def pieces(data: np.ndarray, ends: np.ndarray, length: int, minimizer: int):
         new[1:] = (low[1:] != low[:-1]) | (text[1:] != text[:-1])
         starts = np.flatnonzero(whole & (new | ~np.r_[False, whole[:-1]]))
         stops = np.flatnonzero(whole & np.r_[new[1:] | ~whole[1:], True])
-        yield text[starts], at[starts] - ends[text[starts]], stops - starts + length, low[starts].view(np.int64)
-
-
-def _scan(docs: DataFrame, length: int, minimizer: int, frequent: np.ndarray | None = None) -> DataFrame:
-    """hash, text_key, at, size and deal for every piece. ``deal`` is what pieces are brought
-    together by: the hash, but for frequent minimizers anything that spreads them."""
-    known = docs.sparkSession.sparkContext.broadcast(np.sort(frequent) if frequent is not None else np.empty(0, np.int64))
+        number, begin, windows = text[starts], at[starts] - ends[text[starts]], stops - starts + 1
+        low = low[starts]
+        if len(windows) and windows.max() > _LONGEST - length:
+            parts = -(-windows // (_LONGEST - length))
+            k = np.arange(parts.sum()) - np.repeat(np.r_[0, parts.cumsum()[:-1]], parts)
+            number, low, whole_run = np.repeat(number, parts), np.repeat(low, parts), np.repeat(windows, parts)
+            begin = np.repeat(begin, parts) + k * (_LONGEST - length)
+            windows = np.minimum(whole_run - k * (_LONGEST - length), _LONGEST - length)
+        yield number, begin, windows - 1 + length, low.view(np.int64)
+
+
+def _scan(docs: DataFrame, length: int, minimizer: int, frequent: np.ndarray) -> DataFrame:
+    """deal, text_key and place of every piece. ``deal`` is what pieces are brought together by:
+    the minimizer's hash, but for frequent minimizers anything that spreads them. ``place`` has
+    start (31 bits), size (15) and the number of the frequent minimizer or 0 (18): a row for
+    each piece is most of what this operator shuffles, so it is kept small."""
+    known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,24 +118,26 @@ def _scan(docs: DataFrame, length: int, minimizer: int, frequent: np.ndarray | N
                 continue
             data = np.frombuffer(raw.buffers()[2], np.uint8)[ends[0]:ends[-1]]
             for number, at, size, low in pieces(data, ends - ends[0], length, minimizer):
-                near = np.searchsorted(known.value, low)
-                hot = known.value[np.minimum(near, len(known.value) - 1)] == low if len(known.value) else np.zeros(len(low), bool)
-                deal = np.where(hot, (key[number] ^ at) * np.int64(0x9E3779B1), low)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(low), pa.array(key[number]), pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32)),
-                     pa.array(deal), pa.array(hot)], ["hash", "text_key", "at", "size", "deal", "hot"])
+                which = np.zeros(len(low), np.int64)
+                if len(known.value):
+                    near = np.minimum(np.searchsorted(known.value, low), len(known.value) - 1)
+                    which = np.where(known.value[near] == low, near + 1, 0)
+                deal = np.where(which > 0, (key[number] ^ at) * np.int64(0x9E3779B1), low)
+                place = (at.astype(np.int64) << 33) | (size.astype(np.int64) << 18) | which
+                yield pa.RecordBatch.from_arrays([pa.array(deal), pa.array(key[number]), pa.array(place)],
+                                                 ["deal", "text_key", "place"])
 
     return docs.select(text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text")).mapInArrow(
-        scan, "hash long, text_key long, at int, size int, deal long, hot boolean")
+        scan, "deal long, text_key long, place long")
 
 
 def _frequent(docs: DataFrame, rows: int, length: int, minimizer: int) -> np.ndarray:
     """Minimizers of several texts that are frequent in a bounded sample."""
     sample = docs.sample(fraction=min(1.0, SAMPLE / max(1, rows)), seed=7)
-    found = _scan(sample, length, minimizer).groupBy("hash").agg(
+    found = _scan(sample, length, minimizer, np.empty(0, np.int64)).groupBy(F.col("deal").alias("hash")).agg(
         F.count("*").alias("n"), (F.min("text_key") < F.max("text_key")).alias("several"))
     found = found.where(F.col("several") & (F.col("n") >= FREQUENT)).orderBy(F.desc("n"), "hash").limit(100_000)
-    return np.array([r["hash"] for r in found.select("hash").collect()], np.int64)
+    return np.sort(np.array([r["hash"] for r in found.select("hash").collect()], np.int64))
 
 
 def earliest(parts: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
@@ -162,11 +175,6 @@ def _runs(flags: np.ndarray) -> tuple[list[int], list[int]]:
     return edges[::2].tolist(), edges[1::2].tolist()
 
 
-def _release() -> None:
-    """Shuffle files of finished steps go when the driver collects its garbage."""
-    gc.collect()
-
-
 def spans(docs: DataFrame, length: int = LENGTH, minimizer: int = MINIMIZER) -> DataFrame:
     """text_key, first_id, starts, ends: the byte spans that the first document of each text
     loses, by text; texts that lose nothing are left out."""
@@ -176,21 +184,26 @@ def spans(docs: DataFrame, length: int = LENGTH, minimizer: int = MINIMIZER) ->
     firsts = staged(texts.groupBy("text_key").agg(F.min("id").alias("first_id"), F.count("*").alias("copies")), "repeat-texts")
     rows = firsts.agg(F.sum("copies")).first()[0] or 0
 
-    found = _scan(docs, length, minimizer, _frequent(docs, rows, length, minimizer))
-    deal = Window.partitionBy("deal", "hash")
-    several = found.withColumn("several", F.col("hot") | (F.min("text_key").over(deal) < F.max("text_key").over(deal)))
-    several = several.where("several").select("hash", "text_key", "at", "size")
-    lists = staged(several.groupBy("text_key").agg(F.collect_set(F.struct("at", "size", "hash")).alias("cuts")).select(
-        "text_key", "cuts.at", "cuts.size", "cuts.hash").join(firsts.select("text_key", "first_id"), "text_key"), "repeat-lists")
+    frequent = _frequent(docs, rows, length, minimizer)
+    found = _scan(docs, length, minimizer, frequent)
+    deal = Window.partitionBy("deal")
+    several = found.withColumn("several", (F.col("place").bitwiseAND(0x3FFFF) != 0) | (
+        F.min("text_key").over(deal) < F.max("text_key").over(deal)))
+    lists = staged(several.where("several").groupBy("text_key").agg(F.collect_set(F.struct("place", "deal")).alias("cuts")).select(
+        "text_key", "cuts.place", "cuts.deal").join(firsts.select("text_key", "first_id"), "text_key"), "repeat-lists")
     del found, several
-    _release()
+    collected(spark)
+    known = spark.sparkContext.broadcast(frequent)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            each = batch["at"].map(len).to_numpy()
-            at, size, low = (np.concatenate(batch[c].to_list()) for c in ("at", "size", "hash"))
+            each = batch["place"].map(len).to_numpy()
+            place, low = (np.concatenate(batch[c].to_list()) for c in ("place", "deal"))
+            at, size, which = (place.view(np.uint64) >> np.uint64(33)).astype(np.int32), (place >> 18 & 0x7FFF).astype(np.int32), place & 0x3FFFF
+            if len(known.value):
+                low = np.where(which > 0, known.value[np.maximum(which - 1, 0)], low)
             raws = [t.encode() for t in batch["text"]]
             found = [raws[k][a:a + n] for k, a, n in zip(np.repeat(np.arange(len(raws)), each).tolist(), at.tolist(), size.tolist())]
             yield pd.DataFrame({"hash": low, "text_key": np.repeat(batch["text_key"].to_numpy(), each),
@@ -200,10 +213,11 @@ def spans(docs: DataFrame, length: int = LENGTH, minimizer: int = MINIMIZER) ->
     schema = "hash long, text_key long, first_id long, at int, size int, piece binary"
     joined = lists.hint("merge").join(texts.select(F.col("text_key").alias("key"), "id", "text"),
                                       (F.col("text_key") == F.col("key")) & (F.col("first_id") == F.col("id")))
-    places = staged(joined.select("text", "text_key", "first_id", "at", "size", "hash").mapInPandas(read, schema).withColumn(
+    places = staged(joined.select("text", "text_key", "first_id", "place", "deal").mapInPandas(read, schema).withColumn(
         "piece_key", F.xxhash64("piece")), "repeat-places")
     del joined
-    _release()
+    discard(lists)
+    collected(spark)
 
     different = staged(places.groupBy("hash", "piece").agg(F.min("first_id").alias("earliest")).withColumn(
         "piece_key", F.xxhash64("piece")), "repeat-pieces")
@@ -265,7 +279,7 @@ def _kept(raw: bytes, cuts: list[tuple[int, int]]) -> bytes:
 def _with_spans(docs: DataFrame, length: int, minimizer: int) -> DataFrame:
     """``docs`` with __starts, __ends and __copy (whether an earlier row has the whole text)."""
     found = staged(spans(docs, length, minimizer), "repeat-spans")
-    _release()
+    collected(docs.sparkSession)
     order_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
     keys = docs.select(order_id.alias("id"), F.xxhash64(text_or_empty()).alias("__key")).groupBy("__key").agg(
         F.min("id").alias("__first"))
