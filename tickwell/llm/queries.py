@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import exact_dedup, minhash, packing, pages, quality, quantised, repeats, token_counts, toxicity
+from tickwell.llm import (exact_dedup, minhash, packing, pages, quality, quantised, repeats,
+                          sentencepiece_lattice, token_counts, toxicity)
 from tickwell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(sql: str | None = None):
@@ -78,3 +80,8 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_lattice.piece_counts(table(spark, sf_dir, "documents"), PIECES)
