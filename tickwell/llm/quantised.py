@@ -121,8 +121,34 @@ def _entries(vectors: DataFrame, id_column: str, vector: str, label: str) -> Dat
             "|", F.col("label").cast("string"), F.array_join(F.transform("x", lambda v: v.cast("string")), ",")), 256)))
 
 
+class _Roots:
+    """What links connect, kept as one link from each node towards its smallest."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def _root(self, node: int) -> int:
+        up = self.up
+        while (above := up.setdefault(node, node)) != node:
+            up[node] = node = up[above]
+        return node
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        for x, y in zip(a.tolist(), b.tolist()):
+            x, y = self._root(x), self._root(y)
+            if x != y:
+                self.up[max(x, y)] = min(x, y)
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        pairs = [(node, above) for node, above in self.up.items() if node != above]
+        return (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
+
+
 def _pairs(entries: DataFrame, index: Index, dim: int, similar: float) -> DataFrame:
-    """eid pairs a < b of one label with a cosine of at least ``similar``."""
+    """Links of entries with a cosine of at least ``similar``, as rows of two kinds: (a, NULL, n),
+    how many vectors a is linked with in one part of a list, and (a, b, NULL), links enough to
+    connect all that the part connects. So a group of near copies gives as many rows as it has
+    members, not as many as it has pairs."""
     radius = float(np.sqrt(max(0.0, 2 - 2 * similar)))
     shared = entries.sparkSession.sparkContext.broadcast(index)
 
@@ -133,18 +159,18 @@ def _pairs(entries: DataFrame, index: Index, dim: int, similar: float) -> DataFr
             x = _unit(batch["x"])
             own = shared.value.nearest(x)
             codes, error = shared.value.encode(x, own)
-            yield pd.DataFrame({"eid": batch["eid"], "label": batch["label"], "list": own, "x": list(x),
+            yield pd.DataFrame({"eid": batch["eid"], "label": batch["label"], "copies": batch["copies"], "list": own, "x": list(x),
                                 "codes": [c.tobytes() for c in codes], "error": error,
                                 "probes": list(shared.value.probes(x, own, radius))})
 
     kind = entries.schema["label"].dataType.simpleString()
-    coded = staged(entries.select("eid", "label", "x").mapInPandas(
-        indexed, f"eid long, label {kind}, list int, x array<double>, codes binary, error double, probes array<int>"),
+    coded = staged(entries.select("eid", "label", "copies", "x").mapInPandas(
+        indexed, f"eid long, label {kind}, copies long, list int, x array<double>, codes binary, error double, probes array<int>"),
         "quantised")
     # a long list is dealt over parts; a query visits all of them
     sizes = coded.groupBy("label", "list").agg(F.ceil(F.count("*") / F.lit(PER_PART)).cast("int").alias("parts"))
     members = coded.join(sizes, ["label", "list"]).select(
-        "label", "list", F.pmod(F.xxhash64("eid"), "parts").cast("int").alias("part"), "eid", "x", "codes", "error")
+        "label", "list", F.pmod(F.xxhash64("eid"), "parts").cast("int").alias("part"), "eid", "copies", "x", "codes", "error")
     asked = coded.select(F.col("label").alias("for_label"), F.explode("probes").alias("in_list"), F.col("eid").alias("query"),
                          F.col("x").alias("qx"))
     sizes = sizes.select(F.col("label").alias("for_label"), F.col("list").alias("in_list"), "parts")
@@ -152,11 +178,12 @@ def _pairs(entries: DataFrame, index: Index, dim: int, similar: float) -> DataFr
         "for_label", "in_list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("in_part"), "query", "qx")
 
     def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        counts, roots = np.zeros(len(left), np.int64), _Roots()
         if len(left) and len(right):
             x, eids = np.stack(left["qx"]), left["query"].to_numpy()
             codes = np.frombuffer(b"".join(right["codes"]), np.uint8).reshape(len(right), -1)
-            y, error, others = np.stack(right["x"]), right["error"].to_numpy(), right["eid"].to_numpy()
+            y, error, others, copies = (np.stack(right["x"]), right["error"].to_numpy(), right["eid"].to_numpy(),
+                                        right["copies"].to_numpy())
             reach = (radius + error + _MARGIN) ** 2
             step = max(1, 4_000_000 // len(right))
             for k in range(0, len(x), step):
@@ -164,16 +191,22 @@ def _pairs(entries: DataFrame, index: Index, dim: int, similar: float) -> DataFr
                 far = np.zeros((len(tables), len(right)))
                 for m in range(codes.shape[1]):
                     far += tables[:, m][:, codes[:, m]]
-                q, c = np.nonzero((far <= reach[None]) & (eids[k:k + step, None] < others[None]))
+                q, c = np.nonzero((far <= reach[None]) & (eids[k:k + step, None] != others[None]))
                 for j in range(0, len(q), 100_000):
                     a, b = q[j:j + 100_000] + k, c[j:j + 100_000]
                     close = (x[a] * y[b]).sum(1) >= similar
-                    found.append((eids[a[close]], others[b[close]]))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
-        return pd.DataFrame({"a": a, "b": b})
+                    a, b = a[close], b[close]
+                    counts += np.bincount(a, copies[b], len(x)).astype(np.int64)
+                    roots.join(eids[a], others[b])
+        linked = np.flatnonzero(counts)
+        a, b = roots.links()
+        return pd.DataFrame({
+            "a": np.concatenate([left["query"].to_numpy()[linked].astype(np.int64), a]),
+            "b": pd.array([None] * len(linked) + b.tolist(), "Int64"),
+            "n": pd.array(counts[linked].tolist() + [None] * len(b), "Int64")})
 
     return queries.groupBy("for_label", "in_list", "in_part").cogroup(members.groupBy("label", "list", "part")).applyInPandas(
-        compare, "a long, b long")
+        compare, "a long, b long, n long")
 
 
 def near_duplicates(vectors: DataFrame, similar: float = 0.98, id_column: str = "vec_id", vector: str = "embedding",
@@ -191,12 +224,10 @@ def near_duplicates(vectors: DataFrame, similar: float = 0.98, id_column: str =
         found = _pairs(own, index, dim, similar)
         links = found if links is None else links.unionByName(found)
     if links is None:
-        links = rows.sparkSession.createDataFrame([], "a long, b long")
+        links = rows.sparkSession.createDataFrame([], "a long, b long, n long")
     links = staged(links, "embedding-links")
-    found = components(links)
-    copies = entries.select(F.col("eid").alias("b"), "copies")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degrees = both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("others"))
+    found = components(links.where("b IS NOT NULL").select("a", "b"))
+    degrees = links.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("others"))
     placed = entries.select("entry", "eid", "copies").join(found.withColumnRenamed("node", "eid"), "eid", "left").join(
         degrees.withColumnRenamed("a", "eid"), "eid", "left").select(
         "entry", F.coalesce("component", "eid").alias("component"),
