@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +36,13 @@ def discard(*frames: DataFrame) -> None:
 
 
 def collected(spark: SparkSession) -> None:
-    """Has the drivers' garbage collected, so that the shuffle files of finished steps, whose
-    frames are gone, are removed now and not some time later."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Has the driver's garbage collected, so that the shuffle files of finished steps, whose
+    frames are gone, are removed now and not some time later. Python lets go of its Java objects
+    in a thread of its own, hence the pause."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(1.5)
+        spark.sparkContext._jvm.System.gc()
 
 
 def width(spark: SparkSession) -> int:

@@ -221,6 +221,7 @@ def spans(docs: DataFrame, length: int = LENGTH, minimizer: int = MINIMIZER) ->
 
     different = staged(places.groupBy("hash", "piece").agg(F.min("first_id").alias("earliest")).withColumn(
         "piece_key", F.xxhash64("piece")), "repeat-pieces")
+    collected(spark)
     variety = different.groupBy("hash").agg(F.count("*").alias("pieces")).where("pieces > 1")
     shards = different.join(variety, "hash")
     total = variety.agg(F.sum("pieces")).first()[0] or 0
