@@ -1,0 +1,46 @@
+import numpy as np
+from helpers import ROWS, awkward
+
+from tickwell.llm import quality
+from tickwell.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_scores_agree_with_labels_never_seen(spark):
+    got = QUERIES["op9_quality_classifier"](spark, SF_DIR).toPandas()
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").toPandas()
+    assert len(got) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    both = got.merge(labels, on="doc_id")
+    good, bad = both[both["quality"] == 1], both[both["quality"] == 0]
+    assert good["kept"].mean() > 0.98 and bad["kept"].mean() < 0.1
+    assert got["score"].between(0, 1).all() and got["posterior"].between(0, 1).all()
+
+
+def test_label_model_finds_the_accuracies():
+    """Labellers of known accuracy: the model ranks patterns as the truth does."""
+    draw = np.random.default_rng(1)
+    truth = draw.random(20_000) < 0.8
+    votes = np.stack([np.where(draw.random(20_000) < 0.2, 0, np.where((draw.random(20_000) < a) == truth, 1, -1))
+                      for a in (0.95, 0.9, 0.85, 0.9, 0.6)], 1)
+    patterns, at, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    chance = quality.label_model(patterns, counts)[at.ravel()]
+    assert ((chance > 0.5) == truth).mean() > 0.95
+    assert abs(chance.mean() - truth.mean()) < 0.05
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    got = quality.scores(docs).collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted((i for i, _, _ in ROWS), key=str)
+    assert all(0 <= r.score <= 1 and 0 <= r.posterior <= 1 for r in got)
+    assert quality.scores(docs.limit(0)).count() == 0
+
+
+def test_votes_of_plain_and_broken_texts():
+    plain = "A plain sentence stands here, with words of common length. " * 5
+    assert quality.BAD not in quality.votes(plain)
+    for broken in (plain.upper(), " ".join(w + "!!" for w in plain.split()), " | ".join(plain.split()),
+                   " ".join(w + "$$$" for w in plain.split()), "same " * 60):
+        assert quality.BAD in quality.votes(broken)
+    assert len(quality.votes("")) == 10
