@@ -53,7 +53,7 @@ def test_awkward_rows(spark):
     assert got(minhash.near_duplicates(docs)) == expected([(i, t or "") for i, t, _ in ROWS])
     kept = minhash.one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([None, 1, 2, 3, 4, 7, 9, 10, 11, -3], key=str)
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([None, 1, 2, 3, 4, 7, 9, 11, -3], key=str)
     empty = docs.limit(0)
     assert minhash.near_duplicates(empty).count() == 0 and minhash.one_of_each(empty).count() == 0
 
