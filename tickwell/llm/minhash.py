@@ -6,8 +6,8 @@ in at least ``matches`` of ``coordinates`` values, but for a chance of a million
 share a value among the ``coordinates - matches + 1`` rarest of each. Only these prefixes
 are merged; the longest lists are skipped by all classes that have rarer values.
 
-Lists are not expanded into all pairs. First every member is held against one hub of its
-list; a second pass takes the pairs of a list that are then still in different components.
+Lists are not expanded into all pairs. First every member is held against the most central
+one of its list; a second pass takes the pairs of a list that are then still in different components.
 Candidates must agree in ``matches`` coordinates of the full signatures, and links are
 confirmed on full shingle sets (64-bit hashes of the shingles of the whole text).
 
@@ -107,7 +107,9 @@ def _sketched(docs: DataFrame, size: int, coordinates: int) -> DataFrame:
 
 
 def _prefixes(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """key, cid, n: the postings of each class under its rarest values that others share."""
+    """key, cid, n, central: the postings of each class under its rarest values that others share.
+    ``central`` sums the lengths of all its lists: an original has values in common with each of
+    its copies, a copy with few of the other copies beyond what the original gave them."""
     posted = classes.select("cid", "n", F.posexplode("signature").alias("coordinate", "value")).select(
         "cid", "n", (F.shiftleft(F.col("coordinate").cast("long"), 32) + F.col("value").cast("long")).alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
@@ -115,8 +117,8 @@ def _prefixes(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     own = Window.partitionBy("cid")
     # values that no other class has are the rarest of all: they fill the prefix first
     room = coordinates - matches + 1 - (coordinates - F.count("*").over(own))
-    return posted.withColumn("room", room).withColumn("rank", F.row_number().over(own.orderBy("length", "key"))).where(
-        "rank <= room").select("key", "cid", "n")
+    return posted.withColumn("room", room).withColumn("central", F.sum("length").over(own)).withColumn(
+        "rank", F.row_number().over(own.orderBy("length", "key"))).where("rank <= room").select("key", "cid", "n", "central")
 
 
 def _pairs(left: DataFrame, right: DataFrame, similar: int) -> DataFrame:
@@ -182,7 +184,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR
                                     "one.signature", "one.text_key"), "near-classes")
     lists = staged(_prefixes(classes, coordinates, matches), "near-lists")
 
-    hubs = lists.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("hub")).select("key", "hub.*")
+    hubs = lists.groupBy("key").agg(F.max(F.struct("central", "cid", "n")).alias("hub")).select("key", "hub.cid", "hub.n")
     first = staged(_agreeing(_pairs(lists, hubs, similar), classes, matches), "near-pairs")
     links = staged(_confirmed(first, docs, classes, size, similar), "near-links")
     found = components(links)
