@@ -7,9 +7,10 @@ share a value among the ``coordinates - matches + 1`` rarest of each. Only these
 are merged; the longest lists are skipped by all classes that have rarer values.
 
 Lists are not expanded into all pairs. First every member is held against the most central
-one of its list; a second pass takes the pairs of a list that are then still in different components.
-Candidates must agree in ``matches`` coordinates of the full signatures, and links are
-confirmed on full shingle sets (64-bit hashes of the shingles of the whole text).
+one of its list: candidates must agree in ``matches`` coordinates of the full signatures, and
+links are confirmed on full shingle sets (64-bit hashes of the shingles of the whole text).
+Where a list then still reaches over several components, its members outside of the largest
+are held against the others set by set, in blocks.
 
 * NULL text counts as empty; documents without words are linked with nothing.
 * With fewer words than a shingle has, the whole sequence is one shingle.
@@ -37,6 +38,8 @@ from tickwell.llm.common import rows_of, staged, text_or_empty
 from tickwell.llm.graph import components
 
 SHINGLE, SIMILAR, COORDINATES = 5, 75, 64
+#: Classes of a block, at most about, where members of open lists are compared.
+PER_BLOCK = 1_000
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, k, 2 ** 64)) for k in range(64)]
 
 
@@ -121,14 +124,11 @@ def _prefixes(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
         "rank", F.row_number().over(own.orderBy("length", "key"))).where("rank <= room").select("key", "cid", "n", "central")
 
 
-def _pairs(left: DataFrame, right: DataFrame, similar: int) -> DataFrame:
-    """Distinct pairs a < b of members of the same list, of sizes that allow the similarity."""
-    r = right.select("key", F.col("cid").alias("cid2"), F.col("n").alias("n2"), *(["other"] if "other" in right.columns else []))
-    found = left.join(r, "key").where(F.col("cid") != F.col("cid2"))
-    if "other" in right.columns:
-        found = found.where(F.col("component") != F.col("other"))
-    found = found.where(F.least("n", "n2") * 100 >= F.greatest("n", "n2") * similar)
-    return found.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
+def _pairs(lists: DataFrame, hubs: DataFrame, similar: int) -> DataFrame:
+    """Distinct pairs a < b of a member and the hub of its list, of sizes that allow the similarity."""
+    found = lists.join(hubs.select("key", F.col("cid").alias("hub"), F.col("n").alias("size")), "key").where("cid <> hub")
+    found = found.where(F.least("n", "size") * 100 >= F.greatest("n", "size") * similar)
+    return found.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
@@ -140,15 +140,16 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").where(agreeing >= matches).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, similar: int) -> DataFrame:
-    """Pairs of classes whose full sets are similar. The texts of the classes concerned are
-    read again; equal sets of different texts do, one of them is taken."""
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct().join(
-        classes.select("cid", "text_key"), "cid")
-    texts = docs.select(text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text")).join(
-        wanted.hint("merge"), "text_key").select("cid", "text").dropDuplicates(["cid"])
-    texts = staged(texts, "near-texts")
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """cid, text of the classes ``wanted``; equal sets of different texts do, one of them is
+    taken. The join shuffles at every size: how many are wanted grows with the input."""
+    keys = wanted.select("cid").distinct().join(classes.select("cid", "text_key"), "cid")
+    return docs.select(text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text")).join(
+        keys.hint("merge"), "text_key").select("cid", "text").dropDuplicates(["cid"])
 
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similar: int) -> DataFrame:
+    """Pairs of classes whose full sets are similar."""
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets: dict[int, np.ndarray] = {}
 
@@ -173,6 +174,53 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
     return joined.select("a", "b", "ta", "tb").mapInPandas(compare, "a long, b long")
 
 
+def _open(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Lists that reach over several components: key, cid, n, component, and ``top``, the
+    component that most of the list is in."""
+    placed = lists.select("key", "cid", "n").join(found.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+        "component", F.coalesce("component", "cid"))
+    per_list = placed.groupBy("key", "component").agg(F.count("*").alias("members"))
+    largest = per_list.groupBy("key").agg(F.max(F.struct("members", "component")).alias("top"), F.count("*").alias("parts"))
+    return placed.join(largest.where("parts > 1").select("key", F.col("top.component").alias("top")), "key")
+
+
+def _across(open_lists: DataFrame, texts: DataFrame, size: int, similar: int) -> DataFrame:
+    """Links from members outside of their lists' largest component to others they meet there,
+    on full sets. Around each such component, both sides are dealt into blocks of bounded size,
+    every block of one side meets every block of the other, and a block gives one link for each
+    member and component found: the sets are compared, but no pairs are made of them."""
+    sides = staged(open_lists.select("top", "cid", "component").distinct(), "near-sides")
+    outside = F.col("component") != F.col("top")
+    sizes = sides.groupBy("top").agg(F.ceil(F.count("*") / F.lit(PER_BLOCK)).cast("int").alias("blocks"),
+                                     F.ceil(F.count_if(outside) / F.lit(PER_BLOCK)).cast("int").alias("asking"))
+    known = staged(sides.join(sizes, "top").join(texts, "cid"), "near-sides")
+    part = lambda parts: F.pmod(F.xxhash64("cid"), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    left = known.where(outside).select(F.col("top").alias("t"), part("asking").alias("p"), every("blocks").alias("q"),
+                                       F.col("cid").alias("asker"), F.col("component").alias("own"), F.col("text").alias("wanted"))
+    right = known.where("asking > 0").select("top", every("asking").alias("p2"), part("blocks").alias("q2"), "cid", "component", "text")
+
+    def compare(askers: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(askers) and len(members):
+            sets = [shingle_set(t, size) for t in members["text"]]
+            each = np.array([len(x) for x in sets])
+            shingles, place = np.unique(np.concatenate(sets), return_inverse=True)
+            starts, cids, of = np.r_[0, each.cumsum()[:-1]], members["cid"].to_numpy(), members["component"].to_numpy()
+            for asker, own, text in zip(askers["asker"], askers["own"], askers["wanted"]):
+                mine = shingle_set(text, size)
+                at = np.minimum(np.searchsorted(shingles, mine), len(shingles) - 1)
+                marked = np.zeros(len(shingles), np.int64)
+                marked[at[shingles[at] == mine]] = 1
+                both = np.add.reduceat(marked[place], starts)
+                similar_ones = np.flatnonzero((100 * both >= similar * (len(mine) + each - both)) & (of != own))
+                _, first = np.unique(of[similar_ones], return_index=True)
+                found += [(asker, cids[similar_ones[k]]) for k in first]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    return left.groupBy("t", "p", "q").cogroup(right.groupBy("top", "p2", "q2")).applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR,
                     coordinates: int = COORDINATES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, and text_key and group (equal in a component)."""
@@ -186,22 +234,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR
 
     hubs = lists.groupBy("key").agg(F.max(F.struct("central", "cid", "n")).alias("hub")).select("key", "hub.cid", "hub.n")
     first = staged(_agreeing(_pairs(lists, hubs, similar), classes, matches), "near-pairs")
-    links = staged(_confirmed(first, docs, classes, size, similar), "near-links")
+    texts = staged(_texts(docs, classes, lists), "near-texts")
+    links = staged(_confirmed(first, texts, size, similar), "near-links")
     found = components(links)
 
-    # what is left: members of a list outside of its largest component, against all the others
-    placed = lists.join(found.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "component", F.coalesce("component", "cid"))
-    per_list = placed.groupBy("key", "component").agg(F.count("*").alias("members"))
-    largest = per_list.groupBy("key").agg(F.max(F.struct("members", "component")).alias("top"), F.count("*").alias("parts"))
-    open_lists = largest.where("parts > 1").select("key", F.col("top.component").alias("top"))
-    placed = staged(placed.join(open_lists, "key"), "near-open")
-    rest = _pairs(placed.where("component <> top"), placed.withColumnRenamed("component", "other"), similar)
-    rest = rest.join(first, ["a", "b"], "left_anti")
-    rest = staged(_agreeing(rest, classes, matches), "near-pairs")
-    more = staged(_confirmed(rest, docs, classes, size, similar), "near-links")
-    all_links = links.unionByName(more)
-    found = staged(components(all_links), "near-components")
+    # what is left are members of one list in different components
+    more = staged(_across(_open(lists, found), texts, size, similar), "near-links")
+    found = staged(components(links.unionByName(more)), "near-components")
 
     of_class = classes.select("set_key", "cid").join(found.withColumnRenamed("node", "cid"), "cid", "left").select(
         "set_key", F.coalesce("component", "cid").alias("component"))
