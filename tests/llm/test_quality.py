@@ -38,7 +38,7 @@ def test_awkward_rows(spark):
 
 
 def test_votes_of_plain_and_broken_texts():
-    plain = "A plain sentence stands here, with words of common length. " * 5
+    plain = " ".join(f"A plain sentence stands here with number{k} of words{k} that{k} differ{k}." for k in range(8))
     assert quality.BAD not in quality.votes(plain)
     for broken in (plain.upper(), " ".join(w + "!!" for w in plain.split()), " | ".join(plain.split()),
                    " ".join(w + "$$$" for w in plain.split()), "same " * 60):

@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Written to the shared folder once and read back. Python workers get small Arrow batches
-    meanwhile, which bounds what a batch of long texts takes in each of them."""
-    with setting(df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), setting(
-            df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", "16m"):
+    """Written to the shared folder once and read back, well compressed. Python workers get small
+    Arrow batches meanwhile, which bounds what a batch of long texts takes in each of them."""
+    spark = df.sparkSession
+    with (setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"),
+          setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", "16m"),
+          setting(spark, "spark.sql.parquet.compression.codec", "zstd")):
         return written(df, label)
 
 

@@ -252,9 +252,11 @@ def spans(docs: DataFrame, length: int = LENGTH, minimizer: int = MINIMIZER) ->
     parts = F.transform("runs", lambda r: F.struct((at + r["a"]).alias("a"), (at + r["b"] + (length - 1)).alias("b")))
     marked = places.select("hash", "piece_key", "text_key", "first_id", "at", "size").join(pieces_held, ["hash", "piece_key"]).select(
         "text_key", "first_id", F.when(F.col("first_id") > F.col("earliest"), whole).otherwise(parts).alias("runs"))
-    return marked.where("runs is not null").groupBy("text_key", "first_id").agg(
+    found = staged(marked.where("runs is not null").groupBy("text_key", "first_id").agg(
         F.flatten(F.collect_list("runs")).alias("runs")).select(
-        "text_key", "first_id", F.col("runs.a").alias("starts"), F.col("runs.b").alias("ends"))
+        "text_key", "first_id", F.col("runs.a").alias("starts"), F.col("runs.b").alias("ends")), "repeat-spans")
+    discard(firsts, places, different, pieces_held)
+    return found
 
 
 def _joined(starts, ends, size: int, everything: bool, length: int) -> list[tuple[int, int]]:
@@ -279,7 +281,7 @@ def _kept(raw: bytes, cuts: list[tuple[int, int]]) -> bytes:
 
 def _with_spans(docs: DataFrame, length: int, minimizer: int) -> DataFrame:
     """``docs`` with __starts, __ends and __copy (whether an earlier row has the whole text)."""
-    found = staged(spans(docs, length, minimizer), "repeat-spans")
+    found = spans(docs, length, minimizer)
     collected(docs.sparkSession)
     order_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
     keys = docs.select(order_id.alias("id"), F.xxhash64(text_or_empty()).alias("__key")).groupBy("__key").agg(
