@@ -152,8 +152,8 @@ def schema_report(df: DataFrame, expected: StructType) -> DataFrame:
 
 def reject_report(stored: DataFrame, rejects: DataFrame, data_type: str, day: date) -> DataFrame:
     """How many messages of a day became no tick, as a share of all its messages."""
-    counts = stored.agg(F.count("*").alias("stored")).withColumn("k", F.lit(1)).join(
-        rejects.agg(F.count("*").alias("rejects")).withColumn("k", F.lit(1)), "k")
+    tagged = stored.select(F.lit(False).alias("lost")).unionAll(rejects.select(F.lit(True).alias("lost")))
+    counts = tagged.agg(F.count_if(~F.col("lost")).alias("stored"), F.count_if("lost").alias("rejects"))
     counter = F.col("rejects")
     share = F.coalesce(F.try_divide(counter, F.col("stored") + counter) * 100, F.lit(0.0))
     row = _check("rejected_messages", counter, share < NULL_LIMIT_PCT,

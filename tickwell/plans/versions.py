@@ -149,12 +149,12 @@ def expire_snapshots(spark, sf_dir):
     path = fresh_dir(spark, "expired")
     write_days(rows, path, ("date",))
     H.rewrite(H.without_superseded(H.versions(spark, path, TICK), CORRECTED, KEYS), path)
-    kept = H.versions(spark, path, TICK).agg(F.count("*").alias("kept"))
-    every = rows.agg(F.count("*").alias("every"))
-    parts = F.array(F.struct(F.lit("kept").alias("part"), F.col("kept").alias("rows")),
-                    F.struct(F.lit("superseded").alias("part"), (F.col("every") - F.col("kept")).alias("rows")))
-    return kept.withColumn("k", F.lit(1)).join(every.withColumn("k", F.lit(1)), "k").select(
-        F.explode(parts).alias("p")).select("p.*")
+    tagged = H.versions(spark, path, TICK).select(F.lit(1).alias("kept")).unionAll(rows.select(F.lit(0).alias("kept")))
+    kept = F.count_if(F.col("kept") == 1)
+    counts = tagged.agg(kept.alias("kept"), (F.count("*") - 2 * kept).alias("superseded"))
+    return counts.select(F.explode(F.array(
+        F.struct(F.lit("kept").alias("part"), F.col("kept").alias("rows")),
+        F.struct(F.lit("superseded").alias("part"), F.col("superseded").alias("rows")))).alias("p")).select("p.*")
 
 
 @query(with_ctes(QUOTES, select="""SELECT symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date, volume,
