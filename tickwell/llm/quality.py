@@ -41,6 +41,12 @@ def _vote(value: float, good_to: float, bad_from: float) -> int:
     return GOOD if value <= good_to else BAD if value >= bad_from else NOTHING
 
 
+@lru_cache(1)
+def _cases() -> np.ndarray:
+    """1 for capitals and 2 for small letters of the first plane."""
+    return np.array([1 if chr(c).isupper() else 2 if chr(c).islower() else 0 for c in range(0x10000)], np.uint8)
+
+
 def votes(text: str) -> tuple[int, ...]:
     """Capitals, shouting, separators, trailing symbols, repeats, variety, sentences, word
     length, size, symbol density."""
@@ -48,8 +54,9 @@ def votes(text: str) -> tuple[int, ...]:
     n = len(words)
     if not n:
         return (NOTHING,) * 8 + (BAD, NOTHING)
-    seen = np.bincount(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), minlength=128)
-    letters = sum(map(str.isupper, text)), sum(map(str.islower, text))
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    seen = np.bincount(np.minimum(codes, 128), minlength=129)
+    letters = np.bincount(_cases()[np.minimum(codes, 0xFFFF)], minlength=3)[1:].tolist()
     marks = text.count("!!") / n
     alone = sum(w in "|•·-*>»" for w in words) / n
     trailing = sum(w[-1] in _SYMBOLS and len(w) > 1 for w in words) / n
