@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickwell.functions.ticks import iso_text, to_envelope
-from tickwell.schemas import PRICE_MESSAGE, RAW_PARTITIONS, RAW_PRICES, RAW_VOLUMES, VOLUME_MESSAGE
+from tickwell.schemas import PRICE_MESSAGE, RAW_PARTITIONS, RAW_PRICES, RAW_VOLUMES, REJECTS, VOLUME_MESSAGE
 from tickwell.session import stream_session
 from tickwell.sources.days import read_days
 from tickwell.sources.messages import drain_messages, publish_messages, stream_messages
@@ -108,9 +108,12 @@ def test_bad_messages_do_not_stop_the_stream(spark, folder):
     P.run_to_end(P.raw_prices(stream_messages(spark, topic)), f"{folder}/out", f"{folder}/checkpoint", ("year",))
     assert spark.read.schema(RAW_PRICES).parquet(f"{folder}/out").count() == 1
     assert drain_messages(spark, topic).count() == 3
+    P.run_to_end(P.rejected(stream_messages(spark, topic)), f"{folder}/rejects", f"{folder}/checkpoint-2", ("year",))
+    lost = spark.read.schema(REJECTS).parquet(f"{folder}/rejects")
+    assert sorted((r.kafka_offset, r.reason) for r in lost.collect()) == [(1, "malformed"), (2, "malformed")]
 
 
-@pytest.mark.parametrize("mode, outputs", [("prices", {"prices/raw"}), ("volumes", {"volumes/raw"}),
+@pytest.mark.parametrize("mode, outputs", [("prices", {"prices/raw", "prices/rejects"}), ("volumes", {"volumes/raw", "volumes/rejects"}),
                                            ("aggregated", {"prices/aggregated", "volumes/aggregated"})])
 def test_run_modes(spark, folder, mode, outputs):
     topic = f"{folder}/topic"
@@ -119,7 +122,7 @@ def test_run_modes(spark, folder, mode, outputs):
     queries = P.start_streams(own, mode, topic, topic, f"{folder}/out", f"{folder}/checkpoints", TO_END)
     P.wait(own, queries, TO_END)
     assert set(queries) == outputs
-    assert all(spark.read.parquet(f"{folder}/out/{name}").count() >= 1 for name in outputs)
+    assert all(spark.read.parquet(f"{folder}/out/{name}").count() >= 1 for name in outputs if not name.endswith("/rejects"))
 
 
 def test_wait_raises_the_error_of_any_query(spark, folder):
