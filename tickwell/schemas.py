@@ -108,9 +108,13 @@ _DATE_PARTS = [
 # What the raw streams write.
 RAW_PRICES = StructType(_LINEAGE + PRICE_MESSAGE.fields + _TIMES + _CHANGES + _DATE_PARTS)
 RAW_VOLUMES = StructType(_LINEAGE + VOLUME_MESSAGE.fields + _TIMES + _DATE_PARTS)
-# Messages that cannot become ticks, by the day they were processed.
-REJECTS = StructType(_LINEAGE + VOLUME_MESSAGE.fields + _TIMES + [
-    StructField("reason", StringType())] + _DATE_PARTS[:3])
+# Messages that cannot become ticks, by the day they came in; any field may be missing.
+REJECTS = StructType(_LINEAGE + [
+    StructField("symbol", StringType()),
+    StructField("timestamp", StringType()),
+    StructField("volume", LongType()),
+    StructField("price", DoubleType()),
+] + _TIMES + [StructField("reason", StringType())] + _DATE_PARTS[:3])
 
 RAW_PARTITIONS = ("year", "month", "day", "hour", "symbol")
 DAY_PARTITIONS = ("year", "month", "day")
