@@ -46,11 +46,17 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024) -> DataFra
 
 def _cut(bpe, text: str, pieces: list[str], ends: np.ndarray, limit: int) -> int:
     """Counts at prefixes never fall by more than the pieces at the very end allow, so the
-    longest prefix within the limit ends at most a few pieces past the last whole one."""
+    longest prefix within the limit ends within a few pieces of the last whole one. Only
+    their prefixes are looked at: from a piece's start on, a text falls into the same pieces."""
     k = int(np.searchsorted(ends, limit, side="right"))
-    chars = np.cumsum([len(p) for p in pieces[:k + 2]])
-    counts = bpe.prefix_counts(text[:int(chars[-1])])
-    return int(np.flatnonzero(counts <= limit)[-1]) + 1 if (counts <= limit).any() else 0
+    first = max(0, k - 4)
+    while first and pieces[first - 1][-1].isspace():  # white space that goes on is one run
+        first -= 1
+    start = sum(map(len, pieces[:first]))
+    stop = start + sum(map(len, pieces[first:k + 2]))
+    counts = bpe.prefix_counts(text[start:stop]) + (int(ends[first - 1]) if first else 0)
+    fits = np.flatnonzero(counts <= limit)
+    return start + int(fits[-1]) + 1 if len(fits) else start
 
 
 def prefix_table(docs: DataFrame, vocabulary: str) -> DataFrame:
