@@ -34,3 +34,20 @@ def test_awkward_rows(spark):
     got = sorted(((r.doc_id, r.n_bytes, r.n_pieces, r.round_trip) for r in L.piece_counts(docs, PIECES).collect()), key=str)
     assert got == sorted(((i, len((t or "").encode()), len(LIBRARY.encode(t or "")), True) for i, t, _ in short), key=str)
     assert L.piece_counts(docs.limit(0), PIECES).count() == 0 and L.encode(docs.limit(0), PIECES).count() == 0
+
+
+def test_query_gives_ids_and_whole_round_trips(spark):
+    texts = dict(texts_of(documents(spark)))
+    rows = QUERIES["op4_sentencepiece"](spark, SF_DIR).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.ids == LIBRARY.encode(texts[r.doc_id]) and r.round_trip == (LIBRARY.decode(r.ids) == texts[r.doc_id])
+
+
+def test_order_of_rare_and_frequent_words(spark, monkeypatch):
+    """Few words are looked up near; the others come by a join, and all stand in the order of the text."""
+    monkeypatch.setattr(L, "FREQUENT", 3)
+    texts = ["the cat the dog", "dog the the cat", "the cat the dog", "a▁b", " the  bird", ""] + ["the dog"] * 20
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    for r in L.encode(docs, PIECES).collect():
+        assert r.ids == LIBRARY.encode(texts[r.doc_id]) and r.round_trip == (LIBRARY.decode(r.ids) == texts[r.doc_id])

@@ -84,4 +84,4 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_lattice.piece_counts(table(spark, sf_dir, "documents"), PIECES)
+    return sentencepiece_lattice.encode(table(spark, sf_dir, "documents"), PIECES)

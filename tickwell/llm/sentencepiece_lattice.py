@@ -5,8 +5,8 @@ occur. A word's substrings of bounded length are exploded and joined with the pi
 what matches are the edges of its lattice. Edges are grouped by the word and folded from
 left to right: the state is the last piece of every prefix, and an edge extends the prefix
 before it if the model would keep the border between the two pieces. For a model of merges
-that is the whole search: exactly one edge fits each prefix. Decoding joins ids with the
-same table.
+that is the whole search: exactly one edge fits each prefix. Ids of words are put together
+in the order of each text, and decoded from there to the whole text.
 
 A border is kept unless some merge crosses it in time: for the right parts of the left
 piece and the left parts of the right piece, the crossing string is itself an edge, and its
@@ -16,13 +16,19 @@ rank tells whether it would have come first. Both parts lists come with the piec
 * Characters without a piece become their bytes.
 * Repeated rows and NULL ids: one row for each row.
 * Very long texts are taken whole; the fold's state grows with the longest word.
+* A text that holds the word mark itself comes back with a space for it, as from the library: no round trip.
 * Extra columns are left out, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import re
+from array import array
+from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +39,8 @@ MARK = "▁"
 #: Frequent words that are looked up without a shuffle, at most.
 FREQUENT = 200_000
 _NEVER = 1 << 30
+_OTHERS = "array<struct<key:string,ids:array<int>>>"
+_WORD = re.compile(f"{MARK}+[^{MARK}]*")
 _PARTS = "array<struct<n:int,made:int,used:int>>"
 _EDGE = f"struct<start:int,rank:int,whole:boolean,left_parts:{_PARTS},right_parts:{_PARTS},ids:array<int>>"
 
@@ -89,15 +97,8 @@ def byte_ids(model: str) -> dict[int, int]:
     return {int(processor.id_to_piece(k)[3:5], 16): k for k in range(processor.vocab_size()) if processor.is_byte(k)}
 
 
-def words_of(column: str = "text"):
-    """The words of a text: space is the word mark, and a text begins with one."""
-    marked = F.concat(F.lit(MARK), F.translate(F.col(column), " ", MARK))
-    words = F.regexp_extract_all(marked, F.lit(f"{MARK}+[^{MARK}]*"), F.lit(0))
-    return F.when(F.col(column) != "", words).otherwise(F.array().cast("array<string>"))
-
-
-def encode_words(words: DataFrame, model: str, partitions: int) -> DataFrame:
-    """word, ids, decoded for distinct words. All steps keep the words' partitioning."""
+def _lattice(words: DataFrame, model: str, partitions: int) -> DataFrame:
+    """word, ids for distinct words. All steps keep the words' partitioning."""
     spark = words.sparkSession
     pieces, first_byte = piece_table(spark, model), byte_ids(model)[0]
     longest = max(len(r[0]) for r in piece_rows(model))
@@ -124,66 +125,130 @@ def encode_words(words: DataFrame, model: str, partitions: int) -> DataFrame:
         exists(stops[e.start + y.n - 1].edges, d -> {crossing})))"""
     folded = lattice.withColumn("last", F.expr(f"""aggregate(stops, array(CAST(NULL AS {_EDGE})), (last, s) ->
         concat(last, array(filter(s.edges, e -> e.whole AND (e.start = 0 OR NOT {lost}))[0])))"""))
-    walked = folded.select("word", F.expr("""aggregate(stops,
+    return folded.select("word", F.expr("""aggregate(stops,
         struct(size(stops) AS at, CAST(array() AS array<int>) AS ids), (p, s) ->
         if(p.at > 0, struct(last[p.at].start AS at, concat(last[p.at].ids, p.ids) AS ids), p)).ids""").alias("ids"))
-    return decode_words(walked, model)
+
+
+def marked_words(text: str) -> list[str]:
+    """The words of a text: space is the word mark, and a text begins with one."""
+    return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+
+
+def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with texts of about four million characters."""
+    start = size = 0
+    for k, text in enumerate(texts):
+        size += len(text)
+        if size > 4_000_000:
+            yield start, k + 1
+            start, size = k + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def encode_words(words: DataFrame, model: str, partitions: int) -> DataFrame:
+    """word, ids, decoded for distinct words."""
+    return decode_words(_lattice(words, model, partitions), model)
+
+
+def _codes(model: str) -> list[bytes]:
+    """The bytes of every id."""
+    table = {r[1]: r[0].encode() for r in piece_rows(model)} | {k: bytes([b]) for b, k in byte_ids(model).items()}
+    return [table.get(k, b"") for k in range(max(table) + 1)]
 
 
 def decode_words(encoded: DataFrame, model: str) -> DataFrame:
-    """word, ids, decoded: ids joined back to pieces and bytes, put together by place."""
-    spark = encoded.sparkSession
-    table = [(r[1], r[0].encode().hex()) for r in piece_rows(model)] + [(k, f"{b:02x}") for b, k in byte_ids(model).items()]
-    codes = spark.createDataFrame(table, "id int, code string")
-    placed = encoded.select("word", F.posexplode("ids").alias("at", "id")).join(F.broadcast(codes), "id", "left")
-    grouped = placed.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("at", "id", "code"))).alias("p"))
-    return grouped.select("word", F.col("p.id").alias("ids"),
-                          F.decode(F.unhex(F.array_join("p.code", "")), "utf-8").alias("decoded"))
+    """word, ids, decoded: the bytes of the ids put together in order."""
+    shared = encoded.sparkSession.sparkContext.broadcast(_codes(model))
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [b"".join([shared.value[k] for k in ids]).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("ids"), pa.array(texts, pa.string())],
+                                             ["word", "ids", "decoded"])
+
+    return encoded.select("word", "ids").mapInArrow(decoded, "word string, ids array<int>, decoded string")
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
     """word, n: every word of all texts and how often it occurs."""
-    return docs.select(F.explode(words_of()).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter[str] = Counter()
+            for text in batch.column("text").to_pylist():
+                found.update(marked_words(text))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
 
-def encode(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id and ids of whole texts, in order; texts are the marked words back to back."""
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_or_empty().alias("text"))
-    texts = staged(texts, "lattice-texts")
-    words = staged(vocabulary(texts), "lattice-words")
-    known = staged(encode_words(words, model, _partitions(words)), "lattice-encoded")
-    places = texts.select("row", F.posexplode(words_of()).alias("at", "word")).join(known.select("word", "ids"), "word")
-    ids = places.groupBy("row").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "ids"))), lambda p: p["ids"])).alias("ids"))
-    return texts.select("row", "doc_id").join(ids, "row", "left").select(
-        "doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    texts = docs.select(text_or_empty().alias("text"))
+    return texts.mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _partitions(words: DataFrame) -> int:
     return max(width(words.sparkSession), groups_for(words.count(), 50_000))
 
 
-def piece_counts(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_bytes, n_words, n_pieces, round_trip (whether decoding gives every word back).
+def encode(docs: DataFrame, model: str) -> DataFrame:
+    """doc_id, n_bytes, n_words, n_pieces, ids of whole texts in order, and round_trip: whether
+    decoding all ids of a text gives back that text.
 
-    Sums over words need no order: frequent words are looked up in a broadcast table of bounded
-    size, only the others are shuffled."""
+    Words are encoded once each. Frequent words, bounded in number, are looked up where
+    the text is; the others come to the text as one list of its different words, so a word's
+    rows are never gathered, and a text is put together in its own row."""
+    spark = docs.sparkSession
     texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text"))
     words = staged(vocabulary(texts), "lattice-words")
-    known = staged(encode_words(words, model, _partitions(words)).select(
-        "word", F.size("ids").cast("long").alias("pieces"), (F.col("decoded") == F.col("word")).alias("same")), "lattice-encoded")
-    collected(docs.sparkSession)
-    head = staged(words.orderBy(F.desc("n"), "word").limit(FREQUENT).join(known, "word").select("word", "pieces", "same"), "lattice-head")
-    tokens = texts.select("text_key", F.explode(words_of()).alias("word")).join(F.broadcast(head), "word", "left")
-    sums = [F.sum("pieces").alias("pieces"), F.count("*").alias("words"), F.bool_and("same").alias("same")]
-    near = tokens.where("pieces IS NOT NULL").groupBy("text_key").agg(*sums)
-    rare = tokens.where("pieces IS NULL").select("text_key", "word").join(known.hint("merge"), "word").groupBy("text_key").agg(*sums)
-    both = near.unionByName(rare).groupBy("text_key").agg(
-        F.sum("pieces").alias("pieces"), F.sum("words").alias("words"), F.bool_and("same").alias("same"))
-    rows = texts.select("doc_id", "text_key", F.octet_length("text").cast("long").alias("n_bytes"))
-    copies = rows.groupBy("text_key").agg(F.count("*").alias("copies"))
-    # every copy of a text has added its words
-    found = both.join(copies, "text_key").select(
-        "text_key", F.expr("pieces div copies").alias("n_pieces"), F.expr("words div copies").alias("n_words"), "same")
-    return rows.join(found, "text_key", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"),
-        F.coalesce("same", F.lit(True)).alias("round_trip"))
+    known = staged(encode_words(words, model, _partitions(words)).select("word", "ids"), "lattice-encoded")
+    collected(spark)
+    head = staged(words.orderBy(F.desc("n"), "word").limit(FREQUENT).join(known, "word").select("word", "ids"), "lattice-head")
+    near = {r["word"]: array("i", r["ids"]).tobytes() for r in head.toLocalIterator()}
+    shared = spark.sparkContext.broadcast((near, _codes(model)))
+    texts = texts.withColumn("others", F.lit(None).cast(_OTHERS)) if words.count() <= len(near) else texts.join(
+        staged(_others(texts, known, shared), "lattice-others"), "text_key", "left")
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, codes = shared.value
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for start, stop in _slices(texts):
+                ends, ids, rows = [0], [], []
+                for text, others in zip(texts[start:stop], batch.column("others").slice(start, stop - start).to_pylist()):
+                    own = {x["key"]: array("i", x["ids"]).tobytes() for x in others or ()}
+                    words = marked_words(text)
+                    found = b"".join([near[w] if w in near else own[w] for w in words])
+                    numbers = array("i", found)
+                    # the mark before the first word is not of the text
+                    back = b"".join([codes[k] for k in numbers]).decode("utf-8", "replace").replace(MARK, " ")[1:]
+                    ids.append(found)
+                    ends.append(ends[-1] + len(numbers))
+                    rows.append((len(text.encode()), len(words), len(numbers), back == text))
+                flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(ids))])
+                size, words, pieces, same = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(start, stop - start), pa.array(size, pa.int64()), pa.array(words, pa.int64()),
+                     pa.array(pieces, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(same, pa.bool_())],
+                    ["doc_id", "n_bytes", "n_words", "n_pieces", "ids", "round_trip"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return texts.select("doc_id", "text", "others").mapInArrow(
+        joined, f"doc_id {kind}, n_bytes long, n_words long, n_pieces long, ids array<int>, round_trip boolean")
+
+
+def _others(texts: DataFrame, known: DataFrame, shared) -> DataFrame:
+    """text_key, others: the different words of a text that are not among the frequent ones, with their ids."""
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, _ = shared.value
+        for batch in batches:
+            found = {(key, w) for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist())
+                     for w in marked_words(text) if w not in near}
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([w for _, w in found], pa.string())],
+                                             ["text_key", "key"])
+
+    rows = texts.select("text_key", "text").mapInArrow(missing, "text_key long, key string").distinct()
+    keyed = known.withColumnRenamed("word", "key")
+    return rows.join(keyed.hint("merge"), "key").groupBy("text_key").agg(F.collect_list(F.struct("key", "ids")).alias("others"))
+
+
+def piece_counts(docs: DataFrame, model: str) -> DataFrame:
+    """What ``encode`` gives, without the ids."""
+    return encode(docs, model).drop("ids")
