@@ -51,3 +51,16 @@ def test_order_of_rare_and_frequent_words(spark, monkeypatch):
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
     for r in L.encode(docs, PIECES).collect():
         assert r.ids == LIBRARY.encode(texts[r.doc_id]) and r.round_trip == (LIBRARY.decode(r.ids) == texts[r.doc_id])
+
+
+def test_texts_without_spaces(spark):
+    draw = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["".join(draw.choice(letters) for _ in range(120_000)), "日本語の文" * 25_000, "the\tcat\nsat\n" * 9_000, "a" * 100_000,
+             "x" + " " * 100_000, "=-" * 60_000, "thethe" * 20_000]
+    docs = spark.createDataFrame(list(enumerate(texts + texts)), "doc_id long, text string")
+    rows = L.encode(docs, PIECES).collect()
+    assert len(rows) == 2 * len(texts)
+    for r in rows:
+        text = texts[r.doc_id % len(texts)]
+        assert r.ids == LIBRARY.encode(text) and r.round_trip

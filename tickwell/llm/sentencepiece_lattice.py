@@ -15,13 +15,16 @@ rank tells whether it would have come first. Both parts lists come with the piec
 * NULL and empty texts have no pieces.
 * Characters without a piece become their bytes.
 * Repeated rows and NULL ids: one row for each row.
-* Very long texts are taken whole; the fold's state grows with the longest word.
+* Very long texts are taken whole. Words of more than ``LONG`` characters are cut where no piece
+  holds the two characters across the cut, which changes no id; what stays long is folded a
+  word at a time, in time linear in its length.
 * A text that holds the word mark itself comes back with a space for it, as from the library: no round trip.
 * Extra columns are left out, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 from collections import Counter
@@ -38,6 +41,8 @@ from tickwell.llm.common import collected, groups_for, staged, text_or_empty, wi
 MARK = "▁"
 #: Frequent words that are looked up without a shuffle, at most.
 FREQUENT = 200_000
+#: Characters of a word that is exploded into substrings, or looked up without a shuffle, at most.
+LONG = 64
 _NEVER = 1 << 30
 _OTHERS = "array<struct<key:string,ids:array<int>>>"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
@@ -98,7 +103,7 @@ def byte_ids(model: str) -> dict[int, int]:
 
 
 def _lattice(words: DataFrame, model: str, partitions: int) -> DataFrame:
-    """word, ids for distinct words. All steps keep the words' partitioning."""
+    """word, ids for distinct words of bounded length. All steps keep the words' partitioning."""
     spark = words.sparkSession
     pieces, first_byte = piece_table(spark, model), byte_ids(model)[0]
     longest = max(len(r[0]) for r in piece_rows(model))
@@ -135,6 +140,34 @@ def marked_words(text: str) -> list[str]:
     return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
+@lru_cache(2)
+def crossed(model: str) -> frozenset[str]:
+    """Every two characters that stand side by side in some piece. Between any other two no merge
+    can happen, so a word may be cut there without changing its pieces."""
+    return frozenset(r[0][k:k + 2] for r in piece_rows(model) for k in range(len(r[0]) - 1))
+
+
+def parts_of(words: list[str], pairs: frozenset[str]) -> list[str]:
+    """The words, those of more than ``LONG`` characters cut wherever no piece crosses."""
+    if not words or max(map(len, words)) <= LONG:
+        return words
+    out = []
+    for word in words:
+        start = 0
+        if len(word) > LONG:
+            for k in range(1, len(word)):
+                if word[k - 1:k + 1] not in pairs:
+                    out.append(word[start:k])
+                    start = k
+        out.append(word[start:])
+    return out
+
+
+def _key(part: str) -> str:
+    """What a part is joined by: itself, or a digest that no short part equals."""
+    return part if len(part) <= LONG else "long" + hashlib.sha512(part.encode()).hexdigest()
+
+
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Ranges of rows with texts of about four million characters."""
     start = size = 0
@@ -147,9 +180,57 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def fold(word: str, pieces: dict[str, tuple], first_byte: int) -> list[int]:
+    """The same lattice and fold for one word of any length, in time linear in it: edges are
+    looked up when their end is reached, and only the piece that ends each prefix is kept."""
+    longest = max(map(len, pieces))
+    starts, rows = [0], [None]
+    alone = (None, None, True, [(1, -1, _NEVER)], [(1, -1, _NEVER)])
+
+    def lost(start: int, right: list, left: list) -> bool:
+        for n, made, used in right:
+            for m, made_too, used_too in left:
+                over = pieces.get(word[start - n:start + m])
+                if over is not None and (at := max(over[1], made, made_too)) < used and at <= used_too:
+                    return True
+        return False
+
+    for stop in range(1, len(word) + 1):
+        for start in range(stop - 1, max(-1, stop - 1 - longest), -1):
+            row = pieces.get(word[start:stop], alone if start == stop - 1 else None)
+            if row is not None and row[2] and (not start or not lost(start, rows[start][4], row[3])):
+                starts.append(start)
+                rows.append(row)
+                break
+    ids, stop = [], len(word)
+    while stop:
+        start = starts[stop]
+        ids.append([rows[stop][0]] if rows[stop] is not alone else [first_byte + b for b in word[start:stop].encode()])
+        stop = starts[stop]
+    return [k for some in reversed(ids) for k in some]
+
+
+def encode_long(words: DataFrame, model: str) -> DataFrame:
+    """word, ids for distinct words of any length, a word at a time."""
+    shared = words.sparkSession.sparkContext.broadcast((piece_rows(model), byte_ids(model)[0]))
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = None
+        for batch in batches:
+            for word in batch.column("word").to_pylist():
+                if pieces is None:
+                    pieces = {r[0]: r[1:] for r in shared.value[0]}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([word], pa.string()), pa.array([fold(word, pieces, shared.value[1])], pa.list_(pa.int32()))], ["word", "ids"])
+
+    return words.select("word").mapInArrow(folded, "word string, ids array<int>")
+
+
 def encode_words(words: DataFrame, model: str, partitions: int) -> DataFrame:
     """word, ids, decoded for distinct words."""
-    return decode_words(_lattice(words, model, partitions), model)
+    short = _lattice(words.where(F.length("word") <= LONG), model, partitions)
+    long = encode_long(words.where(F.length("word") > LONG).select("word").repartition(partitions, "word"), model)
+    return decode_words(short.unionByName(long), model)
 
 
 def _codes(model: str) -> list[bytes]:
@@ -171,13 +252,16 @@ def decode_words(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.select("word", "ids").mapInArrow(decoded, "word string, ids array<int>, decoded string")
 
 
-def vocabulary(docs: DataFrame) -> DataFrame:
-    """word, n: every word of all texts and how often it occurs."""
+def vocabulary(docs: DataFrame, model: str | None = None) -> DataFrame:
+    """word, n: every word of all texts and how often it occurs; long words cut, if the model is given."""
+    pairs = docs.sparkSession.sparkContext.broadcast(crossed(model) if model else None)
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
-                found.update(marked_words(text))
+                words = marked_words(text)
+                found.update(words if pairs.value is None else parts_of(words, pairs.value))
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
 
     texts = docs.select(text_or_empty().alias("text"))
@@ -192,22 +276,23 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_bytes, n_words, n_pieces, ids of whole texts in order, and round_trip: whether
     decoding all ids of a text gives back that text.
 
-    Words are encoded once each. Frequent words, bounded in number, are looked up where
+    Words are encoded once each. Frequent words, bounded in number and length, are looked up where
     the text is; the others come to the text as one list of its different words, so a word's
     rows are never gathered, and a text is put together in its own row."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    words = staged(vocabulary(texts), "lattice-words")
+    words = staged(vocabulary(texts, model), "lattice-words")
     known = staged(encode_words(words, model, _partitions(words)).select("word", "ids"), "lattice-encoded")
     collected(spark)
-    head = staged(words.orderBy(F.desc("n"), "word").limit(FREQUENT).join(known, "word").select("word", "ids"), "lattice-head")
+    short = words.where(F.length("word") <= LONG)
+    head = staged(short.orderBy(F.desc("n"), "word").limit(FREQUENT).join(known, "word").select("word", "ids"), "lattice-head")
     near = {r["word"]: array("i", r["ids"]).tobytes() for r in head.toLocalIterator()}
-    shared = spark.sparkContext.broadcast((near, _codes(model)))
+    shared = spark.sparkContext.broadcast((near, crossed(model), _codes(model)))
     texts = texts.withColumn("others", F.lit(None).cast(_OTHERS)) if words.count() <= len(near) else texts.join(
         staged(_others(texts, known, shared), "lattice-others"), "text_key", "left")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, codes = shared.value
+        near, pairs, codes = shared.value
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for start, stop in _slices(texts):
@@ -215,7 +300,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                 for text, others in zip(texts[start:stop], batch.column("others").slice(start, stop - start).to_pylist()):
                     own = {x["key"]: array("i", x["ids"]).tobytes() for x in others or ()}
                     words = marked_words(text)
-                    found = b"".join([near[w] if w in near else own[w] for w in words])
+                    found = b"".join([near[w] if w in near else own[_key(w)] for w in parts_of(words, pairs)])
                     numbers = array("i", found)
                     # the mark before the first word is not of the text
                     back = b"".join([codes[k] for k in numbers]).decode("utf-8", "replace").replace(MARK, " ")[1:]
@@ -237,15 +322,16 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 def _others(texts: DataFrame, known: DataFrame, shared) -> DataFrame:
     """text_key, others: the different words of a text that are not among the frequent ones, with their ids."""
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, _ = shared.value
+        near, pairs, _ = shared.value
         for batch in batches:
-            found = {(key, w) for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist())
-                     for w in marked_words(text) if w not in near}
+            found = {(key, _key(w)) for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist())
+                     for w in parts_of(marked_words(text), pairs) if w not in near}
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([w for _, w in found], pa.string())],
                                              ["text_key", "key"])
 
     rows = texts.select("text_key", "text").mapInArrow(missing, "text_key long, key string").distinct()
-    keyed = known.withColumnRenamed("word", "key")
+    long = F.concat(F.lit("long"), F.sha2(F.encode("word", "utf-8"), 512))
+    keyed = known.select(F.when(F.length("word") <= LONG, F.col("word")).otherwise(long).alias("key"), "ids")
     return rows.join(keyed.hint("merge"), "key").groupBy("text_key").agg(F.collect_list(F.struct("key", "ids")).alias("others"))
 
 
