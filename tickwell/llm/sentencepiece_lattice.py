@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.llm.common import collected, groups_for, staged, text_or_empty, width
+from tickwell.session import setting
 
 MARK = "▁"
 #: Frequent words that are looked up without a shuffle, at most.
@@ -44,6 +45,8 @@ FREQUENT = 200_000
 #: Characters of a word that is exploded into substrings, or looked up without a shuffle, at most.
 LONG = 64
 _NEVER = 1 << 30
+#: Words whose lattices one task holds.
+PER_GROUP = 10_000
 _OTHERS = "array<struct<key:string,ids:array<int>>>"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 _PARTS = "array<struct<n:int,made:int,used:int>>"
@@ -107,10 +110,9 @@ def _lattice(words: DataFrame, model: str, partitions: int) -> DataFrame:
     spark = words.sparkSession
     pieces, first_byte = piece_table(spark, model), byte_ids(model)[0]
     longest = max(len(r[0]) for r in piece_rows(model))
-    slots = words.select("word").repartition(partitions, "word").select(
-        "word", F.explode(F.sequence(F.lit(0), F.length("word") * longest - 1)).alias("k"))
-    cut = slots.select("word", F.expr(f"k div {longest}").cast("int").alias("start"), (F.col("k") % longest + 1).alias("n")).where(
-        F.col("start") + F.col("n") <= F.length("word"))
+    starts = words.select("word").repartition(partitions, "word").select(
+        "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+    cut = starts.select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("word") - F.col("start")))).alias("n"))
     cut = cut.withColumn("piece", F.expr("substring(word, start + 1, n)"))
     # the piece table has as many rows as the vocabulary
     edges = cut.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR n = 1")
@@ -122,8 +124,9 @@ def _lattice(words: DataFrame, model: str, partitions: int) -> DataFrame:
     edge = F.struct("start", "rank", F.coalesce("whole", F.lit(True)).alias("whole"), F.coalesce("left_parts", alone).alias("left_parts"),
                     F.coalesce("right_parts", alone).alias("right_parts"),
                     F.when(F.col("id").isNull(), fallback).otherwise(F.array("id")).alias("ids")).cast(_EDGE)
-    by_end = edges.groupBy("word", (F.col("start") + F.col("n")).alias("stop")).agg(F.collect_list(edge).alias("edges"))
-    lattice = by_end.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("stop", "edges"))).alias("stops"))
+    by_word = edges.groupBy("word").agg(F.collect_list(F.struct((F.col("start") + F.col("n")).alias("stop"), edge.alias("edge"))).alias("found"))
+    lattice = by_word.select("word", F.expr("""transform(sequence(1, length(word)), k ->
+        struct(k AS stop, transform(filter(found, f -> f.stop = k), f -> f.edge) AS edges))""").alias("stops"))
     crossing = """d.rank IS NOT NULL AND d.start = e.start - x.n
         AND greatest(d.rank, x.made, y.made) < x.used AND greatest(d.rank, x.made, y.made) <= y.used"""
     lost = f"""exists(last[e.start].right_parts, x -> exists(e.left_parts, y ->
@@ -226,11 +229,16 @@ def encode_long(words: DataFrame, model: str) -> DataFrame:
     return words.select("word").mapInArrow(folded, "word string, ids array<int>")
 
 
-def encode_words(words: DataFrame, model: str, partitions: int) -> DataFrame:
-    """word, ids, decoded for distinct words."""
+def _encoded(words: DataFrame, model: str, partitions: int) -> DataFrame:
+    """word, ids for distinct words."""
     short = _lattice(words.where(F.length("word") <= LONG), model, partitions)
     long = encode_long(words.where(F.length("word") > LONG).select("word").repartition(partitions, "word"), model)
-    return decode_words(short.unionByName(long), model)
+    return short.unionByName(long)
+
+
+def encode_words(words: DataFrame, model: str, partitions: int) -> DataFrame:
+    """word, ids, decoded for distinct words."""
+    return decode_words(_encoded(words, model, partitions), model)
 
 
 def _codes(model: str) -> list[bytes]:
@@ -269,7 +277,7 @@ def vocabulary(docs: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def _partitions(words: DataFrame) -> int:
-    return max(width(words.sparkSession), groups_for(words.count(), 50_000))
+    return max(width(words.sparkSession), groups_for(words.count(), PER_GROUP))
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -282,7 +290,9 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text"))
     words = staged(vocabulary(texts, model), "lattice-words")
-    known = staged(encode_words(words, model, _partitions(words)).select("word", "ids"), "lattice-encoded")
+    # a task holds few words, so their lattices need no sort
+    with setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(4 * PER_GROUP)):
+        known = staged(_encoded(words, model, _partitions(words)), "lattice-encoded")
     collected(spark)
     short = words.where(F.length("word") <= LONG)
     head = staged(short.orderBy(F.desc("n"), "word").limit(FREQUENT).join(known, "word").select("word", "ids"), "lattice-head")
