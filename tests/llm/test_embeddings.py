@@ -83,3 +83,15 @@ def test_lower_bounds_never_drop_a_neighbour():
         table = index.tables(x[a:a + 1], own[b])[0]
         far = np.sqrt(sum(table[m, codes[b, m]] for m in range(codes.shape[1])))
         assert far <= radius + error[b] + 1e-6
+
+
+def test_queries_and_members_of_a_long_list_are_dealt(spark, monkeypatch):
+    """One label and one list: no group holds all queries or all members, and every pair meets once."""
+    monkeypatch.setattr(quantised, "PER_PART", 50)
+    coded = spark.range(600).selectExpr(
+        "id AS eid", "1 AS label", "1L AS copies", "0 AS list", "array(1D) AS x", "X'00' AS codes", "0D AS error", "array(0) AS probes")
+    queries, members = quantised._dealt(coded)
+    asked = {tuple(r)[:4]: r["n"] for r in queries.groupBy("for_label", "in_list", "in_part", "of_part").agg(F.count("*").alias("n")).collect()}
+    held = {tuple(r)[:4]: r["n"] for r in members.groupBy("label", "list", "part", "for_part").agg(F.count("*").alias("n")).collect()}
+    assert max(asked.values()) <= 100 and max(held.values()) <= 100
+    assert asked.keys() == held.keys() and sum(asked[k] * held[k] for k in asked) == 600 ** 2

@@ -11,7 +11,8 @@ that is similar enough is missed.
 
 The quantisers are fitted on at most ``SAMPLE`` vectors, taken by the hash of their id. Every
 vector is indexed. Equal vectors of a label are one entry with a count, so a vector that a
-third of all rows share is one row; a long list is split into parts of ``PER_PART``.
+third of all rows share is one row; the vectors of a long list and the queries that visit it are
+both split into parts of ``PER_PART``, and what a task holds at once is one part of each.
 
 * Vectors that are NULL, empty, zero, or hold NULL or non-finite components, and vectors
   without label, are linked with nothing. Vectors of different lengths are never linked.
@@ -144,6 +145,24 @@ class _Roots:
         return (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
 
 
+def _dealt(coded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries and members of every list, in groups of about ``PER_PART`` of each: members and queries
+    of a long list are both dealt over parts, and each part of one meets each part of the other once."""
+    def parts(of: DataFrame, name: str) -> DataFrame:
+        return of.groupBy("label", "list").agg(F.ceil(F.count("*") / F.lit(PER_PART)).cast("int").alias(name))
+
+    asked = coded.select("label", F.explode("probes").alias("list"), F.col("eid").alias("query"), F.col("x").alias("qx"))
+    sizes = staged(parts(coded, "parts").join(parts(asked.select("label", "list"), "asking"), ["label", "list"]), "list-parts")
+    members = coded.drop("probes").join(sizes, ["label", "list"]).select(
+        "label", "list", F.pmod(F.xxhash64("eid"), "parts").cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("for_part"), "eid", "copies", "x", "codes", "error")
+    queries = asked.join(sizes, ["label", "list"]).select(
+        F.col("label").alias("for_label"), F.col("list").alias("in_list"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("in_part"),
+        F.pmod(F.xxhash64("query"), "asking").cast("int").alias("of_part"), "query", "qx")
+    return queries, members
+
+
 def _pairs(entries: DataFrame, index: Index, dim: int, similar: float) -> DataFrame:
     """Links of entries with a cosine of at least ``similar``, as rows of two kinds: (a, NULL, n),
     how many vectors a is linked with in one part of a list, and (a, b, NULL), links enough to
@@ -167,15 +186,7 @@ def _pairs(entries: DataFrame, index: Index, dim: int, similar: float) -> DataFr
     coded = staged(entries.select("eid", "label", "copies", "x").mapInPandas(
         indexed, f"eid long, label {kind}, copies long, list int, x array<double>, codes binary, error double, probes array<int>"),
         "quantised")
-    # a long list is dealt over parts; a query visits all of them
-    sizes = coded.groupBy("label", "list").agg(F.ceil(F.count("*") / F.lit(PER_PART)).cast("int").alias("parts"))
-    members = coded.join(sizes, ["label", "list"]).select(
-        "label", "list", F.pmod(F.xxhash64("eid"), "parts").cast("int").alias("part"), "eid", "copies", "x", "codes", "error")
-    asked = coded.select(F.col("label").alias("for_label"), F.explode("probes").alias("in_list"), F.col("eid").alias("query"),
-                         F.col("x").alias("qx"))
-    sizes = sizes.select(F.col("label").alias("for_label"), F.col("list").alias("in_list"), "parts")
-    queries = asked.join(sizes, ["for_label", "in_list"]).select(
-        "for_label", "in_list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("in_part"), "query", "qx")
+    queries, members = _dealt(coded)
 
     def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         counts, roots = np.zeros(len(left), np.int64), _Roots()
@@ -205,7 +216,8 @@ def _pairs(entries: DataFrame, index: Index, dim: int, similar: float) -> DataFr
             "b": pd.array([None] * len(linked) + b.tolist(), "Int64"),
             "n": pd.array(counts[linked].tolist() + [None] * len(b), "Int64")})
 
-    return queries.groupBy("for_label", "in_list", "in_part").cogroup(members.groupBy("label", "list", "part")).applyInPandas(
+    return queries.groupBy("for_label", "in_list", "in_part", "of_part").cogroup(
+        members.groupBy("label", "list", "part", "for_part")).applyInPandas(
         compare, "a long, b long, n long")
 
 
