@@ -53,6 +53,13 @@ def test_date_filters_reach_every_scan(spark, capsys, name):
     assert "ExistingRDD" not in plan
 
 
+@pytest.mark.parametrize("name", ["tt_compare_snapshots", "tt_current_vs_historical"])
+def test_stored_versions_are_compared_without_a_shuffle(spark, capsys, name):
+    entry.queries()[name](spark, SF_DIR).explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+
+
 def test_filters_reach_the_files(spark, capsys):
     entry.queries()["daily_summary_7d"](spark, SF_DIR).explain("formatted")
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts", capsys.readouterr().out)

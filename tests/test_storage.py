@@ -188,3 +188,92 @@ def test_intermediate_folders_go(spark):
     assert os.listdir(root)
     assert session.release(spark) > 0
     assert not os.listdir(root)
+
+
+# Histories that know removals ------------------------------------------------------
+
+def raw_day(spark, folder, *items):
+    """One raw volume day in a fresh folder: (symbol, second of the day, price)."""
+    path = f"{folder}/raw-{len(os.listdir(folder))}"
+    at = [datetime(2024, 1, 2, 0, 0, second) for _, second, _ in items]
+    df = spark.createDataFrame([(s, t, p) for (s, _, p), t in zip(items, at)], "symbol string, event_timestamp timestamp, price double")
+    full = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in RAW_VOLUMES.fields if f.name not in ("year", "month", "day", "hour")])
+    S.write_days(with_date_parts(full), path)
+    return path
+
+
+def state(df):
+    return sorted((r.symbol, r.timestamp.second, r.price) for r in df.collect())
+
+
+def test_removed_rows_do_not_come_back(spark, folder):
+    recorded, target = f"{folder}/recorded", f"{folder}/table"
+    steps = [[("A", 1, 1.0), ("B", 2, 2.0), ("C", 3, 3.0)], [("A", 1, 1.0), ("C", 3, 3.5)],
+             [("A", 1, 1.0), ("B", 2, 2.0), ("C", 3, 3.0)], []]
+    for k, items in enumerate(steps, 1):
+        root = raw_day(spark, folder, *items) if items else f"{folder}/none"
+        for _ in range(2):
+            M.migrate(spark, "volumes", root, target, "2024-01-02", recorded=recorded, committed_at=f"2024-02-0{k} 00:00:00")
+    rows = H.versions(spark, recorded, C.TABLES["stock_volumes"])
+    for k, items in enumerate(steps, 1):
+        assert state(H.as_of(rows, f"2024-02-0{k} 12:00:00")) == sorted(items), k
+    assert H.as_of(rows).count() == 0 == M.read_table(spark, "volumes", target).count()
+    # what stays the same is not recorded again: 3, then a change and a removal, then both back, then three removals
+    assert {r.committed_at.day: r["rows"] for r in H.commits(rows).collect()} == {1: 3, 2: 2, 3: 2, 4: 3}
+    intervals = H.validity(rows)
+    for k in range(1, 5):
+        for hour in (0, 12):
+            moment = f"2024-02-0{k} {hour:02}:00:00"
+            assert state(H.valid_at(intervals, moment)) == state(H.as_of(rows, moment))
+    assert H.valid_at(intervals).count() == 0 and H.valid_at(intervals, "2024-01-31").count() == 0
+    got = [(r.current_from.day, r.current_until and r.current_until.day, r.rows_begun, r.rows_ended, r.rows_restored, r.rows_held)
+           for r in H.states(rows).orderBy("current_from").collect()]
+    assert got == [(1, 2, 3, 0, 0, 3), (2, 3, 1, 2, 0, 2), (3, 4, 2, 1, 2, 3), (4, None, 0, 3, 0, 0)]
+
+
+def test_changes_count_copies_and_nulls(spark):
+    known = spark.createDataFrame(
+        [("a", 1, 1.0, None), ("a", 1, 1.0, None), ("b", 1, 1.0, None), ("c", 1, None, 1.0), ("d", 1, 4.0, None), (None, 1, 1.0, 1.0)],
+        "symbol string, n int, p double, q double").withColumns({
+            "date": F.lit("2024-01-01").cast("date"), "committed_at": F.lit("2024-01-02").cast("timestamp"), "deleted": F.lit(False)})
+    now = spark.createDataFrame(
+        [("a", 1, 1.0, None), ("b", 1, 1.0, None), ("c", 1, 1.0, None), ("e", 1, 1.0, None), (None, 1, 1.0, 1.0)],
+        "symbol string, n int, p double, q double").withColumn("date", F.lit("2024-01-01").cast("date"))
+    got = {r.symbol: r.change for r in H.changes(known, now, ("symbol",)).collect()}
+    assert got == {"a": "changed", "c": "changed", "d": "removed", "e": "added"}
+
+
+def test_days_outside_of_the_range_stay(spark, folder):
+    path = f"{folder}/history"
+    H.record_changes(rows(spark, A1, A2), path, SCHEMA, date(2024, 1, 1), date(2024, 1, 2), committed_at="2024-01-10")
+    H.record_changes(rows(spark).limit(0), path, SCHEMA, date(2024, 1, 2), date(2024, 1, 2), committed_at="2024-01-11")
+    assert bag(H.as_of(H.versions(spark, path, SCHEMA))) == [A1]
+
+
+def test_expired_removals_go_with_what_they_hide(spark, folder):
+    path = f"{folder}/history"
+    H.record(rows(spark, A1, B1), path, "2024-01-10")
+    H.record(rows(spark, B1), path, "2024-01-20", deleted=True)
+    kept = H.without_superseded(H.versions(spark, path, SCHEMA), "2024-01-25")
+    assert [(r.symbol, r.deleted) for r in kept.collect()] == [("A", False)]
+    early = H.without_superseded(H.versions(spark, path, SCHEMA), "2024-01-15")
+    assert sorted((r.symbol, r.deleted) for r in early.collect()) == [("A", False), ("B", False), ("B", True)]
+
+
+def test_bucketed_versions_need_no_shuffle(spark, folder, versions, capsys):
+    name = session.fresh_table(spark, "test")
+    stored = H.bucketed(versions, name, f"{folder}/bucketed", buckets=4)
+    for df in (H.compare(stored, "2024-01-20", "2024-01-30"), H.as_of(stored, "2024-01-20", nulls=False), H.validity(stored)):
+        df.explain()
+        # a small table of newest commits may still be broadcast
+        assert "Exchange hashpartitioning" not in capsys.readouterr().out
+    assert sorted(map(str, H.compare(stored, "2024-01-20", "2024-01-30").collect())) == sorted(
+        map(str, H.compare(versions, "2024-01-20", "2024-01-30").collect()))
+    assert bag(H.as_of(stored, "2024-01-20", nulls=False)) == bag(H.as_of(versions, "2024-01-20"))
+    H.compare(stored, "2024-01-20", "2024-01-30").explain()
+    assert capsys.readouterr().out.count("FileScan") == 1
+    with pytest.raises(Exception, match="symbol is NULL"):
+        H.bucketed(versions.withColumn("symbol", F.lit(None).cast("string")), name, f"{folder}/bucketed", buckets=4)
+    session.release(spark)
+    assert not spark.catalog.tableExists(name)

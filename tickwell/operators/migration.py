@@ -45,6 +45,12 @@ _KINDS = {
     "volumes": (RAW_VOLUMES, volume_rows),
     "daily": (DAILY_TABLE, daily_rows),
 }
+_TABLE_SCHEMAS = {"prices": PRICES_TABLE, "volumes": VOLUMES_TABLE, "daily": DAILY_TABLE}
+
+
+def keys_of(kind: str) -> tuple[str, ...]:
+    """What names a row of a table."""
+    return ("symbol", "date") if kind == "daily" else history.KEYS
 
 
 def with_day_parts(schema: StructType) -> StructType:
@@ -65,7 +71,8 @@ def migrate(spark: SparkSession, kind: str, root: str, table: str, start: Day =
     """Moves the days ``start`` to ``end`` of one dataset into the table at path ``table``.
 
     Every day of the range is replaced, also by nothing, so repeating a migration adds
-    nothing. With ``recorded``, the rows are also appended to the history at that path.
+    nothing. With ``recorded``, the history at that path gets what changed in these days: new and
+    corrected rows, and removals of those that are gone.
     """
     first = as_day(start, spark)
     last = as_day(end, spark) if end is not None else first
@@ -73,12 +80,12 @@ def migrate(spark: SparkSession, kind: str, root: str, table: str, start: Day =
     rows = _within(project(read_days(spark, root, with_day_parts(schema), first, last)), first, last)
     replace_days(rows, table, first, last, ("date",))
     if recorded is not None:
-        history.record(rows, recorded, committed_at)
+        history.record_changes(rows, recorded, _TABLE_SCHEMAS[kind], first, last, keys_of(kind), committed_at)
 
 
 def read_table(spark: SparkSession, kind: str, table: str) -> DataFrame:
     """The rows of a table; none if nothing was moved yet."""
-    schema = {"prices": PRICES_TABLE, "volumes": VOLUMES_TABLE, "daily": DAILY_TABLE}[kind]
+    schema = _TABLE_SCHEMAS[kind]
     if not path_exists(spark, table):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(table).select(*schema.fieldNames())

@@ -7,18 +7,14 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.operators.history import Moment, as_of
+from tickwell.operators.history import Moment, compare
 
 
 def current_vs_historical(rows: DataFrame, moment: Moment, day: str | date,
                           keys: tuple[str, ...] = ("symbol", "date")) -> DataFrame:
-    """A day's average prices now and as the table stood at ``moment``. ``rows`` carry their
-    commit times; the day is a filter on files."""
+    """A day's average prices now and as the table stood at ``moment``, in one pass over rows
+    that carry their commit times; the day is a filter on files."""
     of_day = rows.filter(F.col("date") == F.lit(day).cast("date"))
-
-    def at(when: Moment, name: str) -> DataFrame:
-        return as_of(of_day, when, keys).select("symbol", "date", F.col("avg_price").alias(name))
-
-    return (at(None, "current_price").join(at(moment, "historical_price"), ["symbol", "date"])
-            .select("symbol", "current_price", "historical_price",
-                    (F.col("current_price") - F.col("historical_price")).alias("price_change")))
+    return compare(of_day, moment, None, keys, "avg_price").select(
+        "symbol", F.col("avg_price_v2").alias("current_price"), F.col("avg_price_v1").alias("historical_price"),
+        F.col("avg_price_change").alias("price_change"))

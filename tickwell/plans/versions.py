@@ -17,8 +17,11 @@ from tickwell.plans.analytics import SYMBOL
 from tickwell.plans.frames import DAILY_CORE, QUOTES, plain, with_ctes
 from tickwell.plans.registry import query
 from tickwell.schemas import VOLUMES_TABLE
-from tickwell.session import fresh_dir, staged
-from tickwell.sources.days import write_days
+from tickwell.operators import migration as M
+from tickwell.plans.storage import span, stored_raw
+from tickwell.schemas import RAW_VOLUMES
+from tickwell.session import fresh_dir, fresh_table, staged
+from tickwell.sources.days import replace_days, write_days
 
 # (rows up to this day, committed at)
 APPENDS = (("2024-01-11", "2024-01-11 00:00:00"), ("2024-01-21", "2024-01-21 00:00:00"),
@@ -102,7 +105,9 @@ def tt_history(spark, sf_dir):
 @query(with_ctes(QUOTES, VERSIONED, select="""SELECT symbol, timestamp, price AS price_v1, corrected AS price_v2,
   round(corrected - price, 8) AS price_change, 1 AS copies_v1, 1 AS copies_v2 FROM versioned"""))
 def tt_compare_snapshots(spark, sf_dir):
-    return plain(H.compare(history_of(spark, sf_dir, 4), APPENDS[2][1], CORRECTED), "price_change")
+    """Of versions that are stored by key, so that comparing needs no shuffle."""
+    rows = H.bucketed(history_of(spark, sf_dir, 4), fresh_table(spark, "versions"), fresh_dir(spark, "bucketed"))
+    return plain(H.compare(rows, APPENDS[2][1], CORRECTED), "price_change")
 
 
 @query(with_ctes(DAILY_CORE, select=f"""SELECT symbol,
@@ -116,11 +121,89 @@ def tt_current_vs_historical(spark, sf_dir):
     path = fresh_dir(spark, "daily-versions")
     H.record(daily, path, "2024-01-31 00:00:00")
     H.record(daily.filter(F.col("symbol") == SYMBOL).withColumn("avg_price", F.col("avg_price") * 1.01), path, CORRECTED)
-    rows = H.versions(spark, path, daily.schema)
+    rows = H.bucketed(H.versions(spark, path, daily.schema), fresh_table(spark, "daily"), fresh_dir(spark, "bucketed"),
+                      ("symbol", "date"))
     compared = timetravel.current_vs_historical(rows, "2024-01-31 12:00:00", X.last_day(spark, sf_dir))
     return plain(compared, "current_price", "historical_price", "price_change")
 
 
+# A volume table is migrated, then its raw days are corrected and migrated again: one symbol's prices
+# rise, ticks with an id that 7 divides are gone, a whole day is gone, and one symbol is new in a day.
+REMIGRATED = """remigrated AS (
+  SELECT tick_id, symbol, event_timestamp AS timestamp, event_timestamp::DATE AS date, volume, price,
+         CASE WHEN symbol = '%s' THEN price * 1.01 ELSE price END AS corrected,
+         tick_id %% 7 = 0 OR event_timestamp::DATE = DATE '2024-01-20' AS removed
+  FROM quotes WHERE symbol IS NOT NULL AND price > 0)""" % SYMBOL
+MIGRATED_AT, REMIGRATED_AT = "2024-02-01 00:00:00", "2024-02-05 00:00:00"
+
+
+def remigrated(spark, sf_dir) -> tuple[str, str]:
+    """Paths of the table and of the history after both migrations."""
+    first, last = span(spark, sf_dir)
+    root, target, recorded = stored_raw(spark, sf_dir, "volumes"), fresh_dir(spark, "table"), fresh_dir(spark, "recorded")
+    M.migrate(spark, "volumes", root, target, first, last, recorded, MIGRATED_AT)
+    raw = spark.read.schema(RAW_VOLUMES).parquet(root)
+    better = raw.filter((F.col("kafka_offset") % 7 != 0) & (F.to_date("event_timestamp") != F.lit("2024-01-20").cast("date"))).withColumn(
+        "price", F.when(F.col("symbol") == SYMBOL, F.col("price") * 1.01).otherwise(F.col("price")))
+    corrected = fresh_dir(spark, "raw-corrected")
+    replace_days(better, corrected, first, last)
+    for _ in range(2):  # the second time changes nothing
+        M.migrate(spark, "volumes", corrected, target, first, last, recorded, REMIGRATED_AT)
+    return target, recorded
+
+
+@query(with_ctes(QUOTES, REMIGRATED, select="""
+  SELECT 'before' AS state, symbol, timestamp, date, volume, price FROM remigrated
+  UNION ALL SELECT state, symbol, timestamp, date, volume, corrected FROM remigrated CROSS JOIN (VALUES ('now'), ('table')) t(state)
+  WHERE NOT removed"""))
+def tt_removed_rows(spark, sf_dir):
+    """Rows removed by a corrected day are gone from reads as of now, which equal the table, and
+    are still there in reads as of before."""
+    target, recorded = remigrated(spark, sf_dir)
+    rows = H.versions(spark, recorded, VOLUMES_TABLE)
+    out = M.read_table(spark, "volumes", target).select(F.lit("table").alias("state"), *VOLUMES_TABLE.fieldNames())
+    for state, moment in (("before", MIGRATED_AT), ("now", None)):
+        out = out.unionByName(H.as_of(rows, moment).select(F.lit(state).alias("state"), *VOLUMES_TABLE.fieldNames()))
+    return plain(out)
+
+
+@query(with_ctes(QUOTES, REMIGRATED, select=f"""
+  SELECT symbol, timestamp, price, TIMESTAMP '{MIGRATED_AT}' AS valid_from,
+         CASE WHEN removed OR corrected <> price THEN TIMESTAMP '{REMIGRATED_AT}' END AS valid_to FROM remigrated
+  UNION ALL SELECT symbol, timestamp, corrected, TIMESTAMP '{REMIGRATED_AT}', NULL FROM remigrated WHERE NOT removed AND corrected <> price"""))
+def tt_validity(spark, sf_dir):
+    """Every version of a row with the time in which it counted, stored, so that reads are filters."""
+    _, recorded = remigrated(spark, sf_dir)
+    intervals = staged(H.validity(H.versions(spark, recorded, VOLUMES_TABLE)), "validity")
+    return plain(intervals.select("symbol", "timestamp", "price", "valid_from", "valid_to"))
+
+
+@query(with_ctes(QUOTES, REMIGRATED, select="SELECT symbol, timestamp, date, volume, price FROM remigrated"))
+def tt_valid_at(spark, sf_dir):
+    """A read as of a time from stored intervals."""
+    _, recorded = remigrated(spark, sf_dir)
+    intervals = staged(H.validity(H.versions(spark, recorded, VOLUMES_TABLE)), "validity")
+    return plain(H.valid_at(intervals, "2024-02-03 12:00:00").select(*VOLUMES_TABLE.fieldNames()))
+
+
+@query(with_ctes(QUOTES, REMIGRATED, select=f"""
+  SELECT current_from, current_until, rows_begun::BIGINT AS rows_begun, rows_ended::BIGINT AS rows_ended,
+         rows_restored::BIGINT AS rows_restored, rows_held::BIGINT AS rows_held
+  FROM (SELECT count(*) AS n, count(*) FILTER (removed) AS gone, count(*) FILTER (NOT removed AND corrected <> price) AS changed FROM remigrated) c,
+       LATERAL (VALUES
+         (TIMESTAMP '{MIGRATED_AT}', TIMESTAMP '{REMIGRATED_AT}', n, 0, 0, n),
+         (TIMESTAMP '{REMIGRATED_AT}', TIMESTAMP '2024-02-09', changed, gone + changed, 0, n - gone),
+         (TIMESTAMP '2024-02-09', NULL, gone + changed, changed, gone + changed, n)
+       ) t(current_from, current_until, rows_begun, rows_ended, rows_restored, rows_held)"""))
+def tt_states(spark, sf_dir):
+    """Which state counted when, with a rollback at the end: the first state is recorded again."""
+    first, last = span(spark, sf_dir)
+    _, recorded = remigrated(spark, sf_dir)
+    before = staged(H.as_of(H.versions(spark, recorded, VOLUMES_TABLE), MIGRATED_AT), "before")
+    H.record_changes(before, recorded, VOLUMES_TABLE, first, last, committed_at="2024-02-09 00:00:00")
+    return plain(H.states(H.versions(spark, recorded, VOLUMES_TABLE)))
+
+
 @query(with_ctes(QUOTES, VERSIONED, select=f"SELECT {COLUMNS} FROM versioned"))
 def tt_rollback(spark, sf_dir):
     """Back to the state before the correction: that state is recorded as a new commit."""

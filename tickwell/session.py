@@ -43,13 +43,26 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+#: Catalog tables over such folders.
+_TABLES: dict[str, list[str]] = {}
+
+
+def fresh_table(spark: SparkSession, label: str) -> str:
+    """A new name for a catalog table; ``release`` drops it."""
+    name = f"tickwell_{label}_{uuid4().hex}"
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
 def release(spark: SparkSession) -> int:
-    """Removes the intermediate folders made so far, and returns how many there were.
+    """Removes the intermediate folders and tables made so far, and returns how many folders there were.
 
     To be called when the results that were built on them have been used; jobs do so at
     their end. Checkpoints go with their frames if spark.cleaner.referenceTracking.cleanCheckpoints
     is set, which a cluster should do.
     """
+    for name in _TABLES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     paths = _MADE.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         fs, hadoop_path = file_system(spark, path)
