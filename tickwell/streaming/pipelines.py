@@ -22,6 +22,9 @@ from tickwell.schemas import DAY_PARTITIONS, PRICE_MESSAGE, RAW_PARTITIONS, REJE
 from tickwell.session import folders_in_parallel
 from tickwell.sources.messages import stream_messages
 
+#: Files that a batch writes for a date of windows, at most.
+SPREAD = 8
+
 MODES = ("all", "prices", "volumes", "aggregated")
 
 
@@ -57,7 +60,8 @@ def _windowed(aggregate: Callable[..., DataFrame], raw: DataFrame, settings: Str
     on_time = raw.withWatermark("event_timestamp", settings.watermark_delay)
     return (aggregate(on_time, settings.window, settings.slide)
             .withColumn("date", F.to_date("window_start"))
-            .repartition("date"))  # few files for each date; a batch closes few windows of a date
+            # few files for each date, yet a first start that closes whole days at once has more than a task for each
+            .repartition("date", F.pmod(F.xxhash64("symbol"), F.lit(SPREAD))))
 
 
 def windowed_prices(raw: DataFrame, settings: StreamSettings = StreamSettings()) -> DataFrame:
