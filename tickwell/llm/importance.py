@@ -107,9 +107,9 @@ def gains(docs: DataFrame, target: DataFrame, longest: int = 1, buckets: int = 1
     for df, name in ((docs, "s"), (target, "t")):
         both = both.join(F.broadcast(side(df, name)), "bucket", "left")  # no more rows than buckets
     both = both.select("bucket", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in ("s", "t")])
-    totals = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    ratio = ((F.col("t") + 1) * (F.col("all_s") + buckets)) / ((F.col("s") + 1) * (F.col("all_t") + buckets))
-    return both.join(F.broadcast(totals)).select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"))
+    all_s, all_t = both.agg(F.sum("s"), F.sum("t")).first()
+    ratio = ((F.col("t") + 1) * (all_s + buckets)) / ((F.col("s") + 1) * (all_t + buckets))
+    return both.select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"))
 
 
 def weights(docs: DataFrame, gain: np.ndarray, longest: int = 1) -> DataFrame:
