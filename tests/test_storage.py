@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tickwell import session
 from tickwell.functions.ticks import with_date_parts
 from tickwell.operators import history as H
+from tickwell.operators import maintenance as M2
 from tickwell.operators import migration as M
 from tickwell.schemas import RAW_VOLUMES
 from tickwell.sources import days as S
@@ -277,3 +278,98 @@ def test_bucketed_versions_need_no_shuffle(spark, folder, versions, capsys):
         H.bucketed(versions.withColumn("symbol", F.lit(None).cast("string")), name, f"{folder}/bucketed", buckets=4)
     session.release(spark)
     assert not spark.catalog.tableExists(name)
+
+
+# Upkeep ------------------------------------------------------------------------------
+
+SMALL_ROWS = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("date", T.DateType())])
+
+
+def grow(spark, path, day, rows, times):
+    for k in range(times):
+        (spark.range(k * rows, (k + 1) * rows).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), F.lit(day).cast("date").alias("date"))
+         .coalesce(1).write.mode("append").partitionBy("date").parquet(path))
+
+
+def names(path):
+    return {f"{os.path.basename(d)}/{f}" for d, _, found in os.walk(path) for f in found if f.endswith(".parquet")}
+
+
+def test_compaction_packs_small_files_only(spark, folder):
+    path = f"{folder}/table"
+    grow(spark, path, "2024-01-01", 50, 6)
+    grow(spark, path, "2024-01-01", 20_000, 1)
+    grow(spark, path, "2024-01-02", 50, 1)
+    before, rows_before = names(path), sorted(spark.read.schema(SMALL_ROWS).parquet(path).collect())
+    sizes = {f.rsplit("/", 1)[1]: os.path.getsize(f"{path}/{f}") for f in before}
+    large = max(sizes, key=sizes.get)
+    small = sorted(v for k, v in sizes.items() if k != large)[0]
+    # room for two of the small files, about
+    done = M2.compact(spark, path, SMALL_ROWS, target=2 * small + 100, small_below=4 * small)
+    after = names(path)
+    assert (done.files_before, done.files_rewritten, done.files_written, done.files_after) == (8, 6, 3, 5) and len(after) == 5
+    # the large file and the file that has no company are the same files
+    kept = {f for f in before if f.endswith(large) or f.startswith("date=2024-01-02")}
+    assert before & after == kept and len(kept) == 2
+    assert sorted(spark.read.schema(SMALL_ROWS).parquet(path).collect()) == rows_before
+    again = M2.compact(spark, path, SMALL_ROWS, target=2 * small + 100, small_below=small + 1)
+    assert again.files_rewritten == 0 and names(path) == after and not [d for d in os.listdir(path) if d.startswith("_compact")]
+
+
+def test_compaction_of_chosen_days(spark, folder):
+    path = f"{folder}/table"
+    for day in ("2024-01-01", "2024-01-02"):
+        grow(spark, path, day, 5, 3)
+    done = M2.compact(spark, path, SMALL_ROWS, where="date = DATE '2024-01-02'")
+    assert (done.files_before, done.files_after) == (3, 1) and len(names(f"{path}/date=2024-01-01")) == 3
+    assert spark.read.schema(SMALL_ROWS).parquet(path).count() == 30
+
+
+@pytest.mark.parametrize("moved", [False, True])
+def test_a_compaction_that_died_is_finished(spark, folder, monkeypatch, moved):
+    path = f"{folder}/table"
+    grow(spark, path, "2024-01-01", 5, 3)
+    grow(spark, path, "2024-01-02", 5, 3)
+    real = M2.file_system
+
+    def dies(session_, target):
+        if target.endswith(".parquet") and (not moved or "_compact-" not in target and "/table/date" in target and target.split("/")[-1] in old):
+            raise KeyboardInterrupt
+        return real(session_, target)
+
+    old = {f.split("/")[-1] for f in names(path)}
+    monkeypatch.setattr(M2, "file_system", dies)
+    with pytest.raises(KeyboardInterrupt):
+        M2.compact(spark, path, SMALL_ROWS)
+    monkeypatch.undo()
+    assert M2.finish(spark, path) == 1 and len(names(path)) == 2
+    assert sorted(r.id for r in spark.read.schema(SMALL_ROWS).parquet(path).collect()) == sorted([*range(15)] * 2)
+    # one that died while it wrote is thrown away
+    os.makedirs(f"{path}/_compact-x/new/date=2024-01-01")
+    assert M2.finish(spark, path) == 1 and os.listdir(path).count("_compact-x") == 0 and M2.finish(spark, f"{folder}/none") == 0
+
+
+def test_steps_of_a_failed_table_are_skipped(spark):
+    def fail(_):
+        raise ValueError("broken")
+
+    steps = [M2.Step("a", "one", fail), M2.Step("a", "two", lambda s: None), M2.Step("b", "one", lambda s: M2.Compaction(3, 2, 1)),
+             M2.Step("b", "two", fail, enabled=False)]
+    got = {(r.table, r.step): (r.status, r.files_before, r.files_after, r.error) for r in M2.run_steps(spark, steps).collect()}
+    assert got == {("a", "one"): ("failed", None, None, "ValueError: broken"), ("a", "two"): ("skipped", None, None, None),
+                   ("b", "one"): ("ok", 3, 2, None), ("b", "two"): ("off", None, None, None)}
+
+
+def test_replacing_days_runs_one_job(spark, folder):
+    """Which days there are is observed by the write."""
+    group = "replace-days-test"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        written = S.replace_days(day_rows(spark), folder, date(2024, 1, 29), date(2024, 2, 5))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert written == 20 and sum(1 for d, _, f in os.walk(folder) if any(x.endswith(".parquet") for x in f)) == 5
+    # the shuffle's map side, then the write
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 2
+    assert S.replace_days(day_rows(spark, n=2), folder, date(2024, 1, 29), date(2024, 2, 5)) == 20
+    assert {r.day for r in spark.read.schema(DAYS).parquet(folder).collect()} == {30, 31}

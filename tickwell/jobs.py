@@ -13,9 +13,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickwell.functions.ticks import parse_messages, with_price_change
-from tickwell.operators import history, migration, quality
+from tickwell.operators import history, maintenance, migration, quality
 from tickwell.schemas import PRICE_MESSAGE, RAW_PRICES, RAW_VOLUMES
 from tickwell.session import path_exists, release, setting, stream_session
 from tickwell.sources.days import as_day, path_inventory
@@ -86,25 +87,39 @@ def run_time_travel(spark: SparkSession, root: str, table: str, operation: str,
         "as-of": lambda: history.as_of(versions, first, keys),
         "symbol": lambda: history.symbol_as_of(versions, symbol, first, rows, keys, keys[1:]),
         "compare": lambda: history.compare(versions, first, second, keys, value),
+        "states": lambda: history.states(versions, keys).orderBy("current_from"),
+        "validity": lambda: history.validity(versions, keys),
     }
     deliver(frames[operation](), rows, output)
 
 
-def run_optimize(spark: SparkSession, root: str, start: str | date, end: str | date, retention_days: int) -> None:
-    """Writes the days of all tables anew in few files; in the histories, row versions that
-    were replaced before the retention time go. A failure ends the job."""
+def upkeep_steps(spark: SparkSession, root: str, start: str | date, end: str | date, retention_days: int = 7,
+                 target_bytes: int = maintenance.TARGET_BYTES, compaction: bool = True, expiry: bool = True) -> list[maintenance.Step]:
+    """What keeps the tables and histories below ``root`` in shape: in histories, row versions that were replaced before
+    the retention time go; then small files of the given days are packed. Absent paths have no steps."""
     first, last = as_day(start, spark), as_day(end, spark)
+    before = spark.range(1).select(F.current_timestamp() - F.make_dt_interval(days=F.lit(retention_days))).first()[0]
+    days = f"date BETWEEN DATE '{first}' AND DATE '{last}'"
+    steps = []
     for kind, name in KINDS.items():
-        path = table_path(root, kind)
-        if path_exists(spark, path):
-            rows = migration.read_table(spark, kind, path)
-            history.rewrite(rows.filter(F.col("date").between(F.lit(first), F.lit(last))), path)
-        path = history_path(root, name)
-        if path_exists(spark, path):
-            keys = ("symbol", "date") if kind == "daily" else history.KEYS
-            before = spark.range(1).select(F.current_timestamp() - F.make_dt_interval(days=F.lit(retention_days))).first()[0]
-            rows = history.versions(spark, path, TABLES[name]).filter(F.col("date").between(F.lit(first), F.lit(last)))
-            history.rewrite(history.without_superseded(rows, before, keys), path)
+        table, past = table_path(root, kind), history_path(root, name)
+        schema, keys = TABLES[name], migration.keys_of(kind)
+        versioned = StructType(schema.fields + history.VERSION_FIELDS)
+        if path_exists(spark, past):
+            steps.append(maintenance.Step(f"history/{name}", "expire", lambda own, p=past, s=schema, k=keys: maintenance.expire(
+                own, p, s, first, last, before, k), expiry))
+        for label, path, columns in ((name, table, schema), (f"history/{name}", past, versioned)):
+            if path_exists(spark, path):
+                steps.append(maintenance.Step(label, "compact", lambda own, p=path, s=columns: maintenance.compact(
+                    own, p, s, target=target_bytes, where=days), compaction))
+    return steps
+
+
+def run_optimize(spark: SparkSession, root: str, start: str | date, end: str | date, retention_days: int = 7, **options) -> bool:
+    """Upkeep of all tables side by side. Prints a status row for each step, and returns whether none failed."""
+    statuses = maintenance.run_steps(spark, upkeep_steps(spark, root, start, end, retention_days, **options))
+    statuses.show(100, truncate=False)
+    return statuses.where("status = 'failed'").isEmpty()
 
 
 def run_sql(spark: SparkSession, root: str, text: str, rows: int = 100, output: str | None = None) -> None:
@@ -160,18 +175,21 @@ def arguments() -> argparse.ArgumentParser:
         sub.add_argument("--end-date", dest="end")
         if name == "migrate":
             sub.add_argument("--type", choices=("all", *KINDS), default="all")
-            sub.add_argument("--record", action="store_true", help="append the rows to the history as well")
+            sub.add_argument("--record", action="store_true", help="bring the history up to date as well, removals included")
 
     job("quality", "check a day; exit status 1 if it fails").add_argument("--date")
 
-    optimize = job("optimize", "write days of all tables anew, drop replaced row versions")
+    optimize = job("optimize", "pack small files of all tables, drop replaced row versions; exit status 1 if a step fails")
     optimize.add_argument("--start-date", "--date", dest="start")
     optimize.add_argument("--end-date", dest="end")
     optimize.add_argument("--retention-days", type=int, default=7)
+    optimize.add_argument("--target-mb", type=int, default=maintenance.TARGET_BYTES >> 20, help="size of a packed file")
+    optimize.add_argument("--no-compaction", action="store_true")
+    optimize.add_argument("--no-expiry", action="store_true")
 
     travel = job("time-travel", "look at row versions of a table", result=True)
     travel.add_argument("--table", choices=tuple(TABLES), required=True)
-    travel.add_argument("--operation", required=True, choices=("commits", "as-of", "symbol", "compare"))
+    travel.add_argument("--operation", required=True, choices=("commits", "states", "validity", "as-of", "symbol", "compare"))
     travel.add_argument("--timestamp", help="as of; for compare the earlier time")
     travel.add_argument("--timestamp-2", help="for compare the later time")
     travel.add_argument("--symbol")
@@ -220,7 +238,9 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> int:
     elif args.job == "migrate":
         run_migration(spark, args.root, args.type, args.start, args.end, args.record)
     elif args.job == "optimize":
-        run_optimize(spark, args.root, args.start, args.end or args.start, args.retention_days)
+        done = run_optimize(spark, args.root, args.start, args.end or args.start, args.retention_days,
+                            target_bytes=args.target_mb << 20, compaction=not args.no_compaction, expiry=not args.no_expiry)
+        return 0 if done else 1
     elif args.job == "time-travel":
         run_time_travel(spark, args.root, args.table, args.operation, args.timestamp, args.timestamp_2,
                         args.symbol, args.rows, args.output)

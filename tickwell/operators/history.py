@@ -41,6 +41,11 @@ def _contents(columns: list[str]) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *values).cast("decimal(20,0)") for seed in (1, 2)]
 
 
+def _named(keys: tuple[str, ...]) -> tuple[str, ...]:
+    """The key, and the folder it is in."""
+    return keys if "date" in keys else (*keys, "date")
+
+
 def changes(known: DataFrame, now: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Keys with their ``date`` whose rows differ, and whether they were added, changed or removed.
 
@@ -48,21 +53,22 @@ def changes(known: DataFrame, now: DataFrame, keys: tuple[str, ...] = KEYS) -> D
     in aggregates by key, so rows are neither joined nor compared in full. A key may have several
     rows, also equal ones: what counts is how many there are and the sum of their digests.
     """
-    columns = [c for c in now.columns if c not in (*keys, "date")]
+    named = _named(keys)
+    columns = [c for c in now.columns if c not in named]
     counted = ~F.col("deleted")
-    old = known.select(*keys, "date", "committed_at", counted.alias("_counted"), *columns)
-    new = now.select(*keys, "date", F.lit(None).cast("timestamp").alias("committed_at"), F.lit(True).alias("_counted"), *columns)
+    old = known.select(*named, "committed_at", counted.alias("_counted"), *columns)
+    new = now.select(*named, F.lit(None).cast("timestamp").alias("committed_at"), F.lit(True).alias("_counted"), *columns)
     one, two = _contents(columns)
     of_new = F.col("committed_at").isNull()
     # by commit first: a key that is stored very often is a partial row for each task
-    commits_ = old.unionByName(new).groupBy(*keys, "date", "committed_at").agg(
+    commits_ = old.unionByName(new).groupBy(*named, "committed_at").agg(
         F.count_if("_counted").alias("n"), F.coalesce(F.sum(F.when(F.col("_counted"), one)), F.lit(0)).alias("one"),
         F.coalesce(F.sum(F.when(F.col("_counted"), two)), F.lit(0)).alias("two"))
 
     def newest(name: str) -> Column:
         return F.max_by(name, F.when(~of_new, F.col("committed_at")))
 
-    sides = commits_.groupBy(*keys, "date").agg(*[
+    sides = commits_.groupBy(*named).agg(*[
         column.alias(f"{side}_{name}") for name in ("n", "one", "two")
         for side, column in (("old", newest(name)), ("new", F.max(F.when(of_new, F.col(name)))))])
     had, has = F.coalesce("old_n", F.lit(0)) > 0, F.coalesce("new_n", F.lit(0)) > 0
@@ -70,7 +76,7 @@ def changes(known: DataFrame, now: DataFrame, keys: tuple[str, ...] = KEYS) -> D
     for name in ("n", "one", "two"):
         same = same & (F.col(f"old_{name}") == F.col(f"new_{name}"))
     change = (F.when(has & ~had, "added").when(had & ~has, "removed").when(had & has & ~same, "changed"))
-    return sides.select(*keys, "date", change.alias("change")).where("change IS NOT NULL")
+    return sides.select(*named, change.alias("change")).where("change IS NOT NULL")
 
 
 def record_changes(rows: DataFrame, path: str, schema: StructType, first: date, last: date,
@@ -83,7 +89,7 @@ def record_changes(rows: DataFrame, path: str, schema: StructType, first: date,
     spark = rows.sparkSession
     known = versions(spark, path, schema) if path_exists(spark, path) else spark.createDataFrame([], StructType(schema.fields + VERSION_FIELDS))
     found = staged(changes(known.where(F.col("date").between(F.lit(first), F.lit(last))), rows, keys), "changes")
-    named = (*keys, *[c for c in ("date",) if c not in keys])
+    named = _named(keys)
     wanted = found.where("change <> 'removed'").select(*[F.col(c).alias(f"_{c}") for c in named])
     kept = rows.join(wanted, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in named], "left_semi")
     gone = found.where("change = 'removed'").select(*[

@@ -67,8 +67,9 @@ def _within(rows: DataFrame, first: date, last: date) -> DataFrame:
 
 
 def migrate(spark: SparkSession, kind: str, root: str, table: str, start: Day = None, end: Day = None,
-            recorded: str | None = None, committed_at: history.Moment = None) -> None:
-    """Moves the days ``start`` to ``end`` of one dataset into the table at path ``table``.
+            recorded: str | None = None, committed_at: history.Moment = None) -> int:
+    """Moves the days ``start`` to ``end`` of one dataset into the table at path ``table``, and
+    returns how many rows they have.
 
     Every day of the range is replaced, also by nothing, so repeating a migration adds
     nothing. With ``recorded``, the history at that path gets what changed in these days: new and
@@ -78,9 +79,10 @@ def migrate(spark: SparkSession, kind: str, root: str, table: str, start: Day =
     last = as_day(end, spark) if end is not None else first
     schema, project = _KINDS[kind]
     rows = _within(project(read_days(spark, root, with_day_parts(schema), first, last)), first, last)
-    replace_days(rows, table, first, last, ("date",))
+    written = replace_days(rows, table, first, last, ("date",))
     if recorded is not None:
         history.record_changes(rows, recorded, _TABLE_SCHEMAS[kind], first, last, keys_of(kind), committed_at)
+    return written
 
 
 def read_table(spark: SparkSession, kind: str, table: str) -> DataFrame:

@@ -7,17 +7,19 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from tickwell import jobs
 from tickwell.functions import ticks as T
 from tickwell.operators import analytics as A
 from tickwell.operators import daily as D
+from tickwell.operators import maintenance as U
 from tickwell.operators import migration as M
 from tickwell.plans import frames as X
 from tickwell.plans.analytics import DAILY_OUT, DAILY_ROUNDED, SYMBOL
 from tickwell.plans.frames import (DAILY, DAILY_CORE, ISO, LAST_DAY, QUOTES, STORED_DAILY, STORED_PRICES,
                                    STORED_VOLUMES, TICKS, plain, with_ctes)
 from tickwell.plans.registry import query
-from tickwell.schemas import DAILY_TABLE, DAILY_VOLUMES, PRICE_MESSAGE, RAW_PRICES, RAW_VOLUMES
-from tickwell.session import fresh_dir
+from tickwell.schemas import DAILY_TABLE, DAILY_VOLUMES, PRICE_MESSAGE, RAW_PRICES, RAW_VOLUMES, VOLUMES_TABLE
+from tickwell.session import fresh_dir, staged
 from tickwell.sources import days as S
 from tickwell.sources import tables as C
 from tickwell.sources.messages import drain_messages, publish_messages
@@ -251,3 +253,39 @@ def migrate_daily_aggregates(spark, sf_dir):
     root = fresh_dir(spark, "daily")
     S.overwrite_days(T.with_date_parts(X.daily(spark, sf_dir), "date").drop("hour"), root)
     return plain(_migrated(spark, sf_dir, "daily", root), *DAILY_ROUNDED)
+
+
+# Upkeep -------------------------------------------------------------------
+
+@query(with_ctes(QUOTES, STORED_VOLUMES, select="""SELECT event_timestamp::DATE AS date, count(*) AS rows, 1::BIGINT AS files,
+  day(event_timestamp::DATE) % 2 = 0 AS untouched FROM stored GROUP BY ALL"""))
+def compact_small_files(spark, sf_dir):
+    """A table whose odd days came in four appends and whose even days in one. The small files of a day
+    become one; days of one file keep it."""
+    path = fresh_dir(spark, "small-files")
+    rows = M.volume_rows(spark.read.schema(RAW_VOLUMES).parquet(stored_raw(spark, sf_dir, "volumes")))
+    odd = F.dayofmonth("date") % 2 == 1
+    for k in range(4):
+        S.write_days(rows.where(odd & (F.pmod(F.xxhash64("symbol", "timestamp"), F.lit(4)) == k)), path, ("date",))
+    S.write_days(rows.where(~odd), path, ("date",))
+    before = staged(U.files(spark, path, VOLUMES_TABLE), "before")
+    U.compact(spark, path, VOLUMES_TABLE)
+    stored = spark.read.schema(VOLUMES_TABLE).parquet(path)
+    counted = stored.groupBy("date", F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+    found = counted.join(before.select("file", F.lit(1).alias("old")), "file", "left").groupBy("date")
+    return found.agg(F.sum("n").alias("rows"), F.count("*").alias("files"), (F.count("old") == F.count("*")).alias("untouched"))
+
+
+@query("""SELECT * FROM (VALUES ('stock_prices', 'compact', 'ok'), ('stock_volumes', 'compact', 'ok'), ('daily_aggregates', 'compact', 'ok'),
+  ('history/stock_volumes', 'expire', 'ok'), ('history/stock_volumes', 'compact', 'ok')) t("table", step, status)
+  WHERE (SELECT count(*) FROM events) > 0""")
+def optimize_all(spark, sf_dir):
+    """Upkeep of three migrated tables and a history, side by side, with a status for each step."""
+    first, last = span(spark, sf_dir)
+    root, daily = fresh_dir(spark, "optimized"), fresh_dir(spark, "daily")
+    S.overwrite_days(T.with_date_parts(X.daily(spark, sf_dir), "date").drop("hour"), daily)
+    roots = {"prices": stored_raw(spark, sf_dir, "prices"), "volumes": stored_raw(spark, sf_dir, "volumes"), "daily": daily}
+    for kind, name in jobs.KINDS.items():
+        M.migrate(spark, kind, roots[kind], jobs.table_path(root, kind), first, last,
+                  jobs.history_path(root, name) if kind == "volumes" else None)
+    return U.run_steps(spark, jobs.upkeep_steps(spark, root, first, last)).select("table", "step", "status")

@@ -116,6 +116,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def sibling_session(spark: SparkSession) -> SparkSession:
+    """A session with settings of its own, for work beside the caller's. It has the caller's time zone
+    and shuffle width, and shares the context and intermediate folders."""
+    sibling = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        sibling.conf.set(key, spark.conf.get(key))
+    return sibling
+
+
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session whose shuffle width fits state stores.
 
@@ -123,8 +132,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     number is chosen per stream and not taken from the batch default. The sibling
     shares the Spark context and leaves the caller's settings as they are.
     """
-    sibling = spark.newSession()
-    sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    sibling = sibling_session(spark)
     width = state_partitions or spark.sparkContext.defaultParallelism
     sibling.conf.set("spark.sql.shuffle.partitions", str(width))
     # State grows with symbols x open windows: keep it off the Java heap and

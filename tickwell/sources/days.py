@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -81,22 +81,32 @@ def _folder(day: date, partitions: tuple[str, ...]) -> str:
     return f"year={day.year}/month={day.month}/day={day.day}"
 
 
-def replace_days(df: DataFrame, root: str, first: date, last: date, partitions=DAY_PARTITIONS) -> None:
-    """Replace every day of a range: those in ``df`` by its rows, the others by nothing.
+def replace_days(df: DataFrame, root: str, first: date, last: date, partitions=DAY_PARTITIONS) -> int:
+    """Replace every day of a range: those in ``df`` by its rows, the others by nothing. Returns how
+    many rows were written.
 
-    Which days ``df`` has is asked first, with no other columns; there are no more of them
-    than days in the range.
+    The write itself observes which days there are, as one bit for each day of the range, and counts the
+    rows, so ``df`` is computed once. Folders of days without rows go after it; if a run dies before that,
+    doing it again gives the same result.
     """
     spark = df.sparkSession
     day = F.col("date") if "date" in partitions else F.make_date("year", "month", "day")
-    written = {r[0] for r in df.select(day).distinct().collect()}
-    overwrite_days(df, root, partitions)
+    number = F.datediff(day, F.lit(first))
+    # a bitmap has 32,768 bits; a longer range takes several
+    size = 32_768
+    maps = [F.bitmap_construct_agg(F.when((number >= k) & (number < k + size), (number - k).cast("long"))).alias(f"days{k}")
+            for k in range(0, (last - first).days + 1, size)]
+    seen = Observation()
+    overwrite_days(df.observe(seen, F.count(F.lit(1)).alias("rows"), *maps), root, partitions)
+    # of a frame that is known to be empty, nothing is observed
+    found = seen.get if seen._jo.getRow().size() else {"rows": 0}
     for k in range((last - first).days + 1):
-        gone = first + timedelta(days=k)
-        if gone not in written:
-            fs, path = file_system(spark, f"{root}/{_folder(gone, partitions)}")
+        bits = found.get(f"days{k - k % size}")
+        if bits is None or not bits[k % size // 8] >> (k % 8) & 1:
+            fs, path = file_system(spark, f"{root}/{_folder(first + timedelta(days=k), partitions)}")
             if fs.exists(path):
                 fs.delete(path, True)
+    return found["rows"]
 
 
 def partition_inventory(spark: SparkSession, root: str, schema: StructType,
