@@ -13,6 +13,7 @@ from tickwell.operators import migration as M
 from tickwell.schemas import RAW_VOLUMES
 from tickwell.sources import days as S
 from tickwell.sources import tables as C
+from tickwell.sources.inventory import path_inventory
 
 DAYS = T.StructType([T.StructField("id", T.LongType()), T.StructField("symbol", T.StringType()),
                      *[T.StructField(c, T.IntegerType()) for c in S.DAY_PARTITIONS]])
@@ -61,8 +62,12 @@ def test_inventory(spark, folder):
     S.write_days(day_rows(spark), folder)
     got = {r.day: (r.rows, r.files) for r in S.partition_inventory(spark, folder, DAYS).collect()}
     assert set(got) == {30, 31, 1, 2, 3} and all(rows == 4 and files >= 1 for rows, files in got.values())
-    paths = {r.name: (r.exists, r.files > 0) for r in S.path_inventory(spark, {"a": folder, "b": f"{folder}/x"}).collect()}
-    assert paths == {"a": (True, True), "b": (False, False)}
+    found = {r.name: (r.exists, r.files, r.bytes) for r in path_inventory(spark, {"a": folder, "b": f"{folder}/x", "c": f"file://{folder}"}).collect()}
+    sizes = [os.path.getsize(f"{d}/{f}") for d, _, fs in os.walk(folder) for f in fs if not f.startswith(("_", "."))]
+    assert found == {"a": (True, len(sizes), sum(sizes)), "b": (False, 0, 0), "c": (True, len(sizes), sum(sizes))}
+    empty = f"{folder}/empty/below"
+    os.makedirs(empty)
+    assert [tuple(r) for r in path_inventory(spark, {"e": empty}).collect()] == [("e", empty, True, 0, 0)]
 
 
 def test_catalog_tables_once(spark, folder):

@@ -19,7 +19,8 @@ from tickwell.functions.ticks import parse_messages, with_price_change
 from tickwell.operators import history, maintenance, migration, quality
 from tickwell.schemas import PRICE_MESSAGE, RAW_PRICES, RAW_VOLUMES
 from tickwell.session import path_exists, release, setting, stream_session
-from tickwell.sources.days import as_day, path_inventory
+from tickwell.sources.days import as_day
+from tickwell.sources.inventory import path_inventory
 from tickwell.sources.messages import drain_messages
 from tickwell.sources.tables import TABLES, create_all_tables, register_views
 from tickwell.streaming.pipelines import MODES, StreamSettings, start_streams, wait

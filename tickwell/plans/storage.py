@@ -21,6 +21,7 @@ from tickwell.plans.registry import query
 from tickwell.schemas import DAILY_TABLE, DAILY_VOLUMES, PRICE_MESSAGE, RAW_PRICES, RAW_VOLUMES, VOLUMES_TABLE
 from tickwell.session import fresh_dir, staged
 from tickwell.sources import days as S
+from tickwell.sources import inventory
 from tickwell.sources import tables as C
 from tickwell.sources.messages import drain_messages, publish_messages
 from tickwell.streaming.pipelines import raw_prices, raw_volumes
@@ -141,7 +142,7 @@ def partition_inventory(spark, sf_dir):
 @query(with_ctes(QUOTES, STORED_VOLUMES, select="""SELECT name, exists, exists AND (SELECT count(*) FROM stored) > 0 AS has_files
   FROM (VALUES ('raw_volumes', TRUE), ('lakehouse_volumes', FALSE)) t(name, exists)"""))
 def path_inventory(spark, sf_dir):
-    found = S.path_inventory(spark, {"raw_volumes": stored_raw(spark, sf_dir, "volumes"),
+    found = inventory.path_inventory(spark, {"raw_volumes": stored_raw(spark, sf_dir, "volumes"),
                                      "lakehouse_volumes": fresh_dir(spark, "absent")})
     return found.select("name", "exists", (F.col("files") > 0).alias("has_files"))
 

@@ -119,24 +119,3 @@ def partition_inventory(spark: SparkSession, root: str, schema: StructType,
     return (files.groupBy(*partitions)
             .agg(F.count("*").alias("files"), F.sum("rows").alias("rows"),
                  F.sum("file_size").alias("bytes")))
-
-
-def path_inventory(spark: SparkSession, named_paths: dict[str, str]) -> DataFrame:
-    """Which of the named datasets exist, and how many files and bytes each holds."""
-    out = None
-    for name, path in named_paths.items():
-        label = [F.lit(name).alias("name"), F.lit(path).alias("path")]
-        try:
-            listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                       .load(path).select("path", "length"))
-            row = (listing.agg(F.count("*").alias("files"),
-                               F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-                   .select(*label, F.lit(True).alias("exists"), "files", "bytes"))
-        except AnalysisException as error:
-            if not _is_missing_path(error):
-                raise
-            row = spark.range(1).select(*label, F.lit(False).alias("exists"),
-                                        F.lit(0).cast("bigint").alias("files"),
-                                        F.lit(0).cast("bigint").alias("bytes"))
-        out = row if out is None else out.unionAll(row)
-    return out
