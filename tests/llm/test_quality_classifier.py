@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 from helpers import ROWS, awkward
 
@@ -44,3 +46,48 @@ def test_votes_of_plain_and_broken_texts():
                    " ".join(w + "$$$" for w in plain.split()), "same " * 60):
         assert quality.BAD in quality.votes(broken)
     assert len(quality.votes("")) == 10
+
+
+def test_copies_do_not_change_what_is_learnt(spark):
+    """Seven texts, three of them spam, a thousand and twenty thousand times each."""
+    plain = [" ".join(f"A plain sentence stands here with number{k} of words{k} that{k + j} differ{k * j}." for k in range(8)) for j in range(4)]
+    spam = [" | ".join(w.upper() + "!!" for w in t.split()) + " $$$" for t in plain[:3]]
+    found = []
+    for copies in (1_000, 20_000):
+        docs = spark.createDataFrame(list(enumerate(plain + spam)), "doc_id long, text string").crossJoin(spark.range(copies)).drop("id")
+        rows = quality.scores(docs.repartition(8)).dropDuplicates().collect()
+        found.append({r.doc_id: (round(r.score, 2), r.kept) for r in rows})
+        assert len(rows) == 7 and [r.kept for r in sorted(rows)] == [True] * 4 + [False] * 3
+    assert found[0].keys() == found[1].keys() and all(abs(found[0][k][0] - found[1][k][0]) <= 0.02 for k in found[0])
+
+
+def test_sample_is_bounded_in_features(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_FEATURES", 200)
+    fitted = []
+    real = quality.fit_scorer
+    monkeypatch.setattr(quality, "fit_scorer", lambda rows, chances: fitted.append(len(rows)) or real(rows, chances))
+    docs = spark.createDataFrame([(k, f"some words of text {k} " * 20) for k in range(200)], "doc_id long, text string")
+    assert quality.scores(docs, sample=150).count() == 200 and 0 < fitted[0] < 150
+
+
+def test_posterior_equals_a_plain_model_over_documents(spark):
+    """Expectation-maximisation over all rows one by one, without patterns."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    cast = [quality.votes(r.text or "") for r in rows]
+    good = [0.9 if v.count(-1) == 0 else 0.45 if v.count(-1) == 1 else 0.1 for v in cast]
+    for _ in range(50):
+        total = sum(good)
+        share = min(max(total / len(rows), 1e-3), 1 - 1e-3)
+        odds = [math.log(share / (1 - share))] * len(rows)
+        for k in range(10):
+            for vote in (1, 0, -1):
+                has = [i for i, v in enumerate(cast) if v[k] == vote]
+                p = (sum(good[i] for i in has) + 0.5) / (total + 1.5)
+                q = (sum(1 - good[i] for i in has) + 0.5) / (len(rows) - total + 1.5)
+                for i in has:
+                    odds[i] += math.log(p / q)
+        good = [1 / (1 + math.exp(-min(max(x, -30), 30))) for x in odds]
+    want = {r.doc_id: g for r, g in zip(rows, good)}
+    got = {r.doc_id: r.posterior for r in quality.scores(docs).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in got)

@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.bpe import Cache
-from tickwell.llm.common import text_or_empty
+from tickwell.llm.common import staged, text_or_empty
 
 #: Texts that the scorer is fitted on, at most; weights of the scorer.
 SAMPLE, WEIGHTS = 5_000, 1 << 17
+#: Features of all texts that the scorer is fitted on, at most; they meet on the driver.
+SAMPLE_FEATURES = 8_000_000
 _SYMBOLS = "$%*#&@^~=+<>{}[]\\/_|"
 _ENDS = re.compile(r"[.!?…:;,]+[\"')\]»”]*$")
 GOOD, NOTHING, BAD = 1, 0, -1
@@ -160,18 +162,24 @@ def scores(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> Dat
     patterns = np.array([["-0+".index(c) - 1 for c in r["votes"]] for r in counted], np.int64).reshape(-1, 10)
     chances = dict(zip((r["votes"] for r in counted), label_model(patterns, np.array([r["n"] for r in counted]))))
 
-    total = sum(r["n"] for r in counted)
-    # three times the share, then the smallest hashes: the sample's size has its bound
-    some = texts.select("text").withColumn("h", F.xxhash64("text")).where(
-        F.pmod("h", F.lit(1_000_003)) < F.lit(int(min(1.0, 3 * sample / max(1, total)) * 1_000_003) + 1))
-    chosen = some.dropDuplicates(["h"]).orderBy("h").limit(sample)
-
     def prepared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [(h, *features(t), chances["".join("-0+"[v + 1] for v in votes(t))]) for h, t in zip(batch["h"], batch["text"])]
-            yield pd.DataFrame(rows, columns=["h", "slots", "values", "chance"])
-
-    known = chosen.mapInPandas(prepared, "h long, slots array<int>, values array<float>, chance double").toPandas().sort_values("h")
+            frame = pd.DataFrame(rows, columns=["h", "slots", "values", "chance"])
+            yield frame.assign(size=frame["slots"].map(len))
+
+    hashed = texts.select("text").withColumn("h", F.xxhash64("text"))
+    # the smallest hashes of different texts: numbers only, and no more than the sample
+    smallest = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(sample).collect()]
+    chosen = hashed.where(F.col("h") <= F.lit(smallest[-1] if smallest else None)).dropDuplicates(["h"])
+    ready = staged(chosen.mapInPandas(prepared, "h long, slots array<int>, values array<float>, chance double, size int"), "sample")
+    last, held = None, 0
+    for r in ready.select("h", "size").orderBy("h").collect():  # as many as the sample has texts
+        held += r["size"]
+        if held > SAMPLE_FEATURES and last is not None:
+            break
+        last = r["h"]
+    known = ready.where(F.col("h") <= F.lit(last)).toPandas().sort_values("h")
     model = spark.sparkContext.broadcast((chances, fit_scorer(
         [(np.asarray(a), np.asarray(v, float)) for a, v in zip(known["slots"], known["values"])], known["chance"].to_numpy(float))))
 
