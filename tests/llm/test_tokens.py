@@ -39,6 +39,22 @@ def test_cache_forgets_and_stays_right():
     assert len(made) < 16 and len(cache) <= 3
 
 
+def test_stored_counts_come_back():
+    for counts in ([], [1], [1, 2, 2, 3], [0, 200, 10], [5, 70_000, 1], list(range(1000))):
+        width, steps = token_counts.packed(np.array(counts, np.int64))
+        assert token_counts.unpacked(len(counts), width, steps).tolist() == counts
+
+
+def test_budgets_of_any_size_from_one_table(spark):
+    docs = documents(spark).limit(20)
+    texts, table = dict(texts_of(docs)), token_counts.prefix_table(docs, VOCABULARY).persist()
+    for limit in (0, 1, 17, 300):
+        for r in token_counts.cut_at(table, limit).collect():
+            text = texts[r.doc_id]
+            assert len(ids(text[:r.cut_chars])) <= limit and (r.cut_chars == len(text) or len(ids(text[:r.cut_chars + 1])) > limit)
+    table.unpersist()
+
+
 def test_query_counts_as_the_library(spark):
     texts = dict(texts_of(documents(spark)))
     for r in QUERIES["op10_token_counts"](spark, SF_DIR).collect():
@@ -59,7 +75,10 @@ def test_awkward_rows_and_budgets(spark):
     want = [(len((t or "").encode()), len(ids(t or "")), cut(t or "")) for _, t, _ in short]
     assert [g for g in got if g[0] < 2000] == sorted(want) and len(got) == len(ROWS)
     prefixes = token_counts.prefix_table(awkward(spark, short), VOCABULARY)
-    assert sorted((r.n_tokens, r.cut_chars) for r in token_counts.cut_at(prefixes, 20).collect()) == sorted(w[1:] for w in want)
+    assert sorted((r.n_bytes, r.n_tokens, r.cut_chars) for r in token_counts.cut_at(prefixes, 20).collect()) == sorted(want)
+    texts = {i: t or "" for i, t, _ in short}
+    for r in prefixes.where("doc_id IS NOT NULL").collect():
+        assert token_counts.unpacked(r.n_chars, r.width, r.steps).tolist() == [len(ids(texts[r.doc_id][:k + 1])) for k in range(r.n_chars)]
     assert token_counts.token_counts(docs.limit(0), VOCABULARY).count() == 0
 
 

@@ -14,6 +14,7 @@ import sys
 import unicodedata
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import tiktoken
 
@@ -101,11 +102,14 @@ class PrefixBpe:
         if ranked != sorted(ranked):
             raise ValueError("ids do not follow the order of merges")
         self.library = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=self.ids, special_tokens={})
-        self.longest = max(map(len, self.ids))
         self._agree: dict[tuple[int, int], bool] = {}
         #: Entries that no sequence of merges makes stand in no tokenisation.
         self._made = {t for t, i in self.ids.items() if self._merge(t) == [i]}
-        self.counts, self.totals, self.encoded = Cache(self._counts_of), Cache(self._total_of), Cache(self._encoded_of)
+        self._entries = ahocorasick.Automaton()
+        for token in self._made:
+            self._entries.add_word(token.decode("latin-1"), (self.ids[token], len(token)))
+        self._entries.make_automaton()
+        self.counts, self.encoded = Cache(self._counts_of), Cache(self._encoded_of)
         self._cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)")
 
     def _merge(self, text: bytes) -> list[int]:
@@ -148,26 +152,26 @@ class PrefixBpe:
 
     def last_tokens(self, piece: bytes) -> tuple[list[int], list[int]]:
         """Last token and token count of every prefix of a piece, by its bytes."""
-        ids, made, agrees, longest = self.ids, self._made, self._agrees, self.longest
-        last, count = [-1], [0]
-        for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - longest), end):
-                token = piece[start:end]
-                if token in made and (start == 0 or agrees(last[start], ids[token])):
-                    last.append(ids[token])
-                    count.append(count[start] + 1)
-                    break
+        agree, last, count = self._agree, [-1] * (len(piece) + 1), [0] * (len(piece) + 1)
+        # the entries that end at each byte, of which exactly one agrees with what is before it
+        for at, (token, length) in self._entries.iter(piece.decode("latin-1")):
+            end, start = at + 1, at + 1 - length
+            if last[end] < 0:
+                known = True if start == 0 else agree.get((last[start], token))
+                if known is None:
+                    known = self._agrees(last[start], token)
+                if known:
+                    last[end], count[end] = token, count[start] + 1
         return last, count
 
     def _counts_of(self, piece: str) -> np.ndarray:
         """Token count after each code point of a piece."""
         raw = piece.encode()
         _, count = self.last_tokens(raw)
+        if len(raw) == len(piece):
+            return np.array(count[1:], np.int32)
         return np.array([count[k] for k in range(1, len(raw) + 1) if k == len(raw) or raw[k] & 0xC0 != 0x80], np.int32)
 
-    def _total_of(self, piece: str) -> int:
-        return self.last_tokens(piece.encode())[1][-1]
-
     def _encoded_of(self, piece: str) -> bytes:
         """The ids of a piece as little-endian 32-bit numbers."""
         return np.array(self.library.encode_ordinary(piece), "<u4").tobytes()
@@ -188,44 +192,45 @@ class PrefixBpe:
             b"".join(map(encoded, pieces_of(part))) if special is None else special.to_bytes(4, "little")
             for part, special in self._parts(text))
 
-    def piece_counts(self, text: str) -> tuple[list[str], np.ndarray]:
-        """Pieces of a text, special strings among them, and the token count after each."""
-        pieces, counts = [], []
-        for part, special in self._parts(text):
-            if special is None:
-                found = pieces_of(part)
-                pieces += found
-                counts += map(self.totals.__getitem__, found)
-            else:
-                pieces.append(part)
-                counts.append(1)
-        return pieces, np.cumsum(np.array(counts, np.int64))
-
     def _plain_prefixes(self, text: str) -> np.ndarray:
-        """Token count of every prefix of a text without special strings."""
-        rows, before, run, run_from = [], 0, "", 0
-        for piece in pieces_of(text):
-            own = self.counts[piece]
-            spaces = len(piece) - len(piece.lstrip(_SPACES))
-            if spaces:
-                # a prefix that ends in a run of white space has all of the run in one piece
-                if not run:
-                    run_from = before
-                run += piece[:spaces]
-                inside = self.counts[run][-spaces:] + run_from
-                rows += [inside, own[spaces:] + before]
-                if spaces < len(piece):
-                    run = ""
-            elif piece[0] == "'" and len(piece) > 2 and piece[1:] in ("re", "ve", "ll"):
+        """Token count of every prefix of a text without special strings: the counts inside each
+        piece after those of all pieces before it."""
+        pieces = pieces_of(text)
+        if not pieces:
+            return np.empty(0, np.int64)
+        inside = list(map(self.counts.__getitem__, pieces))
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(lengths)
+        counts = np.concatenate(inside)
+        before = np.zeros(len(pieces), np.int32)
+        np.cumsum(counts[ends[:-1] - 1], out=before[1:])
+        counts += np.repeat(before, lengths)
+        run, run_from = "", 0
+        for k in self._unlike(text, pieces):
+            piece, at = pieces[k], int(ends[k] - lengths[k])
+            if piece[0] == "'":
                 # a cut contraction is an apostrophe and a letter
-                cut = [self.counts["'"][-1], self.counts["'"][-1] + self.counts[piece[1]][-1], own[-1]]
-                rows.append(np.array(cut, np.int64) + before)
-                run = ""
-            else:
-                rows.append(own + before)
-                run = ""
-            before += int(own[-1])
-        return np.concatenate(rows) if rows else np.empty(0, np.int64)
+                first = int(self.counts["'"][-1])
+                counts[at:at + 2] = [before[k] + first, before[k] + first + int(self.counts[piece[1]][-1])]
+                continue
+            # a prefix that ends in a run of white space has all of the run in one piece
+            j, run = k - 1, ""
+            while j >= 0 and pieces[j].isspace():
+                run, run_from, j = pieces[j] + run, before[j], j - 1
+            spaces = len(piece) - len(piece.lstrip(_SPACES))
+            counts[at:at + spaces] = self.counts[run + piece[:spaces]][-spaces:] + run_from
+        return counts
+
+    @staticmethod
+    def _unlike(text: str, pieces: list[str]) -> list[int]:
+        """The pieces whose prefixes fall apart in another way than within the piece: those that go on a run
+        of white space, and contractions of two letters. Most texts have few of them."""
+        found = []
+        if _TWO_SPACES.search(text):
+            found += [k + 1 for k, p in enumerate(pieces[:-1]) if p[-1] in _SPACE_SET and pieces[k + 1][0] in _SPACE_SET]
+        if "'" in text:
+            found += [k for k, p in enumerate(pieces) if p[0] == "'" and p[1:] in ("re", "ve", "ll")]
+        return found
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Token count of every prefix of a text, after each code point."""
@@ -246,6 +251,8 @@ class PrefixBpe:
 
 _SPACES = "".join(chr(c) for c in (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                                    0x202F, 0x205F, 0x3000))
+_SPACE_SET = frozenset(_SPACES)
+_TWO_SPACES = re.compile(f"[{SPACE}]{{2}}")
 
 
 @lru_cache(4)
