@@ -1,4 +1,4 @@
-"""Removal of byte strings that an earlier document holds too, by merged Burrows-Wheeler orders.
+"""Removal of byte strings that an earlier document holds too, by refining the order of their shards' suffixes.
 
 Every 50-byte string has a minimizer (the 20-byte string in it with the smallest hash), the
 same wherever the string stands. Texts are cut into pieces, runs of neighbouring strings
@@ -6,12 +6,12 @@ with one minimizer, so all places of a string are found among the pieces of its
 
 1. A minimizer that only one text holds ends there; most do.
 2. Pieces of the others are read, and equal pieces become one with the smallest id.
-3. Where a minimizer has several different pieces, these are the shards of a bucket. The
-   order of their merged Burrows-Wheeler transform is found by refining their interleave:
-   each round puts two symbols before every suffix and moves the suffixes stably by these
-   symbols, so after ``length / 2`` rounds they stand by their first ``length`` bytes and no
-   suffix was ever compared. Borders between blocks are carried along: a block is an interval
-   of suffixes with a common prefix of ``length`` bytes, and holds its smallest id.
+3. Where a minimizer has several different pieces, these are the shards of a bucket, and their suffixes are
+   brought into one order by rounds of interleave refinement: each puts two symbols before every suffix and moves the
+   suffixes stably by these, so after ``length / 2`` rounds they stand by ``length`` bytes and no suffix was ever
+   compared. Borders between blocks are carried along: a block is an interval of suffixes with a common prefix, and only
+   intervals of several suffixes are refined further. No transform of a single shard is built before: rounds start
+   from text order, since a match needs no order beyond ``length`` bytes. It is a radix sort of that depth.
 4. What an earlier document holds is marked and cut out.
 
 Shards are bounded: buckets are dealt by the minimizer's hash, their number grows with the
@@ -143,31 +143,37 @@ def _frequent(docs: DataFrame, rows: int, length: int, minimizer: int) -> np.nda
 def earliest(parts: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
     """For each shard and each string start in it, the smallest id of a shard with that string.
 
-    The order is that of the merged transform of the shards, read as a ring; strings that
-    would run over a shard's end take part in the moves and in no block."""
+    Strings stand in the order of what follows a point in them, which starts at their ends and is moved to
+    their starts. Each round puts two symbols before it and moves the strings stably by these, so they are
+    sorted by what the point has passed, and blocks of equal strings lie together. A string that stands alone in its
+    block does so however far it is extended, and takes part no longer: what is refined are repeated intervals only."""
     data = np.frombuffer(b"".join(parts), np.uint8)
-    n = len(data)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    starts = np.r_[0, sizes.cumsum()]
+    starts, windows = np.r_[0, sizes.cumsum()], sizes - length + 1
+    ends = np.r_[0, windows.cumsum()]
+    shard = np.repeat(np.arange(len(parts)), windows)
     symbols = data.astype(np.uint16) * np.uint16(256) + np.roll(data, -1)
-    order, block = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
+    kind = np.int32 if len(data) < 2 ** 31 else np.int64
+    order = np.arange(ends[-1], dtype=kind)
+    point = (starts[shard] - ends[shard] + np.arange(ends[-1]) + length).astype(kind)
+    block = np.zeros(len(order), kind)
     for step in [2] * (length // 2) + [1] * (length % 2):
-        moved = order - np.int32(step)
-        moved[moved < 0] += n
-        code = symbols[moved] if step == 2 else data[moved]
+        if not len(order):
+            break
+        point -= step
+        code = symbols[point] if step == 2 else data[point]
         by = code.argsort(kind="stable")
-        order, code, block = moved[by], code[by], block[by]
-        border = np.empty(n, bool)
-        border[0] = False
-        np.logical_or(code[1:] != code[:-1], block[1:] != block[:-1], out=border[1:])
-        block = border.cumsum(dtype=np.int32)
-    shard = np.repeat(np.arange(len(parts)), sizes)
-    inside = np.arange(n) + length <= starts[shard + 1]
-    smallest = np.full(int(block[-1]) + 1, _LAST)
-    np.minimum.at(smallest, block, np.where(inside[order], ids[shard[order]], _LAST))
-    of = np.empty(n, np.int64)
-    of[order] = smallest[block]
-    return [of[a:b - length + 1] for a, b in zip(starts, starts[1:])]
+        order, point, code, block = order[by], point[by], code[by], block[by]
+        new = np.ones(len(order) + 1, bool)
+        np.logical_or(code[1:] != code[:-1], block[1:] != block[:-1], out=new[1:-1])
+        several = ~(new[:-1] & new[1:])
+        order, point = order[several], point[several]
+        block = new[:-1][several].cumsum(dtype=kind)
+    of = ids[shard]
+    if len(order):
+        first = np.flatnonzero(np.diff(block, prepend=0))
+        of[order] = np.repeat(np.minimum.reduceat(of[order], first), np.diff(np.r_[first, len(order)]))
+    return [of[x:y] for x, y in zip(ends, ends[1:])]
 
 
 def _runs(flags: np.ndarray) -> tuple[list[int], list[int]]:
