@@ -1,23 +1,24 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Words (a run of word marks and what follows) are encoded once each, however often they
-occur. A word's substrings of bounded length are exploded and joined with the piece table;
-what matches are the edges of its lattice. Edges are grouped by the word and folded from
+Words (a run of word marks and what follows) are cut into parts, runs of characters of one class,
+between which the model has no piece (a letter and a full stop, say). Parts are encoded once each,
+however often they occur. A part's substrings of bounded length are exploded and joined with the piece table;
+what matches are the edges of its lattice. Edges are grouped by the part and folded from
 left to right: the state is the last piece of every prefix, and an edge extends the prefix
 before it if the model would keep the border between the two pieces. For a model of merges
-that is the whole search: exactly one edge fits each prefix. Ids of words are put together
+that is the whole search: exactly one edge fits each prefix. Ids of parts are put together
 in the order of each text, and decoded from there to the whole text.
 
-A border is kept unless some merge crosses it in time: for the right parts of the left
-piece and the left parts of the right piece, the crossing string is itself an edge, and its
-rank tells whether it would have come first. Both parts lists come with the piece table.
+A border is kept unless some merge crosses it in time: a piece of the lattice lies across it, made of
+a part at the right edge of the left piece and one at the left edge of the right piece, and
+its rank comes before both are used up. The ranks come with the piece table.
 
 * NULL and empty texts have no pieces.
 * Characters without a piece become their bytes.
 * Repeated rows and NULL ids: one row for each row.
-* Very long texts are taken whole. Words of more than ``LONG`` characters are cut where no piece
+* Very long texts are taken whole. Parts of more than ``LONG`` characters are cut where no piece
   holds the two characters across the cut, which changes no id; what stays long is folded a
-  word at a time, in time linear in its length.
+  part at a time, in time linear in its length.
 * A text that holds the word mark itself comes back with a space for it, as from the library: no round trip.
 * Extra columns are left out, whatever their names; an empty table gives an empty table.
 """
@@ -30,6 +31,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import sentencepiece
@@ -47,10 +49,9 @@ LONG = 64
 _NEVER = 1 << 30
 #: Words whose lattices one task holds.
 PER_GROUP = 10_000
-_OTHERS = "array<struct<key:string,ids:array<int>>>"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
-_PARTS = "array<struct<n:int,made:int,used:int>>"
-_EDGE = f"struct<start:int,rank:int,whole:boolean,left_parts:{_PARTS},right_parts:{_PARTS},ids:array<int>>"
+#: Different words that a Python worker remembers, at most.
+_REMEMBERED = 200_000
 
 
 @lru_cache(2)
@@ -95,9 +96,35 @@ def piece_rows(model: str) -> list[tuple]:
     return rows
 
 
+@lru_cache(2)
+def joined_rows(model: str) -> list[tuple]:
+    """piece, id, whole, left, right, splits for the pieces that can be an edge or lie across a border.
+
+    ``left`` (``right``) has, by length less one, the rank of the merge that used up the part of
+    that length at the left (right) edge of the piece; -1 if it has no such part. ``splits`` are the
+    ways to make the piece of two others: their lengths, and the rank when both are there and merge."""
+    rows = piece_rows(model)
+    made = {r[0]: r[2] for r in rows if len(r[0]) > 1}
+
+    def used(parts: list[tuple[int, int, int]], size: int) -> list[int]:
+        by_length = {n: rank for n, _, rank in parts}
+        return [by_length.get(n, -1) for n in range(1, size + 1)]
+
+    out = []
+    for piece, number, rank, whole, left, right in rows:
+        splits = []
+        for k in range(1, len(piece)):
+            a, b = piece[:k], piece[k:]
+            if (k == 1 or a in made) and (len(b) == 1 or b in made):
+                splits.append((k, len(b), max(rank, made.get(a, -1), made.get(b, -1))))
+        if whole or splits:
+            out.append((piece, number, whole, used(left, len(piece)), used(right, len(piece)), splits))
+    return out
+
+
 def piece_table(spark: SparkSession, model: str) -> DataFrame:
-    return spark.createDataFrame(
-        piece_rows(model), f"piece string, id int, rank int, whole boolean, left_parts {_PARTS}, right_parts {_PARTS}")
+    return spark.createDataFrame(joined_rows(model), "piece string, id int, whole boolean, left array<int>, right array<int>, "
+                                                     "splits array<struct<l:int,r:int,m:int>>")
 
 
 def byte_ids(model: str) -> dict[int, int]:
@@ -106,36 +133,44 @@ def byte_ids(model: str) -> dict[int, int]:
 
 
 def _lattice(words: DataFrame, model: str, partitions: int) -> DataFrame:
-    """word, ids for distinct words of bounded length. All steps keep the words' partitioning."""
+    """word, ids for distinct words of bounded length. All steps keep the words' partitioning.
+
+    ``edges`` are the lattice in the order of their ends, ``over`` the pieces across each border. The
+    fold's state is the last piece of every prefix, and what would take the border after it away: a
+    piece across it that the last piece's right edge is still there for. An edge that such a piece
+    finds its left edge in does not fit."""
     spark = words.sparkSession
-    pieces, first_byte = piece_table(spark, model), byte_ids(model)[0]
-    longest = max(len(r[0]) for r in piece_rows(model))
+    first_byte = byte_ids(model)[0]
+    longest = max(len(r[0]) for r in joined_rows(model))
     starts = words.select("word").repartition(partitions, "word").select(
         "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
     cut = starts.select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("word") - F.col("start")))).alias("n"))
     cut = cut.withColumn("piece", F.expr("substring(word, start + 1, n)"))
     # the piece table has as many rows as the vocabulary
-    edges = cut.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR n = 1")
-    # as many as a character has bytes, in hexadecimal
-    code = F.hex(F.encode("piece", "utf-8"))
-    fallback = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)),
-                           lambda k: F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int") + F.lit(first_byte))
-    alone = F.array(F.struct(F.lit(1).alias("n"), F.lit(-1).alias("made"), F.lit(_NEVER).alias("used"))).cast(_PARTS)
-    edge = F.struct("start", "rank", F.coalesce("whole", F.lit(True)).alias("whole"), F.coalesce("left_parts", alone).alias("left_parts"),
-                    F.coalesce("right_parts", alone).alias("right_parts"),
-                    F.when(F.col("id").isNull(), fallback).otherwise(F.array("id")).alias("ids")).cast(_EDGE)
-    by_word = edges.groupBy("word").agg(F.collect_list(F.struct((F.col("start") + F.col("n")).alias("stop"), edge.alias("edge"))).alias("found"))
-    lattice = by_word.select("word", F.expr("""transform(sequence(1, length(word)), k ->
-        struct(k AS stop, transform(filter(found, f -> f.stop = k), f -> f.edge) AS edges))""").alias("stops"))
-    crossing = """d.rank IS NOT NULL AND d.start = e.start - x.n
-        AND greatest(d.rank, x.made, y.made) < x.used AND greatest(d.rank, x.made, y.made) <= y.used"""
-    lost = f"""exists(last[e.start].right_parts, x -> exists(e.left_parts, y ->
-        exists(stops[e.start + y.n - 1].edges, d -> {crossing})))"""
-    folded = lattice.withColumn("last", F.expr(f"""aggregate(stops, array(CAST(NULL AS {_EDGE})), (last, s) ->
-        concat(last, array(filter(s.edges, e -> e.whole AND (e.start = 0 OR NOT {lost}))[0])))"""))
-    return folded.select("word", F.expr("""aggregate(stops,
-        struct(size(stops) AS at, CAST(array() AS array<int>) AS ids), (p, s) ->
-        if(p.at > 0, struct(last[p.at].start AS at, concat(last[p.at].ids, p.ids) AS ids), p)).ids""").alias("ids"))
+    found = cut.join(F.broadcast(piece_table(spark, model)), "piece", "left").where("id IS NOT NULL OR n = 1")
+    alone = F.array(F.lit(_NEVER))
+    edge = F.struct((F.col("start") + F.col("n")).alias("stop"), "start", F.coalesce("id", F.lit(-1)).alias("id"),
+                    F.coalesce("left", alone).alias("left"), F.coalesce("right", alone).alias("right"))
+    lattice = found.groupBy("word").agg(
+        F.sort_array(F.collect_list(F.when(F.coalesce("whole", F.lit(True)), edge))).alias("edges"),
+        F.collect_list(F.when(F.size("splits") > 0, F.struct("start", "splits"))).alias("across"))
+    lattice = lattice.withColumn("over", F.expr("""flatten(transform(across, d -> transform(d.splits, s ->
+        struct(d.start + s.l AS at, s.l - 1 AS l, s.r - 1 AS r, s.m AS m))))"""))
+    state = "struct<start:int,id:int,taken:array<struct<r:int,m:int>>>"
+    folded = lattice.select("word", F.expr(f"""aggregate(edges, array(CAST(struct(0, 0, array()) AS {state})), (last, e) ->
+        if(size(last) > e.stop OR exists(last[e.start].taken, t -> get(e.left, t.r) >= t.m), last,
+           concat(last, array(CAST(struct(e.start, e.id, transform(
+               filter(over, d -> d.at = e.stop AND get(e.right, d.l) > d.m), d -> struct(d.r AS r, d.m AS m))) AS {state})))))""").alias("last"))
+    path = folded.select("word", F.expr("""aggregate(last,
+        struct(size(last) - 1 AS at, CAST(array() AS array<struct<start:int,id:int>>) AS path), (p, s) ->
+        if(p.at > 0, struct(last[p.at].start AS at,
+                            concat(array(struct(last[p.at].start AS start, last[p.at].id AS id)), p.path) AS path), p)).path""").alias("path"))
+    # a character without a piece: as many ids as it has bytes, read from hexadecimal
+    return path.select("word", F.expr(f"""if(exists(path, x -> x.id < 0),
+        flatten(transform(path, x -> if(x.id >= 0, array(x.id), transform(
+            sequence(1, length(hex(encode(substring(word, x.start + 1, 1), 'utf-8'))), 2),
+            k -> CAST(conv(substring(hex(encode(substring(word, x.start + 1, 1), 'utf-8')), k, 2), 16, 10) AS int) + {first_byte})))),
+        transform(path, x -> x.id))""").alias("ids"))
 
 
 def marked_words(text: str) -> list[str]:
@@ -150,22 +185,67 @@ def crossed(model: str) -> frozenset[str]:
     return frozenset(r[0][k:k + 2] for r in piece_rows(model) for k in range(len(r[0]) - 1))
 
 
-def parts_of(words: list[str], pairs: frozenset[str]) -> list[str]:
-    """The words, those of more than ``LONG`` characters cut wherever no piece crosses."""
-    if not words or max(map(len, words)) <= LONG:
-        return words
+@lru_cache(2)
+def part_pattern(model: str) -> str:
+    """A pattern for the parts of a word: runs of characters of one class, with the marks before them.
+
+    Two characters that stand side by side in a piece are of one class. So no piece, and no merge,
+    lies across two parts, and a word's pieces are those of its parts."""
+    parent: dict[str, str] = {}
+
+    def root(c: str) -> str:
+        while parent.setdefault(c, c) != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    for a, b in crossed(model):
+        if MARK not in (a, b):
+            parent[root(a)] = root(b)
+    classes: dict[str, list[str]] = {}
+    for c in sorted(parent):
+        classes.setdefault(root(c), []).append(c)
+    runs = ["[" + "".join(map(re.escape, found)) + "]+" for found in sorted(classes.values(), key=len, reverse=True)]
+    return f"{MARK}*(?:{'|'.join(runs + [f'[^{MARK}]'])})|{MARK}+"
+
+
+@lru_cache(2)
+def _compiled(pattern: str) -> re.Pattern:
+    return re.compile(pattern)
+
+
+def parts_of(word: str, pattern: str, pairs: frozenset[str]) -> list[str]:
+    """The parts of a word; those of more than ``LONG`` characters are cut wherever no piece crosses."""
+    parts = _compiled(pattern).findall(word)
+    if len(word) <= LONG:
+        return parts
     out = []
-    for word in words:
+    for part in parts:
         start = 0
-        if len(word) > LONG:
-            for k in range(1, len(word)):
-                if word[k - 1:k + 1] not in pairs:
-                    out.append(word[start:k])
+        if len(part) > LONG:
+            for k in range(1, len(part)):
+                if part[k - 1:k + 1] not in pairs:
+                    out.append(part[start:k])
                     start = k
-        out.append(word[start:])
+        out.append(part[start:])
     return out
 
 
+class _Memory(dict):
+    """What ``make`` gives for a word, remembered for a bounded number of words of bounded length."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str):
+        found = self.make(word)
+        if len(word) <= LONG:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[word] = found
+        return found
+
+
 def _key(part: str) -> str:
     """What a part is joined by: itself, or a digest that no short part equals."""
     return part if len(part) <= LONG else "long" + hashlib.sha512(part.encode()).hexdigest()
@@ -232,7 +312,7 @@ def encode_long(words: DataFrame, model: str) -> DataFrame:
 def _encoded(words: DataFrame, model: str, partitions: int) -> DataFrame:
     """word, ids for distinct words."""
     short = _lattice(words.where(F.length("word") <= LONG), model, partitions)
-    long = encode_long(words.where(F.length("word") > LONG).select("word").repartition(partitions, "word"), model)
+    long = encode_long(words.where(F.length("word") > LONG).select("word").repartition("word"), model)
     return short.unionByName(long)
 
 
@@ -261,16 +341,28 @@ def decode_words(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, model: str | None = None) -> DataFrame:
-    """word, n: every word of all texts and how often it occurs; long words cut, if the model is given."""
-    pairs = docs.sparkSession.sparkContext.broadcast(crossed(model) if model else None)
+    """word, n: every word of all texts and how often it occurs; every part of a word, if the model is given."""
+    cuts = docs.sparkSession.sparkContext.broadcast((part_pattern(model), crossed(model)) if model else None)
+
+    def given(words: Counter[str]) -> pa.RecordBatch:
+        found = words
+        if cuts.value is not None:
+            found = Counter()
+            for word, n in words.items():
+                for part in parts_of(word, *cuts.value):
+                    found[part] += n
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Counter[str] = Counter()
         for batch in batches:
-            found: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
-                words = marked_words(text)
-                found.update(words if pairs.value is None else parts_of(words, pairs.value))
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
+                words.update(marked_words(text))
+                if len(words) > _REMEMBERED:
+                    yield given(words)
+                    words = Counter()
+        if words:
+            yield given(words)
 
     texts = docs.select(text_or_empty().alias("text"))
     return texts.mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -284,9 +376,10 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_bytes, n_words, n_pieces, ids of whole texts in order, and round_trip: whether
     decoding all ids of a text gives back that text.
 
-    Words are encoded once each. Frequent words, bounded in number and length, are looked up where
-    the text is; the others come to the text as one list of its different words, so a word's
-    rows are never gathered, and a text is put together in its own row."""
+    Parts of words are encoded once each. Frequent ones, bounded in number and length, are looked up where
+    the text is; the others come to the text as one list of its different parts, so a part's
+    rows are never gathered, and a text is put together in its own row. Texts that share a
+    ``text_key`` share one list, with the parts of both."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text"))
     words = staged(vocabulary(texts, model), "lattice-words")
@@ -297,20 +390,22 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     short = words.where(F.length("word") <= LONG)
     head = staged(short.orderBy(F.desc("n"), "word").limit(FREQUENT).join(known, "word").select("word", "ids"), "lattice-head")
     near = {r["word"]: array("i", r["ids"]).tobytes() for r in head.toLocalIterator()}
-    shared = spark.sparkContext.broadcast((near, crossed(model), _codes(model)))
-    texts = texts.withColumn("others", F.lit(None).cast(_OTHERS)) if words.count() <= len(near) else texts.join(
-        staged(_others(texts, known, shared), "lattice-others"), "text_key", "left")
+    shared = spark.sparkContext.broadcast((near, part_pattern(model), crossed(model), _codes(model)))
+    texts = texts.join(staged(_others(texts, known, shared), "lattice-others"), "text_key", "left")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, pairs, codes = shared.value
+        near, pattern, pairs, codes = shared.value
+        own: dict[str, bytes] = {}
+        ids_of = _Memory(lambda word: b"".join([near[p] if p in near else own[_key(p)] for p in parts_of(word, pattern, pairs)]))
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for start, stop in _slices(texts):
                 ends, ids, rows = [0], [], []
                 for text, others in zip(texts[start:stop], batch.column("others").slice(start, stop - start).to_pylist()):
-                    own = {x["key"]: array("i", x["ids"]).tobytes() for x in others or ()}
+                    own.clear()
+                    own.update((x["key"], array("i", x["ids"]).tobytes()) for x in others or ())
                     words = marked_words(text)
-                    found = b"".join([near[w] if w in near else own[_key(w)] for w in parts_of(words, pairs)])
+                    found = b"".join([ids_of[w] for w in words])
                     numbers = array("i", found)
                     # the mark before the first word is not of the text
                     back = b"".join([codes[k] for k in numbers]).decode("utf-8", "replace").replace(MARK, " ")[1:]
@@ -330,13 +425,18 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 
 def _others(texts: DataFrame, known: DataFrame, shared) -> DataFrame:
-    """text_key, others: the different words of a text that are not among the frequent ones, with their ids."""
+    """text_key, others: the different parts of a text that are not among the frequent ones, with their ids."""
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, pairs, _ = shared.value
+        near, pattern, pairs, _ = shared.value
+        rare_of = _Memory(lambda word: [_key(p) for p in parts_of(word, pattern, pairs) if p not in near])
         for batch in batches:
-            found = {(key, _key(w)) for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist())
-                     for w in parts_of(marked_words(text), pairs) if w not in near}
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([w for _, w in found], pa.string())],
+            by_text: dict[int, set[str]] = {}
+            for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist()):
+                found = by_text.setdefault(key, set())
+                for word in set(marked_words(text)):
+                    found.update(rare_of[word])
+            numbers = [k for k, found in by_text.items() for _ in found]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(chain.from_iterable(by_text.values()), pa.string())],
                                              ["text_key", "key"])
 
     rows = texts.select("text_key", "text").mapInArrow(missing, "text_key long, key string").distinct()
