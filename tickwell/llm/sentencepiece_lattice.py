@@ -157,10 +157,11 @@ def _lattice(words: DataFrame, model: str, partitions: int) -> DataFrame:
     lattice = lattice.withColumn("over", F.expr("""flatten(transform(across, d -> transform(d.splits, s ->
         struct(d.start + s.l AS at, s.l - 1 AS l, s.r - 1 AS r, s.m AS m))))"""))
     state = "struct<start:int,id:int,taken:array<struct<r:int,m:int>>>"
-    folded = lattice.select("word", F.expr(f"""aggregate(edges, array(CAST(struct(0, 0, array()) AS {state})), (last, e) ->
+    # as an argument, since the optimizer would put what makes ``over`` where it is used, once for each edge
+    folded = lattice.select("word", F.expr(f"""transform(array(over), o -> aggregate(edges, array(CAST(struct(0, 0, array()) AS {state})), (last, e) ->
         if(size(last) > e.stop OR exists(last[e.start].taken, t -> get(e.left, t.r) >= t.m), last,
            concat(last, array(CAST(struct(e.start, e.id, transform(
-               filter(over, d -> d.at = e.stop AND get(e.right, d.l) > d.m), d -> struct(d.r AS r, d.m AS m))) AS {state})))))""").alias("last"))
+               filter(o, d -> d.at = e.stop AND get(e.right, d.l) > d.m), d -> struct(d.r AS r, d.m AS m))) AS {state}))))))[0]""").alias("last"))
     path = folded.select("word", F.expr("""aggregate(last,
         struct(size(last) - 1 AS at, CAST(array() AS array<struct<start:int,id:int>>) AS path), (p, s) ->
         if(p.at > 0, struct(last[p.at].start AS at,
