@@ -142,3 +142,24 @@ def test_names_of_the_whole_and_of_layout_are_not_judged(page, want):
 ])
 def test_words_on_layouts_and_on_articles(page, want):
     assert texts(page) == want
+
+
+def test_pages_with_an_article_go_through_the_differencing(spark):
+    """Its result is checked by the markup: a quote comes back, a menu of one page goes."""
+    def page(menu, *texts):
+        return f"<body><nav>home</nav><nav>{menu}</nav><article>" + "".join(f"<p>{t}</p>" for t in texts) + "</article><footer>end</footer></body>"
+
+    rows = [(1, "http://h/a/1", page("one", "first", "quote")), (2, "http://h/a/2", page("two", "quote", "second")),
+            (3, "http://alone/1", page("three", "third"))]
+    got = {r.page_id: tuple(r)[2:] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: ("first\n\nquote", 12, 3, 1, 1), 2: ("quote\n\nsecond", 13, 3, 1, 1), 3: ("third", 5, 0, 0, 3)}
+
+
+@pytest.mark.parametrize("kinds, shared, want", [
+    ([2, 0, 0, 2], {0, 1}, ([], 1, 1)),
+    ([2, 1, 1, 1], {0, 2}, ([1], 0, 0)),
+    ([1, 0, 2], set(), ([], 0, 2)),
+    ([], set(), ([], 0, 0)),
+])
+def test_check_of_the_differencing(kinds, shared, want):
+    assert pages.checked(kinds, shared) == want

@@ -4,13 +4,16 @@ A page is cut into lines, one for each block. Pages of a host stand in the order
 URL paths, and each is paired with the neighbour whose path agrees for longer. Pages of a host
 whose lines that may stay are the same set are copies: they stand once, at the first of their
 paths, so no page is paired with its copy. A near copy, with one such line more or less, is
-another page. The lines of the two are aligned by a longest common subsequence, and shared lines go.
+another page. The lines of the two are aligned by a longest common subsequence, and shared lines go:
+so for every page, whatever its markup.
 
 Differencing alone keeps a menu or an advert that the neighbour does not have, and loses a
-passage that both articles quote. So the markup has the first word: lines in menus, headers,
-footers, sidebars, notices, adverts, forms, scripts and reader comments go in any case, and
-lines of an article (``article``, ``main``) stay in any case; where a page has an article,
-nothing outside it stays. Lines of which the markup says nothing are left to the differencing.
+passage that both articles quote. So its result is checked by the markup: lines in menus, headers,
+footers, sidebars, notices, adverts, forms, scripts and reader comments go after all, and shared
+lines of an article (``article``, ``main``) come back; where a page has an article, nothing
+outside it stays. Of lines of which the markup says nothing, the differencing stands. ``n_shared``,
+``n_back`` and ``n_out`` say for each page how many lines the differencing took out, how many of
+them the check brought back, and how many others it took out.
 
 Class words name what an element is, or how the page around it is laid out (``sidebar-left``, ``search-page``), and
 articles bear them, too (``article class="comment"``). So a word only marks an element. If all article
@@ -251,15 +254,25 @@ def _aligned(x: list, y: list, bits: int) -> list[int]:
     return out[::-1]
 
 
-def _open_lines(found: list[tuple[int, str]], structure: bool) -> list[int]:
+def _open_lines(kinds: list[int]) -> list[int]:
     """The lines that may stay: of an article, its own; else those not named as beside it."""
-    kinds = [k for k, _ in found]
-    if not structure:
-        return list(range(len(kinds)))
     article = ARTICLE in kinds
     return [k for k, kind in enumerate(kinds) if (kind == ARTICLE if article else kind != OTHER)]
 
 
+def _kinds(found: list[tuple[int, str]], structure: bool) -> list[int]:
+    return [k if structure else UNKNOWN for k, _ in found]
+
+
+def checked(kinds: list[int], shared: set[int]) -> tuple[list[int], int, int]:
+    """What is left of a page's lines after the differencing and the check of it: which of the lines that may
+    stay go, how many shared lines come back, how many others go."""
+    spots = _open_lines(kinds)
+    gone = [n for n, k in enumerate(spots) if k in shared and kinds[k] != ARTICLE]
+    back = sum(k in shared for k in spots) - len(gone)
+    return gone, back, len(kinds) - len(shared) - (len(spots) - len(gone) - back)
+
+
 def _keyed(pages: DataFrame) -> DataFrame:
     """page_id, url, html and a key that equal pages share."""
     source = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
@@ -271,34 +284,45 @@ def _marks(found: list[tuple[int, str]]) -> list[int]:
 
 
 def _outlines(pages: DataFrame, structure: bool) -> DataFrame:
-    """key, url, a mark for each line, which is what the alignment needs to know of a page, and
-    content, equal for pages with the same set of lines that may stay."""
+    """key, url, a mark and a kind for each line, which is what the alignment and its check need to know of a
+    page, and content, equal for pages with the same set of lines that may stay."""
     def outline(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [lines(p) for p in batch["html"]]
-            marks = [_marks(p) for p in found]
-            own = [sorted({m[k] for k in _open_lines(p, structure)}) for p, m in zip(found, marks)]
-            yield pd.DataFrame({"key": batch["key"], "url": batch["url"], "marks": marks,
+            marks, kinds = [_marks(p) for p in found], [_kinds(p, structure) for p in found]
+            own = [sorted({m[k] for k in _open_lines(p)}) for p, m in zip(kinds, marks)]
+            yield pd.DataFrame({"key": batch["key"], "url": batch["url"], "marks": marks, "kinds": ["".join(map(str, p)) for p in kinds],
                                 "content": [xxhash.xxh3_64_intdigest(repr(x)) - 2 ** 63 for x in own]})
 
-    return _keyed(pages).select("key", "url", "html").mapInPandas(outline, "key long, url string, marks array<long>, content long")
+    return _keyed(pages).select("key", "url", "html").mapInPandas(
+        outline, "key long, url string, marks array<long>, kinds string, content long")
 
 
 def _parsed(pages: DataFrame, structure: bool) -> DataFrame:
-    """Every page with its marks and the lines that may stay."""
+    """Every page with the lines that may stay."""
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [lines(p) for p in batch["html"]]
-            spots = [_open_lines(p, structure) for p in found]
-            fixed = [structure and any(k == ARTICLE for k, _ in p) for p in found]
             yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "key": batch["key"],
-                                # of a page that the markup decides, the marks are not asked for
-                                "marks": [[] if sure else _marks(p) for p, sure in zip(found, fixed)],
-                                "spots": [[] if sure else own for own, sure in zip(spots, fixed)],
-                                "lines": [[p[k][1] for k in own] for p, own in zip(found, spots)], "fixed": fixed})
+                                "lines": [[p[k][1] for k in _open_lines(_kinds(p, structure))] for p in found]})
+
+    return _keyed(pages).mapInPandas(parse, "page_id long, url string, key long, lines array<string>")
+
 
-    return _keyed(pages).mapInPandas(parse, "page_id long, url string, key long, marks array<long>, spots array<int>, "
-                                            "lines array<string>, fixed boolean")
+def _differences(outlines: DataFrame) -> DataFrame:
+    """For each key with marks, kinds and the marks of the page it is compared with (NULL: none): gone, the lines
+    that go of those that may stay, and what the differencing and its check did, as counts."""
+    def difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, marks, kinds, others in zip(*(batch[c] for c in ("key", "marks", "kinds", "other_marks"))):
+                shared = set(common(list(marks), list(others))) if others is not None else set()
+                gone, back, out = checked(list(map(int, kinds)), shared)
+                rows.append((key, gone, len(shared), back, out))
+            yield pd.DataFrame(rows, columns=["key", "gone", "n_shared", "n_back", "n_out"])
+
+    return outlines.select("key", "marks", "kinds", "other_marks").mapInPandas(
+        difference, "key long, gone array<int>, n_shared long, n_back long, n_out long")
 
 
 def neighbours(keys: DataFrame) -> DataFrame:
@@ -331,35 +355,33 @@ def neighbours(keys: DataFrame) -> DataFrame:
 
 
 def main_text(pages: DataFrame, structure: bool = True) -> DataFrame:
-    """page_id, url, text, n_chars for every page; ``structure=False`` leaves all to the
+    """page_id, url, text, n_chars, n_shared, n_back, n_out for every page; ``structure=False`` leaves all to the
     differencing."""
     # pages are parsed twice and not stored in between: their outlines are small, their lines are not
     outlines = staged(_outlines(pages, structure).dropDuplicates(["key"]), "page-outlines")
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]*)?([^?#]*)", 1)
-    keys = outlines.select("key", "content", host.alias("host"), path.alias("path"))
+    keys = outlines.select("key", "content", host.alias("host"), path.alias("path"), "marks", "kinds")
     # copies on a host are one page here, at the first of their paths: a copy shares every line, which tells nothing
     ones = keys.groupBy("host", "content").agg(F.min(F.struct("path", "key")).alias("one")).select(
         "host", "content", F.col("one.key").alias("row"), F.col("one.path").alias("path"))
     ones = staged(ones, "page-contents")
     pairs = neighbours(ones.select("row", "host", "path"))
     others = pairs.join(outlines.select(F.col("key").alias("other"), F.col("marks").alias("other_marks")), "other")
-    beside = keys.select("key", "host", "content").join(
-        ones.select("row", "host", "content").join(others, "row"), ["host", "content"]).select("key", "other_marks")
+    # the alignment needs marks only; of its result, few numbers a page meet the lines
+    beside = keys.join(ones.select("row", "host", "content").join(others, "row").drop("row", "other"), ["host", "content"], "left")
+    differences = staged(_differences(beside), "page-differences")
 
-    def difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def left(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = []
-            for spots, own, marks, others, fixed in zip(*(batch[c] for c in ("spots", "lines", "marks", "other_marks", "fixed"))):
-                if fixed:
-                    texts.append("\n\n".join(own))
-                    continue
-                shared = set(common(list(marks), list(others))) if others is not None else set()
-                texts.append("\n\n".join(line for k, line in zip(spots, own) if k not in shared))
+            for own, gone in zip(batch["lines"], batch["gone"]):
+                gone = set(gone)
+                texts.append("\n\n".join(line for k, line in enumerate(own) if k not in gone))
             yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts,
-                                "n_chars": [len(t) for t in texts]})
+                                "n_chars": [len(t) for t in texts]} | {c: batch[c] for c in ("n_shared", "n_back", "n_out")})
 
-    joined = _parsed(pages, structure).join(beside, "key", "left")
-    return joined.select("page_id", "url", "marks", "spots", "lines", "fixed", "other_marks").mapInPandas(
-        difference, "page_id long, url string, text string, n_chars long")
+    # one plan at all sizes: the differences of many pages are no table to broadcast
+    return _parsed(pages, structure).join(differences.hint("merge"), "key").drop("key").mapInPandas(
+        left, "page_id long, url string, text string, n_chars long, n_shared long, n_back long, n_out long")
