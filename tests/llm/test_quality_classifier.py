@@ -91,3 +91,25 @@ def test_posterior_equals_a_plain_model_over_documents(spark):
     want = {r.doc_id: g for r, g in zip(rows, good)}
     got = {r.doc_id: r.posterior for r in quality.scores(docs).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in got)
+
+
+def test_coded_words_give_the_plain_counts(spark):
+    """The shared codes give the votes that counting word by word gives, and the slots of plain numbering."""
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text").limit(300).collect()]
+    texts += ["", "a", "A a A a", "| • -- $$$ a$ $ go!! End. end. ok: x", "\U0001F600 \uFFFF é É ß " * 30, "same same Same " * 20]
+    for text in texts:
+        words, codes = quality._coded(text)
+        assert words == text.split() and len(codes) == len(words)
+        for bit, has in ((quality._ALONE, lambda w: w in "|•·-*>»"), (quality._TRAILING, lambda w: w[-1] in quality._SYMBOLS and len(w) > 1),
+                         (quality._ENDING, lambda w: w[-1] in ".!?…:;,")):
+            assert [bool(c & bit) for c in codes.tolist()] == [has(w) for w in words]
+        assert quality.votes(text) == quality.votes(text, (words, codes))
+        if len(words) > 1:
+            again = sum(map(str.__eq__, words, words[1:])) / len(words)
+            assert quality.votes(text)[4] == quality._vote(again, 0.02, 0.12)
+        slots, values = quality.features(text, (words, codes))
+        own, shapes = [c >> 17 & 131071 for c in codes.tolist()], [c & 131071 for c in codes.tolist()]
+        pairs = [(a * 31 + b * 17 + 7) % 131072 for a, b in zip(shapes, shapes[1:])]
+        want, n = np.unique(own + shapes + pairs + [3] * sum(a == b for a, b in zip(own, own[1:])) or [0], return_counts=True)
+        logs = np.log1p(n) if words else np.ones(1)
+        assert slots.tolist() == want.tolist() and np.array_equal(values, logs / np.sqrt((logs ** 2).sum()))
