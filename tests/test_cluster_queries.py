@@ -37,6 +37,7 @@ spark.stop()
 
 NAMES = [
     "alert_error_rate",
+    "alert_error_rate_fires",
 ]
 
 
