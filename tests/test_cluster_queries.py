@@ -38,6 +38,7 @@ spark.stop()
 NAMES = [
     "alert_error_rate",
     "alert_error_rate_fires",
+    "alert_error_rate_hourly",
 ]
 
 
