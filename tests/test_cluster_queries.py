@@ -39,6 +39,7 @@ NAMES = [
     "alert_error_rate",
     "alert_error_rate_fires",
     "alert_error_rate_hourly",
+    "alert_low_ingestion",
 ]
 
 
