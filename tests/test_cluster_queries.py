@@ -40,6 +40,7 @@ NAMES = [
     "alert_error_rate_fires",
     "alert_error_rate_hourly",
     "alert_low_ingestion",
+    "alert_low_ingestion_silence",
 ]
 
 
