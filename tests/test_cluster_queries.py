@@ -41,6 +41,7 @@ NAMES = [
     "alert_error_rate_hourly",
     "alert_low_ingestion",
     "alert_low_ingestion_silence",
+    "alert_outage_until_now",
 ]
 
 
