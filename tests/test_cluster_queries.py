@@ -42,6 +42,7 @@ NAMES = [
     "alert_low_ingestion",
     "alert_low_ingestion_silence",
     "alert_outage_until_now",
+    "backfill_daily",
 ]
 
 
