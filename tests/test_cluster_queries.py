@@ -43,6 +43,7 @@ NAMES = [
     "alert_low_ingestion_silence",
     "alert_outage_until_now",
     "backfill_daily",
+    "backfill_daily_volumes",
 ]
 
 
