@@ -44,6 +44,7 @@ NAMES = [
     "alert_outage_until_now",
     "backfill_daily",
     "backfill_daily_volumes",
+    "compact_preserves_rows",
 ]
 
 
