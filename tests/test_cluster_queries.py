@@ -45,6 +45,7 @@ NAMES = [
     "backfill_daily",
     "backfill_daily_volumes",
     "compact_preserves_rows",
+    "compact_small_files",
 ]
 
 
