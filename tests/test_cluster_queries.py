@@ -46,6 +46,7 @@ NAMES = [
     "backfill_daily_volumes",
     "compact_preserves_rows",
     "compact_small_files",
+    "consumer_lag_series",
 ]
 
 
