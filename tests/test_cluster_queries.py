@@ -47,6 +47,7 @@ NAMES = [
     "compact_preserves_rows",
     "compact_small_files",
     "consumer_lag_series",
+    "create_tables",
 ]
 
 
