@@ -48,6 +48,7 @@ NAMES = [
     "compact_small_files",
     "consumer_lag_series",
     "create_tables",
+    "cumulative_volume",
 ]
 
 
