@@ -49,6 +49,7 @@ NAMES = [
     "consumer_lag_series",
     "create_tables",
     "cumulative_volume",
+    "daily_overwrite_idempotent",
 ]
 
 
