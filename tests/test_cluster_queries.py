@@ -50,6 +50,7 @@ NAMES = [
     "create_tables",
     "cumulative_volume",
     "daily_overwrite_idempotent",
+    "daily_today",
 ]
 
 
