@@ -51,6 +51,7 @@ NAMES = [
     "cumulative_volume",
     "daily_overwrite_idempotent",
     "daily_today",
+    "dq_stored_day",
 ]
 
 
