@@ -52,6 +52,7 @@ NAMES = [
     "daily_overwrite_idempotent",
     "daily_today",
     "dq_stored_day",
+    "daily_prices",
 ]
 
 
