@@ -53,6 +53,7 @@ NAMES = [
     "daily_today",
     "dq_stored_day",
     "daily_prices",
+    "drain_topic_messages",
 ]
 
 
