@@ -54,6 +54,7 @@ NAMES = [
     "dq_stored_day",
     "daily_prices",
     "drain_topic_messages",
+    "expire_snapshots",
 ]
 
 
