@@ -55,6 +55,7 @@ NAMES = [
     "daily_prices",
     "drain_topic_messages",
     "expire_snapshots",
+    "latest_price_per_symbol",
 ]
 
 
