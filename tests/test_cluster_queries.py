@@ -56,6 +56,7 @@ NAMES = [
     "drain_topic_messages",
     "expire_snapshots",
     "latest_price_per_symbol",
+    "latest_prices",
 ]
 
 
