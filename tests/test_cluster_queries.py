@@ -57,6 +57,7 @@ NAMES = [
     "expire_snapshots",
     "latest_price_per_symbol",
     "latest_prices",
+    "migrate_daily_aggregates",
 ]
 
 
