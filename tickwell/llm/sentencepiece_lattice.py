@@ -13,6 +13,9 @@ A border is kept unless some merge crosses it in time: a piece of the lattice li
 a part at the right edge of the left piece and one at the left edge of the right piece, and
 its rank comes before both are used up. The ranks come with the piece table.
 
+Texts are read once, into blocks of documents that hold their words as numbers (Arrow splits and numbers them).
+A block gets the ids of its different parts, and puts them together by two takes of lists.
+
 * NULL and empty texts have no pieces.
 * Characters without a piece become their bytes.
 * Repeated rows and NULL ids: one row for each row.
@@ -27,14 +30,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +46,7 @@ from tickwell.llm.common import collected, groups_for, staged, text_or_empty, wi
 from tickwell.session import setting
 
 MARK = "▁"
-#: Frequent words that are looked up without a shuffle, at most.
+#: Parts in many blocks that are looked up without a shuffle, at most.
 FREQUENT = 200_000
 #: Characters of a word that is exploded into substrings, or looked up without a shuffle, at most.
 LONG = 64
@@ -50,8 +54,10 @@ _NEVER = 1 << 30
 #: Words whose lattices one task holds.
 PER_GROUP = 10_000
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
-#: Different words that a Python worker remembers, at most.
+#: Different words that a Python worker counts before it hands them on, at most.
 _REMEMBERED = 200_000
+#: Bytes of text in a block of documents, about; a longer text is a block of its own.
+BLOCK = 16 << 20
 
 
 @lru_cache(2)
@@ -231,39 +237,6 @@ def parts_of(word: str, pattern: str, pairs: frozenset[str]) -> list[str]:
     return out
 
 
-class _Memory(dict):
-    """What ``make`` gives for a word, remembered for a bounded number of words of bounded length."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, word: str):
-        found = self.make(word)
-        if len(word) <= LONG:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
-
-
-def _key(part: str) -> str:
-    """What a part is joined by: itself, or a digest that no short part equals."""
-    return part if len(part) <= LONG else "long" + hashlib.sha512(part.encode()).hexdigest()
-
-
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with texts of about four million characters."""
-    start = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size > 4_000_000:
-            yield start, k + 1
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def fold(word: str, pieces: dict[str, tuple], first_byte: int) -> list[int]:
     """The same lattice and fold for one word of any length, in time linear in it: edges are
     looked up when their end is reached, and only the piece that ends each prefix is kept."""
@@ -323,8 +296,8 @@ def encode_words(words: DataFrame, model: str, partitions: int) -> DataFrame:
 
 
 def _codes(model: str) -> list[bytes]:
-    """The bytes of every id."""
-    table = {r[1]: r[0].encode() for r in piece_rows(model)} | {k: bytes([b]) for b, k in byte_ids(model).items()}
+    """The bytes of every id, with a space for the mark."""
+    table = {r[1]: r[0].replace(MARK, " ").encode() for r in piece_rows(model)} | {k: bytes([b]) for b, k in byte_ids(model).items()}
     return [table.get(k, b"") for k in range(max(table) + 1)]
 
 
@@ -334,7 +307,7 @@ def decode_words(encoded: DataFrame, model: str) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [b"".join([shared.value[k] for k in ids]).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
+            texts = [b"".join([shared.value[k] for k in ids]).decode("utf-8", "replace").replace(" ", MARK) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("ids"), pa.array(texts, pa.string())],
                                              ["word", "ids", "decoded"])
 
@@ -373,79 +346,137 @@ def _partitions(words: DataFrame) -> int:
     return max(width(words.sparkSession), groups_for(words.count(), PER_GROUP))
 
 
+def _cut(words: pa.Array, model: str) -> pa.ListArray:
+    """The parts of every word of a list, as ``parts_of`` gives them. Words have no space, so it can part them."""
+    pattern = part_pattern(model)
+    parted = pc.replace_substring_regex(words, f"({pattern})", r"\1 ")
+    lists = pc.split_pattern(pc.ascii_rtrim(parted, characters=" "), " ")
+    long = np.flatnonzero(pc.greater(pc.utf8_length(words), LONG).to_numpy(zero_copy_only=False))
+    if not len(long):
+        return lists
+    apart = pa.array([parts_of(w, pattern, crossed(model)) for w in words.take(pa.array(long)).to_pylist()], pa.list_(pa.string()))
+    place = np.arange(len(words))
+    place[long] = len(words) + np.arange(len(long))
+    return pa.concat_arrays([lists, apart]).take(pa.array(place))
+
+
+def _split(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """How many words each text has, and the words of all texts in order. The same words as ``marked_words``: of
+    spaces in a row the first one ends a word, and the others are marks of the next."""
+    spaced = pc.binary_join_element_wise(" ", pc.replace_substring(texts, MARK, " "), "")
+    spaced = pc.replace_substring(pc.replace_substring(spaced, "  ", f" {MARK}"), f"{MARK} ", MARK + MARK)
+    spaced = pc.ascii_ltrim(spaced, characters=" ")
+    lists = pc.split_pattern(pc.if_else(pc.equal(pc.binary_length(texts), 0), None, spaced), " ")
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), lists.flatten().dictionary_encode()
+
+
+def _packed(numbers: np.ndarray, firsts: bool = True) -> bytes:
+    """Numbers that count up at each first use, which is written as 0, and others as they are plus 1; by byte planes."""
+    if firsts:
+        before = np.concatenate([[-1], np.maximum.accumulate(numbers)[:-1]])
+        numbers = np.where(numbers > before, 0, numbers + 1)
+    return pa.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, size: int, firsts: bool = True) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * size, codec="zstd", asbytes=True), np.uint8)
+    numbers = np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+    return np.where(numbers == 0, np.cumsum(numbers == 0) - 1, numbers - 1).astype(np.int32) if firsts else numbers
+
+
+def _ends(sizes) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+
+
+def _block(number: int, ids: pa.Array, texts: pa.Array, model: str) -> pa.RecordBatch:
+    n_words, words = _split(texts)
+    lists = _cut(pc.binary_join_element_wise(MARK, words.dictionary, ""), model)
+    parts = lists.flatten().dictionary_encode()
+    digests = [hashlib.sha256(t).digest() for t in texts.cast(pa.binary()).to_pylist()]
+    one = {"block": pa.array([number], pa.int64())}
+    for name, column in (("doc_id", ids), ("n_bytes", pc.binary_length(texts).cast(pa.int64())), ("n_words", pa.array(n_words, pa.int64())),
+                         ("digest", pa.array(digests, pa.binary())), ("parts", parts.dictionary)):
+        one[name] = pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
+    for name, column in (("words", words.indices), ("cuts", pc.list_value_length(lists)), ("cut", parts.indices)):
+        one[name] = pa.array([_packed(column.to_numpy(zero_copy_only=False), name != "cuts")], pa.binary())
+        one[f"n_{name}" if name != "words" else "n_all"] = pa.array([len(column)], pa.int64())
+    return pa.RecordBatch.from_arrays(list(one.values()), list(one))
+
+
+def blocks(docs: DataFrame, model: str) -> DataFrame:
+    """Documents in blocks of about ``BLOCK`` bytes of text: ids, sizes and digests of the texts, their words in order as
+    numbers of the block's different words, those as numbers of its different parts, and the parts."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, count, size, ids, texts = TaskContext.get().partitionId() << 32, 0, 0, [], []
+        for batch in batches:
+            at, column = 0, batch.column("text")
+            ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+            while at < len(column):
+                before = ends[at - 1] if at else 0
+                stop = min(len(column), int(np.searchsorted(ends, before + BLOCK - size)) + 1)
+                ids.append(batch.column("doc_id").slice(at, stop - at))
+                texts.append(column.slice(at, stop - at))
+                size, at = size + int(ends[stop - 1] - before), stop
+                if size >= BLOCK:
+                    yield _block(first + count, pa.concat_arrays(ids), pa.concat_arrays(texts), model)
+                    count, size, ids, texts = count + 1, 0, [], []
+        if texts:
+            yield _block(first + count, pa.concat_arrays(ids), pa.concat_arrays(texts), model)
+
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
+        made, f"block long, doc_id array<{kind}>, n_bytes array<long>, n_words array<long>, digest array<binary>, parts array<string>, "
+              "words binary, n_all long, cuts binary, n_cuts long, cut binary, n_cut long")
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_bytes, n_words, n_pieces, ids of whole texts in order, and round_trip: whether
-    decoding all ids of a text gives back that text.
+    decoding all ids of a text gives back that text (the bytes are compared by their SHA-256).
 
-    Parts of words are encoded once each. Frequent ones, bounded in number and length, are looked up where
-    the text is; the others come to the text as one list of its different parts, so a part's
-    rows are never gathered, and a text is put together in its own row. Texts that share a
-    ``text_key`` share one list, with the parts of both."""
+    Texts are read once and kept as blocks of numbers. Parts of words are encoded once each; the ids come to a block once
+    for each different part of it, so a part's rows are as many as there are blocks. Parts that most blocks have, bounded
+    in number and length, are looked up without a shuffle."""
     spark = docs.sparkSession
-    texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    words = staged(vocabulary(texts, model), "lattice-words")
+    held = staged(blocks(docs, model), "lattice-blocks")
+    rows = held.select("block", F.posexplode("parts").alias("number", "word"))
+    words = staged(rows.groupBy("word").agg(F.count("*").alias("n")), "lattice-words")
     # a task holds few words, so their lattices need no sort
     with setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(4 * PER_GROUP)):
         known = staged(_encoded(words, model, _partitions(words)), "lattice-encoded")
     collected(spark)
-    short = words.where(F.length("word") <= LONG)
-    head = staged(short.orderBy(F.desc("n"), "word").limit(FREQUENT).join(known, "word").select("word", "ids"), "lattice-head")
-    near = {r["word"]: array("i", r["ids"]).tobytes() for r in head.toLocalIterator()}
-    shared = spark.sparkContext.broadcast((near, part_pattern(model), crossed(model), _codes(model)))
-    texts = texts.join(staged(_others(texts, known, shared), "lattice-others"), "text_key", "left")
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, pattern, pairs, codes = shared.value
-        own: dict[str, bytes] = {}
-        ids_of = _Memory(lambda word: b"".join([near[p] if p in near else own[_key(p)] for p in parts_of(word, pattern, pairs)]))
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, stop in _slices(texts):
-                ends, ids, rows = [0], [], []
-                for text, others in zip(texts[start:stop], batch.column("others").slice(start, stop - start).to_pylist()):
-                    own.clear()
-                    own.update((x["key"], array("i", x["ids"]).tobytes()) for x in others or ())
-                    words = marked_words(text)
-                    found = b"".join([ids_of[w] for w in words])
-                    numbers = array("i", found)
-                    # the mark before the first word is not of the text
-                    back = b"".join([codes[k] for k in numbers]).decode("utf-8", "replace").replace(MARK, " ")[1:]
-                    ids.append(found)
-                    ends.append(ends[-1] + len(numbers))
-                    rows.append((len(text.encode()), len(words), len(numbers), back == text))
-                flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(ids))])
-                size, words, pieces, same = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(start, stop - start), pa.array(size, pa.int64()), pa.array(words, pa.int64()),
-                     pa.array(pieces, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(same, pa.bool_())],
-                    ["doc_id", "n_bytes", "n_words", "n_pieces", "ids", "round_trip"])
+    common = words.where((F.length("word") <= LONG) & (F.col("n") > 1)).orderBy(F.desc("n"), "word").limit(FREQUENT)
+    head = staged(common.join(known, "word").select("word", "ids"), "lattice-head")
+    near = rows.join(F.broadcast(head), "word")
+    far = rows.join(F.broadcast(head.select("word")), "word", "left_anti").join(known.hint("merge"), "word")
+    found = near.unionByName(far).select(F.col("block").alias("of"), "number", "ids")
+    codes = spark.sparkContext.broadcast(_codes(model))
+
+    def joined(held: pa.Table, found: pa.Table) -> pa.Table:
+        row = {name: held.column(name)[0] for name in held.column_names}
+        order = pc.sort_indices(found.column("number"))
+        part_ids = found.column("ids").combine_chunks().take(order)
+        # parts to words, words to texts: ids stay in order, and only their ends are looked up
+        by_part = part_ids.take(pa.array(_unpacked(row["cut"].as_py(), row["n_cut"].as_py())))
+        ends = by_part.offsets.to_numpy()[_ends(_unpacked(row["cuts"].as_py(), row["n_cuts"].as_py(), False))]
+        by_word = pa.ListArray.from_arrays(pa.array(ends), by_part.values).take(pa.array(_unpacked(row["words"].as_py(), row["n_all"].as_py())))
+        ends = by_word.offsets.to_numpy()[_ends(row["n_words"].values)]
+        text = pa.array(codes.value, pa.binary()).take(by_word.values)
+        starts, data = text.buffers()[1:]
+        at = np.frombuffer(starts, np.int32)[ends]
+        view = memoryview(data) if data is not None else memoryview(b"")
+        # the mark before the first word is not of the text
+        back = [hashlib.sha256(view[a + 1:b]).digest() for a, b in zip(at.tolist(), at[1:].tolist())]
+        return pa.table({
+            "doc_id": row["doc_id"].values, "n_bytes": row["n_bytes"].values, "n_words": row["n_words"].values,
+            "n_pieces": pa.array(np.diff(ends), pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(ends), by_word.values),
+            "round_trip": pc.equal(row["digest"].values, pa.array(back, pa.binary()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts.select("doc_id", "text", "others").mapInArrow(
+    return held.drop("parts").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(
         joined, f"doc_id {kind}, n_bytes long, n_words long, n_pieces long, ids array<int>, round_trip boolean")
 
 
-def _others(texts: DataFrame, known: DataFrame, shared) -> DataFrame:
-    """text_key, others: the different parts of a text that are not among the frequent ones, with their ids."""
-    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, pattern, pairs, _ = shared.value
-        rare_of = _Memory(lambda word: [_key(p) for p in parts_of(word, pattern, pairs) if p not in near])
-        for batch in batches:
-            by_text: dict[int, set[str]] = {}
-            for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist()):
-                found = by_text.setdefault(key, set())
-                for word in set(marked_words(text)):
-                    found.update(rare_of[word])
-            numbers = [k for k, found in by_text.items() for _ in found]
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(chain.from_iterable(by_text.values()), pa.string())],
-                                             ["text_key", "key"])
-
-    rows = texts.select("text_key", "text").mapInArrow(missing, "text_key long, key string").distinct()
-    long = F.concat(F.lit("long"), F.sha2(F.encode("word", "utf-8"), 512))
-    keyed = known.select(F.when(F.length("word") <= LONG, F.col("word")).otherwise(long).alias("key"), "ids")
-    return rows.join(keyed.hint("merge"), "key").groupBy("text_key").agg(F.collect_list(F.struct("key", "ids")).alias("others"))
-
-
 def piece_counts(docs: DataFrame, model: str) -> DataFrame:
     """What ``encode`` gives, without the ids."""
     return encode(docs, model).drop("ids")
