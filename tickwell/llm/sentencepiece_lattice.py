@@ -152,22 +152,21 @@ def _lattice(words: DataFrame, model: str, partitions: int) -> DataFrame:
         "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
     cut = starts.select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("word") - F.col("start")))).alias("n"))
     cut = cut.withColumn("piece", F.expr("substring(word, start + 1, n)"))
-    # the piece table has as many rows as the vocabulary
-    found = cut.join(F.broadcast(piece_table(spark, model)), "piece", "left").where("id IS NOT NULL OR n = 1")
-    alone = F.array(F.lit(_NEVER))
-    edge = F.struct((F.col("start") + F.col("n")).alias("stop"), "start", F.coalesce("id", F.lit(-1)).alias("id"),
-                    F.coalesce("left", alone).alias("left"), F.coalesce("right", alone).alias("right"))
-    lattice = found.groupBy("word").agg(
-        F.sort_array(F.collect_list(F.when(F.coalesce("whole", F.lit(True)), edge))).alias("edges"),
-        F.collect_list(F.when(F.size("splits") > 0, F.struct("start", "splits"))).alias("across"))
-    lattice = lattice.withColumn("over", F.expr("""flatten(transform(across, d -> transform(d.splits, s ->
-        struct(d.start + s.l AS at, s.l - 1 AS l, s.r - 1 AS r, s.m AS m))))"""))
+    # the piece table has as many rows as the vocabulary; a row's columns go as one struct, so that a list of them is quick to make
+    pieces = piece_table(spark, model).select("piece", F.struct("id", "whole", "left", "right", "splits").alias("row"))
+    found = cut.join(F.broadcast(pieces), "piece", "left").where("row IS NOT NULL OR n = 1")
+    lattice = found.groupBy("word").agg(F.sort_array(F.collect_list(F.struct((F.col("start") + F.col("n")).alias("stop"), "start", "row"))).alias("found"))
+    lattice = lattice.select(
+        "word", F.expr("filter(found, e -> coalesce(e.row.whole, true))").alias("edges"),
+        F.expr("""flatten(transform(filter(found, d -> size(d.row.splits) > 0), d -> transform(d.row.splits, s ->
+            struct(d.start + s.l AS at, s.l - 1 AS l, s.r - 1 AS r, s.m AS m))))""").alias("over"))
     state = "struct<start:int,id:int,taken:array<struct<r:int,m:int>>>"
+    alone = f"array({_NEVER})"
     # as an argument, since the optimizer would put what makes ``over`` where it is used, once for each edge
     folded = lattice.select("word", F.expr(f"""transform(array(over), o -> aggregate(edges, array(CAST(struct(0, 0, array()) AS {state})), (last, e) ->
-        if(size(last) > e.stop OR exists(last[e.start].taken, t -> get(e.left, t.r) >= t.m), last,
-           concat(last, array(CAST(struct(e.start, e.id, transform(
-               filter(o, d -> d.at = e.stop AND get(e.right, d.l) > d.m), d -> struct(d.r AS r, d.m AS m))) AS {state}))))))[0]""").alias("last"))
+        if(size(last) > e.stop OR exists(last[e.start].taken, t -> get(coalesce(e.row.left, {alone}), t.r) >= t.m), last,
+           concat(last, array(CAST(struct(e.start, coalesce(e.row.id, -1), transform(
+               filter(o, d -> d.at = e.stop AND get(coalesce(e.row.right, {alone}), d.l) > d.m), d -> struct(d.r AS r, d.m AS m))) AS {state}))))))[0]""").alias("last"))
     path = folded.select("word", F.expr("""aggregate(last,
         struct(size(last) - 1 AS at, CAST(array() AS array<struct<start:int,id:int>>) AS path), (p, s) ->
         if(p.at > 0, struct(last[p.at].start AS at,
