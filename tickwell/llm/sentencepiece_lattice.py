@@ -42,8 +42,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm.common import collected, groups_for, staged, text_or_empty, width
-from tickwell.session import setting
+from tickwell.llm.common import collected, discard, groups_for, staged, text_or_empty, width
+from tickwell.session import fresh_dir, fresh_table, setting
 
 MARK = "▁"
 #: Parts in many blocks that are looked up without a shuffle, at most.
@@ -433,11 +433,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_bytes, n_words, n_pieces, ids of whole texts in order, and round_trip: whether
     decoding all ids of a text gives back that text (the bytes are compared by their SHA-256).
 
-    Texts are read once and kept as blocks of numbers. Parts of words are encoded once each; the ids come to a block once
-    for each different part of it, so a part's rows are as many as there are blocks. Parts that most blocks have, bounded
-    in number and length, are looked up without a shuffle."""
+    Texts are read once and kept as blocks of numbers, bucketed by block. Parts of words are encoded once each; the ids
+    come to a block once for each different part of it, so a part's rows are as many as there are blocks. Parts that most
+    blocks have, bounded in number and length, are looked up there without a shuffle."""
     spark = docs.sparkSession
-    held = staged(blocks(docs, model), "lattice-blocks")
+    held = _bucketed(blocks(docs, model))
     rows = held.select("block", F.posexplode("parts").alias("number", "word"))
     words = staged(rows.groupBy("word").agg(F.count("*").alias("n")), "lattice-words")
     # a task holds few words, so their lattices need no sort
@@ -446,22 +446,29 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     collected(spark)
     common = words.where((F.length("word") <= LONG) & (F.col("n") > 1)).orderBy(F.desc("n"), "word").limit(FREQUENT)
     head = staged(common.join(known, "word").select("word", "ids"), "lattice-head")
-    near = rows.join(F.broadcast(head), "word")
+    discard(words)
     far = rows.join(F.broadcast(head.select("word")), "word", "left_anti").join(known.hint("merge"), "word")
-    found = near.unionByName(far).select(F.col("block").alias("of"), "number", "ids")
-    codes = spark.sparkContext.broadcast(_codes(model))
+    found = staged(far.select(F.col("block").alias("of"), "number", "ids"), "lattice-found")
+    discard(known)
+    collected(spark)
+    near = head.toArrow().combine_chunks()
+    shared = spark.sparkContext.broadcast((near.column("word").combine_chunks(), near.column("ids").combine_chunks(), _codes(model)))
 
     def joined(held: pa.Table, found: pa.Table) -> pa.Table:
         row = {name: held.column(name)[0] for name in held.column_names}
-        order = pc.sort_indices(found.column("number"))
-        part_ids = found.column("ids").combine_chunks().take(order)
+        near, near_ids, codes = shared.value
+        parts = row["parts"].values
+        # where a part's ids are: among the near ones, or behind them among those that were joined
+        place = pc.fill_null(pc.index_in(parts, value_set=near), -1).to_numpy(zero_copy_only=False).copy()
+        place[found.column("number").to_numpy()] = len(near) + np.arange(len(found))
+        kind = pa.list_(pa.int32())
+        ids = pa.concat_arrays([near_ids.cast(kind), *(c.cast(kind) for c in found.column("ids").chunks)])
         # parts to words, words to texts: ids stay in order, and only their ends are looked up
-        by_part = part_ids.take(pa.array(_unpacked(row["cut"].as_py(), row["n_cut"].as_py())))
+        by_part = ids.take(pa.array(place[_unpacked(row["cut"].as_py(), row["n_cut"].as_py())]))
         ends = by_part.offsets.to_numpy()[_ends(_unpacked(row["cuts"].as_py(), row["n_cuts"].as_py(), False))]
         by_word = pa.ListArray.from_arrays(pa.array(ends), by_part.values).take(pa.array(_unpacked(row["words"].as_py(), row["n_all"].as_py())))
         ends = by_word.offsets.to_numpy()[_ends(row["n_words"].values)]
-        text = pa.array(codes.value, pa.binary()).take(by_word.values)
-        starts, data = text.buffers()[1:]
+        starts, data = pa.array(codes, pa.binary()).take(by_word.values).buffers()[1:]
         at = np.frombuffer(starts, np.int32)[ends]
         view = memoryview(data) if data is not None else memoryview(b"")
         # the mark before the first word is not of the text
@@ -472,10 +479,21 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
             "round_trip": pc.equal(row["digest"].values, pa.array(back, pa.binary()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return held.drop("parts").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(
+    return held.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(
         joined, f"doc_id {kind}, n_bytes long, n_words long, n_pieces long, ids array<int>, round_trip boolean")
 
 
+def _bucketed(blocks: DataFrame) -> DataFrame:
+    """Blocks as a table bucketed by their numbers, so that they need no shuffle to meet their parts."""
+    spark = blocks.sparkSession
+    name = fresh_table(spark, "blocks")
+    with (setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"),
+          setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", "16m"),
+          setting(spark, "spark.sql.parquet.compression.codec", "zstd")):
+        blocks.write.bucketBy(width(spark), "block").format("parquet").option("path", fresh_dir(spark, "lattice-blocks")).saveAsTable(name)
+    return spark.table(name)
+
+
 def piece_counts(docs: DataFrame, model: str) -> DataFrame:
     """What ``encode`` gives, without the ids."""
     return encode(docs, model).drop("ids")
