@@ -421,6 +421,7 @@ def blocks(docs: DataFrame, model: str) -> DataFrame:
                 if size >= BLOCK:
                     yield _block(first + count, pa.concat_arrays(ids), pa.concat_arrays(texts), model)
                     count, size, ids, texts = count + 1, 0, [], []
+                    pa.default_memory_pool().release_unused()
         if texts:
             yield _block(first + count, pa.concat_arrays(ids), pa.concat_arrays(texts), model)
 
@@ -455,6 +456,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     shared = spark.sparkContext.broadcast((near.column("word").combine_chunks(), near.column("ids").combine_chunks(), _codes(model)))
 
     def joined(held: pa.Table, found: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what the block before this one took
         row = {name: held.column(name)[0] for name in held.column_names}
         near, near_ids, codes = shared.value
         parts = row["parts"].values
